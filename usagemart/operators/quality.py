@@ -6,32 +6,26 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from usagemart.functions.numeric import exact_avg, half_even
+from usagemart.functions.numeric import half_even
 from usagemart.functions.temporal import parse_date
+from usagemart.operators.segments import segment_load_stats
 from usagemart.schemas import DECLARED_MART_SCHEMA
 
 PASS, WARNINGS, SUCCESS = "PASS", "WARNINGS", "SUCCESS"
 
 
-def _null_emails() -> Column:
-    return F.count_if(F.col("email").isNull())
-
-
-def _negative_values() -> Column:
-    return F.count_if((F.col("total_session_minutes") < 0) | (F.col("engagement_score") < 0))
-
-
 def dq_checks(mart: DataFrame) -> DataFrame:
     """All checks in one pass over six columns, as one row.
 
     ``undefined_rate`` counts customers who converted without a click: their rate has no value
     and is stored as 0.
     """
+    negative = (F.col("total_session_minutes") < 0) | (F.col("engagement_score") < 0)
     undefined = (F.col("total_conversions") > 0) & (F.col("total_clicks") == 0)
     return mart.agg(
         F.count(F.lit(1)).alias("total_records"),
-        _null_emails().alias("null_emails"),
-        _negative_values().alias("negative_values"),
+        F.count_if(F.col("email").isNull()).alias("null_emails"),
+        F.count_if(negative).alias("negative_values"),
         F.max("load_date").alias("max_load_date"),
         F.min("load_date").alias("min_load_date"),
         F.count_if(undefined).alias("undefined_rate"),
@@ -83,30 +77,21 @@ def type_violations(staged: DataFrame,
 def run_report(mart: DataFrame, execution_date: date) -> DataFrame:
     """The report of a run: one line per segment, each beside the totals and the verdict.
 
-    The mart is read once; the totals are summed from the per-segment rows.
+    The verdict is one row and joins as a scalar subquery; both passes read a few columns.
     """
-    per_segment = mart.groupBy("segment").agg(
-        F.count(F.lit(1)).alias("n"),
-        exact_avg(F.col("engagement_score")).alias("avg_engagement"),
-        _null_emails().alias("null_emails"),
-        _negative_values().alias("negative_values"),
-    )
-    totals = per_segment.agg(
-        F.sum("n").alias("total_records"),
-        F.sum("null_emails").alias("null_emails"),
-        F.sum("negative_values").alias("negative_values"))
-    verdict = totals.select(F.struct(
-        "total_records", F.size(_issues()).cast("long").alias("issues_found")).alias("v"))
+    issues = dq_issues(dq_checks(mart))
+    verdict = issues.select(F.struct(
+        "total_records", F.size("issues").cast("long").alias("issues_found"), "is_valid"))
     label = F.coalesce("segment", F.lit("None"))
     average = half_even(F.coalesce("avg_engagement", F.lit(0)), 2).cast("decimal(28,2)")
-    return per_segment.withColumn("_total", verdict.scalar()).select(
+    return segment_load_stats(mart).withColumn("_run", verdict.scalar()).select(
         F.lit(execution_date.isoformat()).alias("execution_date"),
         F.lit(SUCCESS).alias("status"),
-        F.col("_total.total_records").alias("total_records"),
+        "_run.total_records",
         label.alias("segment"),
         F.concat(label, F.lit(": "), F.col("n").cast("string"),
                  F.lit(" records (avg engagement: "), average.cast("string"), F.lit(")"))
         .alias("line"),
-        F.col("_total.issues_found").alias("issues_found"),
-        F.when(F.col("_total.issues_found") == 0, PASS).otherwise(WARNINGS).alias("quality"),
+        "_run.issues_found",
+        F.when(F.col("_run.is_valid"), PASS).otherwise(WARNINGS).alias("quality"),
     )

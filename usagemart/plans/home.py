@@ -3,21 +3,25 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from usagemart.operators.quality import duplicate_keys
 from usagemart.operators.segments import segment_performance
-from usagemart.schemas import MART_SCHEMA, SEGMENT_PERFORMANCE_SCHEMA, TABLE_COMMENTS
+from usagemart.schemas import MART_SCHEMA, SEGMENT_PERFORMANCE_SCHEMA
 from usagemart.sources.keyed_table import KeyedTable
 
 
 def require_unique(df: DataFrame, *keys: str) -> None:
-    """Raise if one of ``keys`` is not unique. Reads only the key columns, one job each."""
-    for key in keys:
-        example = duplicate_keys(df, key).select(key).head()
-        if example is not None:
-            raise ValueError(f"{key} is not unique: {example[0]}")
+    """Raise if one of ``keys`` is not unique. One job, which reads only the key columns."""
+    found = reduce(DataFrame.unionAll, [
+        duplicate_keys(df, key).select(
+            F.lit(key).alias("key"), F.col(key).cast("string").alias("value"))
+        for key in keys])
+    example = found.agg(F.min(F.struct("key", "value"))).first()[0]
+    if example is not None:
+        raise ValueError(f"{example['key']} is not unique: {example['value']}")
 
 
 def mart_gate(mart: DataFrame) -> None:
@@ -33,12 +37,12 @@ class Home:
     root: str
     buckets: int = 64
 
-    @property
+    @cached_property
     def mart(self) -> KeyedTable:
         return KeyedTable(self.spark, f"{self.root}/customer_data_mart", MART_SCHEMA,
                           "customer_id", self.buckets)
 
-    @property
+    @cached_property
     def segment_performance(self) -> KeyedTable:
         return KeyedTable(self.spark, f"{self.root}/segment_performance",
                           SEGMENT_PERFORMANCE_SCHEMA, "segment", buckets=1)
@@ -65,10 +69,6 @@ class Home:
         self.segment_performance.read().createOrReplaceTempView("segment_performance")
 
 
-def describe(table: str) -> str:
-    return TABLE_COMMENTS[table]
-
-
 def read_mart(spark: SparkSession, root: str) -> DataFrame:
     """The current mart below ``root``."""
     return Home(spark, root).mart.read()

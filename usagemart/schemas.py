@@ -137,9 +137,3 @@ CLAIMS_SCHEMA = T.StructType([
     _field("exp", T.LongType()),
     _field("requested_customer_id", T.LongType()),
 ])
-
-TABLE_COMMENTS = {
-    "customer_data_mart": "One row per customer with aggregated telemetry",
-    "customer_analytics": "Mart joined with the segment dimension and derived columns",
-    "segment_performance": "Per-segment roll-up of the mart, rebuilt after every change",
-}

@@ -2,8 +2,8 @@
 
 Plain Parquet has no MERGE, and a job must not overwrite the files it reads. So rows live in
 ``data/version=<v>/bucket=<b>`` by a hash of the key, a change writes new versions of the buckets
-it touches, and one appended row per bucket in ``commits`` makes them visible together. Readers
-see the newest committed version of every bucket. A job that dies before its commit leaves only
+it touches, and one row appended to ``commits`` makes them visible together. Readers see the
+newest committed version of every bucket. A job that dies before its commit leaves only
 unreferenced files, and running it again is safe. There is one writer at a time, as the nightly
 schedule has one active run.
 """
@@ -16,7 +16,8 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-_COMMITS = "version INT, bucket INT, buckets INT, tag STRING"
+# ``touched`` is NULL when the whole table was written.
+_COMMITS = "version INT, buckets INT, touched ARRAY<INT>, tag STRING"
 
 
 class KeyedTable:
@@ -30,16 +31,22 @@ class KeyedTable:
     # -- reading ---------------------------------------------------------------------------
 
     def _commits(self) -> DataFrame:
+        """The log: one row per change, read by one task."""
         try:
-            return self.spark.read.schema(_COMMITS).parquet(f"{self.root}/commits")
+            return self.spark.read.schema(_COMMITS).parquet(f"{self.root}/commits").coalesce(1)
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], _COMMITS)
 
+    def _written(self) -> DataFrame:
+        every = F.sequence(F.lit(0), F.col("buckets") - 1)
+        return self._commits().select(
+            "version", F.explode(F.coalesce("touched", every)).alias("bucket"))
+
     def _live(self) -> dict[int, int]:
         """Newest version per bucket: at most ``buckets`` small rows."""
-        rows = self._commits().groupBy("bucket").agg(F.max("version").alias("version")).collect()
+        rows = self._written().groupBy("bucket").agg(F.max("version").alias("version")).collect()
         return {row["bucket"]: row["version"] for row in rows}
 
     def _select(self, versions: dict[int, int]) -> DataFrame:
@@ -48,13 +55,16 @@ class KeyedTable:
             by_version.setdefault(version, []).append(bucket)
         if not by_version:
             return self.spark.createDataFrame([], self.schema)
-        layout = T.StructType(list(self.schema.fields)).add("version", "integer").add("bucket", "integer")
-        # Both are partition columns: Spark lists and reads only the chosen folders.
+        layout = T.StructType(list(self.schema.fields)).add("version", "integer").add(
+            "bucket", "integer")
+        # Both are partition columns: Spark opens only the chosen folders.
         chosen = reduce(lambda a, b: a | b, [
             (F.col("version") == version) & F.col("bucket").isin(members)
             for version, members in by_version.items()
         ])
-        data = self.spark.read.schema(layout).parquet(f"{self.root}/data")
+        folders = [f"{self.root}/data/version={version}" for version in by_version]
+        data = (self.spark.read.schema(layout).option("basePath", f"{self.root}/data")
+                .parquet(*folders))
         return data.where(chosen).select(*self.schema.fieldNames())
 
     def read(self, buckets: Iterable[int] | None = None) -> DataFrame:
@@ -68,16 +78,16 @@ class KeyedTable:
         return not self._commits().where(F.col("tag") == tag).isEmpty()
 
     def expired(self) -> DataFrame:
-        """Folders no reader needs any more, for the retention job of the storage."""
+        """Folders that no reader needs any more, for the retention job of the storage."""
         newest = F.max("version").over(Window.partitionBy("bucket"))
-        return (self._commits().withColumn("newest", newest)
+        return (self._written().withColumn("newest", newest)
                 .where("version < newest").select("version", "bucket").distinct())
 
     # -- writing ---------------------------------------------------------------------------
 
-    def bucket(self, key: Column | None = None) -> Column:
+    def bucket(self) -> Column:
         """The hash that Spark's own shuffle uses, so a shuffle partition is one bucket."""
-        return F.pmod(F.hash(F.col(self.key) if key is None else key), F.lit(self.buckets))
+        return F.pmod(F.hash(F.col(self.key)), F.lit(self.buckets))
 
     def buckets_of(self, rows: DataFrame) -> list[int]:
         """Buckets that hold the keys of ``rows``: at most ``buckets`` numbers."""
@@ -87,43 +97,44 @@ class KeyedTable:
         """One shuffle partition per bucket; joins and aggregates on the key reuse it."""
         return rows.repartition(self.buckets, self.key)
 
-    def stage(self, rows: DataFrame) -> int:
-        """Write ``rows`` as a new version that nobody sees yet. Expects ``spread`` rows."""
-        version = max(self._live().values(), default=0) + 1
+    def _stage(self, rows: DataFrame, version: int) -> None:
+        """Write ``rows``, spread by key, as a version that nobody sees yet."""
         (rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema))
          .withColumn("bucket", self.bucket())
          .sortWithinPartitions("bucket", self.key)
          .write.mode("overwrite").partitionBy("bucket")
          .parquet(f"{self.root}/data/version={version}"))
-        return version
 
-    def preview(self, version: int, buckets: Iterable[int] | None = None) -> DataFrame:
-        """The table as it will be once ``version`` is published."""
-        fresh = range(self.buckets) if buckets is None else buckets
-        return self._select({**self._live(), **{b: version for b in fresh}})
+    def _publish(self, version: int, touched: list[int] | None, tag: str | None) -> None:
+        """One file with one row, so all buckets of the version appear at once."""
+        entry = self.spark.createDataFrame([(version, self.buckets, touched, tag)], _COMMITS)
+        entry.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
 
-    def publish(self, version: int, buckets: Iterable[int] | None = None,
-                tag: str | None = None) -> None:
-        """Make ``version`` current. All rows go into one file, so they appear at once."""
-        fresh = range(self.buckets) if buckets is None else buckets
-        rows = [(version, b, self.buckets, tag) for b in fresh]
-        (self.spark.createDataFrame(rows, _COMMITS).coalesce(1)
-         .write.mode("append").parquet(f"{self.root}/commits"))
+    def ensure(self) -> None:
+        """Create the table, empty, unless it is there."""
+        if self._commits().isEmpty():
+            self.replace(self.spark.createDataFrame([], self.schema))
 
     def replace(self, rows: DataFrame, tag: str | None = None) -> None:
         """Make ``rows`` the whole content."""
-        self.publish(self.stage(self.spread(rows)), tag=tag)
+        version = max(self._live().values(), default=0) + 1
+        self._stage(self.spread(rows), version)
+        self._publish(version, None, tag)
 
     def change(self, transform: Callable[[DataFrame], DataFrame],
-               buckets: list[int] | None = None,
+               touched: list[int] | None = None,
                check: Callable[[DataFrame], None] | None = None, tag: str | None = None) -> None:
-        """Rewrite the content, or only ``buckets`` of it, through ``transform``.
+        """Rewrite the content, or only the ``touched`` buckets, through ``transform``.
 
         ``check`` sees the whole resulting table and may raise, which leaves it unpublished.
         """
-        if buckets is not None and not buckets:
+        if touched is not None and not touched:
             return
-        version = self.stage(transform(self.spread(self.read(buckets))))
+        live = self._live()
+        version = max(live.values(), default=0) + 1
+        fresh = dict.fromkeys(range(self.buckets) if touched is None else touched, version)
+        current = self._select({b: v for b, v in live.items() if b in fresh})
+        self._stage(transform(self.spread(current)), version)
         if check is not None:
-            check(self.preview(version, buckets))
-        self.publish(version, buckets, tag)
+            check(self._select({**live, **fresh}))
+        self._publish(version, touched, tag)

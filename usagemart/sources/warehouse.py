@@ -48,8 +48,9 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
     nations = table(spark, folder, "nation").select("n_nationkey", "n_name")
     base = table(spark, folder, "customer")
     return (
-        base.join(spent, "c_custkey", "left")
-        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        # Nations first: later joins by customer then keep one partitioning.
+        base.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .join(spent, "c_custkey", "left")
         .select(
             key.alias("customer_id"),
             F.when(key % 50 != 7, F.split_part("c_name", F.lit("#"), F.lit(1)))
