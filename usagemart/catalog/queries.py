@@ -26,7 +26,8 @@ AS_OF = datetime(2024, 1, 31)
 DAY = timedelta(days=1)
 MONTH_DAYS = 30
 # Customers whose first order is older than this were in the mart already.
-KNOWN_BEFORE = "1996-01-01"
+_KNOWN = "registration_date < '1996-01-01'"
+_ACTIVE = "status = 'active'"
 TOP_K = 10
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,9 +35,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles, the form in which both engines hand out the same value."""
-    return df.select(*(
-        F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType)
-        else F.col(f.name) for f in df.schema))
+    fields = df.schema.fields
+    if not any(isinstance(f.dataType, T.DecimalType) for f in fields):
+        return df
+    return df.selectExpr(*(
+        f"CAST(`{f.name}` AS double) AS `{f.name}`" if isinstance(f.dataType, T.DecimalType)
+        else f"`{f.name}`" for f in fields))
 
 
 # -- inputs ----------------------------------------------------------------------------------
@@ -61,7 +65,7 @@ def staged(spark: SparkSession, folder: str) -> DataFrame:
 
 def _typed(spark: SparkSession, folder: str, rows: DataFrame) -> DataFrame:
     seen = rows.join(warehouse.last_seen(spark, folder), "customer_id", "left")
-    return marts.to_mart_types(seen, updated_at=F.col("seen_at"))
+    return marts.to_mart_types(seen, updated_at="seen_at")
 
 
 def mart(spark: SparkSession, folder: str) -> DataFrame:
@@ -70,7 +74,7 @@ def mart(spark: SparkSession, folder: str) -> DataFrame:
 
 def yesterday(spark: SparkSession, folder: str) -> DataFrame:
     """The mart as loaded the day before: customers who were registered early enough."""
-    known = customers(spark, folder).where(F.col("registration_date") < KNOWN_BEFORE)
+    known = customers(spark, folder).where(_KNOWN)
     before = EXECUTION_DATE - DAY
     rows = marts.customer_mart(known, two_days(spark, folder, before), before, AS_OF - DAY)
     return _typed(spark, folder, rows)
@@ -78,7 +82,7 @@ def yesterday(spark: SparkSession, folder: str) -> DataFrame:
 
 def today(spark: SparkSession, folder: str) -> DataFrame:
     """Today's delivery: all active accounts, some of them new."""
-    return marts.to_mart_types(staged(spark, folder).where(F.col("status") == "active"))
+    return marts.to_mart_types(staged(spark, folder).where(_ACTIVE))
 
 
 def decisions(spark: SparkSession, folder: str) -> DataFrame:
@@ -104,7 +108,7 @@ def _segments_in_use(spark, folder):
     """Every segment that customers have, with its dimension row if there is one."""
     used = customers(spark, folder).select("segment").distinct()
     dim = segment_dim(spark)
-    return used.join(dim, F.col("segment") == F.col("segment_code"), "left")
+    return used.join(dim, F.expr("segment = segment_code"), "left")
 
 
 def _csv_round_trip(spark, folder):
@@ -121,7 +125,7 @@ def _mart_scan(spark, folder):
 
 def _manual_refresh(spark, folder):
     return upsert.refresh_customers(mart(spark, folder), decisions(spark, folder)
-                                    .where(F.col("decision") == access.ALLOWED), AS_OF)[1]
+                                    .where(f"decision = '{access.ALLOWED}'"), AS_OF)[1]
 
 
 def _refresh_run(spark, folder):
@@ -138,9 +142,9 @@ def _nightly_run(spark, folder):
     source = customers(spark, folder)
     before = EXECUTION_DATE - DAY
     tel = warehouse.telemetry(spark, folder, EXECUTION_DATE, days=3)
-    run_nightly(home, source.where(F.col("registration_date") < KNOWN_BEFORE), tel, before,
+    run_nightly(home, source.where(_KNOWN), tel, before,
                 AS_OF - DAY)
-    return run_nightly(home, source.where(F.col("status") == "active"), tel, EXECUTION_DATE,
+    return run_nightly(home, source.where(_ACTIVE), tel, EXECUTION_DATE,
                        AS_OF, staging_format="csv").mart
 
 
@@ -156,16 +160,15 @@ def _audit_log(spark, folder):
 
 def _segment_map(spark, folder):
     result = segments.segment_map(mart(spark, folder))
-    return result.select("total_records", F.explode("segment_distribution")).select(
-        "total_records", F.col("key").alias("segment"), F.col("value.count").alias("n"),
-        "value.avg_engagement")
+    return result.selectExpr("total_records", "explode(segment_distribution)").selectExpr(
+        "total_records", "key AS segment", "value.count AS n", "value.avg_engagement")
 
 
 def _dq_issues(spark, folder):
     found = quality.dq_issues(quality.dq_checks(mart(spark, folder)))
-    return found.select(F.concat_ws("; ", "issues").alias("issues"),
-                        F.size("issues").cast("long").alias("issue_count"),
-                        "is_valid", "total_records")
+    return found.selectExpr("concat_ws('; ', issues) AS issues",
+                            "CAST(size(issues) AS bigint) AS issue_count",
+                            "is_valid", "total_records")
 
 
 def _duplicate_keys(spark, folder):
@@ -184,23 +187,25 @@ def _report_nested(spark, folder):
 
 def _report_envelope(spark, folder):
     envelope = reports.report_envelope(report(spark, folder), decisions(spark, folder))
-    one = envelope.select(F.col("email").alias("caller"), "access_level", "n", "message",
-                          F.explode("reports").alias("r"))
+    one = envelope.selectExpr("email AS caller", "access_level", "n", "message",
+                              "explode(reports) AS r")
     return _flat(one.select("caller", "access_level", "n", "message", "r.*"),
                  "caller", "access_level", "n", "message")
 
 
 def _report_json(spark, folder):
     documents = reports.report_json(report(spark, folder))
-    at = lambda path: F.get_json_object("document", f"$.{path}")
-    return documents.select(
-        "customer_id", at("customer.id").cast("long").alias("id"),
-        at("customer.name").alias("name"), at("customer.email").alias("email"),
-        at("customer.registration_date").alias("registration_date"),
-        at("telemetry.total_hours").cast("double").alias("total_hours"),
-        at("financial.value_per_hour").cast("double").alias("value_per_hour"),
-        at("metadata.updated_at").alias("updated_at"),
-        at("metadata.created_at").alias("created_at"))
+    at = "get_json_object(document, '$.{}')".format
+    return documents.selectExpr(
+        "customer_id",
+        f"CAST({at('customer.id')} AS bigint) AS id",
+        f"{at('customer.name')} AS name",
+        f"{at('customer.email')} AS email",
+        f"{at('customer.registration_date')} AS registration_date",
+        f"CAST({at('telemetry.total_hours')} AS double) AS total_hours",
+        f"CAST({at('financial.value_per_hour')} AS double) AS value_per_hour",
+        f"{at('metadata.updated_at')} AS updated_at",
+        f"{at('metadata.created_at')} AS created_at")
 
 
 def _stream(spark, folder):
@@ -269,8 +274,8 @@ QUERIES: dict[str, Query] = {
     "customer_summary": _on_mart(reports.customer_summary, AS_OF),
     "freshness_status": _on_mart(reports.freshness_status, AS_OF),
     "user_segments": _on_mart(reports.user_segments),
-    "user_segment_list": lambda s, d: reports.user_segment_list(mart(s, d)).select(
-        "email", F.concat_ws(",", "segments").alias("segments"), "n"),
+    "user_segment_list": lambda s, d: reports.user_segment_list(mart(s, d)).selectExpr(
+        "email", "concat_ws(',', segments) AS segments", "n"),
     "dq_checks": _on_mart(quality.dq_checks),
     "dq_issues": _dq_issues,
     "dq_duplicate_keys": _duplicate_keys,

@@ -2,55 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
 
-# Six decimals settle the ties of a two-decimal ratio; rounding a double directly would not.
-_EXACT = "decimal(28,6)"
+def half_even(x: str, places: int = 2) -> str:
+    """Round to ``places`` with ties to the even digit, as a decimal.
 
+    Six decimals settle the ties of a two-decimal ratio; rounding a double directly would not.
+    """
+    return f"bround(CAST({x} AS decimal(28,6)), {places})"
 
-def half_even(value: Column, places: int = 2) -> Column:
-    """Round to ``places`` with ties to the even digit, as a decimal."""
-    return F.bround(value.cast(_EXACT), places)
 
-
-def r2(value: Column) -> Column:
+def r2(x: str) -> str:
     """Two decimals, ties to even, as a double."""
-    return half_even(value, 2).cast("double")
+    return f"CAST({half_even(x)} AS double)"
 
 
-def r2_or_zero(value: Column) -> Column:
-    return r2(F.coalesce(value, F.lit(0)))
+def r2_or_zero(x: str) -> str:
+    return r2(f"coalesce({x}, 0)")
 
 
-def exact_avg(value: Column) -> Column:
+def exact_avg(x: str) -> str:
     """Average from the exact decimal sum; NULL for a group without values."""
-    return F.try_divide(F.sum(value).cast("double"), F.count(value))
+    return f"try_divide(CAST(sum({x}) AS double), count({x}))"
 
 
-def conversion_rate(conversions: Column, clicks: Column) -> Column:
+def conversion_rate(conversions: str, clicks: str) -> str:
     """Conversions in percent of clicks. No clicks gives 0 (see ``undefined_rate`` in quality)."""
-    return r2(F.coalesce(F.try_divide(conversions, clicks) * 100, F.lit(0.0)))
+    return r2(f"coalesce(try_divide({conversions}, {clicks}) * 100, 0)")
 
 
-def engagement_score(minutes: Column, views: Column, clicks: Column) -> Column:
-    """Weighted activity: 0.3 per minute, 0.2 per view, 0.5 per click. Not clamped."""
-    weighted = (
-        minutes * F.lit("0.3").cast("decimal(1,1)")
-        + views * F.lit("0.2").cast("decimal(1,1)")
-        + clicks * F.lit("0.5").cast("decimal(1,1)")
-    )
-    return r2(weighted)
+def engagement_score(minutes: str, views: str, clicks: str) -> str:
+    """Weighted activity, exact in decimals. Not clamped."""
+    return r2(f"0.3 * {minutes} + 0.2 * {views} + 0.5 * {clicks}")
 
 
-def hours(minutes: Column) -> Column:
-    return F.coalesce(minutes, F.lit(0)).cast("double") / 60
+def hours(minutes: str) -> str:
+    return f"CAST(coalesce({minutes}, 0) AS double) / 60"
 
 
-def per(value: Column, divisor: Column) -> Column:
+def per(value: str, divisor: str) -> str:
     """``value / divisor`` where the divisor is positive, else 0."""
-    return F.when(divisor > 0, F.try_divide(value.cast("double"), divisor)).otherwise(F.lit(0.0))
+    return f"if({divisor} > 0, try_divide(CAST({value} AS double), {divisor}), 0)"
 
 
-def fixed(value: Column, places: int) -> Column:
+def fixed(x: str, places: int) -> str:
     """Text with exactly ``places`` decimals, ties away from zero, as report pages print it."""
-    return F.round(value.cast("decimal(28,2)"), places).cast(f"decimal(28,{places})").cast("string")
+    return (f"CAST(CAST(round(CAST({x} AS decimal(28,2)), {places}) "
+            f"AS decimal(28,{places})) AS string)")

@@ -8,80 +8,77 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, functions as F
-
 # Freshness buckets and the colour shown for each.
 FRESHNESS_COLORS = {"fresh": "green", "recent": "blue", "daily": "yellow", "stale": "red"}
 UNKNOWN_COLOR = "gray"
 
-_ISO_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
-
 
-def ts_literal(moment: datetime) -> Column:
-    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+def ts_literal(moment: datetime) -> str:
+    return f"TIMESTAMP_NTZ '{moment.isoformat(sep=' ')}'"
 
 
-def date_literal(day: date) -> Column:
-    return F.lit(day.isoformat()).cast("date")
+def date_literal(day: date) -> str:
+    return f"DATE '{day.isoformat()}'"
 
 
-def newer_than(moment: Column, as_of: datetime, interval: str) -> Column:
+def newer_than(moment: str, as_of: datetime, interval: str) -> str:
     """``moment`` lies strictly within the last ``interval`` before ``as_of``."""
-    return moment > ts_literal(as_of) - F.expr(f"INTERVAL {interval}")
+    return f"{moment} > {ts_literal(as_of)} - INTERVAL {interval}"
 
 
-def completed_years(since: Column, day: date) -> Column:
+def completed_years(since: str, day: date) -> str:
     """Whole years between two dates, truncated toward zero.
 
     29 February to 28 February is not a full year, which month arithmetic would say it is.
     """
     on = date_literal(day)
-    low, high = F.least(since, on), F.greatest(since, on)
-    month_day = lambda d: F.month(d) * 100 + F.day(d)
-    years = F.year(high) - F.year(low) - (month_day(high) < month_day(low)).cast("int")
-    return F.when(since.isNotNull(), F.when(since > on, -years).otherwise(years))
+
+    def years(low: str, high: str) -> str:
+        month_day = "(month({0}) * 100 + day({0}))".format
+        return (f"year({high}) - year({low})"
+                f" - if({month_day(high)} < {month_day(low)}, 1, 0)")
+
+    return f"if({since} > {on}, -({years(on, since)}), {years(since, on)})"
 
 
-def report_freshness(updated_at: Column, as_of: datetime) -> Column:
+def report_freshness(updated_at: str, as_of: datetime) -> str:
     """Report page policy: fresh while less than one whole day old."""
-    return F.when(newer_than(updated_at, as_of, "1 DAY"), F.lit("fresh")).otherwise(F.lit("stale"))
+    return f"if({newer_than(updated_at, as_of, '1 DAY')}, 'fresh', 'stale')"
 
 
-def status_freshness(updated_at: Column, as_of: datetime) -> Column:
+def status_freshness(updated_at: str, as_of: datetime) -> str:
     """Status policy: 5 minutes, 1 hour, 24 hours; never updated counts as stale."""
-    return (
-        F.when(newer_than(updated_at, as_of, "5 MINUTES"), F.lit("fresh"))
-        .when(newer_than(updated_at, as_of, "1 HOUR"), F.lit("recent"))
-        .when(newer_than(updated_at, as_of, "24 HOURS"), F.lit("daily"))
-        .otherwise(F.lit("stale"))
-    )
+    return (f"CASE WHEN {newer_than(updated_at, as_of, '5 MINUTES')} THEN 'fresh'"
+            f" WHEN {newer_than(updated_at, as_of, '1 HOUR')} THEN 'recent'"
+            f" WHEN {newer_than(updated_at, as_of, '24 HOURS')} THEN 'daily'"
+            " ELSE 'stale' END")
 
 
-def within_two_days(updated_at: Column, as_of: datetime) -> Column:
+def within_two_days(updated_at: str, as_of: datetime) -> str:
     """Summary policy: at most one whole day old, NULL when never updated."""
     return newer_than(updated_at, as_of, "2 DAYS")
 
 
-def freshness_color(bucket: Column) -> Column:
-    pairs = [F.lit(x) for pair in FRESHNESS_COLORS.items() for x in pair]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), bucket), F.lit(UNKNOWN_COLOR))
+def freshness_color(bucket: str) -> str:
+    pairs = ", ".join(f"'{name}', '{color}'" for name, color in FRESHNESS_COLORS.items())
+    return f"coalesce(try_element_at(map({pairs}), {bucket}), '{UNKNOWN_COLOR}')"
 
 
-def parse_date(text: Column) -> Column:
+def parse_date(text: str) -> str:
     """ISO date; junk becomes NULL and is counted by the quality report."""
-    return F.try_to_date(text, "yyyy-MM-dd")
+    return f"try_to_date({text}, 'yyyy-MM-dd')"
 
 
-def parse_timestamp(text: Column) -> Column:
+def parse_timestamp(text: str) -> str:
     """ISO timestamp whose fraction is absent when it is zero."""
-    return F.to_timestamp_ntz(text, F.lit(_ISO_TIMESTAMP))
+    return f"to_timestamp_ntz({text}, \"yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]\")"
 
 
-def iso_date(day: Column) -> Column:
-    return day.cast("string")
+def iso_date(day: str) -> str:
+    return f"CAST({day} AS string)"
 
 
-def iso_timestamp(moment: Column) -> Column:
+def iso_timestamp(moment: str) -> str:
     """ISO text with a six-digit fraction, which is left out when it is zero."""
-    text = F.replace(moment.cast("string"), F.lit(" "), F.lit("T"))
-    return F.when(F.length(text) > 19, F.rpad(text, 26, "0")).otherwise(text)
+    text = f"replace(CAST({moment} AS string), ' ', 'T')"
+    return f"if(length({text}) > 19, rpad({text}, 26, '0'), {text})"

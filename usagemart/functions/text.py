@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
 
-
-def full_name(first: Column, last: Column) -> Column:
+def full_name(first: str, last: str) -> str:
     """First and last name with one space; a missing part is empty and the space stays."""
-    return F.concat(F.coalesce(first, F.lit("")), F.lit(" "), F.coalesce(last, F.lit("")))
+    return f"concat(coalesce({first}, ''), ' ', coalesce({last}, ''))"
+
+
+def first_given(*texts: str) -> str:
+    """The first text that is neither NULL nor empty."""
+    return f"coalesce({', '.join(f'''nullif({t}, '')''' for t in texts)})"
 
 
-def blank_to_null(text: Column) -> Column:
-    return F.nullif(text, F.lit(""))
+def aliased(expressions: dict[str, str]) -> list[str]:
+    """``{name: expression}`` as select items."""
+    return [f"{expression} AS {name}" for name, expression in expressions.items()]

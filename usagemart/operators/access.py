@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from usagemart.functions.text import blank_to_null
+from usagemart.functions.text import first_given
 
 ALLOWED, DENIED_OTHER, NO_PROFILE, INVALID = "allowed", "denied_other", "no_profile", "invalid"
 
@@ -14,37 +14,34 @@ def access_decisions(claims: DataFrame, mart: DataFrame) -> DataFrame:
 
     The caller is named by email, else by username. The mart's email is unique (the load refuses
     to publish duplicates), so this is a plain join, and AQE can split a caller with very many
-    requests. Requests without any name are all NULL keys; they never need the join.
+    requests. Requests without any name would all be one NULL key, so they bypass the join.
     """
-    caller = F.coalesce(blank_to_null(F.col("email")), blank_to_null(F.col("preferred_username")))
-    requests = claims.select(
-        caller.alias("email"),
+    requests = claims.selectExpr(
+        f"{first_given('email', 'preferred_username')} AS email",
         "requested_customer_id",
-        F.col("email").isNotNull().alias("has_email"),
-        F.col("preferred_username").isNotNull().alias("has_username"),
+        "email IS NOT NULL AS has_email",
+        "preferred_username IS NOT NULL AS has_username",
     )
-    profiles = mart.where(F.col("email").isNotNull()).select("email", "customer_id")
-    known = requests.where(F.col("email").isNotNull()).join(profiles, "email", "left")
-    nameless = requests.where(F.col("email").isNull()).withColumn(
-        "customer_id", F.lit(None).cast("long"))
-    decision = (
-        F.when(F.col("email").isNull(), INVALID)
-        .when(F.col("customer_id").isNull(), NO_PROFILE)
-        .when(F.col("requested_customer_id") != F.col("customer_id"), DENIED_OTHER)
-        .otherwise(ALLOWED)
-    )
-    return known.unionByName(nameless).select(
-        "email", "requested_customer_id", "customer_id", decision.alias("decision"),
+    profiles = mart.where("email IS NOT NULL").select("email", "customer_id")
+    known = requests.where("email IS NOT NULL").join(profiles, "email", "left").selectExpr(
+        "email", "requested_customer_id", "customer_id",
+        f"""CASE WHEN customer_id IS NULL THEN '{NO_PROFILE}'
+                 WHEN requested_customer_id <> customer_id THEN '{DENIED_OTHER}'
+                 ELSE '{ALLOWED}' END AS decision""",
+        "has_email", "has_username")
+    nameless = requests.where("email IS NULL").selectExpr(
+        "email", "requested_customer_id", "CAST(NULL AS bigint)", f"'{INVALID}'",
         "has_email", "has_username")
+    return known.unionAll(nameless)
 
 
 def allowed_customers(decisions: DataFrame) -> DataFrame:
     """Each admitted caller with their customer, once however often they asked."""
-    return (decisions.where(F.col("decision") == ALLOWED)
+    return (decisions.where(f"decision = '{ALLOWED}'")
             .select("email", "customer_id").distinct())
 
 
 def restrict(mart: DataFrame, decisions: DataFrame) -> DataFrame:
     """Only the rows that some request may see."""
-    ids = allowed_customers(decisions).select("customer_id").distinct()
+    ids = decisions.where(f"decision = '{ALLOWED}'").select("customer_id").distinct()
     return mart.join(ids, "customer_id", "left_semi")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
 from usagemart.functions.temporal import parse_date, parse_timestamp
+from usagemart.functions.text import aliased
 from usagemart.operators.telemetry import telemetry_agg
-from usagemart.schemas import MART_SCHEMA, METRIC_TYPES, STAGED_SCHEMA
+from usagemart.schemas import CUSTOMER_SCHEMA, MART_SCHEMA, METRIC_TYPES
 
 
 def extract_metrics(customers: DataFrame, tel: DataFrame, as_of: datetime) -> DataFrame:
@@ -17,58 +18,41 @@ def extract_metrics(customers: DataFrame, tel: DataFrame, as_of: datetime) -> Da
     Counted by an aggregate over no columns rather than an observation on the way: accumulators
     of a shuffled stage count twice when a lost executor's tasks run again.
     """
-    tagged = customers.select(F.lit(1).alias("c"), F.lit(0).alias("t")).unionAll(
-        tel.select(F.lit(0), F.lit(1)))
-    counts = tagged.agg(F.count_if(F.col("c") == 1).alias("customers"),
-                        F.count_if(F.col("t") == 1).alias("telemetry"))
-    return counts.select(
-        "customers", "telemetry",
-        (F.col("customers") + F.col("telemetry")).alias("records_count"),
-        F.lit(as_of.isoformat()).alias("extracted_at"),
-    )
-
-
-def join_metrics(customers: DataFrame, metrics: DataFrame, execution_date: date,
-                 as_of: datetime) -> DataFrame:
-    """Every customer with their metrics, zeros where there are none."""
-    numeric = ["lifetime_value", *METRIC_TYPES]
-    return (
-        customers.join(metrics, "customer_id", "left")
-        .fillna(0, subset=numeric)
-        .withColumns({"load_date": F.lit(execution_date.isoformat()),
-                      "created_at": F.lit(as_of.isoformat())})
-        .select(*STAGED_SCHEMA.fieldNames())
-    )
+    tagged = customers.selectExpr("1 AS c", "0 AS t").unionAll(tel.selectExpr("0", "1"))
+    return tagged.selectExpr(
+        "count_if(c = 1) AS customers", "count_if(t = 1) AS telemetry",
+        "count(1) AS records_count", f"'{as_of.isoformat()}' AS extracted_at")
 
 
 def customer_mart(customers: DataFrame, tel: DataFrame, execution_date: date, as_of: datetime,
                   window_days: int | None = None) -> DataFrame:
-    """Staged mart rows: telemetry is aggregated first, so the join meets one row per customer
-    and reuses the shuffle of the aggregate."""
-    metrics = telemetry_agg(tel, execution_date, window_days)
-    return join_metrics(customers, metrics, execution_date, as_of)
+    """Staged mart rows: every customer with their metrics, zeros where there are none.
 
-
-def _typed(field: T.StructField) -> Column:
-    value = F.col(field.name)
-    if isinstance(field.dataType, T.DateType):
-        value = parse_date(value)
-    elif isinstance(field.dataType, T.TimestampNTZType):
-        value = parse_timestamp(value)
-    elif not isinstance(field.dataType, T.StringType):
-        value = value.cast(field.dataType)
-    return value.alias(field.name, metadata=field.metadata)
+    Telemetry is aggregated first, so the join meets one row per customer and reuses the shuffle
+    of the aggregate.
+    """
+    metrics = telemetry_agg(tel, execution_date, window_days)
+    numbers = ["lifetime_value", *METRIC_TYPES]
+    master = [name for name in CUSTOMER_SCHEMA.fieldNames() if name not in numbers]
+    return customers.join(metrics, "customer_id", "left").selectExpr(
+        *master,
+        *aliased({name: f"coalesce({name}, 0)" for name in numbers}),
+        f"'{execution_date.isoformat()}' AS load_date",
+        f"'{as_of.isoformat()}' AS created_at",
+    )
 
 
 def to_mart_types(staged: DataFrame, schema: T.StructType = MART_SCHEMA,
-                  updated_at: Column | None = None) -> DataFrame:
+                  updated_at: str = "NULL") -> DataFrame:
     """Cast staged rows to the mart's types. A number that does not fit raises."""
-    if updated_at is None:
-        updated_at = F.lit(None)
-    return staged.select(
-        *(_typed(f) for f in schema if f.name != "updated_at"),
-        updated_at.cast("timestamp_ntz").alias("updated_at"),
-    )
+    parsed = {
+        "registration_date": parse_date("registration_date"),
+        "load_date": parse_date("load_date"),
+        "created_at": parse_timestamp("created_at"),
+        "updated_at": f"CAST({updated_at} AS timestamp_ntz)",
+    }
+    plain = [name for name in schema.fieldNames() if name not in parsed]
+    return staged.selectExpr(*plain, *aliased(parsed)).to(schema)
 
 
 def sample_rows(df: DataFrame, n: int = 3) -> DataFrame:

@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from usagemart.functions.numeric import half_even
 from usagemart.functions.temporal import parse_date
+from usagemart.functions.text import aliased
 from usagemart.operators.segments import segment_load_stats
 from usagemart.schemas import DECLARED_MART_SCHEMA
 
+# The text of each issue, by the check that finds it.
+ISSUE_TEXTS = {
+    "null_emails": "Found %d records with null emails",
+    "negative_values": "Found %d records with negative values",
+}
 PASS, WARNINGS, SUCCESS = "PASS", "WARNINGS", "SUCCESS"
 
 
@@ -20,57 +26,46 @@ def dq_checks(mart: DataFrame) -> DataFrame:
     ``undefined_rate`` counts customers who converted without a click: their rate has no value
     and is stored as 0.
     """
-    negative = (F.col("total_session_minutes") < 0) | (F.col("engagement_score") < 0)
-    undefined = (F.col("total_conversions") > 0) & (F.col("total_clicks") == 0)
-    return mart.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.count_if(F.col("email").isNull()).alias("null_emails"),
-        F.count_if(negative).alias("negative_values"),
-        F.max("load_date").alias("max_load_date"),
-        F.min("load_date").alias("min_load_date"),
-        F.count_if(undefined).alias("undefined_rate"),
+    return mart.selectExpr(
+        "count(1) AS total_records",
+        "count_if(email IS NULL) AS null_emails",
+        "count_if(total_session_minutes < 0 OR engagement_score < 0) AS negative_values",
+        "max(load_date) AS max_load_date",
+        "min(load_date) AS min_load_date",
+        "count_if(total_conversions > 0 AND total_clicks = 0) AS undefined_rate",
     )
 
 
-def _issues() -> Column:
-    found = [("null_emails", "Found %d records with null emails"),
-             ("negative_values", "Found %d records with negative values")]
-    texts = [F.when(F.col(name) > 0, F.format_string(text, name)) for name, text in found]
-    return F.array_compact(F.array(*texts))
-
-
 def dq_issues(checks: DataFrame, strict: bool = False) -> DataFrame:
     """A text per failed check. Issues only warn, unless ``strict`` makes the query fail."""
-    judged = checks.select(_issues().alias("issues"), "total_records").select(
-        "issues", (F.size("issues") == 0).alias("is_valid"), "total_records")
-    if strict:
-        failure = F.raise_error(F.concat_ws("; ", "issues")).cast("boolean")
-        judged = judged.withColumn(
-            "is_valid", F.when(F.col("is_valid"), F.lit(True)).otherwise(failure))
-    return judged
+    texts = ", ".join(f"if({check} > 0, format_string('{text}', {check}), NULL)"
+                      for check, text in ISSUE_TEXTS.items())
+    failure = "CAST(raise_error(concat_ws('; ', issues)) AS boolean)" if strict else "false"
+    return checks.selectExpr(f"array_compact(array({texts})) AS issues", "total_records").selectExpr(
+        "issues", f"if(size(issues) = 0, true, {failure}) AS is_valid", "total_records")
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """Values of ``key`` that occur more than once. NULLs do not collide."""
-    return (df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-            .where(F.col("n") > 1))
+    return (df.where(f"{key} IS NOT NULL").groupBy(key).agg(F.expr("count(1) AS n"))
+            .where("n > 1"))
 
 
-def _violates(field: T.StructField) -> Column:
-    value = F.col(field.name)
+def _violates(field: T.StructField) -> str:
+    name = field.name
     if isinstance(field.dataType, T.StringType):
         limit = field.metadata.get("max_length")
-        return F.length(value) > limit if limit else F.lit(False)
+        return f"length({name}) > {limit}" if limit else "false"
     is_date = isinstance(field.dataType, T.DateType)
-    fits = parse_date(value) if is_date else value.try_cast(field.dataType)
-    return value.isNotNull() & fits.isNull()
+    fits = parse_date(name) if is_date else f"try_cast({name} AS {field.dataType.simpleString()})"
+    return f"{name} IS NOT NULL AND {fits} IS NULL"
 
 
 def type_violations(staged: DataFrame,
                     schema: T.StructType = DECLARED_MART_SCHEMA) -> DataFrame:
     """Per declared column, how many staged values do not fit its type or length."""
     fields = [f for f in schema if f.name in staged.columns]
-    counts = staged.agg(*(F.count_if(_violates(f)).alias(f.name) for f in fields))
+    counts = staged.selectExpr(*aliased({f.name: f"count_if({_violates(f)})" for f in fields}))
     return counts.unpivot([], [f.name for f in fields], "column", "violations")
 
 
@@ -79,19 +74,16 @@ def run_report(mart: DataFrame, execution_date: date) -> DataFrame:
 
     The verdict is one row and joins as a scalar subquery; both passes read a few columns.
     """
-    issues = dq_issues(dq_checks(mart))
-    verdict = issues.select(F.struct(
-        "total_records", F.size("issues").cast("long").alias("issues_found"), "is_valid"))
-    label = F.coalesce("segment", F.lit("None"))
-    average = half_even(F.coalesce("avg_engagement", F.lit(0)), 2).cast("decimal(28,2)")
-    return segment_load_stats(mart).withColumn("_run", verdict.scalar()).select(
-        F.lit(execution_date.isoformat()).alias("execution_date"),
-        F.lit(SUCCESS).alias("status"),
+    verdict = dq_issues(dq_checks(mart)).selectExpr(
+        "struct(total_records, CAST(size(issues) AS bigint) AS issues_found, is_valid) AS v")
+    label = "coalesce(segment, 'None')"
+    average = f"CAST({half_even('coalesce(avg_engagement, 0)')} AS decimal(28,2))"
+    return segment_load_stats(mart).withColumn("_run", verdict.scalar()).selectExpr(
+        f"'{execution_date.isoformat()}' AS execution_date",
+        f"'{SUCCESS}' AS status",
         "_run.total_records",
-        label.alias("segment"),
-        F.concat(label, F.lit(": "), F.col("n").cast("string"),
-                 F.lit(" records (avg engagement: "), average.cast("string"), F.lit(")"))
-        .alias("line"),
+        f"{label} AS segment",
+        f"concat({label}, ': ', n, ' records (avg engagement: ', {average}, ')') AS line",
         "_run.issues_found",
-        F.when(F.col("_run.is_valid"), PASS).otherwise(WARNINGS).alias("quality"),
+        f"if(_run.is_valid, '{PASS}', '{WARNINGS}') AS quality",
     )

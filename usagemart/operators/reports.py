@@ -10,7 +10,7 @@ from usagemart.functions.numeric import exact_avg, fixed, half_even, hours, per,
 from usagemart.functions.temporal import (
     date_literal, freshness_color, iso_date, iso_timestamp, newer_than, report_freshness,
     status_freshness, within_two_days)
-from usagemart.functions.text import full_name
+from usagemart.functions.text import aliased, first_given, full_name
 from usagemart.operators.access import allowed_customers
 
 _CUSTOMER = ["name", "email", "segment", "registration_date", "status"]
@@ -22,31 +22,30 @@ _METADATA = ["load_date", "updated_at", "created_at", "data_freshness"]
 
 REPORT_COLUMNS = ["customer_id", *_CUSTOMER, *_TELEMETRY, *_FINANCIAL, *_METADATA]
 
-# Texts of the report envelope and of the summary.
+# Texts of the report envelope, the status and the summary.
 SELF_ONLY = "self_only"
 ACCESS_MESSAGE = "Access restricted to your own data only"
+WARNING_FORMAT = "Data is %s. Consider generating a new report."
 UP_TO_DATE_MESSAGE = "Data is up to date"
 OUTDATED_MESSAGE = "Consider generating new report"
 
 
 def customer_report(mart: DataFrame, as_of: datetime) -> DataFrame:
     """The flat report: mart values plus hours, rates per hour and freshness."""
-    used = F.col("_hours")
-    value = F.coalesce("lifetime_value", F.lit(0)).cast("double")
+    value = "coalesce(lifetime_value, 0)"
     derived = {
-        "name": full_name(F.col("first_name"), F.col("last_name")),
-        "total_hours": r2(used),
-        "avg_daily_hours": r2(per(used, F.col("active_days"))),
-        "actions_per_hour": r2(per(F.col("total_clicks"), used)),
-        "value_per_hour": r2(per(value, used)),
-        "conversion_rate": r2_or_zero(F.col("conversion_rate")),
-        "engagement_score": r2_or_zero(F.col("engagement_score")),
+        "name": full_name("first_name", "last_name"),
+        "total_hours": r2("_hours"),
+        "avg_daily_hours": r2(per("_hours", "active_days")),
+        "actions_per_hour": r2(per("total_clicks", "_hours")),
+        "value_per_hour": r2(per(value, "_hours")),
+        "conversion_rate": r2_or_zero("conversion_rate"),
+        "engagement_score": r2_or_zero("engagement_score"),
         "lifetime_value": r2(value),
-        "data_freshness": report_freshness(F.col("updated_at"), as_of),
+        "data_freshness": report_freshness("updated_at", as_of),
     }
-    with_hours = mart.withColumn("_hours", hours(F.col("total_session_minutes")))
-    return with_hours.select(*(
-        derived[c].alias(c) if c in derived else F.col(c) for c in REPORT_COLUMNS))
+    return mart.selectExpr("*", f"{hours('total_session_minutes')} AS _hours").selectExpr(
+        *aliased({name: derived.get(name, name) for name in REPORT_COLUMNS}))
 
 
 def order_reports(report: DataFrame) -> DataFrame:
@@ -58,13 +57,17 @@ def order_reports(report: DataFrame) -> DataFrame:
     return report.orderBy(F.desc_nulls_first("updated_at"), "customer_id")
 
 
+def _struct(fields: list[str], name: str) -> str:
+    return f"struct({', '.join(fields)}) AS {name}"
+
+
 def nest_report(report: DataFrame) -> DataFrame:
     """The report as four sub-documents."""
-    return report.select(
-        F.struct(F.col("customer_id").alias("id"), *_CUSTOMER).alias("customer"),
-        F.struct(*_TELEMETRY).alias("telemetry"),
-        F.struct(*_FINANCIAL).alias("financial"),
-        F.struct(*_METADATA).alias("metadata"),
+    return report.selectExpr(
+        _struct(["customer_id AS id", *_CUSTOMER], "customer"),
+        _struct(_TELEMETRY, "telemetry"),
+        _struct(_FINANCIAL, "financial"),
+        _struct(_METADATA, "metadata"),
     )
 
 
@@ -73,109 +76,102 @@ def report_envelope(report: DataFrame, decisions: DataFrame) -> DataFrame:
 
     A caller has one customer and a customer one report, so the list needs no grouping.
     """
-    documents = nest_report(report).select(
-        F.col("customer.id").alias("customer_id"),
-        F.array(F.struct("customer", "telemetry", "financial", "metadata")).alias("reports"))
-    return allowed_customers(decisions).join(documents, "customer_id").select(
-        "email", "customer_id", F.lit(SELF_ONLY).alias("access_level"), "reports",
-        F.size("reports").cast("long").alias("n"), F.lit(ACCESS_MESSAGE).alias("message"))
+    documents = nest_report(report).selectExpr(
+        "customer.id AS customer_id",
+        "array(struct(customer, telemetry, financial, metadata)) AS reports")
+    return allowed_customers(decisions).join(documents, "customer_id").selectExpr(
+        "email", "customer_id", f"'{SELF_ONLY}' AS access_level", "reports",
+        "CAST(size(reports) AS bigint) AS n", f"'{ACCESS_MESSAGE}' AS message")
+
+
+def _iso_columns() -> dict[str, str]:
+    return {"registration_date": iso_date("registration_date"),
+            "load_date": iso_date("load_date"),
+            "updated_at": iso_timestamp("updated_at"),
+            "created_at": iso_timestamp("created_at")}
 
 
 def report_json(report: DataFrame) -> DataFrame:
     """Each report as JSON text with ISO dates, one document per row."""
-    dated = report.withColumns({
-        "registration_date": iso_date(F.col("registration_date")),
-        "load_date": iso_date(F.col("load_date")),
-        "updated_at": iso_timestamp(F.col("updated_at")),
-        "created_at": iso_timestamp(F.col("created_at")),
-    })
-    document = F.to_json(F.struct("customer", "telemetry", "financial", "metadata"),
-                         {"ignoreNullFields": "false"})
-    return nest_report(dated).select(F.col("customer.id").alias("customer_id"),
-                                     document.alias("document"))
+    iso = _iso_columns()
+    dated = report.selectExpr(*aliased({c: iso.get(c, c) for c in REPORT_COLUMNS}))
+    return nest_report(dated).selectExpr(
+        "customer.id AS customer_id",
+        """to_json(struct(customer, telemetry, financial, metadata),
+                   map('ignoreNullFields', 'false')) AS document""")
+
+
+def format_dates(report: DataFrame) -> DataFrame:
+    return report.selectExpr("customer_id", *aliased(_iso_columns()))
 
 
 def report_display(report: DataFrame) -> DataFrame:
     """The columns of the report page, as text."""
-    return report.select(
-        F.coalesce(F.nullif("name", F.lit("")), F.lit("Unknown User")).alias("name"),
+    return report.selectExpr(
+        f"coalesce({first_given('name')}, 'Unknown User') AS name",
         "email",
         "segment",
-        fixed(F.col("total_hours"), 1).alias("hours_used"),
-        fixed(F.col("engagement_score"), 1).alias("engagement"),
-        F.concat(F.lit("$"), fixed(F.col("lifetime_value"), 2)).alias("lifetime_value"),
-        F.coalesce(F.date_format("updated_at", "M/d/yyyy, h:mm:ss a"), F.lit("Never"))
-        .alias("last_updated"),
-        F.coalesce("data_freshness", F.lit("unknown")).alias("freshness"),
-    )
-
-
-def format_dates(report: DataFrame) -> DataFrame:
-    return report.select(
-        "customer_id",
-        iso_date(F.col("registration_date")).alias("registration_date"),
-        iso_date(F.col("load_date")).alias("load_date"),
-        iso_timestamp(F.col("updated_at")).alias("updated_at"),
-        iso_timestamp(F.col("created_at")).alias("created_at"),
+        f"{fixed('total_hours', 1)} AS hours_used",
+        f"{fixed('engagement_score', 1)} AS engagement",
+        f"concat('$', {fixed('lifetime_value', 2)}) AS lifetime_value",
+        "coalesce(date_format(updated_at, 'M/d/yyyy, h:mm:ss a'), 'Never') AS last_updated",
+        "coalesce(data_freshness, 'unknown') AS freshness",
     )
 
 
 def customer_summary(mart: DataFrame, as_of: datetime) -> DataFrame:
     """Totals per customer and whether a new report is due."""
-    totals = mart.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("total_records"),
-        exact_avg(F.col("engagement_score")).alias("_engagement"),
-        F.sum("total_conversions").alias("_conversions"),
-        exact_avg(F.col("lifetime_value")).alias("_value"),
-        F.sum("total_session_minutes").alias("_minutes"),
-        F.max("updated_at").alias("last_update"),
-        F.min("load_date").alias("first_load"),
-    )
-    current = within_two_days(F.col("last_update"), as_of)
-    return totals.select(
+    totals = mart.groupBy("customer_id").agg(*map(F.expr, [
+        "count(1) AS total_records",
+        f"{exact_avg('engagement_score')} AS engagement",
+        "sum(total_conversions) AS conversions",
+        f"{exact_avg('lifetime_value')} AS value",
+        "sum(total_session_minutes) AS minutes",
+        "max(updated_at) AS last_update",
+        "min(load_date) AS first_load",
+    ]))
+    current = within_two_days("last_update", as_of)
+    days = f"date_diff({date_literal(as_of.date())}, first_load)"
+    return totals.selectExpr(
         "customer_id",
         "total_records",
-        r2_or_zero(F.col("_engagement")).alias("avg_engagement"),
-        F.coalesce("_conversions", F.lit(0)).alias("total_conversions"),
-        r2_or_zero(F.col("_value")).alias("avg_lifetime_value"),
-        half_even(hours(F.col("_minutes")), 1).cast("double").alias("total_usage_hours"),
+        f"{r2_or_zero('engagement')} AS avg_engagement",
+        "coalesce(conversions, 0) AS total_conversions",
+        f"{r2_or_zero('value')} AS avg_lifetime_value",
+        f"CAST({half_even(hours('minutes'), 1)} AS double) AS total_usage_hours",
         "last_update",
         "first_load",
-        F.coalesce(F.date_diff(date_literal(as_of.date()), "first_load"), F.lit(0))
-        .alias("reporting_period_days"),
-        F.coalesce(~current, F.lit(False)).alias("generate_new"),
-        F.when(current, UP_TO_DATE_MESSAGE).otherwise(OUTDATED_MESSAGE).alias("message"),
+        f"coalesce({days}, 0) AS reporting_period_days",
+        f"coalesce(NOT {current}, false) AS generate_new",
+        f"if({current}, '{UP_TO_DATE_MESSAGE}', '{OUTDATED_MESSAGE}') AS message",
     )
 
 
 def freshness_status(mart: DataFrame, as_of: datetime) -> DataFrame:
     """How fresh each customer's data is, with the hints the page shows."""
     groups = mart.groupBy("customer_id", "updated_at", "load_date").agg(
-        F.count(F.lit(1)).alias("record_count"))
-    due = F.col("recommendation") == "needs_update"
-    return groups.withColumns({
-        "freshness": status_freshness(F.col("updated_at"), as_of),
-        "recommendation": F.when(newer_than(F.col("updated_at"), as_of, "1 HOUR"), "up_to_date")
-        .otherwise("needs_update"),
-    }).select(
-        "customer_id", "updated_at", "load_date", "record_count", "freshness",
-        freshness_color(F.col("freshness")).alias("freshness_color"),
-        "recommendation",
-        due.alias("is_action_required"),
-        due.alias("show_warning"),
-        F.format_string("Data is %s. Consider generating a new report.", "freshness")
-        .alias("warning_message"),
+        F.expr("count(1) AS record_count"))
+    recent = newer_than("updated_at", as_of, "1 HOUR")
+    return groups.selectExpr(
+        "*",
+        f"{status_freshness('updated_at', as_of)} AS freshness",
+        f"if({recent}, 'up_to_date', 'needs_update') AS recommendation",
+    ).selectExpr(
+        "*",
+        f"{freshness_color('freshness')} AS freshness_color",
+        "recommendation = 'needs_update' AS is_action_required",
+        "recommendation = 'needs_update' AS show_warning",
+        f"format_string('{WARNING_FORMAT}', freshness) AS warning_message",
     )
 
 
 def user_segments(mart: DataFrame) -> DataFrame:
     """The distinct segments of each caller."""
-    return (mart.where(F.col("email").isNotNull() & F.col("segment").isNotNull())
+    return (mart.where("email IS NOT NULL AND segment IS NOT NULL")
             .select("email", "segment").distinct())
 
 
 def user_segment_list(mart: DataFrame) -> DataFrame:
     """The same as one sorted list per caller, at most one entry per segment that exists."""
     return user_segments(mart).groupBy("email").agg(
-        F.sort_array(F.collect_list("segment")).alias("segments"),
-        F.count(F.lit(1)).alias("n"))
+        F.expr("sort_array(collect_list(segment)) AS segments"), F.expr("count(1) AS n"))

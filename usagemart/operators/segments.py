@@ -14,6 +14,8 @@ from usagemart.functions.text import full_name
 IN_BAND = "В рамках сегмента"
 OUT_OF_BAND = "Требует пересмотра сегмента"
 
+_BAND_TEST = "engagement_score BETWEEN min_engagement_score AND max_engagement_score"
+
 
 def _with_band(mart: DataFrame, dim: DataFrame) -> DataFrame:
     """Left join to the dimension by code. The bands overlap, so a range join would be wrong.
@@ -21,59 +23,57 @@ def _with_band(mart: DataFrame, dim: DataFrame) -> DataFrame:
     There is no broadcast hint: Spark knows the dimension's size and broadcasts it while it is
     small; a large one is joined by sort-merge, where AQE splits a segment that is too big.
     """
-    bands = dim.select(
-        F.col("segment_code").alias("_code"), "segment_name", "min_engagement_score",
-        "max_engagement_score")
-    in_band = F.col("engagement_score").between(
-        F.col("min_engagement_score"), F.col("max_engagement_score"))
-    return mart.join(bands, F.col("segment") == F.col("_code"), "left").withColumn(
-        "segment_validation", F.when(in_band, F.lit(IN_BAND)).otherwise(F.lit(OUT_OF_BAND)))
+    bands = dim.selectExpr("segment_code AS _code", "segment_name", "min_engagement_score",
+                           "max_engagement_score")
+    return mart.join(bands, F.expr("segment = _code"), "left")
 
 
 def customer_analytics(mart: DataFrame, dim: DataFrame, as_of: datetime) -> DataFrame:
     """The mart with full name, segment name, years as a customer and the band verdict."""
-    return _with_band(mart, dim).select(
+    return _with_band(mart, dim).selectExpr(
         "customer_id",
-        full_name(F.col("first_name"), F.col("last_name")).alias("full_name"),
+        f"{full_name('first_name', 'last_name')} AS full_name",
         "email", "company", "segment", "segment_name", "registration_date",
-        completed_years(F.col("registration_date"), as_of.date()).alias("years_as_customer"),
+        f"{completed_years('registration_date', as_of.date())} AS years_as_customer",
         "status", "lifetime_value", "total_session_minutes", "avg_session_minutes",
         "active_days", "total_page_views", "total_clicks", "total_conversions",
-        "conversion_rate", "engagement_score", "segment_validation", "load_date", "updated_at",
+        "conversion_rate", "engagement_score",
+        f"if({_BAND_TEST}, '{IN_BAND}', '{OUT_OF_BAND}') AS segment_validation",
+        "load_date", "updated_at",
     )
 
 
 def segment_review(mart: DataFrame, dim: DataFrame) -> DataFrame:
     """Customers whose score lies outside their segment's band, or whose segment has none."""
-    return _with_band(mart, dim).where(F.col("segment_validation") == OUT_OF_BAND).select(
+    return _with_band(mart, dim).where(f"NOT coalesce({_BAND_TEST}, false)").select(
         "customer_id", "segment", "engagement_score", "min_engagement_score",
         "max_engagement_score")
 
 
 def segment_performance(mart: DataFrame) -> DataFrame:
-    return mart.groupBy("segment").agg(
-        F.count(F.lit(1)).alias("customer_count"),
-        exact_avg(F.col("lifetime_value")).alias("avg_lifetime_value"),
-        exact_avg(F.col("engagement_score")).alias("avg_engagement"),
-        F.sum("total_conversions").alias("total_conversions"),
-        exact_avg(F.col("conversion_rate")).alias("avg_conversion_rate"),
-        F.max("load_date").alias("last_update_date"),
-    )
+    return mart.groupBy("segment").agg(*map(F.expr, [
+        "count(1) AS customer_count",
+        f"{exact_avg('lifetime_value')} AS avg_lifetime_value",
+        f"{exact_avg('engagement_score')} AS avg_engagement",
+        "sum(total_conversions) AS total_conversions",
+        f"{exact_avg('conversion_rate')} AS avg_conversion_rate",
+        "max(load_date) AS last_update_date",
+    ]))
 
 
 def segment_load_stats(mart: DataFrame) -> DataFrame:
     """Count and mean engagement per segment; customers without a segment form a group."""
     return mart.groupBy("segment").agg(
-        F.count(F.lit(1)).alias("n"), exact_avg(F.col("engagement_score")).alias("avg_engagement"))
+        F.expr("count(1) AS n"), F.expr(f"{exact_avg('engagement_score')} AS avg_engagement"))
 
 
 def segment_value_counts(mart: DataFrame) -> DataFrame:
     """How often each segment occurs, most frequent first; a missing segment is not counted."""
-    return segment_counts(mart.where(F.col("segment").isNotNull()))
+    return segment_counts(mart.where("segment IS NOT NULL"))
 
 
 def segment_counts(mart: DataFrame) -> DataFrame:
-    return (mart.groupBy("segment").agg(F.count(F.lit(1)).alias("n"))
+    return (mart.groupBy("segment").agg(F.expr("count(1) AS n"))
             .orderBy(F.desc("n"), F.asc_nulls_last("segment")))
 
 
@@ -87,12 +87,11 @@ def segment_map(mart: DataFrame) -> DataFrame:
 
     The map is built from the per-segment result, so it has one entry per distinct segment.
     """
-    entry = F.struct(
-        F.coalesce("segment", F.lit("null")).alias("key"),
-        F.struct(F.col("n").alias("count"), F.col("avg_engagement")).alias("value"))
-    return segment_load_stats(mart).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_records"),
-        F.map_from_entries(F.collect_list(entry)).alias("segment_distribution"))
+    return segment_load_stats(mart).selectExpr(
+        "coalesce(sum(n), 0) AS total_records",
+        """map_from_entries(collect_list(struct(
+             coalesce(segment, 'null'), struct(n AS count, avg_engagement))))
+           AS segment_distribution""")
 
 
 def top_engaged(mart: DataFrame, k: int = 10) -> DataFrame:

@@ -9,27 +9,25 @@ from pyspark.sql import DataFrame, functions as F
 from usagemart.functions.numeric import conversion_rate, engagement_score, r2
 from usagemart.functions.temporal import date_literal
 
+_MEASURES = ["session_duration_minutes", "page_views", "clicks", "conversions"]
+
 
 def telemetry_partials(rows: DataFrame) -> DataFrame:
     """Additive sums per customer and day; a busy customer shrinks before the shuffle."""
     return rows.groupBy("customer_id", "date").agg(
-        F.sum("session_duration_minutes").alias("session_duration_minutes"),
-        F.sum("page_views").alias("page_views"),
-        F.sum("clicks").alias("clicks"),
-        F.sum("conversions").alias("conversions"),
-    )
+        *(F.expr(f"sum({m}) AS {m}") for m in _MEASURES))
 
 
 def daily_rollup(rows: DataFrame) -> DataFrame:
     """One row per customer and day, in started minutes."""
     return telemetry_partials(rows).withColumn(
-        "session_duration_minutes", F.ceil("session_duration_minutes").cast("long"))
+        "session_duration_minutes", F.expr("CAST(ceil(session_duration_minutes) AS bigint)"))
 
 
 def last_days(tel: DataFrame, as_of_date: date, days: int) -> DataFrame:
     """The ``days`` days that end with ``as_of_date``."""
     first = as_of_date - timedelta(days=days - 1)
-    return tel.where(F.col("date").between(date_literal(first), date_literal(as_of_date)))
+    return tel.where(f"date BETWEEN {date_literal(first)} AND {date_literal(as_of_date)}")
 
 
 def telemetry_agg(tel: DataFrame, as_of_date: date | None = None,
@@ -41,20 +39,17 @@ def telemetry_agg(tel: DataFrame, as_of_date: date | None = None,
     """
     if window_days is not None:
         tel = last_days(tel, as_of_date, window_days)
-    minutes = F.col("session_duration_minutes")
-    total = lambda name: F.coalesce(F.sum(name), F.lit(0).cast("long"))
-    sums = tel.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
-        total("session_duration_minutes").alias("total_session_minutes"),
-        r2(F.avg(minutes)).alias("avg_session_minutes"),
-        F.count(minutes).alias("active_days"),
-        total("page_views").alias("total_page_views"),
-        total("clicks").alias("total_clicks"),
-        total("conversions").alias("total_conversions"),
-    )
-    return sums.select(
+    sums = tel.where("customer_id IS NOT NULL").groupBy("customer_id").agg(*map(F.expr, [
+        "coalesce(sum(session_duration_minutes), 0) AS total_session_minutes",
+        f"{r2('avg(session_duration_minutes)')} AS avg_session_minutes",
+        "count(session_duration_minutes) AS active_days",
+        "coalesce(sum(page_views), 0) AS total_page_views",
+        "coalesce(sum(clicks), 0) AS total_clicks",
+        "coalesce(sum(conversions), 0) AS total_conversions",
+    ]))
+    score = engagement_score("total_session_minutes", "total_page_views", "total_clicks")
+    return sums.selectExpr(
         "*",
-        conversion_rate(F.col("total_conversions"), F.col("total_clicks"))
-        .alias("conversion_rate"),
-        engagement_score(F.col("total_session_minutes"), F.col("total_page_views"),
-                         F.col("total_clicks")).alias("engagement_score"),
+        f"{conversion_rate('total_conversions', 'total_clicks')} AS conversion_rate",
+        f"{score} AS engagement_score",
     )

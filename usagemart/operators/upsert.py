@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window, functions as F
 
 from usagemart.functions.temporal import date_literal, ts_literal
+from usagemart.functions.text import aliased
 from usagemart.schemas import MART_COLUMNS
 
 KEY = "customer_id"
@@ -22,14 +23,12 @@ def require_batch_key(batch: DataFrame, key: str = KEY) -> DataFrame:
     The window sorts by the key just as the following join does, so it adds no shuffle.
     """
     nth = F.row_number().over(Window.partitionBy(key).orderBy(key))
-    verdict = (
-        F.when(F.col(key).isNull(), F.raise_error(F.lit(f"{key} is NULL in the batch")))
-        .when(F.col("_nth") > 1, F.raise_error(
-            F.concat(F.lit(f"{key} occurs twice in the batch: "), F.col(key).cast("string"))))
-        .cast("boolean")
-    )
+    verdict = f"""CASE
+        WHEN {key} IS NULL THEN raise_error('{key} is NULL in the batch')
+        WHEN _nth > 1 THEN raise_error(concat('{key} occurs twice in the batch: ', {key}))
+        END"""
     return (batch.withColumn("_nth", nth)
-            .where(F.coalesce(verdict, F.lit(True))).drop("_nth"))
+            .where(f"coalesce(CAST({verdict} AS boolean), true)").drop("_nth"))
 
 
 def upsert_mart(current: DataFrame, staged: DataFrame, as_of: datetime) -> DataFrame:
@@ -37,21 +36,17 @@ def upsert_mart(current: DataFrame, staged: DataFrame, as_of: datetime) -> DataF
 
     An update takes every staged value, NULLs too, except the columns in ``KEPT_ON_UPDATE``.
     """
-    old, new = current.alias("old"), require_batch_key(staged).alias("new")
-    is_new = F.col(f"new.{KEY}").isNotNull()
-    is_old = F.col(f"old.{KEY}").isNotNull()
-
-    def merged(name: str):
+    def merged(name: str) -> str:
         if name == KEY:
-            return F.coalesce(f"new.{KEY}", f"old.{KEY}")
+            return f"coalesce(new.{KEY}, old.{KEY})"
         if name == "updated_at":
-            return F.when(is_new, ts_literal(as_of)).otherwise(F.col("old.updated_at"))
-        if name in KEPT_ON_UPDATE:
-            return F.when(is_old, F.col(f"old.{name}")).otherwise(F.col(f"new.{name}"))
-        return F.when(is_new, F.col(f"new.{name}")).otherwise(F.col(f"old.{name}"))
+            return f"if(new.{KEY} IS NOT NULL, {ts_literal(as_of)}, old.updated_at)"
+        first, second = ("old", "new") if name in KEPT_ON_UPDATE else ("new", "old")
+        return f"if({first}.{KEY} IS NOT NULL, {first}.{name}, {second}.{name})"
 
-    joined = old.join(new, F.col(f"old.{KEY}") == F.col(f"new.{KEY}"), "full_outer")
-    return joined.select(*(merged(name).alias(name) for name in MART_COLUMNS))
+    joined = current.alias("old").join(
+        require_batch_key(staged).alias("new"), F.expr(f"old.{KEY} = new.{KEY}"), "full_outer")
+    return joined.selectExpr(*aliased({name: merged(name) for name in MART_COLUMNS}))
 
 
 def insert_ignore(current: DataFrame, new: DataFrame, key: str = KEY) -> DataFrame:
@@ -68,30 +63,22 @@ def insert_ignore(current: DataFrame, new: DataFrame, key: str = KEY) -> DataFra
     return current.unionByName(absent)
 
 
-def _hits(mart: DataFrame, ids: Sequence[int] | DataFrame) -> DataFrame:
-    if isinstance(ids, DataFrame):
-        wanted = ids.select(F.col(KEY).alias("_id")).distinct()
-        return mart.join(wanted, F.col(KEY) == F.col("_id"), "left").withColumn(
-            "_hit", F.col("_id").isNotNull()).drop("_id")
-    return mart.withColumn("_hit", F.col(KEY).isin(list(ids)))
-
-
 def refresh_customers(mart: DataFrame, ids: Sequence[int] | DataFrame,
                       as_of: datetime) -> tuple[DataFrame, DataFrame]:
     """Stamp the chosen customers as refreshed now.
 
     Returns the whole mart and, separately, the rows that changed. A few ids come as a list and
-    become a filter; many come as a DataFrame, and Spark picks the join by its size.
+    become a filter that the scan can use; many come as a DataFrame, and Spark picks the join by
+    its size.
     """
-    touched = {"updated_at": ts_literal(as_of), "load_date": date_literal(as_of.date())}
-    marked = _hits(mart, ids)
-    whole = marked.withColumns({
-        name: F.when(F.col("_hit"), value).otherwise(F.col(name))
-        for name, value in touched.items()
-    }).drop("_hit")
+    stamp = {"load_date": date_literal(as_of.date()), "updated_at": ts_literal(as_of)}
     if isinstance(ids, DataFrame):
-        chosen = mart.join(ids.select(KEY).distinct(), KEY, "left_semi")
+        wanted = ids.select(KEY).distinct().withColumn("_hit", F.lit(True))
+        marked = mart.join(wanted, KEY, "left")
     else:
-        chosen = mart.where(F.col(KEY).isin(list(ids)))
-    changed = chosen.withColumns(touched).select(KEY, "email", "load_date", "updated_at")
+        marked = mart.withColumn("_hit", F.col(KEY).isin(list(ids)))
+    whole = marked.selectExpr(*aliased({
+        name: f"if(_hit, {stamp[name]}, {name})" if name in stamp else name
+        for name in mart.columns}))
+    changed = marked.where("_hit").selectExpr(KEY, "email", *aliased(stamp))
     return whole, changed

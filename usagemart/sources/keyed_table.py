@@ -99,7 +99,7 @@ class KeyedTable:
 
     def _stage(self, rows: DataFrame, version: int) -> None:
         """Write ``rows``, spread by key, as a version that nobody sees yet."""
-        (rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema))
+        (rows.to(self.schema)
          .withColumn("bucket", self.bucket())
          .sortWithinPartitions("bucket", self.key)
          .write.mode("overwrite").partitionBy("bucket")

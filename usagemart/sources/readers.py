@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from usagemart.functions.temporal import date_literal
 from usagemart.schemas import CUSTOMER_SCHEMA, TELEMETRY_SCHEMA
@@ -16,7 +16,7 @@ Source = DataFrame | str | Mapping[str, str]
 def load(spark: SparkSession, src: Source, schema: T.StructType) -> DataFrame:
     """Read ``src``: a DataFrame, a Parquet path, or options with ``format`` and ``path``.
 
-    JDBC sources carry their own types, so they are cast to ``schema``; files are read with it.
+    Files are read with ``schema``; what carries its own types is cast to it.
     """
     if isinstance(src, str):
         return spark.read.schema(schema).parquet(src)
@@ -28,7 +28,7 @@ def load(spark: SparkSession, src: Source, schema: T.StructType) -> DataFrame:
         if fmt != "jdbc":
             return reader.schema(schema).load(path)
         src = reader.load()
-    return src.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema))
+    return src.to(schema)
 
 
 def jdbc_source(url: str, table: str, partition_column: str, lower: int, upper: int,
@@ -56,4 +56,4 @@ def read_telemetry(spark: SparkSession, src: Source, execution_date: date,
     """
     first = execution_date - timedelta(days=days_back)
     return load(spark, src, TELEMETRY_SCHEMA).where(
-        F.col("date").between(date_literal(first), date_literal(execution_date)))
+        f"date BETWEEN {date_literal(first)} AND {date_literal(execution_date)}")

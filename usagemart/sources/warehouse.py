@@ -32,50 +32,45 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(_TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def _email(key) -> F.Column:
-    return F.concat(F.lit("user"), key.cast("string"), F.lit("@example.com"))
+def _email(key: str) -> str:
+    return f"concat('user', {key}, '@example.com')"
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
     """Customer master records; some lack a first name or an email."""
-    key = F.col("c_custkey")
-    segment = F.try_element_at(
-        F.create_map(*(F.lit(x) for pair in _SEGMENT_OF.items() for x in pair)),
-        F.col("c_mktsegment"))
-    spent = table(spark, folder, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.min("o_orderdate").alias("first_order"),
-        F.sum(F.col("o_totalprice").cast("decimal(12,2)")).alias("spent"))
-    nations = table(spark, folder, "nation").select("n_nationkey", "n_name")
-    base = table(spark, folder, "customer")
+    codes = ", ".join(f"'{name}', '{code}'" for name, code in _SEGMENT_OF.items())
+    spent = table(spark, folder, "orders").groupBy(F.expr("o_custkey AS c_custkey")).agg(
+        F.expr("min(o_orderdate) AS first_order"),
+        F.expr("sum(CAST(o_totalprice AS decimal(12,2))) AS spent"))
+    nations = table(spark, folder, "nation").selectExpr("n_nationkey AS c_nationkey", "n_name")
+    # Nations first: later joins by customer then keep one partitioning.
     return (
-        # Nations first: later joins by customer then keep one partitioning.
-        base.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        table(spark, folder, "customer")
+        .join(nations, "c_nationkey", "left")
         .join(spent, "c_custkey", "left")
-        .select(
-            key.alias("customer_id"),
-            F.when(key % 50 != 7, F.split_part("c_name", F.lit("#"), F.lit(1)))
-            .alias("first_name"),
-            F.split_part("c_name", F.lit("#"), F.lit(2)).alias("last_name"),
-            F.when(key % 97 != 5, _email(key)).alias("email"),
-            F.col("n_name").alias("company"),
-            segment.alias("segment"),
-            iso_date(F.col("first_order").cast("date")).alias("registration_date"),
-            F.when(F.col("c_acctbal") < 0, "suspended").otherwise("active").alias("status"),
-            F.col("spent").cast("double").alias("lifetime_value"),
+        .selectExpr(
+            "c_custkey AS customer_id",
+            "if(c_custkey % 50 = 7, NULL, split_part(c_name, '#', 1)) AS first_name",
+            "split_part(c_name, '#', 2) AS last_name",
+            f"if(c_custkey % 97 = 5, NULL, {_email('c_custkey')}) AS email",
+            "n_name AS company",
+            f"try_element_at(map({codes}), c_mktsegment) AS segment",
+            f"{iso_date('CAST(first_order AS date)')} AS registration_date",
+            "if(c_acctbal < 0, 'suspended', 'active') AS status",
+            "CAST(spent AS double) AS lifetime_value",
         )
     )
 
 
 def event_metrics(events: DataFrame) -> DataFrame:
     """Each event as a telemetry row; works on streams as well."""
-    is_type = lambda kind: (F.col("event_type") == kind).cast("long")
-    return events.select(
-        F.col("user_id").alias("customer_id"),
-        F.col("ts").cast("date").alias("date"),
-        F.col("value").cast("decimal(10,2)").alias("session_duration_minutes"),
-        is_type("view").alias("page_views"),
-        is_type("click").alias("clicks"),
-        is_type("purchase").alias("conversions"),
+    return events.selectExpr(
+        "user_id AS customer_id",
+        "CAST(ts AS date) AS date",
+        "CAST(value AS decimal(10,2)) AS session_duration_minutes",
+        "if(event_type = 'view', 1L, 0L) AS page_views",
+        "if(event_type = 'click', 1L, 0L) AS clicks",
+        "if(event_type = 'purchase', 1L, 0L) AS conversions",
     )
 
 
@@ -84,14 +79,14 @@ def telemetry(spark: SparkSession, folder: str, last: date, days: int) -> DataFr
     and reaches the Parquet scan."""
     start = ts_literal(datetime.combine(last - timedelta(days=days - 1), time.min))
     end = ts_literal(datetime.combine(last + timedelta(days=1), time.min))
-    events = table(spark, folder, "events").where((F.col("ts") >= start) & (F.col("ts") < end))
+    events = table(spark, folder, "events").where(f"ts >= {start} AND ts < {end}")
     return daily_rollup(event_metrics(events))
 
 
 def last_seen(spark: SparkSession, folder: str) -> DataFrame:
     """When each customer was last active."""
-    return (table(spark, folder, "events").groupBy(F.col("user_id").alias("customer_id"))
-            .agg(F.max("ts").alias("seen_at")))
+    return (table(spark, folder, "events").groupBy(F.expr("user_id AS customer_id"))
+            .agg(F.expr("max(ts) AS seen_at")))
 
 
 def claims(spark: SparkSession, folder: str) -> DataFrame:
@@ -100,16 +95,15 @@ def claims(spark: SparkSession, folder: str) -> DataFrame:
     Views ask for no one in particular, clicks for oneself, purchases for the customer in
     ``props``. Errors carry a username only, or nothing at all; sign-ups come from unknown users.
     """
-    user, kind = F.col("user_id"), F.col("event_type")
-    other = F.regexp_extract("props", "[0-9]+", 0).cast("long")
-    named = kind.isin("view", "click", "purchase")
-    return table(spark, folder, "events").select(
-        F.when(named, _email(user))
-        .when(kind == "signup", F.concat(F.lit("guest"), user.cast("string"))).alias("email"),
-        F.when((kind == "error") & (other >= 50), _email(user)).alias("preferred_username"),
-        F.lit("reports").alias("aud"),
-        F.unix_seconds(F.col("ts").cast("timestamp")).alias("iat"),
-        (F.unix_seconds(F.col("ts").cast("timestamp")) + 300).alias("exp"),
-        F.when(kind == "click", user).when(kind == "purchase", other)
-        .alias("requested_customer_id"),
+    other = "CAST(regexp_extract(props, '[0-9]+', 0) AS bigint)"
+    return table(spark, folder, "events").selectExpr(
+        f"""CASE WHEN event_type IN ('view', 'click', 'purchase') THEN {_email('user_id')}
+                 WHEN event_type = 'signup' THEN concat('guest', user_id) END AS email""",
+        f"""CASE WHEN event_type = 'error' AND {other} >= 50 THEN {_email('user_id')} END
+            AS preferred_username""",
+        "'reports' AS aud",
+        "unix_seconds(CAST(ts AS timestamp)) AS iat",
+        "unix_seconds(CAST(ts AS timestamp)) + 300 AS exp",
+        f"CASE event_type WHEN 'click' THEN user_id WHEN 'purchase' THEN {other} END"
+        " AS requested_customer_id",
     )

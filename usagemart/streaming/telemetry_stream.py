@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from usagemart.operators.mart import customer_mart, to_mart_types
@@ -32,16 +32,15 @@ _PARTIALS = T.StructType([
 
 
 def _write_partials(batch: DataFrame, path: str) -> None:
-    sums = telemetry_partials(batch.where(F.col(KEY).isNotNull()))
-    (sums.select(*(F.col(f.name).cast(f.dataType).alias(f.name)
-                   for f in _PARTIALS if f.name != "batch"))
+    stored = T.StructType([f for f in _PARTIALS if f.name != "batch"])
+    (telemetry_partials(batch.where(f"{KEY} IS NOT NULL")).to(stored)
      .write.mode("overwrite").partitionBy("date").parquet(path))
 
 
 def history(home: Home, up_to_batch: int) -> DataFrame:
     """Daily telemetry from all batches up to one; later ones do not change a repeated run."""
     partials = home.spark.read.schema(_PARTIALS).parquet(f"{home.root}/telemetry_batches")
-    return partials.where(F.col("batch") <= up_to_batch).drop("batch")
+    return partials.where(f"batch <= {up_to_batch}").drop("batch")
 
 
 def stream_upsert(telemetry: DataFrame, customers: DataFrame, home: Home, checkpoint: str,
