@@ -1,0 +1,134 @@
+from __future__ import annotations
+
+import json
+from datetime import datetime, timedelta
+
+from tests.fixtures import AS_OF, SEEDS, by_id, claims, mart, mart_row
+from usagemart.operators import access, reports
+
+IVAN, MARIA = "ivan.ivanov@example.com", "maria.petrova@example.com"
+
+
+def decide(spark, *rows):
+    return access.access_decisions(claims(spark, rows), mart(spark))
+
+
+def test_every_decision(spark):
+    rows = decide(
+        spark, (IVAN, None, None), (IVAN, None, 1001), (IVAN, None, 1002), (None, IVAN, None),
+        ("", IVAN, None), ("x@example.com", None, 1001), (None, None, 1001), ("", "", None),
+        (MARIA, IVAN, 1001), (IVAN, None, 0)).collect()
+    found = sorted((r.email or "", r.requested_customer_id or -1, r.decision) for r in rows)
+    assert found == sorted([
+        (IVAN, -1, "allowed"), (IVAN, 1001, "allowed"), (IVAN, 1002, "denied_other"),
+        (IVAN, -1, "allowed"), (IVAN, -1, "allowed"), ("x@example.com", 1001, "no_profile"),
+        ("", 1001, "invalid"), ("", -1, "invalid"), (MARIA, 1001, "denied_other"),
+        (IVAN, -1, "denied_other")])
+
+
+def test_claim_flags(spark):
+    row = decide(spark, (None, IVAN, None)).first()
+    assert (row.has_email, row.has_username, row.customer_id) == (False, True, 1001)
+
+
+def test_customer_zero_is_a_customer(spark):
+    frame = mart(spark, [mart_row(0, email="zero@example.com")])
+    row = access.access_decisions(claims(spark, [("zero@example.com", None, 0)]), frame).first()
+    assert row.decision == "allowed"
+
+
+def test_restrict_shows_only_own_rows(spark):
+    decisions = decide(spark, (IVAN, None, None), (IVAN, None, 1001), (MARIA, None, 1001))
+    assert set(by_id(access.restrict(mart(spark), decisions))) == {1001}
+
+
+def test_report_values(spark):
+    row = by_id(reports.customer_report(mart(spark), AS_OF))[1001]
+    assert row.name == "Иван Иванов"
+    assert (row.total_hours, row.avg_daily_hours) == (20.85, 0.74)
+    assert (row.actions_per_hour, row.value_per_hour) == (117.53, 719.59)
+    assert (row.conversion_rate, row.engagement_score, row.lifetime_value) == (1.84, 72.5, 15000.5)
+    assert row.data_freshness == "stale"
+
+
+def test_report_without_usage(spark):
+    rows = [mart_row(1, minutes=None, days=None, value=None, rate=None, engagement=None,
+                     first=None, updated=AS_OF),
+            mart_row(2, minutes="0", days=0, updated=AS_OF - timedelta(days=1))]
+    found = by_id(reports.customer_report(mart(spark, rows), AS_OF))
+    for row in found.values():
+        assert (row.total_hours, row.avg_daily_hours, row.actions_per_hour) == (0, 0, 0)
+        assert row.value_per_hour == 0
+    assert (found[1].lifetime_value, found[1].name) == (0.0, " B")
+    assert (found[1].data_freshness, found[2].data_freshness) == ("fresh", "stale")
+
+
+def test_order_puts_never_updated_first(spark):
+    rows = [mart_row(1, updated=datetime(2024, 1, 1)), mart_row(2, updated=None),
+            mart_row(3, updated=datetime(2024, 1, 2)), mart_row(4, updated=None)]
+    ordered = reports.order_reports(reports.customer_report(mart(spark, rows), AS_OF))
+    assert [r.customer_id for r in ordered.collect()] == [2, 4, 3, 1]
+
+
+def test_nested_report_and_json(spark):
+    flat = reports.customer_report(mart(spark, [mart_row(1, updated=None)]), AS_OF)
+    row = reports.nest_report(flat).first()
+    assert row.customer.id == 1 and row.financial.lifetime_value == 100.0
+    document = json.loads(reports.report_json(flat).first().document)
+    assert list(document) == ["customer", "telemetry", "financial", "metadata"]
+    assert document["customer"]["registration_date"] == "2023-01-01"
+    assert document["metadata"] == {
+        "load_date": "2024-01-15", "updated_at": None, "created_at": "2024-01-15T02:00:00",
+        "data_freshness": "stale"}
+
+
+def test_envelope(spark):
+    flat = reports.customer_report(mart(spark), AS_OF)
+    decisions = decide(spark, (IVAN, None, None), (IVAN, None, 1001), (MARIA, None, 1001))
+    rows = reports.report_envelope(flat, decisions).collect()
+    assert len(rows) == 1
+    assert (rows[0].email, rows[0].customer_id, rows[0].access_level, rows[0].n) == (
+        IVAN, 1001, "self_only", 1)
+    assert rows[0].reports[0].customer.name == "Иван Иванов"
+
+
+def test_display(spark):
+    frame = mart(spark, [SEEDS[0], mart_row(2, updated=None)])
+    rows = {r.name: r for r in reports.report_display(
+        reports.customer_report(frame, AS_OF)).collect()}
+    ivan = rows["Иван Иванов"]
+    assert (ivan.hours_used, ivan.engagement, ivan.lifetime_value) == ("20.9", "72.5", "$15000.50")
+    assert ivan.last_updated == "1/15/2024, 2:00:00 AM"
+    assert rows["A B"].last_updated == "Never"
+
+
+def test_summary(spark):
+    rows = [mart_row(1, engagement="10.005", minutes="90", updated=AS_OF - timedelta(days=2)),
+            mart_row(2, updated=AS_OF - timedelta(days=2) + timedelta(microseconds=1)),
+            mart_row(3, engagement=None, value=None, minutes=None, conversions=None, updated=None,
+                     loaded=None)]
+    found = by_id(reports.customer_summary(mart(spark, rows), AS_OF))
+    assert (found[1].total_usage_hours, found[1].reporting_period_days) == (1.5, 16)
+    assert (found[1].generate_new, found[1].message) == (True, "Consider generating new report")
+    assert (found[2].generate_new, found[2].message) == (False, "Data is up to date")
+    empty = found[3]
+    assert (empty.avg_engagement, empty.total_conversions, empty.avg_lifetime_value) == (0, 0, 0)
+    assert (empty.total_usage_hours, empty.reporting_period_days) == (0, 0)
+    assert (empty.generate_new, empty.message) == (False, "Consider generating new report")
+
+
+def test_status(spark):
+    rows = [mart_row(1, updated=AS_OF - timedelta(minutes=30)), mart_row(2, updated=None)]
+    found = by_id(reports.freshness_status(mart(spark, rows), AS_OF))
+    assert (found[1].freshness, found[1].freshness_color) == ("recent", "blue")
+    assert (found[1].recommendation, found[1].show_warning) == ("up_to_date", False)
+    assert found[2].warning_message == "Data is stale. Consider generating a new report."
+    assert found[2].is_action_required and found[2].record_count == 1
+
+
+def test_user_segments(spark):
+    rows = [mart_row(1, "b", email="x"), mart_row(2, "a", email="x"), mart_row(3, "a", email="x"),
+            mart_row(4, None, email="x"), mart_row(5, "c")]
+    frame = mart(spark, rows)
+    assert {tuple(r) for r in reports.user_segments(frame).collect()} == {("x", "a"), ("x", "b")}
+    assert [tuple(r) for r in reports.user_segment_list(frame).collect()] == [("x", ["a", "b"], 2)]

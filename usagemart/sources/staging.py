@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from usagemart.schemas import STAGED_SCHEMA
 
-# RFC 4180 quoting, nothing trimmed: NULL, empty text, quotes and line breaks all survive.
+# RFC 4180 quoting, nothing trimmed, NULL spelled out: empty text, quotes and line breaks survive.
 _CSV = {
     "header": "true",
+    "nullValue": "\\N",
     "quote": '"',
     "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
