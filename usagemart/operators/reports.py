@@ -74,12 +74,13 @@ def nest_report(report: DataFrame) -> DataFrame:
 def report_envelope(report: DataFrame, decisions: DataFrame) -> DataFrame:
     """What an admitted caller receives.
 
-    A caller has one customer and a customer one report, so the list needs no grouping.
+    A caller is admitted to the one customer with their email, and a customer has one report, so
+    the list needs no grouping.
     """
     documents = nest_report(report).selectExpr(
-        "customer.id AS customer_id",
+        "customer.id AS customer_id", "customer.email AS email",
         "array(struct(customer, telemetry, financial, metadata)) AS reports")
-    return allowed_customers(decisions).join(documents, "customer_id").selectExpr(
+    return documents.join(allowed_customers(decisions), "customer_id", "left_semi").selectExpr(
         "email", "customer_id", f"'{SELF_ONLY}' AS access_level", "reports",
         "CAST(size(reports) AS bigint) AS n", f"'{ACCESS_MESSAGE}' AS message")
 
