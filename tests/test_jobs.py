@@ -104,6 +104,22 @@ def test_refresh_can_recompute(spark, home):
     assert found[1001].created_at == datetime(2024, 1, 15, 2)
 
 
+def test_refresh_refuses_an_email_that_another_bucket_holds(spark, home):
+    home.mart.replace(mart(spark))
+    before = rows(home.mart.read())
+    moved = (*CUSTOMERS[0][:3], CUSTOMERS[1][3], *CUSTOMERS[0][4:])
+    with pytest.raises(ValueError, match="email is not unique: maria.petrova@example.com"):
+        refresh_on_demand(home, [1001], AS_OF, customers(spark, [moved]), telemetry(spark))
+    assert rows(home.mart.read()) == before
+
+
+def test_views(spark, home):
+    run_nightly(home, customers(spark), telemetry(spark), DAY, AS_OF)
+    home.create_views()
+    assert spark.sql("SELECT count(*) FROM customer_data_mart").first()[0] == 5
+    assert spark.sql("SELECT sum(customer_count) FROM segment_performance").first()[0] == 5
+
+
 def start_stream(spark, home, folder, checkpoint):
     source = (spark.readStream.schema(TELEMETRY_SCHEMA).option("maxFilesPerTrigger", 1)
               .parquet(folder))
@@ -154,7 +170,7 @@ def test_crash_between_the_two_commits_is_repaired(spark, home, tmp_path, monkey
     telemetry(spark).coalesce(1).write.parquet(folder)
     broken = Home(spark, home.root, buckets=4)
     monkeypatch.setattr(Home, "refresh_segment_performance",
-                        lambda self, tag=None: (_ for _ in ()).throw(RuntimeError("lost")))
+                        lambda self, mart, tag=None: (_ for _ in ()).throw(RuntimeError("lost")))
     with pytest.raises(Exception, match="lost"):
         start_stream(spark, broken, folder, checkpoint)
     monkeypatch.undo()

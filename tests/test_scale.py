@@ -9,9 +9,10 @@ import pytest
 
 import __spark_entry__ as driver
 from tests.fixtures import AS_OF, DAY, claims, mart, mart_row
-from usagemart.operators import access, quality, reports, telemetry, upsert
+from usagemart.operators import access, quality, reports, segments, telemetry, upsert
 from usagemart.plans.home import Home
 from usagemart.sources import warehouse
+from usagemart.sources.dimensions import segment_dim
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES = driver.queries()
@@ -186,3 +187,10 @@ def test_nameless_requests_bypass_the_join(spark):
     with large(spark):
         text = plan(access.access_decisions(frame, mart(spark, [mart_row(1, email="u1")])))
     assert text.startswith("Union")
+
+
+def test_the_dimension_is_broadcast_by_its_known_size(spark, stored):
+    with settings(spark, spark__sql__adaptive__enabled="false"):
+        frame = stored.mart.read()
+        text = plan(segments.customer_analytics(frame, segment_dim(spark), AS_OF))
+        assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text

@@ -77,8 +77,8 @@ def test_a_bucket_may_become_empty(spark, table):
 def test_failed_check_publishes_nothing(spark, table):
     table.replace(mart(spark))
 
-    def refuse(result):
-        assert result.count() == 4
+    def refuse(result, written):
+        assert result.count() == 4 and written is None
         raise ValueError("no")
 
     staged = mart(spark, [mart_row(9)])

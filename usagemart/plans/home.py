@@ -24,9 +24,17 @@ def require_unique(df: DataFrame, *keys: str) -> None:
         raise ValueError(f"{example['key']} is not unique: {example['value']}")
 
 
-def mart_gate(mart: DataFrame) -> None:
-    """Both unique keys of the mart, checked on the merged result before anybody sees it."""
-    require_unique(mart, "customer_id", "email")
+def mart_gate(mart: DataFrame, written: DataFrame | None = None) -> None:
+    """Both unique keys of the mart, checked on the merged result before anybody sees it.
+
+    After a partial change only what was ``written`` can collide: a customer within its own
+    bucket, an email with any row, so the rest of the mart is merely filtered by those emails.
+    """
+    if written is None:
+        require_unique(mart, "customer_id", "email")
+        return
+    require_unique(written, "customer_id")
+    require_unique(mart.join(written.select("email").distinct(), "email", "left_semi"), "email")
 
 
 @dataclass(frozen=True)
@@ -59,9 +67,9 @@ class Home:
     def reports(self) -> str:
         return f"{self.root}/run_reports"
 
-    def refresh_segment_performance(self, tag: str | None = None) -> None:
+    def refresh_segment_performance(self, mart: DataFrame, tag: str | None = None) -> None:
         """Rebuild the roll-up from the current mart. Readers keep the old one until then."""
-        self.segment_performance.replace(segment_performance(self.mart.read()), tag)
+        self.segment_performance.replace(segment_performance(mart), tag)
 
     def create_views(self) -> None:
         """Register the current tables for SQL users."""

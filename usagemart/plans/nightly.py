@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
+from time import monotonic
 
 from pyspark.sql import DataFrame
 
@@ -31,9 +32,15 @@ class NightlyResult:
 def run_nightly(home: Home, customers: Source, telemetry: Source, execution_date: date,
                 as_of: datetime, days_back: int = 1, strict: bool = False,
                 staging_format: str = "parquet") -> NightlyResult:
-    """Load one execution date. Every step reads what the step before wrote, so a lost executor
-    costs its own tasks and a failed run can simply be started again."""
-    spark = home.spark
+    """Load one execution date, which starts at ``as_of``. Every step reads what the step before
+    wrote, so a lost executor costs its own tasks and a failed run can simply be started again."""
+    spark, started = home.spark, monotonic()
+
+    def log(records: int, status: str, error: str | None = None) -> None:
+        end = as_of + timedelta(seconds=monotonic() - started)
+        append_audit(audit_row(spark, PROCESS, execution_date, as_of, end, records, status,
+                               error), home.audit)
+
     try:
         source = read_customers(spark, customers)
         tel = read_telemetry(spark, telemetry, execution_date, days_back)
@@ -41,24 +48,22 @@ def run_nightly(home: Home, customers: Source, telemetry: Source, execution_date
                       staging_format)
         staged = read_staging(spark, home.staging, execution_date, staging_format)
 
-        home.mart.change(
-            lambda current: upsert_mart(current, home.mart.spread(to_mart_types(staged)), as_of),
-            check=mart_gate)
-        home.refresh_segment_performance()
+        table = home.mart
+        batch = table.spread(to_mart_types(staged))
+        table.change(lambda current: upsert_mart(current, batch, as_of), check=mart_gate)
+        mart = table.read()
+        home.refresh_segment_performance(mart)
 
-        mart = home.mart.read()
         issues = dq_issues(dq_checks(mart), strict)
-        summary = issues.select("total_records", "is_valid").first()
+        total = issues.select("total_records", "is_valid").first()["total_records"]
         report = run_report(mart, execution_date)
         (report.coalesce(1).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy("execution_date").parquet(home.reports))
     except Exception as failure:
-        append_audit(audit_row(spark, PROCESS, execution_date, as_of, as_of, 0, "failed",
-                               str(failure)[:2000]), home.audit)
+        log(0, "failed", str(failure)[:2000])
         raise
-    append_audit(audit_row(spark, PROCESS, execution_date, as_of, as_of,
-                           summary["total_records"], "success"), home.audit)
+    log(total, "success")
     return NightlyResult(
         mart=mart,
         segment_performance=home.segment_performance.read(),

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
+from time import monotonic
 
 from pyspark.sql import DataFrame, functions as F
 
 from usagemart.operators.mart import customer_mart, to_mart_types
 from usagemart.operators.upsert import KEY, refresh_customers, upsert_mart
 from usagemart.plans.home import Home, mart_gate
+from usagemart.session import materialize
 from usagemart.sources.audit import append_audit, audit_row
 
 PROCESS = "manual_report_generation"
@@ -23,27 +25,29 @@ def refresh_on_demand(home: Home, ids: Sequence[int] | DataFrame, as_of: datetim
     Given the sources, their metrics are computed again first. Only the buckets that hold the
     chosen customers are read and written.
     """
-    spark = home.spark
     if not isinstance(ids, DataFrame):
-        ids = spark.createDataFrame([(i,) for i in ids], f"{KEY} BIGINT")
-    mart = home.mart
-    buckets = mart.buckets_of(ids)
-    chosen = ids.select(KEY).distinct()
+        ids = home.spark.range(0, 1, 1, numPartitions=1).select(
+            F.explode(F.lit(list(ids)).cast("array<bigint>")).alias(KEY))
+    started, table = monotonic(), home.mart
+    chosen = materialize(ids.select(KEY).distinct(), "refresh-ids")
+    buckets = table.buckets_of(chosen)
+    recompute = customers is not None and telemetry is not None
 
     def transform(current: DataFrame) -> DataFrame:
-        if customers is not None and telemetry is not None:
+        if recompute:
             known = current.select(KEY).join(chosen, KEY, "left_semi")
             staged = customer_mart(customers.join(known, KEY, "left_semi"),
                                    telemetry.join(known, KEY, "left_semi"), as_of.date(), as_of)
-            current = upsert_mart(current, mart.spread(to_mart_types(staged)), as_of)
+            current = upsert_mart(current, table.spread(to_mart_types(staged)), as_of)
         return refresh_customers(current, chosen, as_of)[0]
 
-    mart.change(transform, buckets, check=mart_gate)
-    home.refresh_segment_performance()
+    # A mere stamp changes no key, so there is nothing to check.
+    table.change(transform, buckets, check=mart_gate if recompute else None)
+    home.refresh_segment_performance(table.read())
 
-    refreshed = home.mart.read(buckets).join(chosen, KEY, "left_semi").select(
+    refreshed = table.read(buckets).join(chosen, KEY, "left_semi").select(
         KEY, "email", "load_date", "updated_at")
-    records = refreshed.agg(F.count(F.lit(1))).first()[0]
-    append_audit(audit_row(spark, PROCESS, as_of.date(), as_of, as_of, records, "success"),
-                 home.audit)
+    end = as_of + timedelta(seconds=monotonic() - started)
+    append_audit(audit_row(home.spark, PROCESS, as_of.date(), as_of, end, refreshed.count(),
+                           "success"), home.audit)
     return refreshed

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Spark's own size checks decide on broadcasts, and AQE splits skewed join partitions.
 SETTINGS = {
@@ -41,3 +41,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="usagemart-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared scratch folder and read back.
+
+    Several jobs can use it without computing it again, it survives lost executors, and its size
+    is known, so Spark can decide on a broadcast.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import DataFrame, SparkSession
 
 from usagemart.schemas import SEGMENT_SCHEMA
@@ -18,6 +16,10 @@ SEGMENTS = [
 
 
 def segment_dim(spark: SparkSession) -> DataFrame:
-    rows = [(code, name, text, Decimal(low), Decimal(high))
-            for code, name, text, low, high in SEGMENTS]
-    return spark.createDataFrame(rows, SEGMENT_SCHEMA)
+    """The dimension as an inline table, whose exact size Spark knows when it plans a join.
+
+    Rows handed over from Python would have no known size and never be broadcast.
+    """
+    values = ", ".join(str(row) for row in SEGMENTS)
+    names = ", ".join(SEGMENT_SCHEMA.fieldNames())
+    return spark.sql(f"SELECT * FROM VALUES {values} AS dim({names})").to(SEGMENT_SCHEMA)

@@ -107,8 +107,13 @@ class KeyedTable:
 
     def _publish(self, version: int, touched: list[int] | None, tag: str | None) -> None:
         """One file with one row, so all buckets of the version appear at once."""
-        entry = self.spark.createDataFrame([(version, self.buckets, touched, tag)], _COMMITS)
-        entry.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+        members = "NULL" if touched is None else f"array({', '.join(map(str, touched))})"
+        entry = self.spark.range(0, 1, 1, numPartitions=1).selectExpr(
+            f"{version} AS version", f"{self.buckets} AS buckets",
+            f"CAST({members} AS array<int>) AS touched", "CAST(NULL AS string) AS tag")
+        if tag is not None:
+            entry = entry.withColumn("tag", F.lit(tag))
+        entry.write.mode("append").parquet(f"{self.root}/commits")
 
     def ensure(self) -> None:
         """Create the table, empty, unless it is there."""
@@ -123,10 +128,12 @@ class KeyedTable:
 
     def change(self, transform: Callable[[DataFrame], DataFrame],
                touched: list[int] | None = None,
-               check: Callable[[DataFrame], None] | None = None, tag: str | None = None) -> None:
+               check: Callable[[DataFrame, DataFrame | None], None] | None = None,
+               tag: str | None = None) -> None:
         """Rewrite the content, or only the ``touched`` buckets, through ``transform``.
 
-        ``check`` sees the whole resulting table and may raise, which leaves it unpublished.
+        ``check`` gets the whole resulting table and, if only some buckets were written, their
+        rows. It may raise, which leaves the change unpublished.
         """
         if touched is not None and not touched:
             return
@@ -136,5 +143,6 @@ class KeyedTable:
         current = self._select({b: v for b, v in live.items() if b in fresh})
         self._stage(transform(self.spread(current)), version)
         if check is not None:
-            check(self._select({**live, **fresh}))
+            check(self._select({**live, **fresh}),
+                  None if touched is None else self._select(fresh))
         self._publish(version, touched, tag)

@@ -19,6 +19,7 @@ from usagemart.operators.mart import customer_mart, to_mart_types
 from usagemart.operators.telemetry import daily_rollup, telemetry_partials
 from usagemart.operators.upsert import KEY, upsert_mart
 from usagemart.plans.home import Home, mart_gate
+from usagemart.session import materialize
 
 _PARTIALS = T.StructType([
     T.StructField("customer_id", T.LongType()),
@@ -33,7 +34,8 @@ _PARTIALS = T.StructType([
 
 def _write_partials(batch: DataFrame, path: str) -> None:
     stored = T.StructType([f for f in _PARTIALS if f.name != "batch"])
-    (telemetry_partials(batch.where(f"{KEY} IS NOT NULL")).to(stored)
+    # Rebalancing writes few files per day and still splits the busiest day.
+    (telemetry_partials(batch.where(f"{KEY} IS NOT NULL")).to(stored).hint("rebalance", "date")
      .write.mode("overwrite").partitionBy("date").parquet(path))
 
 
@@ -57,16 +59,18 @@ def stream_upsert(telemetry: DataFrame, customers: DataFrame, home: Home, checkp
         _write_partials(batch, f"{folder}/batch={batch_id}")
         partials = history(home, batch_id)
         written = home.spark.read.schema(_PARTIALS).parquet(f"{folder}/batch={batch_id}")
-        affected = written.select(KEY).distinct()
-        buckets = home.mart.buckets_of(affected)
+        affected = materialize(written.select(KEY).distinct(), "stream-customers")
+        table = home.mart
+        buckets = table.buckets_of(affected)
         daily = daily_rollup(partials.join(affected, KEY, "left_semi"))
         as_of = clock()
         staged = to_mart_types(customer_mart(
             customers.join(affected, KEY, "left_semi"), daily, execution_date(), as_of,
             window_days))
-        home.mart.change(lambda current: upsert_mart(current, home.mart.spread(staged), as_of),
-                         buckets, check=mart_gate, tag=tag)
-        home.refresh_segment_performance(tag)
+        batch_rows = table.spread(staged)
+        table.change(lambda current: upsert_mart(current, batch_rows, as_of), buckets,
+                     check=mart_gate, tag=tag)
+        home.refresh_segment_performance(table.read(), tag)
 
     return (telemetry.writeStream.foreachBatch(absorb)
             .option("checkpointLocation", checkpoint)
