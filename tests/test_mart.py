@@ -7,9 +7,10 @@ import pytest
 
 from tests.fixtures import (
     AS_OF, BEFORE, CUSTOMERS, DAY, GOLDEN_METRICS, TELEMETRY, by_id, customers, telemetry)
-from usagemart.operators.mart import customer_mart, extract_metrics, sample_rows, to_mart_types
+from usagemart.operators.mart import (
+    customer_mart, extract_metrics, load_metadata, sample_rows, to_mart_types)
 from usagemart.operators.telemetry import daily_rollup, telemetry_agg
-from usagemart.schemas import DECLARED_MART_SCHEMA, MART_COLUMNS, MART_SCHEMA
+from usagemart.schemas import DECLARED_MART_SCHEMA, MART_COLUMNS, MART_SCHEMA, STAGED_SCHEMA
 from usagemart.sources.readers import jdbc_source, read_customers, read_telemetry
 
 
@@ -54,6 +55,21 @@ def test_zero_fill_leaves_text_alone(spark):
     assert row.email is None and row.segment is None and row.registration_date is None
 
 
+def test_a_value_that_is_not_a_number_counts_as_missing(spark):
+    row = (*CUSTOMERS[0][:8], float("nan"))
+    staged = customer_mart(customers(spark, [row]), telemetry(spark), DAY, AS_OF)
+    assert staged.first().lifetime_value == 0.0
+
+
+def test_metadata(spark):
+    nameless = (7, *CUSTOMERS[0][1:5], None, *CUSTOMERS[0][6:])
+    staged = customer_mart(customers(spark, [*CUSTOMERS, nameless]), telemetry(spark), DAY, AS_OF)
+    row = load_metadata(staged).first()
+    assert (row.row_count, row.columns) == (6, STAGED_SCHEMA.fieldNames())
+    assert row.customer_segments == {"premium": 2, "enterprise": 2, "standard": 1}
+    assert load_metadata(staged.where("false")).first().customer_segments == {}
+
+
 def test_extract_counts(spark):
     row = extract_metrics(customers(spark), telemetry(spark), AS_OF).first()
     assert tuple(row) == (5, 7, 12, "2024-01-31T00:00:00")

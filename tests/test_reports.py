@@ -31,6 +31,12 @@ def test_claim_flags(spark):
     assert (row.has_email, row.has_username, row.customer_id) == (False, True, 1001)
 
 
+def test_caller_info(spark):
+    frame = claims(spark, [("", IVAN, None), (None, None, 1)])
+    assert [tuple(r) for r in access.caller_info(frame).collect()] == [
+        (IVAN, True, True, "reports", 0, 300)]
+
+
 def test_customer_zero_is_a_customer(spark):
     frame = mart(spark, [mart_row(0, email="zero@example.com")])
     row = access.access_decisions(claims(spark, [("zero@example.com", None, 0)]), frame).first()

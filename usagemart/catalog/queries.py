@@ -158,6 +158,12 @@ def _audit_log(spark, folder):
     return read_audit(spark, path).drop("audit_id")
 
 
+def _mart_metadata(spark, folder):
+    return marts.load_metadata(staged(spark, folder)).selectExpr(
+        "row_count", "concat_ws(',', columns) AS columns",
+        "explode(customer_segments) AS (segment, n)")
+
+
 def _segment_map(spark, folder):
     result = segments.segment_map(mart(spark, folder))
     return result.selectExpr("total_records", "explode(segment_distribution)").selectExpr(
@@ -246,6 +252,7 @@ QUERIES: dict[str, Query] = {
     "telemetry_agg_30d": lambda s, d: tel_ops.telemetry_agg(month(s, d), EXECUTION_DATE, 30),
     "customer_mart": staged,
     "mart_typed": lambda s, d: marts.to_mart_types(staged(s, d)),
+    "mart_metadata": _mart_metadata,
     "mart_sample": _on_mart(marts.sample_rows, 3),
     "mart_upsert": lambda s, d: upsert.upsert_mart(yesterday(s, d), today(s, d), AS_OF),
     "insert_ignore": lambda s, d: upsert.insert_ignore(yesterday(s, d), today(s, d)),
@@ -262,6 +269,7 @@ QUERIES: dict[str, Query] = {
     "segment_counts": _on_mart(segments.segment_counts),
     "top_segment": _on_mart(segments.top_segment),
     "top_engaged": _on_mart(segments.top_engaged, TOP_K),
+    "caller_info": lambda s, d: access.caller_info(warehouse.claims(s, d)),
     "access_decisions": decisions,
     "access_filter": lambda s, d: access.restrict(mart(s, d), decisions(s, d)),
     "customer_report": report,

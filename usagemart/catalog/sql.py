@@ -147,7 +147,8 @@ CLAIMS = """claims AS (
               THEN 'user' || user_id || '@example.com' END AS preferred_username,
          CASE event_type WHEN 'click' THEN user_id
               WHEN 'purchase' THEN regexp_extract(props, '[0-9]+')::BIGINT END
-           AS requested_customer_id
+           AS requested_customer_id,
+         'reports' AS aud, epoch_us(ts) // 1000000 AS iat, epoch_us(ts) // 1000000 + 300 AS exp
   FROM events)"""
 
 DECISIONS = """decisions AS (
@@ -260,6 +261,11 @@ LEFT JOIN dim d ON d.segment_code = u.segment"""),
         [_tel("tel", "2024-01-01", "2024-01-30"), _agg("agg", "tel")], "SELECT * FROM agg"),
     "customer_mart": _with(_STAGED, "SELECT * FROM staged"),
     "mart_typed": _with([*_STAGED, SEEN, _typed("mart", "staged", NEVER)], "SELECT * FROM mart"),
+    "mart_metadata": _with(_STAGED, f"""
+SELECT (SELECT count(*) FROM staged) AS row_count,
+       '{','.join([*_MASTER, 'lifetime_value', *_METRICS, 'load_date', 'created_at'])}' AS columns,
+       segment, count(*) AS n
+FROM staged WHERE segment IS NOT NULL GROUP BY segment"""),
     "mart_sample": _with(_MART, "SELECT * FROM mart ORDER BY customer_id LIMIT 3"),
     "mart_upsert": _with([*_YESTERDAY, _typed("before", "staged0", "seen_at"), *_TODAY],
                          _upsert("before", "staged_today")),
@@ -321,6 +327,11 @@ SELECT segment, count(*) AS n FROM mart GROUP BY segment ORDER BY n DESC, segmen
     "top_engaged": _with(_MART, """
 SELECT customer_id, engagement_score FROM mart
 ORDER BY engagement_score DESC, customer_id LIMIT 10"""),
+    "caller_info": _with([CLAIMS], """
+SELECT coalesce(email, preferred_username) AS user_email, email IS NOT NULL AS has_email,
+       preferred_username IS NOT NULL AS has_username, aud AS audience, iat AS issued_at,
+       exp AS expires_at
+FROM claims WHERE email IS NOT NULL OR preferred_username IS NOT NULL"""),
     "access_decisions": _with(_DECISIONS, "SELECT * FROM decisions"),
     "access_filter": _with(_DECISIONS, f"SELECT * FROM mart WHERE customer_id IN {_ALLOWED}"),
     "customer_report": _with(_REPORT, "SELECT * FROM report"),

@@ -8,6 +8,18 @@ from usagemart.functions.text import first_given
 
 ALLOWED, DENIED_OTHER, NO_PROFILE, INVALID = "allowed", "denied_other", "no_profile", "invalid"
 
+_CALLER = first_given("email", "preferred_username")
+
+
+def caller_info(claims: DataFrame) -> DataFrame:
+    """Who calls and what their claims hold. Callers without any name are turned away."""
+    return claims.selectExpr(
+        f"{_CALLER} AS user_email",
+        "email IS NOT NULL AS has_email",
+        "preferred_username IS NOT NULL AS has_username",
+        "aud AS audience", "iat AS issued_at", "exp AS expires_at",
+    ).where("user_email IS NOT NULL")
+
 
 def access_decisions(claims: DataFrame, mart: DataFrame) -> DataFrame:
     """One decision per request.
@@ -17,7 +29,7 @@ def access_decisions(claims: DataFrame, mart: DataFrame) -> DataFrame:
     requests. Requests without any name would all be one NULL key, so they bypass the join.
     """
     requests = claims.selectExpr(
-        f"{first_given('email', 'preferred_username')} AS email",
+        f"{_CALLER} AS email",
         "requested_customer_id",
         "email IS NOT NULL AS has_email",
         "preferred_username IS NOT NULL AS has_username",

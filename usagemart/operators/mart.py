@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from usagemart.functions.temporal import parse_date, parse_timestamp
 from usagemart.functions.text import aliased
@@ -32,11 +32,11 @@ def customer_mart(customers: DataFrame, tel: DataFrame, execution_date: date, as
     of the aggregate.
     """
     metrics = telemetry_agg(tel, execution_date, window_days)
-    numbers = ["lifetime_value", *METRIC_TYPES]
-    master = [name for name in CUSTOMER_SCHEMA.fieldNames() if name not in numbers]
+    master = [name for name in CUSTOMER_SCHEMA.fieldNames() if name != "lifetime_value"]
     return customers.join(metrics, "customer_id", "left").selectExpr(
         *master,
-        *aliased({name: f"coalesce({name}, 0)" for name in numbers}),
+        "coalesce(nanvl(lifetime_value, NULL), 0) AS lifetime_value",
+        *aliased({name: f"coalesce({name}, 0)" for name in METRIC_TYPES}),
         f"'{execution_date.isoformat()}' AS load_date",
         f"'{as_of.isoformat()}' AS created_at",
     )
@@ -55,6 +55,20 @@ def to_mart_types(staged: DataFrame, schema: T.StructType = MART_SCHEMA,
     return staged.selectExpr(*plain, *aliased(parsed)).to(schema)
 
 
+def load_metadata(staged: DataFrame) -> DataFrame:
+    """What a transform reports: row count, column names, and customers per known segment.
+
+    The map comes from the per-segment counts, so it has one entry per distinct segment.
+    """
+    columns = ", ".join(f"'{name}'" for name in staged.columns)
+    per_segment = staged.groupBy("segment").agg(F.expr("count(1) AS n"))
+    return per_segment.selectExpr(
+        "coalesce(sum(n), 0) AS row_count",
+        f"array({columns}) AS columns",
+        """map_from_entries(collect_list(struct(segment, n)) FILTER (WHERE segment IS NOT NULL))
+           AS customer_segments""")
+
+
 def sample_rows(df: DataFrame, n: int = 3) -> DataFrame:
     """The first ``n`` rows by customer: a look at the result, not a sample of it."""
     return df.orderBy("customer_id").limit(n)

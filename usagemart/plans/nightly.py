@@ -8,7 +8,8 @@ from time import monotonic
 
 from pyspark.sql import DataFrame
 
-from usagemart.operators.mart import customer_mart, extract_metrics, to_mart_types
+from usagemart.operators.mart import (
+    customer_mart, extract_metrics, load_metadata, to_mart_types)
 from usagemart.operators.quality import dq_checks, dq_issues, run_report, type_violations
 from usagemart.operators.upsert import upsert_mart
 from usagemart.plans.home import Home, mart_gate
@@ -24,6 +25,8 @@ class NightlyResult:
     mart: DataFrame
     segment_performance: DataFrame
     extracted: DataFrame
+    staged: DataFrame
+    metadata: DataFrame
     violations: DataFrame
     issues: DataFrame
     report: DataFrame
@@ -68,6 +71,8 @@ def run_nightly(home: Home, customers: Source, telemetry: Source, execution_date
         mart=mart,
         segment_performance=home.segment_performance.read(),
         extracted=extract_metrics(source, tel, as_of),
+        staged=staged,
+        metadata=load_metadata(staged),
         violations=type_violations(staged),
         issues=issues,
         report=report,
