@@ -108,7 +108,7 @@ def test_buckets_prune_folders(spark, stored):
 
 def test_upsert_shuffles_each_side_once(spark, stored):
     table = stored.mart
-    with large(spark):
+    with large(spark), settings(spark, spark__sql__shuffle__partitions="200"):
         staged = table.spread(table.read())
         text = plan(upsert.upsert_mart(table.spread(table.read()), staged, AS_OF))
     assert text.count("Exchange hashpartitioning(customer_id") + text.count("ReusedExchange") == 2

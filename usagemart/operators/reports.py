@@ -174,5 +174,6 @@ def user_segments(mart: DataFrame) -> DataFrame:
 
 def user_segment_list(mart: DataFrame) -> DataFrame:
     """The same as one sorted list per caller, at most one entry per segment that exists."""
-    return user_segments(mart).groupBy("email").agg(
-        F.expr("sort_array(collect_list(segment)) AS segments"), F.expr("count(1) AS n"))
+    lists = mart.where("email IS NOT NULL AND segment IS NOT NULL").groupBy("email").agg(
+        F.expr("sort_array(collect_set(segment)) AS segments"))
+    return lists.selectExpr("email", "segments", "CAST(size(segments) AS bigint) AS n")

@@ -9,10 +9,11 @@ the same mart rows, so nothing counts twice.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from usagemart.operators.mart import customer_mart, to_mart_types
@@ -39,9 +40,9 @@ def _write_partials(batch: DataFrame, path: str) -> None:
      .write.mode("overwrite").partitionBy("date").parquet(path))
 
 
-def history(home: Home, up_to_batch: int) -> DataFrame:
+def history(spark: SparkSession, folder: str, up_to_batch: int) -> DataFrame:
     """Daily telemetry from all batches up to one; later ones do not change a repeated run."""
-    partials = home.spark.read.schema(_PARTIALS).parquet(f"{home.root}/telemetry_batches")
+    partials = spark.read.schema(_PARTIALS).parquet(folder)
     return partials.where(f"batch <= {up_to_batch}").drop("batch")
 
 
@@ -49,15 +50,20 @@ def stream_upsert(telemetry: DataFrame, customers: DataFrame, home: Home, checkp
                   execution_date: Callable[[], date], clock: Callable[[], datetime],
                   window_days: int | None = 30, **trigger) -> StreamingQuery:
     """Start the stream. ``telemetry`` is a streaming DataFrame in the telemetry columns; several
-    rows per customer and day are added up. ``trigger`` goes to ``DataStreamWriter.trigger``."""
-    folder = f"{home.root}/telemetry_batches"
+    rows per customer and day are added up. ``trigger`` goes to ``DataStreamWriter.trigger``.
+
+    Batch numbers belong to a checkpoint, and so does the history: a stream that starts over with
+    a new checkpoint reads its input from the start and builds a history of its own.
+    """
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+    folder = f"{home.root}/telemetry_batches/{stream}"
 
     def absorb(batch: DataFrame, batch_id: int) -> None:
-        tag = f"batch-{batch_id}"
+        tag = f"{stream}-{batch_id}"
         if home.segment_performance.committed(tag):
             return
         _write_partials(batch, f"{folder}/batch={batch_id}")
-        partials = history(home, batch_id)
+        partials = history(home.spark, folder, batch_id)
         written = home.spark.read.schema(_PARTIALS).parquet(f"{folder}/batch={batch_id}")
         affected = materialize(written.select(KEY).distinct(), "stream-customers")
         table = home.mart
