@@ -180,6 +180,6 @@ def test_crash_between_the_two_commits_is_repaired(spark, home, tmp_path, monkey
     expected = to_mart_types(
         customer_mart(customers(spark), telemetry(spark), DAY, AS_OF, 30))
     assert rows(home.mart.read(), STABLE) == rows(expected, STABLE)
-    entries = home.mart._commits().collect()
+    entries = home.mart._commits().orderBy("version").collect()
     assert [e.version for e in entries] == [1, 2] and entries[0].tag == entries[1].tag
     assert home.segment_performance.committed(entries[0].tag)
