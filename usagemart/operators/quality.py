@@ -41,7 +41,8 @@ def dq_issues(checks: DataFrame, strict: bool = False) -> DataFrame:
     texts = ", ".join(f"if({check} > 0, format_string('{text}', {check}), NULL)"
                       for check, text in ISSUE_TEXTS.items())
     failure = "CAST(raise_error(concat_ws('; ', issues)) AS boolean)" if strict else "false"
-    return checks.selectExpr(f"array_compact(array({texts})) AS issues", "total_records").selectExpr(
+    found = checks.selectExpr(f"array_compact(array({texts})) AS issues", "total_records")
+    return found.selectExpr(
         "issues", f"if(size(issues) = 0, true, {failure}) AS is_valid", "total_records")
 
 
