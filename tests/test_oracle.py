@@ -8,13 +8,14 @@ import pytest
 
 import __spark_entry__ as driver
 from tests.compare import spark_rows, sql_rows
+from usagemart.catalog.queries import registered
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = registered(), driver.oracle_sql()
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
