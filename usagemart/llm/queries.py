@@ -4,11 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from usagemart.llm import byte_pairs, toxicity
 from usagemart.llm.decontaminate import contamination
 from usagemart.llm.rows import table
 
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
+
+def op1_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = byte_pairs.read_ranks(public_tokenizers.path(VOCABULARY))
+    encoded = byte_pairs.encode(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+    return byte_pairs.digests(byte_pairs.decode(encoded, ranks))
+
+
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    model = toxicity.learn(documents, table(spark, folder, "labels"))
+    return toxicity.predicted(toxicity.score(documents, model))
+
 
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -16,6 +32,8 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_byte_pairs": op1_byte_pairs,
+    "op5_toxicity": op5_toxicity,
     "op10_decontaminate": op10_decontaminate,
 }
 
