@@ -277,7 +277,10 @@ def links(documents: DataFrame, distinct: DataFrame, weights: np.ndarray) -> Dat
 
 
 def classes(documents: DataFrame) -> DataFrame:
-    """(doc_id, text_key, class_id, first) of every row; ``first``: the row's text names the class."""
+    """(doc_id, text_key, class_id, first, has_words) of every row.
+
+    ``first``: the row names its class; repeated rows of that id and text all do.
+    """
     weights = inverse_frequencies(documents)
     rows = stored(signed(documents, weights), "signed")
     distinct = stored(rows.groupBy("key").agg(F.min("doc_id").alias("least_id"),
@@ -298,4 +301,23 @@ def classes(documents: DataFrame) -> DataFrame:
         "doc_id", F.col("key").alias("text_key"),
         F.when(F.col("bands").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         (F.col("bands").isNull() | (F.col("doc_id").eqNullSafe(F.col("class_id"))
-                                    & (F.col("key") == F.col("class_key")))).alias("first"))
+                                    & (F.col("key") == F.col("class_key")))).alias("first"),
+        F.col("bands").isNotNull().alias("has_words"))
+
+
+def one_of_each(documents: DataFrame) -> DataFrame:
+    """``documents`` with all of their columns, but one row of each class; wordless rows all stay."""
+    rows = stored(classes(documents), "classes")
+
+    def only(docs: DataFrame, named: DataFrame, how: str) -> DataFrame:
+        named = named.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+        key = F.unhex(F.md5(F.coalesce(docs["text"].cast("string"), F.lit("")).cast("binary")))
+        return docs.join(named, docs["doc_id"].eqNullSafe(named["_id"]) & (key == named["_key"]), how)
+
+    kept = only(documents, rows.where("NOT first"), "left_anti")
+    repeated = stored(rows.where("first AND has_words").groupBy("doc_id", "text_key").count()
+                      .where("count > 1"), "repeated")
+    if repeated.isEmpty():
+        return kept
+    once = only(kept, repeated, "left_semi").dropDuplicates(["doc_id", "text"])
+    return only(kept, repeated, "left_anti").unionByName(once)

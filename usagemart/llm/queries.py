@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from usagemart.llm import byte_pairs, toxicity
+from usagemart.llm import byte_pairs, near_duplicates, secret_scan, toxicity
 from usagemart.llm.decontaminate import contamination
 from usagemart.llm.rows import table
 
@@ -20,12 +20,20 @@ def op1_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return byte_pairs.digests(byte_pairs.decode(encoded, ranks))
 
 
+def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.classes(table(spark, folder, "documents")).select("doc_id", "class_id", "first")
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     model = toxicity.learn(documents, table(spark, folder, "labels"))
     return toxicity.predicted(toxicity.score(documents, model))
 
 
+def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.secrets(table(spark, folder, "documents")))
+
+
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.drop("text_key")
@@ -33,7 +41,9 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_pairs": op1_byte_pairs,
+    "op3_near_duplicates": op3_near_duplicates,
     "op5_toxicity": op5_toxicity,
+    "op9_secrets": op9_secrets,
     "op10_decontaminate": op10_decontaminate,
 }
 
