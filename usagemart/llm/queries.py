@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from usagemart.llm import byte_pairs, near_duplicates, secret_scan, toxicity
+from usagemart.llm import byte_pairs, near_duplicates, quality_rules, secret_scan, toxicity
 from usagemart.llm.decontaminate import contamination
 from usagemart.llm.rows import table
 
@@ -20,6 +20,10 @@ def op1_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return byte_pairs.digests(byte_pairs.decode(encoded, ranks))
 
 
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.judged(table(spark, folder, "documents")).drop("text_key")
+
+
 def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.classes(table(spark, folder, "documents")).select("doc_id", "class_id", "first")
 
@@ -41,6 +45,7 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_pairs": op1_byte_pairs,
+    "op2_quality_rules": op2_quality_rules,
     "op3_near_duplicates": op3_near_duplicates,
     "op5_toxicity": op5_toxicity,
     "op9_secrets": op9_secrets,
