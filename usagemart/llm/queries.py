@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from usagemart.llm import byte_pairs, near_duplicates, quality_rules, secret_scan, toxicity
+from usagemart.llm import (
+    byte_pairs, near_duplicates, personal_data, quality_rules, secret_scan, toxicity)
 from usagemart.llm.decontaminate import contamination
 from usagemart.llm.rows import table
 
@@ -34,6 +35,11 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.predicted(toxicity.score(documents, model))
 
 
+def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return personal_data.digest(personal_data.find(documents, personal_data.learn(documents)))
+
+
 def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.digest(secret_scan.secrets(table(spark, folder, "documents")))
 
@@ -48,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_near_duplicates": op3_near_duplicates,
     "op5_toxicity": op5_toxicity,
+    "op8_personal_data": op8_personal_data,
     "op9_secrets": op9_secrets,
     "op10_decontaminate": op10_decontaminate,
 }
