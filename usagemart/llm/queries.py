@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from usagemart.llm import (
-    byte_pairs, near_duplicates, personal_data, quality_rules, secret_scan, toxicity)
+    byte_pairs, language_model, licences, near_duplicates, personal_data, quality_rules, secret_scan,
+    toxicity)
 from usagemart.llm.decontaminate import contamination
 from usagemart.llm.rows import table
 
@@ -35,6 +36,15 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.predicted(toxicity.score(documents, model))
 
 
+def op6_licences(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return licences.by_document(documents, licences.learn(documents))
+
+
+def op7_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.scores(table(spark, folder, "documents"))
+
+
 def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     return personal_data.digest(personal_data.find(documents, personal_data.learn(documents)))
@@ -54,6 +64,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_near_duplicates": op3_near_duplicates,
     "op5_toxicity": op5_toxicity,
+    "op6_licences": op6_licences,
+    "op7_language_model": op7_language_model,
     "op8_personal_data": op8_personal_data,
     "op9_secrets": op9_secrets,
     "op10_decontaminate": op10_decontaminate,
