@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 
@@ -43,7 +44,8 @@ def test_per(value, amount, divisor, expected):
 
 
 @pytest.mark.parametrize("x, places, expected", [
-    ("0.25D", 1, "0.3"), ("0.15D", 1, "0.2"), ("0D", 1, "0.0"), ("15000.5D", 2, "15000.50")])
+    ("0.25D", 1, "0.3"), ("0.15D", 1, "0.1"), ("0D", 1, "0.0"), ("15000.5D", 2, "15000.50"),
+    ("2.65D", 1, "2.6"), ("-0.25D", 1, "-0.3")])
 def test_fixed_decimals(value, x, places, expected):
     assert value(numeric.fixed(x, places)) == expected
 
@@ -118,3 +120,36 @@ def test_time_expressions_ignore_the_session_zone(spark, value):
         assert value(temporal.parse_timestamp(f"'{gap.isoformat()}'")) == gap
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_rounding_equals_that_of_binary_doubles(spark):
+    """100,000 ratios, and their negatives, against Python's own rounding and exact decimals."""
+    rows = spark.range(100_000).selectExpr(
+        "id", "(if(id % 2 = 0, 1, -1) * CAST(id * 7 % 5003 AS double)) / (1 + id % 613) AS x").selectExpr(
+        "x", f"{numeric.round_even('x')} AS two", f"{numeric.round_even('x', 1)} AS one",
+        f"{numeric.fixed('x', 1)} AS text").collect()
+    for r in rows:
+        assert r.two == round(r.x, 2) and r.one == round(r.x, 1)
+        assert Decimal(r.text) == Decimal(r.x).quantize(Decimal("0.1"), ROUND_HALF_UP)
+
+
+@pytest.mark.parametrize("x", [0.0, 1e-9, 0.0039, 0.005, 0.015, 1 / 3, 0.5, 1.0, 2.675, 2.0 ** 52 + 0.5,
+                               2.0 ** 53, 1e15 + 0.3, 1e18, 1 - 2.0 ** -53, 4 - 2.0 ** -51])
+def test_rounding_of_odd_sizes(value, x):
+    assert value(numeric.round_even(f"CAST('{x!r}' AS double)")) == round(x, 2)
+    assert value(numeric.round_even(f"CAST('{-x!r}' AS double)")) == round(-x, 2)
+
+
+def test_page_time_has_no_zone(spark, value):
+    """Half past two does not exist in New York on this day."""
+    for zone in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            moment = "TIMESTAMP_NTZ '2024-03-10 02:30:05'"
+            assert value(temporal.page_time(moment)) == "3/10/2024, 2:30:05 AM"
+            assert value(temporal.page_time("TIMESTAMP_NTZ '2024-01-31 12:05:00'")) == "1/31/2024, 12:05:00 PM"
+            assert value(temporal.page_time("TIMESTAMP_NTZ '2024-01-31 00:05:00'")) == "1/31/2024, 12:05:00 AM"
+            assert value(temporal.epoch_seconds(moment)) == 1710037805
+            assert value(temporal.epoch_seconds("TIMESTAMP_NTZ '1969-12-31 23:59:59.5'")) == -1
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -15,6 +15,7 @@ from usagemart.plans.nightly import run_nightly
 from usagemart.plans.refresh import refresh_on_demand
 from usagemart.schemas import MART_COLUMNS, TELEMETRY_SCHEMA
 from usagemart.sources.audit import read_audit
+from usagemart.sources.keyed_table import KeyedTable
 from usagemart.streaming.telemetry_stream import stream_upsert
 
 STABLE = [c for c in MART_COLUMNS if c not in ("updated_at", "created_at")]
@@ -91,7 +92,7 @@ def test_refresh_stamps_and_logs(spark, home):
     assert found[1001].total_clicks == 2450 and found[1002].load_date == date(2024, 1, 15)
     entry = read_audit(spark, home.audit).first()
     assert (entry.process_name, entry.records_processed) == ("manual_report_generation", 1)
-    performance = {r.segment: r for r in home.segment_performance.read().collect()}
+    performance = {r.segment: r for r in home.segment_performance().collect()}
     assert performance["premium"].last_update_date == AS_OF.date()
 
 
@@ -145,13 +146,13 @@ def test_stream_equals_batch(spark, home, tmp_path):
     batch = to_mart_types(customer_mart(customers(spark), telemetry(spark, daily), DAY, AS_OF, 30))
     assert len(everything) == len(daily) + 2
     assert rows(home.mart.read(), STABLE) == rows(batch, STABLE)
-    assert sorted(map(tuple, home.segment_performance.read().collect())) == sorted(
+    assert sorted(map(tuple, home.segment_performance().collect())) == sorted(
         map(tuple, segment_performance(home.mart.read()).collect()))
 
     # Nothing new: nothing changes.
-    before = home.mart._commits().count()
+    before = home.mart.latest().number
     start_stream(spark, home, folder, checkpoint)
-    assert home.mart._commits().count() == before
+    assert home.mart.latest().number == before
 
 
 def test_a_new_checkpoint_starts_over_and_counts_once(spark, home, tmp_path):
@@ -168,18 +169,79 @@ def test_a_new_checkpoint_starts_over_and_counts_once(spark, home, tmp_path):
 
 
 def test_crash_between_the_two_commits_is_repaired(spark, home, tmp_path, monkeypatch):
+    """The history has the batch already, the mart has not."""
     folder, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
     telemetry(spark).coalesce(1).write.parquet(folder)
-    broken = Home(spark, home.root, buckets=4)
-    monkeypatch.setattr(Home, "refresh_segment_performance",
-                        lambda self, mart, tag=None: (_ for _ in ()).throw(RuntimeError("lost")))
+
+    def lost(mart, written=None):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr("usagemart.streaming.telemetry_stream.mart_gate", lost)
     with pytest.raises(Exception, match="lost"):
-        start_stream(spark, broken, folder, checkpoint)
+        start_stream(spark, home, folder, checkpoint)
     monkeypatch.undo()
+    assert home.mart.read().isEmpty()
     start_stream(spark, home, folder, checkpoint)
     expected = to_mart_types(
         customer_mart(customers(spark), telemetry(spark), DAY, AS_OF, 30))
-    assert rows(home.mart.read(), STABLE) == rows(expected, STABLE)
-    entries = home.mart._commits().orderBy("version").collect()
-    assert [e.version for e in entries] == [1, 2] and entries[0].tag == entries[1].tag
-    assert home.segment_performance.committed(entries[0].tag)
+    # Customers without telemetry have not been seen by the stream.
+    seen = {r[0] for r in TELEMETRY}
+    assert rows(home.mart.read(), STABLE) == [r for r in rows(expected, STABLE) if r[0] in seen]
+    assert home.mart.latest().number == 1
+
+
+def test_the_window_moves_for_silent_customers(spark, home, tmp_path):
+    folder, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
+    days = [date(2024, 1, 1), date(2024, 3, 1), date(2024, 2, 1)]
+    everything = [(1001, days[0], 10, 5, 5, 1), (1002, days[1], 10, 4, 4, 1),
+                  (1003, days[2], 3, 2, 2, 0)]
+    for row in everything:
+        telemetry(spark, [row]).coalesce(1).write.mode("append").parquet(folder)
+    ends = iter([date(2024, 1, 1), date(2024, 3, 1), date(2024, 3, 2)])
+    source = (spark.readStream.schema(TELEMETRY_SCHEMA).option("maxFilesPerTrigger", 1)
+              .parquet(folder))
+    idle = customer_mart(customers(spark), telemetry(spark, []), DAY, AS_OF)
+    home.mart.replace(to_mart_types(idle))
+    query = stream_upsert(source, customers(spark), home, checkpoint,
+                          execution_date=lambda: next(ends), clock=lambda: AS_OF)
+    query.awaitTermination()
+    batch = customer_mart(customers(spark), telemetry(spark, everything), date(2024, 3, 2), AS_OF, 30)
+    metrics = ["customer_id", "total_clicks", "total_conversions", "active_days"]
+    assert rows(home.mart.read(), metrics) == rows(to_mart_types(batch), metrics)
+    assert by_id(home.mart.read())[1001].total_clicks == 0
+
+
+def test_a_long_error_is_kept_whole(spark, home):
+    text = "x" * 5_000
+    with pytest.raises(Exception):
+        run_nightly(home, customers(spark).where(f"raise_error('{text}') IS NULL"), telemetry(spark), DAY, AS_OF)
+    assert text in read_audit(spark, home.audit).first().error_message
+
+
+def test_an_empty_delivery_has_a_report(spark, home):
+    result = run_nightly(home, customers(spark, []), telemetry(spark, []), DAY, AS_OF)
+    line = result.report.first()
+    assert (line.total_records, line.segment, line.line, line.quality) == (0, None, None, "PASS")
+    assert spark.read.parquet(home.reports).count() == 1
+
+
+def test_a_refresh_filters_every_scan_by_its_ids(spark, home, monkeypatch):
+    home.mart.replace(mart(spark))
+    people = home.root + "-people"
+    customers(spark).write.parquet(people)
+    tel = home.root + "-tel"
+    telemetry(spark).write.parquet(tel)
+    plans = []
+    stage = KeyedTable._stage
+
+    def spying(self, rows, buckets):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return stage(self, rows, buckets)
+
+    monkeypatch.setattr(KeyedTable, "_stage", spying)
+    refresh_on_demand(home, [1001], AS_OF, spark.read.parquet(people), spark.read.parquet(tel))
+    scans = [line for line in plans[0].splitlines() if "FileScan" in line]
+    assert len(scans) >= 4
+    unfiltered = [line for line in scans if "EqualTo(customer_id,1001)" not in line]
+    # Only the rewritten bucket itself is read whole.
+    assert len(unfiltered) == 1 and "bucket#" in unfiltered[0]

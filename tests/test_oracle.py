@@ -18,8 +18,22 @@ def test_every_query_has_sql():
     assert set(QUERIES) <= set(SQL)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_same_answer(spark, name):
+# No result may depend on the session's zone.
+ZONES = os.environ.get("ORACLE_ZONES", "UTC").split(",")
+CASES = [(name, zone) for zone in ZONES for name in sorted(QUERIES)]
+CASES += [(name, "America/New_York") for name in ("caller_info", "report_display", "access_decisions")
+          if ZONES == ["UTC"]]
+
+
+@pytest.fixture
+def in_zone(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    yield
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("name, zone", CASES)
+def test_same_answer(spark, in_zone, name, zone):
     names, rows = spark_rows(QUERIES[name](spark, FOLDER))
     expected_names, expected = sql_rows(FOLDER, SQL[name])
     assert names == expected_names

@@ -7,18 +7,19 @@ from contextlib import contextmanager
 
 import pytest
 
-import __spark_entry__ as driver
 from tests.fixtures import AS_OF, DAY, claims, mart, mart_row
+from usagemart.catalog.queries import registered
 from usagemart.operators import access, quality, reports, segments, telemetry, upsert
 from usagemart.plans.home import Home
 from usagemart.sources import warehouse
 from usagemart.sources.dimensions import segment_dim
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = driver.queries()
+QUERIES = registered()
 # These write tables while they are built; their parts are covered by the others.
-JOBS = {"mart_scan", "csv_round_trip", "nightly_run", "refresh_run", "stream_telemetry_agg",
-        "audit_log"}
+JOBS = {"mart_scan", "csv_round_trip", "nightly_run", "nightly_run_performance", "nightly_run_report",
+        "refresh_run", "refresh_run_performance", "stream_telemetry_agg", "stream_performance",
+        "audit_log", "access_filter", "report_envelope"}
 
 
 @contextmanager
@@ -91,7 +92,7 @@ def test_checks_read_six_columns_once(spark, stored):
     columns = re.search(r"FileScan parquet \[([^\]]*)\]", text).group(1)
     assert set(re.findall(r"(\w+)#", columns)) == {
         "email", "total_session_minutes", "engagement_score", "load_date", "total_conversions",
-        "total_clicks", "version", "bucket"}
+        "total_clicks", "attempt", "bucket"}
 
 
 def test_a_few_ids_become_a_pushed_filter(spark, stored):

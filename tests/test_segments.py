@@ -60,7 +60,7 @@ def test_counts_and_ties(spark):
 
 def test_map_and_stats(spark):
     frame = mart(spark, [mart_row(1, "a", "10"), mart_row(2, "a", "11"), mart_row(3, None, "1")])
-    row = segment_map(frame).first()
+    row = segment_map(frame, AS_OF).first()
     assert row.total_records == 3
     assert row.segment_distribution["a"].asDict() == {"count": 2, "avg_engagement": 10.5}
     assert row.segment_distribution["null"]["count"] == 1
@@ -68,7 +68,7 @@ def test_map_and_stats(spark):
 
 
 def test_empty_mart(spark):
-    row = segment_map(mart(spark, [])).first()
+    row = segment_map(mart(spark, []), AS_OF).first()
     assert (row.total_records, row.segment_distribution) == (0, {})
 
 

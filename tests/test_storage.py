@@ -11,8 +11,9 @@ from usagemart.operators.mart import customer_mart, to_mart_types
 from usagemart.operators.upsert import upsert_mart
 from usagemart.schemas import DECLARED_MART_SCHEMA, MART_SCHEMA, STAGED_SCHEMA
 from usagemart.session import scratch_path
+from usagemart.sources import files
 from usagemart.sources.audit import append_audit, audit_row, read_audit
-from usagemart.sources.keyed_table import KeyedTable
+from usagemart.sources.keyed_table import ConcurrentChange, KeyedTable
 from usagemart.sources.staging import read_staging, write_staging
 from usagemart.sources.tables import create_mart_table, write_bucketed
 
@@ -30,7 +31,7 @@ def test_new_table_is_empty(table):
     assert content(table) == []
     table.ensure()
     table.ensure()
-    assert content(table) == [] and table._commits().count() == 1
+    assert content(table) == [] and table.latest().number == 1
 
 
 def test_replace_and_read(spark, table):
@@ -40,10 +41,68 @@ def test_replace_and_read(spark, table):
     assert content(table) == SEEDS[:1]
 
 
-def test_layout_of_an_existing_table_wins(spark, table):
+def test_replace_takes_a_new_number_of_buckets(spark, table):
     table.replace(mart(spark))
+    before = table.read()
     again = KeyedTable(spark, table.root, MART_SCHEMA, "customer_id", buckets=16)
     assert again.buckets == 4 and content(again) == SEEDS
+    again.replace(again.read())
+    assert again.buckets == table.buckets == 16
+    assert content(table) == SEEDS and sorted(map(tuple, before.collect())) == SEEDS
+    touched = table.buckets_of(mart(spark, SEEDS[:1]))
+    table.change(lambda current: current.where("customer_id <> 1001"), touched)
+    assert content(table) == SEEDS[1:]
+
+
+def test_of_two_writers_one_fails_and_may_run_again(spark, table):
+    table.replace(mart(spark, [mart_row(i) for i in range(8)]))
+    other = KeyedTable(spark, table.root, MART_SCHEMA, "customer_id", buckets=4)
+    one, two = mart(spark, [mart_row(1, "one")]), mart(spark, [mart_row(2, "two")])
+
+    def change(writer, staged, before=lambda: None):
+        def transform(current):
+            before()
+            return upsert_mart(current, staged, AS_OF)
+        writer.change(transform, writer.buckets_of(staged))
+
+    with pytest.raises(ConcurrentChange):
+        change(table, one, before=lambda: change(other, two))
+    segments = {r.customer_id: r.segment for r in table.read().collect()}
+    assert (segments[1], segments[2]) == ("standard", "two")
+    change(table, one)
+    segments = {r.customer_id: r.segment for r in table.read().collect()}
+    assert (segments[1], segments[2], len(segments)) == ("one", "two", 8)
+
+
+def test_a_dead_attempt_stays_unseen(spark, table):
+    """Also when the session overwrites partitions dynamically."""
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        table.replace(mart(spark))
+
+        def refuse(result, written):
+            raise ValueError("no")
+
+        with pytest.raises(ValueError):
+            table.change(lambda current: mart(spark, [mart_row(i) for i in range(9)]), check=refuse)
+        table.change(lambda current: current.where("customer_id = 1001"))
+        assert content(table) == SEEDS[:1]
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_reading_costs_the_same_after_many_commits(spark, table, monkeypatch):
+    table.replace(mart(spark, SEEDS))
+    for i in range(200):
+        table._publish(table.latest(), table.latest().attempts, {"stream": i})
+    looked = []
+    look, read = files.exists, files.read_text
+    monkeypatch.setattr(files, "exists", lambda *a: looked.append(a) or look(*a))
+    monkeypatch.setattr(files, "read_text", lambda *a: looked.append(a) or read(*a))
+    assert table.latest().number == 201 and table.committed("stream", 199)
+    assert len(looked) <= 8 and content(table) == SEEDS
+    files.remove(spark, f"{table.root}/commits/hint")
+    assert table.latest().number == 201
 
 
 def test_one_file_per_bucket(spark, table):
@@ -60,11 +119,11 @@ def test_change_rewrites_only_touched_buckets(spark, table):
     table.change(lambda current: upsert_mart(current, staged, AS_OF), touched)
     rows = {r.customer_id: r for r in table.read().collect()}
     assert len(rows) == 40 and rows[3].segment == "new" and rows[4].segment == "standard"
-    versions = table.read().select(
-        F.regexp_extract(F.input_file_name(), r"version=(\d+)", 1).alias("v"),
-        table.bucket().alias("b")).distinct().collect()
-    assert sorted(r.v for r in versions) == ["1", "1", "1", "2"]
-    assert [tuple(r) for r in table.expired().collect()] == [(1, touched[0])]
+    attempts = table.read().select(
+        F.regexp_extract(F.input_file_name(), r"attempt=(\w+)", 1).alias("a"),
+        table.bucket().alias("b")).distinct().groupBy("a").count().collect()
+    assert sorted(r["count"] for r in attempts) == [1, 3]
+    assert [r.bucket for r in table.expired().collect()] == touched
 
 
 def test_a_bucket_may_become_empty(spark, table):
@@ -97,14 +156,18 @@ def test_readers_keep_their_version(spark, table):
 
 
 def test_tags(spark, table):
-    table.replace(mart(spark), tag="batch-0")
-    assert table.committed("batch-0") and not table.committed("batch-1")
+    table.replace(mart(spark), tags={"stream": 3})
+    table.replace(mart(spark))
+    assert table.committed("stream", 3) and table.committed("stream", 2)
+    assert not table.committed("stream", 4) and not table.committed("other", 0)
 
 
 def test_nothing_touched_is_no_change(spark, table):
     table.replace(mart(spark))
     table.change(lambda current: current, touched=[])
-    assert table._commits().count() == 1
+    assert table.latest().number == 1
+    table.change(lambda current: current, touched=[], tags={"stream": 1})
+    assert table.latest().number == 2 and content(table) == SEEDS
 
 
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])

@@ -14,7 +14,7 @@ from usagemart.plans.home import Home, read_mart
 from usagemart.plans.nightly import run_nightly
 from usagemart.plans.refresh import refresh_on_demand
 from usagemart.schemas import TELEMETRY_SCHEMA
-from usagemart.session import scratch_path
+from usagemart.session import materialize, scratch_path
 from usagemart.sources import readers, warehouse
 from usagemart.sources.audit import append_audit, audit_row, read_audit
 from usagemart.sources.dimensions import segment_dim
@@ -25,9 +25,10 @@ EXECUTION_DATE = date(2024, 1, 30)
 AS_OF = datetime(2024, 1, 31)
 DAY = timedelta(days=1)
 MONTH_DAYS = 30
-# Customers whose first order is older than this were in the mart already.
-_KNOWN = "registration_date < '1996-01-01'"
+# The deliveries: today's brings all active accounts; yesterday's brought customers whose first order is
+# older than this and all other accounts, so that both together are the whole table.
 _ACTIVE = "status = 'active'"
+_KNOWN = f"registration_date < '1996-01-01' OR NOT ({_ACTIVE})"
 TOP_K = 10
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,8 +74,11 @@ def mart(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def yesterday(spark: SparkSession, folder: str) -> DataFrame:
-    """The mart as loaded the day before: customers who were registered early enough."""
-    known = customers(spark, folder).where(_KNOWN)
+    """The mart as loaded the day before from that day's delivery."""
+    return _day_before(spark, folder, customers(spark, folder).where(_KNOWN))
+
+
+def _day_before(spark: SparkSession, folder: str, known: DataFrame) -> DataFrame:
     before = EXECUTION_DATE - DAY
     rows = marts.customer_mart(known, two_days(spark, folder, before), before, AS_OF - DAY)
     return _typed(spark, folder, rows)
@@ -89,6 +93,16 @@ def decisions(spark: SparkSession, folder: str) -> DataFrame:
     return access.access_decisions(warehouse.claims(spark, folder), mart(spark, folder))
 
 
+def _stored_mart(spark: SparkSession, folder: str) -> DataFrame:
+    """The mart built once, for queries that use it twice."""
+    return materialize(mart(spark, folder), "mart")
+
+
+def _access_filter(spark, folder):
+    built = _stored_mart(spark, folder)
+    return access.restrict(built, access.access_decisions(warehouse.claims(spark, folder), built))
+
+
 def report(spark: SparkSession, folder: str) -> DataFrame:
     return reports.customer_report(mart(spark, folder), AS_OF)
 
@@ -130,22 +144,29 @@ def _manual_refresh(spark, folder):
 
 def _refresh_run(spark, folder):
     home = _new_home(spark)
-    home.mart.replace(yesterday(spark, folder))
+    home.mart.replace(_day_before(spark, folder, customers(spark, folder)))
     ids = access.allowed_customers(decisions(spark, folder))
     refresh_on_demand(home, ids, AS_OF, customers(spark, folder), two_days(spark, folder))
-    return home.mart.read()
+    return home
 
 
-def _nightly_run(spark, folder):
-    """Two nights: the early customers, then everybody active."""
+def _nights(spark, folder):
+    """Two nights, one delivery each."""
     home = _new_home(spark)
     source = customers(spark, folder)
     before = EXECUTION_DATE - DAY
     tel = warehouse.telemetry(spark, folder, EXECUTION_DATE, days=3)
     run_nightly(home, source.where(_KNOWN), tel, before,
                 AS_OF - DAY)
-    return run_nightly(home, source.where(_ACTIVE), tel, EXECUTION_DATE,
-                       AS_OF, staging_format="csv").mart
+    return home, run_nightly(home, source.where(_ACTIVE), tel, EXECUTION_DATE,
+                             AS_OF, staging_format="csv")
+
+
+def _nightly_report(spark, folder):
+    """The stored report of the second night."""
+    home, _ = _nights(spark, folder)
+    stored = spark.read.parquet(home.reports).where(F.col("execution_date") == EXECUTION_DATE)
+    return stored.withColumn("execution_date", F.col("execution_date").cast("string"))
 
 
 def _audit_log(spark, folder):
@@ -165,9 +186,9 @@ def _mart_metadata(spark, folder):
 
 
 def _segment_map(spark, folder):
-    result = segments.segment_map(mart(spark, folder))
-    return result.selectExpr("total_records", "explode(segment_distribution)").selectExpr(
-        "total_records", "key AS segment", "value.count AS n", "value.avg_engagement")
+    result = segments.segment_map(mart(spark, folder), AS_OF)
+    return result.selectExpr("total_records", "loaded_at", "explode(segment_distribution)").selectExpr(
+        "total_records", "loaded_at", "key AS segment", "value.count AS n", "value.avg_engagement")
 
 
 def _dq_issues(spark, folder):
@@ -192,7 +213,10 @@ def _report_nested(spark, folder):
 
 
 def _report_envelope(spark, folder):
-    envelope = reports.report_envelope(report(spark, folder), decisions(spark, folder))
+    built = _stored_mart(spark, folder)
+    envelope = reports.report_envelope(
+        reports.customer_report(built, AS_OF),
+        access.access_decisions(warehouse.claims(spark, folder), built))
     one = envelope.selectExpr("email AS caller", "access_level", "n", "message",
                               "explode(reports) AS r")
     return _flat(one.select("caller", "access_level", "n", "message", "r.*"),
@@ -215,20 +239,31 @@ def _report_json(spark, folder):
 
 
 def _stream(spark, folder):
-    """The mart starts without telemetry and the stream brings the month."""
+    """The mart starts without telemetry, and the stream brings the month in several batches.
+
+    The last two weeks come first and the first ones late; the execution date moves with the batches.
+    """
     home = _new_home(spark)
     source = customers(spark, folder)
-    # A glob, as a file stream watches a folder.
     schema = warehouse.table(spark, folder, "events").schema
-    events = spark.readStream.schema(schema).parquet(f"{folder}/event[s].parquet")
+    first = EXECUTION_DATE - (2 * MONTH_DAYS - 1) * DAY
+    weeks = (warehouse.table(spark, folder, "events")
+             .where((F.col("ts") >= F.lit(first)) & (F.col("ts") < F.lit(EXECUTION_DATE + DAY)))
+             .withColumn("week", F.floor(F.datediff(F.lit(EXECUTION_DATE), F.to_date("ts")) / 15)))
+    inbox = scratch_path(spark, "inbox")
+    for week in (0, 3, 1, 2):
+        weeks.where(F.col("week") == week).drop("week").coalesce(1).write.mode("append").parquet(inbox)
+    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(inbox)
     nothing = spark.createDataFrame([], TELEMETRY_SCHEMA)
     idle = marts.customer_mart(source, nothing, EXECUTION_DATE, AS_OF)
     home.mart.replace(marts.to_mart_types(idle))
+    days = iter([20, 12, 5])
     query = stream_upsert(
         warehouse.event_metrics(events), source, home, scratch_path(spark, "stream"),
-        execution_date=lambda: EXECUTION_DATE, clock=lambda: AS_OF, window_days=MONTH_DAYS)
+        execution_date=lambda: EXECUTION_DATE - next(days, 0) * DAY, clock=lambda: AS_OF,
+        window_days=MONTH_DAYS)
     query.awaitTermination()
-    return home.mart.read()
+    return home
 
 
 # -- registry --------------------------------------------------------------------------------
@@ -257,7 +292,8 @@ QUERIES: dict[str, Query] = {
     "mart_upsert": lambda s, d: upsert.upsert_mart(yesterday(s, d), today(s, d), AS_OF),
     "insert_ignore": lambda s, d: upsert.insert_ignore(yesterday(s, d), today(s, d)),
     "manual_refresh": _manual_refresh,
-    "refresh_run": _refresh_run,
+    "refresh_run": lambda s, d: _refresh_run(s, d).mart.read(),
+    "refresh_run_performance": lambda s, d: _refresh_run(s, d).segment_performance(),
     "audit_log": _audit_log,
     "customer_analytics": lambda s, d: segments.customer_analytics(
         mart(s, d), segment_dim(s), AS_OF),
@@ -271,7 +307,7 @@ QUERIES: dict[str, Query] = {
     "top_engaged": _on_mart(segments.top_engaged, TOP_K),
     "caller_info": lambda s, d: access.caller_info(warehouse.claims(s, d)),
     "access_decisions": decisions,
-    "access_filter": lambda s, d: access.restrict(mart(s, d), decisions(s, d)),
+    "access_filter": _access_filter,
     "customer_report": report,
     "reports_ordered": _on_report(reports.order_reports),
     "customer_report_nested": _report_nested,
@@ -289,8 +325,12 @@ QUERIES: dict[str, Query] = {
     "dq_duplicate_keys": _duplicate_keys,
     "dq_type_violations": lambda s, d: quality.type_violations(staged(s, d)),
     "run_report": _on_mart(quality.run_report, EXECUTION_DATE),
-    "nightly_run": _nightly_run,
-    "stream_telemetry_agg": _stream,
+    "nightly_run": lambda s, d: _nights(s, d)[1].mart,
+    "nightly_run_performance": lambda s, d: _nights(s, d)[1].segment_performance,
+    "nightly_run_report": _nightly_report,
+    # The date of a customer's last load depends on the batch that brought their last change.
+    "stream_telemetry_agg": lambda s, d: _stream(s, d).mart.read().drop("load_date"),
+    "stream_performance": lambda s, d: _stream(s, d).segment_performance(),
 }
 
 

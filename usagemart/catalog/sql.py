@@ -14,6 +14,27 @@ def _r2(x: str) -> str:
     return f"round_even(({x})::DECIMAL(18,6), 2)::DOUBLE"
 
 
+def _exact(x: str, places: int, tie: str) -> str:
+    """Whole-number rounding of a double's binary value, worked out in a subquery."""
+    scale = 10 ** places
+    q, rem = f"(m * {scale} // t)", f"(m * {scale} % t)"
+    return f"""(SELECT CASE WHEN a < 0.004 THEN 0 WHEN k <= 0 THEN x
+       ELSE sign(x) * ({q} + CASE WHEN 2 * {rem} > t OR (2 * {rem} = t AND {tie.format(q=q)}) THEN 1 ELSE 0 END)
+            / {scale}.0::DOUBLE END
+  FROM (SELECT x, a, k, (a * pow(2::DOUBLE, k))::BIGINT AS m, 1::BIGINT << greatest(k, 0) AS t
+        FROM (SELECT x, abs(x) AS a, CASE WHEN abs(x) < 0.004 THEN 0
+                     ELSE 53 - floor(log2(abs(x)))::INT END AS k
+              FROM (SELECT ({x})::DOUBLE AS x))))"""
+
+
+def _py(x: str, places: int = 2) -> str:
+    return _exact(x, places, "{q} % 2 = 1")
+
+
+def _page(x: str) -> str:
+    return f"({_exact(x, 1, 'TRUE')})::DECIMAL(18,1)::VARCHAR"
+
+
 def _avg(x: str) -> str:
     return f"sum({x})::DOUBLE / nullif(count({x}), 0)"
 
@@ -103,7 +124,7 @@ _TWO_DAYS = [_tel("tel", "2024-01-29", "2024-01-30"), _agg("agg", "tel")]
 _STAGED = [CUSTOMERS, *_TWO_DAYS, _staged("staged", "agg", "2024-01-30", "2024-01-31T00:00:00")]
 _MART = [*_STAGED, SEEN, _typed("mart", "staged", "seen_at")]
 
-_KNOWN = "c.registration_date < '1996-01-01'"
+_KNOWN = "(c.registration_date < '1996-01-01' OR c.status <> 'active')"
 _YESTERDAY = [
     CUSTOMERS, SEEN, _tel("tel0", "2024-01-28", "2024-01-29"), _agg("agg0", "tel0"),
     _staged("staged0", "agg0", "2024-01-29", "2024-01-30T00:00:00", _KNOWN),
@@ -130,6 +151,7 @@ def _upsert(current: str, new: str) -> str:
 FROM {current} o FULL JOIN {new} n ON n.customer_id = o.customer_id"""
 
 
+# The segments, and below the texts of the reports.
 DIM = """dim(segment_code, segment_name, description, min_engagement_score,
     max_engagement_score) AS (VALUES
   ('standard', 'Стандартный', 'Базовые клиенты с умеренной активностью', 0::DOUBLE, 50::DOUBLE),
@@ -169,15 +191,15 @@ _ALLOWED = "(SELECT customer_id FROM decisions WHERE decision = 'allowed')"
 _H = "(m.total_session_minutes / 60)"
 REPORT = f"""report AS (
   SELECT customer_id, concat(first_name, ' ', last_name) AS name, email, segment,
-         registration_date, status, {_r2(_H)} AS total_hours,
-         {_r2(f'CASE WHEN active_days > 0 THEN {_H} / active_days ELSE 0 END')}
+         registration_date, status, {_py(_H)} AS total_hours,
+         {_py(f'CASE WHEN active_days > 0 THEN {_H} / active_days ELSE 0 END')}
            AS avg_daily_hours,
          active_days, total_page_views, total_clicks, total_conversions,
-         {_r2('conversion_rate')} AS conversion_rate, {_r2('engagement_score')}
+         {_py('conversion_rate')} AS conversion_rate, {_py('engagement_score')}
            AS engagement_score,
-         {_r2(f'CASE WHEN {_H} > 0 THEN total_clicks / {_H} ELSE 0 END')} AS actions_per_hour,
-         {_r2('lifetime_value')} AS lifetime_value,
-         {_r2(f'CASE WHEN {_H} > 0 THEN lifetime_value / {_H} ELSE 0 END')} AS value_per_hour,
+         {_py(f'CASE WHEN {_H} > 0 THEN total_clicks / {_H} ELSE 0 END')} AS actions_per_hour,
+         {_py('lifetime_value')} AS lifetime_value,
+         {_py(f'CASE WHEN {_H} > 0 THEN lifetime_value / {_H} ELSE 0 END')} AS value_per_hour,
          load_date, updated_at, created_at,
          CASE WHEN updated_at > {AS_OF} - INTERVAL 1 DAY THEN 'fresh' ELSE 'stale' END
            AS data_freshness
@@ -244,6 +266,44 @@ _STAGED_MONTH = [
     _staged("staged30", "agg30", "2024-01-30", "2024-01-31T00:00:00"),
 ]
 
+_REFRESH = [
+    *_DECISIONS, _tel("tel0", "2024-01-28", "2024-01-29"), _agg("agg0", "tel0"),
+    _staged("staged0", "agg0", "2024-01-29", "2024-01-30T00:00:00"),
+    _typed("before", "staged0", "seen_at"),
+    _staged("staged1", "agg", "2024-01-31", "2024-01-31T00:00:00", f"c.customer_id IN {_ALLOWED}"),
+    _typed("recomputed", "staged1", NEVER),
+]
+_NIGHTS = [*_YESTERDAY, _typed("before", "staged0", DAY_BEFORE), *_TODAY]
+_MERGED = f"merged AS ({_upsert('before', 'staged_today')})"
+_STREAM = [
+    *_STAGED_MONTH,
+    """streamed AS (SELECT DISTINCT user_id FROM events
+  WHERE ts >= TIMESTAMP '2023-12-02 00:00:00' AND ts < TIMESTAMP '2024-01-31 00:00:00')""",
+    _typed("mart", "staged30",
+           f"CASE WHEN customer_id IN (SELECT user_id FROM streamed) THEN {AS_OF} END"),
+]
+
+
+def _performance(mart: str) -> str:
+    return f"""
+SELECT segment, count(*) AS customer_count,
+       {_avg('lifetime_value::DECIMAL(18,2)')} AS avg_lifetime_value,
+       {_avg('engagement_score::DECIMAL(18,2)')} AS avg_engagement,
+       sum(total_conversions)::BIGINT AS total_conversions,
+       {_avg('conversion_rate::DECIMAL(18,2)')} AS avg_conversion_rate,
+       max(load_date) AS last_update_date
+FROM {mart} GROUP BY segment"""
+
+
+_REPORT_LINES = f"""
+SELECT '2024-01-30' AS execution_date, 'SUCCESS' AS status, i.total_records,
+       coalesce(s.segment, 'None') AS segment,
+       coalesce(s.segment, 'None') || ': ' || s.n || ' records (avg engagement: '
+         || ({_py('s.avg_engagement')})::DECIMAL(18,2) || ')' AS line,
+       i.issue_count AS issues_found,
+       CASE WHEN i.issue_count = 0 THEN 'PASS' ELSE 'WARNINGS' END AS quality
+FROM stats s, issues i"""
+
 SQL: dict[str, str] = {
     "src_customers": _with([CUSTOMERS], "SELECT * FROM customers"),
     "src_telemetry": _with(_TWO_DAYS[:1], "SELECT * FROM tel"),
@@ -275,14 +335,9 @@ SELECT * FROM staged_today WHERE customer_id NOT IN (SELECT customer_id FROM bef
     "manual_refresh": _with(_DECISIONS, f"""
 SELECT customer_id, email, {TODAY} AS load_date, {AS_OF} AS updated_at
 FROM mart WHERE customer_id IN {_ALLOWED}"""),
-    "refresh_run": _with(
-        [*_DECISIONS, _tel("tel0", "2024-01-28", "2024-01-29"), _agg("agg0", "tel0"),
-         _staged("staged0", "agg0", "2024-01-29", "2024-01-30T00:00:00", _KNOWN),
-         _typed("before", "staged0", "seen_at"),
-         _staged("staged1", "agg", "2024-01-31", "2024-01-31T00:00:00",
-                 f"c.customer_id IN {_ALLOWED} AND {_KNOWN}"),
-         _typed("recomputed", "staged1", NEVER)],
-        _upsert("before", "recomputed")),
+    "refresh_run": _with(_REFRESH, _upsert("before", "recomputed")),
+    "refresh_run_performance": _with(
+        [*_REFRESH, f"merged AS ({_upsert('before', 'recomputed')})"], _performance("merged")),
     "audit_log": _with(_DECISIONS, f"""
 SELECT 'nightly_load' AS process_name, DATE '2024-01-30' AS execution_date,
        {DAY_BEFORE} AS start_time, {AS_OF} AS end_time, count(*) AS records_processed,
@@ -308,19 +363,13 @@ SELECT m.customer_id, m.segment, m.engagement_score, d.min_engagement_score,
        d.max_engagement_score
 FROM mart m LEFT JOIN dim d ON d.segment_code = m.segment
 WHERE NOT coalesce({_BAND}, FALSE)"""),
-    "segment_performance": _with(_MART, f"""
-SELECT segment, count(*) AS customer_count,
-       {_avg('lifetime_value::DECIMAL(18,2)')} AS avg_lifetime_value,
-       {_avg('engagement_score::DECIMAL(18,2)')} AS avg_engagement,
-       sum(total_conversions)::BIGINT AS total_conversions,
-       {_avg('conversion_rate::DECIMAL(18,2)')} AS avg_conversion_rate,
-       max(load_date) AS last_update_date
-FROM mart GROUP BY segment"""),
+    "segment_performance": _with(_MART, _performance("mart")),
     "segment_value_counts": _with(_MART, """
 SELECT segment, count(*) AS n FROM mart WHERE segment IS NOT NULL GROUP BY segment"""),
     "segment_load_stats": _with([*_MART, _LOAD_STATS], "SELECT * FROM stats"),
     "segment_map": _with([*_MART, _LOAD_STATS], """
-SELECT (SELECT count(*) FROM mart) AS total_records, segment, n, avg_engagement FROM stats"""),
+SELECT (SELECT count(*) FROM mart) AS total_records, '2024-01-31T00:00:00' AS loaded_at, segment, n,
+       avg_engagement FROM stats"""),
     "segment_counts": _with(_MART, "SELECT segment, count(*) AS n FROM mart GROUP BY segment"),
     "top_segment": _with(_MART, """
 SELECT segment, count(*) AS n FROM mart GROUP BY segment ORDER BY n DESC, segment LIMIT 1"""),
@@ -348,9 +397,9 @@ JOIN report r ON r.customer_id = a.customer_id"""),
 SELECT customer_id, customer_id AS id, name, email,
        strftime(registration_date, '%Y-%m-%d') AS registration_date, total_hours, value_per_hour,
        {_iso('updated_at')} AS updated_at, {_iso('created_at')} AS created_at FROM report"""),
-    "report_display": _with(_REPORT, """
-SELECT name, email, segment, round(total_hours::DECIMAL(18,2), 1)::VARCHAR AS hours_used,
-       round(engagement_score::DECIMAL(18,2), 1)::VARCHAR AS engagement,
+    "report_display": _with(_REPORT, f"""
+SELECT name, email, segment, {_page('total_hours')} AS hours_used,
+       {_page('engagement_score')} AS engagement,
        '$' || lifetime_value::DECIMAL(18,2)::VARCHAR AS lifetime_value,
        coalesce(strftime(updated_at, '%-m/%-d/%Y, %-I:%M:%S %p'), 'Never') AS last_updated,
        data_freshness AS freshness
@@ -361,17 +410,18 @@ SELECT customer_id, strftime(registration_date, '%Y-%m-%d') AS registration_date
        {_iso('created_at')} AS created_at
 FROM report"""),
     "customer_summary": _with(_MART, f"""
-SELECT customer_id, count(*) AS total_records, {_r2('avg(engagement_score)')} AS avg_engagement,
+SELECT customer_id, total_records, {_py('engagement')} AS avg_engagement, total_conversions,
+       {_py('value')} AS avg_lifetime_value, {_py('minutes / 60', 1)} AS total_usage_hours,
+       last_update, first_load, reporting_period_days, generate_new, message
+FROM (SELECT customer_id, count(*) AS total_records, avg(engagement_score) AS engagement,
        sum(total_conversions)::BIGINT AS total_conversions,
-       {_r2('avg(lifetime_value)')} AS avg_lifetime_value,
-       round_even((sum(total_session_minutes) / 60)::DECIMAL(18,6), 1)::DOUBLE
-         AS total_usage_hours,
+       avg(lifetime_value) AS value, sum(total_session_minutes) AS minutes,
        max(updated_at) AS last_update, min(load_date) AS first_load,
        date_diff('day', min(load_date), {TODAY})::INT AS reporting_period_days,
        coalesce(max(updated_at) <= {AS_OF} - INTERVAL 2 DAY, FALSE) AS generate_new,
        CASE WHEN max(updated_at) > {AS_OF} - INTERVAL 2 DAY THEN 'Data is up to date'
             ELSE 'Consider generating new report' END AS message
-FROM mart GROUP BY customer_id"""),
+FROM mart GROUP BY customer_id)"""),
     "freshness_status": _with(_MART, f"""
 SELECT s.*, CASE freshness WHEN 'fresh' THEN 'green' WHEN 'recent' THEN 'blue'
               WHEN 'daily' THEN 'yellow' ELSE 'red' END AS freshness_color,
@@ -400,18 +450,12 @@ SELECT customer_id, count(*) AS n
 FROM (SELECT customer_id FROM staged0 UNION ALL SELECT customer_id FROM staged1)
 GROUP BY customer_id HAVING count(*) > 1"""),
     "dq_type_violations": _with(_STAGED, _violations()),
-    "run_report": _with([*_MART, _LOAD_STATS, _CHECKS, _ISSUES], """
-SELECT '2024-01-30' AS execution_date, 'SUCCESS' AS status, i.total_records,
-       coalesce(s.segment, 'None') AS segment,
-       coalesce(s.segment, 'None') || ': ' || s.n || ' records (avg engagement: '
-         || round_even(s.avg_engagement::DECIMAL(18,6), 2)::DECIMAL(18,2) || ')' AS line,
-       i.issue_count AS issues_found,
-       CASE WHEN i.issue_count = 0 THEN 'PASS' ELSE 'WARNINGS' END AS quality
-FROM stats s, issues i"""),
-    "nightly_run": _with([*_YESTERDAY, _typed("before", "staged0", DAY_BEFORE), *_TODAY],
-                         _upsert("before", "staged_today")),
-    "stream_telemetry_agg": _with(
-        [*_STAGED_MONTH,
-         _typed("mart", "staged30", f"CASE WHEN seen_at IS NOT NULL THEN {AS_OF} END")],
-        "SELECT * FROM mart"),
+    "run_report": _with([*_MART, _LOAD_STATS, _CHECKS, _ISSUES], _REPORT_LINES),
+    "nightly_run": _with(_NIGHTS, _upsert("before", "staged_today")),
+    "nightly_run_performance": _with([*_NIGHTS, _MERGED], _performance("merged")),
+    "nightly_run_report": _with(
+        [*_NIGHTS, _MERGED, *(part.replace("FROM mart", "FROM merged") for part in (_LOAD_STATS, _CHECKS)),
+         _ISSUES], _REPORT_LINES),
+    "stream_telemetry_agg": _with(_STREAM, "SELECT * EXCLUDE (load_date) FROM mart"),
+    "stream_performance": _with(_STREAM, _performance("mart")),
 }

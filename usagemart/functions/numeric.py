@@ -44,7 +44,43 @@ def per(value: str, divisor: str) -> str:
     return f"if({divisor} > 0, try_divide(CAST({value} AS double), {divisor}), 0)"
 
 
+def _rounded(x: str, places: int, up: str) -> str:
+    """Rounds the exact binary value of a double, as languages with such doubles do.
+
+    A positive double is ``m / t`` with a whole ``m`` and a power of two ``t``, both of which fit in 63
+    bits for numbers that do not round to zero; so ``m * 10^places`` is divided in whole numbers.
+    ``up`` decides a tie, where ``q`` is the quotient. From 2^46 on, doubles lie further apart than
+    hundredths, and the nearest one to the rounded number is ``x`` itself.
+    """
+    def positive(y: str) -> str:
+        k = f"(53 - CAST(floor(log2({y})) AS int))"
+        m = f"(CAST({y} * pow(2D, {k}) AS bigint) * {10 ** places}L)"
+        t = f"shiftleft(1L, {k})"
+        twice, q = f"(2 * ({m} % {t}))", f"({m} div {t})"
+        tie = up.format(q=q)
+        return (f"CASE WHEN {y} < 0.004D THEN 0D WHEN {k} <= 7 THEN {y} "
+                f"ELSE CAST({q} + if({twice} > {t} OR ({twice} = {t} AND {tie}), 1, 0) AS double)"
+                f" / {10 ** places}D END")
+
+    x = f"CAST({x} AS double)"
+    return f"(CASE WHEN {x} < 0 THEN -{positive(f'abs({x})')} WHEN {x} >= 0 THEN {positive(x)} END)"
+
+
+def round_even(x: str, places: int = 2) -> str:
+    """``x``, a double, to ``places`` decimals; an exact tie goes to the even digit."""
+    return _rounded(x, places, "{q} % 2 = 1")
+
+
+def round_even_or_zero(x: str, places: int = 2) -> str:
+    return round_even(f"coalesce({x}, 0)", places)
+
+
+def to_fixed_even(x: str, places: int) -> str:
+    """Text with exactly ``places`` decimals, exact ties to the even digit."""
+    return f"CAST(CAST({round_even(x, places)} AS decimal(28,{places})) AS string)"
+
+
 def fixed(x: str, places: int) -> str:
-    """Text with exactly ``places`` decimals, ties away from zero, as report pages print it."""
-    return (f"CAST(CAST(round(CAST({x} AS decimal(28,2)), {places}) "
+    """Text with exactly ``places`` decimals; an exact tie goes away from zero, as on report pages."""
+    return (f"CAST(CAST({_rounded(x, places, 'true')} "
             f"AS decimal(28,{places})) AS string)")

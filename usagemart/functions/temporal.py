@@ -82,3 +82,17 @@ def iso_timestamp(moment: str) -> str:
     """ISO text with a six-digit fraction, which is left out when it is zero."""
     text = f"replace(CAST({moment} AS string), ' ', 'T')"
     return f"if(length({text}) > 19, rpad({text}, 26, '0'), {text})"
+
+
+def page_time(moment: str) -> str:
+    """``1/31/2024, 2:05:09 AM`` from the parts of the timestamp, which no time zone touches."""
+    two = "lpad({}({}), 2, '0')".format
+    return (f"concat(month({moment}), '/', day({moment}), '/', year({moment}), ', ', "
+            f"(hour({moment}) + 11) % 12 + 1, ':', {two('minute', moment)}, ':', {two('second', moment)}, "
+            f"if(hour({moment}) < 12, ' AM', ' PM'))")
+
+
+def epoch_seconds(moment: str) -> str:
+    """Whole seconds since 1970 of a timestamp without zone, read as UTC."""
+    since = f"CAST({moment} - TIMESTAMP_NTZ '1970-01-01 00:00:00' AS INTERVAL SECOND)"
+    return f"CAST(floor(CAST({since} AS decimal(18,6))) AS bigint)"

@@ -31,7 +31,12 @@ def customer_mart(customers: DataFrame, tel: DataFrame, execution_date: date, as
     Telemetry is aggregated first, so the join meets one row per customer and reuses the shuffle
     of the aggregate.
     """
-    metrics = telemetry_agg(tel, execution_date, window_days)
+    return with_metrics(customers, telemetry_agg(tel, execution_date, window_days), execution_date, as_of)
+
+
+def with_metrics(customers: DataFrame, metrics: DataFrame, execution_date: date,
+                 as_of: datetime) -> DataFrame:
+    """Staged rows from metrics that are aggregated already."""
     master = [name for name in CUSTOMER_SCHEMA.fieldNames() if name != "lifetime_value"]
     return customers.join(metrics, "customer_id", "left").selectExpr(
         *master,
@@ -55,6 +60,14 @@ def to_mart_types(staged: DataFrame, schema: T.StructType = MART_SCHEMA,
     return staged.selectExpr(*plain, *aliased(parsed)).to(schema)
 
 
+def stored_counts(staged: DataFrame, metrics: DataFrame, as_of: datetime) -> DataFrame:
+    """``extract_metrics`` from what a run has stored: its staged rows, and metrics with ``source_rows``."""
+    tagged = staged.selectExpr("1L AS c", "0L AS t").unionAll(metrics.selectExpr("0L", "source_rows"))
+    return tagged.selectExpr(
+        "coalesce(sum(c), 0) AS customers", "coalesce(sum(t), 0) AS telemetry",
+        "coalesce(sum(c + t), 0) AS records_count", f"'{as_of.isoformat()}' AS extracted_at")
+
+
 def load_metadata(staged: DataFrame) -> DataFrame:
     """What a transform reports: row count, column names, and customers per known segment.
 

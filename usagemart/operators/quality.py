@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from usagemart.functions.numeric import half_even
+from usagemart.functions.numeric import to_fixed_even
 from usagemart.functions.temporal import parse_date
 from usagemart.functions.text import aliased
 from usagemart.operators.segments import segment_load_stats
@@ -71,20 +71,27 @@ def type_violations(staged: DataFrame,
 
 
 def run_report(mart: DataFrame, execution_date: date) -> DataFrame:
-    """The report of a run: one line per segment, each beside the totals and the verdict.
+    """The report of a run over the whole mart; see ``report_lines``."""
+    return report_lines(dq_checks(mart), segment_load_stats(mart), execution_date)
 
-    The verdict is one row and joins as a scalar subquery; both passes read a few columns.
+
+def report_lines(checks: DataFrame, stats: DataFrame, execution_date: date) -> DataFrame:
+    """One line per segment, each beside the totals and the verdict.
+
+    An empty mart has a report too: one line without a segment. The lines, one for each distinct segment,
+    come to the verdict's one row as a scalar subquery.
     """
-    verdict = dq_issues(dq_checks(mart)).selectExpr(
-        "struct(total_records, CAST(size(issues) AS bigint) AS issues_found, is_valid) AS v")
     label = "coalesce(segment, 'None')"
-    average = f"CAST({half_even('coalesce(avg_engagement, 0)')} AS decimal(28,2))"
-    return segment_load_stats(mart).withColumn("_run", verdict.scalar()).selectExpr(
+    average = to_fixed_even("coalesce(avg_engagement, 0)", 2)
+    lines = stats.selectExpr(
+        f"{label} AS segment",
+        f"concat({label}, ': ', n, ' records (avg engagement: ', {average}, ')') AS line")
+    every = lines.agg(F.expr("collect_list(struct(segment, line)) AS lines"))
+    return dq_issues(checks).withColumn("_lines", every.scalar()).selectExpr(
         f"'{execution_date.isoformat()}' AS execution_date",
         f"'{SUCCESS}' AS status",
-        "_run.total_records",
-        f"{label} AS segment",
-        f"concat({label}, ': ', n, ' records (avg engagement: ', {average}, ')') AS line",
-        "_run.issues_found",
-        f"if(_run.is_valid, '{PASS}', '{WARNINGS}') AS quality",
+        "total_records",
+        "inline_outer(_lines) AS (segment, line)",
+        "CAST(size(issues) AS bigint) AS issues_found",
+        f"if(is_valid, '{PASS}', '{WARNINGS}') AS quality",
     )

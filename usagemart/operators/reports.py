@@ -6,9 +6,10 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from usagemart.functions.numeric import exact_avg, fixed, half_even, hours, per, r2, r2_or_zero
+from usagemart.functions.numeric import (
+    exact_avg, fixed, hours, per, round_even, round_even_or_zero)
 from usagemart.functions.temporal import (
-    date_literal, freshness_color, iso_date, iso_timestamp, newer_than, report_freshness,
+    date_literal, freshness_color, iso_date, iso_timestamp, newer_than, page_time, report_freshness,
     status_freshness, within_two_days)
 from usagemart.functions.text import aliased, first_given, full_name
 from usagemart.operators.access import allowed_customers
@@ -35,13 +36,13 @@ def customer_report(mart: DataFrame, as_of: datetime) -> DataFrame:
     value = "coalesce(lifetime_value, 0)"
     derived = {
         "name": full_name("first_name", "last_name"),
-        "total_hours": r2("_hours"),
-        "avg_daily_hours": r2(per("_hours", "active_days")),
-        "actions_per_hour": r2(per("total_clicks", "_hours")),
-        "value_per_hour": r2(per(value, "_hours")),
-        "conversion_rate": r2_or_zero("conversion_rate"),
-        "engagement_score": r2_or_zero("engagement_score"),
-        "lifetime_value": r2(value),
+        "total_hours": round_even("_hours"),
+        "avg_daily_hours": round_even(per("_hours", "active_days")),
+        "actions_per_hour": round_even(per("total_clicks", "_hours")),
+        "value_per_hour": round_even(per(value, "_hours")),
+        "conversion_rate": round_even_or_zero("conversion_rate"),
+        "engagement_score": round_even_or_zero("engagement_score"),
+        "lifetime_value": round_even(value),
         "data_freshness": report_freshness("updated_at", as_of),
     }
     return mart.selectExpr("*", f"{hours('total_session_minutes')} AS _hours").selectExpr(
@@ -115,7 +116,7 @@ def report_display(report: DataFrame) -> DataFrame:
         f"{fixed('total_hours', 1)} AS hours_used",
         f"{fixed('engagement_score', 1)} AS engagement",
         f"concat('$', {fixed('lifetime_value', 2)}) AS lifetime_value",
-        "coalesce(date_format(updated_at, 'M/d/yyyy, h:mm:ss a'), 'Never') AS last_updated",
+        f"coalesce({page_time('updated_at')}, 'Never') AS last_updated",
         "coalesce(data_freshness, 'unknown') AS freshness",
     )
 
@@ -136,10 +137,10 @@ def customer_summary(mart: DataFrame, as_of: datetime) -> DataFrame:
     return totals.selectExpr(
         "customer_id",
         "total_records",
-        f"{r2_or_zero('engagement')} AS avg_engagement",
+        f"{round_even_or_zero('engagement')} AS avg_engagement",
         "coalesce(conversions, 0) AS total_conversions",
-        f"{r2_or_zero('value')} AS avg_lifetime_value",
-        f"CAST({half_even(hours('minutes'), 1)} AS double) AS total_usage_hours",
+        f"{round_even_or_zero('value')} AS avg_lifetime_value",
+        f"{round_even(hours('minutes'), 1)} AS total_usage_hours",
         "last_update",
         "first_load",
         f"coalesce({days}, 0) AS reporting_period_days",

@@ -82,8 +82,8 @@ def top_segment(mart: DataFrame) -> DataFrame:
     return segment_counts(mart).limit(1)
 
 
-def segment_map(mart: DataFrame) -> DataFrame:
-    """Load statistics as one row with a map keyed by segment.
+def segment_map(mart: DataFrame, as_of: datetime) -> DataFrame:
+    """Load statistics as one row with a map keyed by segment, and when they were taken.
 
     The map is built from the per-segment result, so it has one entry per distinct segment.
     """
@@ -91,7 +91,8 @@ def segment_map(mart: DataFrame) -> DataFrame:
         "coalesce(sum(n), 0) AS total_records",
         """map_from_entries(collect_list(struct(
              coalesce(segment, 'null'), struct(n AS count, avg_engagement))))
-           AS segment_distribution""")
+           AS segment_distribution""",
+        f"'{as_of.isoformat()}' AS loaded_at")
 
 
 def top_engaged(mart: DataFrame, k: int = 10) -> DataFrame:

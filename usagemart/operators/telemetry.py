@@ -31,21 +31,27 @@ def last_days(tel: DataFrame, as_of_date: date, days: int) -> DataFrame:
 
 
 def telemetry_agg(tel: DataFrame, as_of_date: date | None = None,
-                  window_days: int | None = None) -> DataFrame:
+                  window_days: int | None = None, count_rows: bool = False) -> DataFrame:
     """Metrics per customer, over all rows or the last ``window_days`` days.
 
+    ``count_rows`` adds ``source_rows`` and keeps rows of no customer as one group, so that the rows read
+    can be told afterwards without reading them again.
+
     ``active_days`` counts rows with a duration. Every aggregate has a partial form, so a customer
     with a third of all rows reaches the shuffle as one row per task.
     """
     if window_days is not None:
         tel = last_days(tel, as_of_date, window_days)
-    sums = tel.where("customer_id IS NOT NULL").groupBy("customer_id").agg(*map(F.expr, [
+    if not count_rows:
+        tel = tel.where("customer_id IS NOT NULL")
+    sums = tel.groupBy("customer_id").agg(*map(F.expr, [
         "coalesce(sum(session_duration_minutes), 0) AS total_session_minutes",
         f"{r2('avg(session_duration_minutes)')} AS avg_session_minutes",
         "count(session_duration_minutes) AS active_days",
         "coalesce(sum(page_views), 0) AS total_page_views",
         "coalesce(sum(clicks), 0) AS total_clicks",
         "coalesce(sum(conversions), 0) AS total_conversions",
+        *(["count(1) AS source_rows"] if count_rows else []),
     ]))
     score = engagement_score("total_session_minutes", "total_page_views", "total_clicks")
     return sums.selectExpr(

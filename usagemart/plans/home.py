@@ -8,8 +8,8 @@ from functools import cached_property, reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from usagemart.operators.quality import duplicate_keys
-from usagemart.operators.segments import segment_performance
-from usagemart.schemas import MART_SCHEMA, SEGMENT_PERFORMANCE_SCHEMA
+from usagemart.operators.summary import performance_from, summarize
+from usagemart.schemas import MART_SCHEMA
 from usagemart.sources.keyed_table import KeyedTable
 
 
@@ -48,12 +48,11 @@ class Home:
     @cached_property
     def mart(self) -> KeyedTable:
         return KeyedTable(self.spark, f"{self.root}/customer_data_mart", MART_SCHEMA,
-                          "customer_id", self.buckets)
+                          "customer_id", self.buckets, summarize)
 
-    @cached_property
-    def segment_performance(self) -> KeyedTable:
-        return KeyedTable(self.spark, f"{self.root}/segment_performance",
-                          SEGMENT_PERFORMANCE_SCHEMA, "segment", buckets=1)
+    def segment_performance(self) -> DataFrame:
+        """The roll-up of the current mart, from the sums that were committed with its buckets."""
+        return performance_from(self.mart.summaries())
 
     @property
     def staging(self) -> str:
@@ -67,14 +66,10 @@ class Home:
     def reports(self) -> str:
         return f"{self.root}/run_reports"
 
-    def refresh_segment_performance(self, mart: DataFrame, tag: str | None = None) -> None:
-        """Rebuild the roll-up from the current mart. Readers keep the old one until then."""
-        self.segment_performance.replace(segment_performance(mart), tag)
-
     def create_views(self) -> None:
         """Register the current tables for SQL users."""
         self.mart.read().createOrReplaceTempView("customer_data_mart")
-        self.segment_performance.read().createOrReplaceTempView("segment_performance")
+        self.segment_performance().createOrReplaceTempView("segment_performance")
 
 
 def read_mart(spark: SparkSession, root: str) -> DataFrame:

@@ -8,11 +8,13 @@ from time import monotonic
 
 from pyspark.sql import DataFrame
 
-from usagemart.operators.mart import (
-    customer_mart, extract_metrics, load_metadata, to_mart_types)
-from usagemart.operators.quality import dq_checks, dq_issues, run_report, type_violations
+from usagemart.operators.mart import load_metadata, stored_counts, to_mart_types, with_metrics
+from usagemart.operators.quality import dq_issues, report_lines, type_violations
+from usagemart.operators.summary import checks_from, load_stats_from
+from usagemart.operators.telemetry import telemetry_agg
 from usagemart.operators.upsert import upsert_mart
 from usagemart.plans.home import Home, mart_gate
+from usagemart.session import materialize
 from usagemart.sources.audit import append_audit, audit_row
 from usagemart.sources.readers import Source, read_customers, read_telemetry
 from usagemart.sources.staging import read_staging, write_staging
@@ -47,7 +49,8 @@ def run_nightly(home: Home, customers: Source, telemetry: Source, execution_date
     try:
         source = read_customers(spark, customers)
         tel = read_telemetry(spark, telemetry, execution_date, days_back)
-        write_staging(customer_mart(source, tel, execution_date, as_of), home.staging,
+        metrics = materialize(telemetry_agg(tel, count_rows=True), "nightly-metrics")
+        write_staging(with_metrics(source, metrics, execution_date, as_of), home.staging,
                       staging_format)
         staged = read_staging(spark, home.staging, execution_date, staging_format)
 
@@ -55,22 +58,22 @@ def run_nightly(home: Home, customers: Source, telemetry: Source, execution_date
         batch = table.spread(to_mart_types(staged))
         table.change(lambda current: upsert_mart(current, batch, as_of), check=mart_gate)
         mart = table.read()
-        home.refresh_segment_performance(mart)
-
-        issues = dq_issues(dq_checks(mart), strict)
+        # A few rows for each bucket, committed with the mart, answer all that follows.
+        summaries = table.summaries()
+        issues = dq_issues(checks_from(summaries), strict)
         total = issues.select("total_records", "is_valid").first()["total_records"]
-        report = run_report(mart, execution_date)
+        report = report_lines(checks_from(summaries), load_stats_from(summaries), execution_date)
         (report.coalesce(1).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy("execution_date").parquet(home.reports))
     except Exception as failure:
-        log(0, "failed", str(failure)[:2000])
+        log(0, "failed", str(failure))
         raise
     log(total, "success")
     return NightlyResult(
         mart=mart,
-        segment_performance=home.segment_performance.read(),
-        extracted=extract_metrics(source, tel, as_of),
+        segment_performance=home.segment_performance(),
+        extracted=stored_counts(staged, metrics, as_of),
         staged=staged,
         metadata=load_metadata(staged),
         violations=type_violations(staged),

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, functions as F
 from usagemart.operators.mart import customer_mart, to_mart_types
 from usagemart.operators.upsert import KEY, refresh_customers, upsert_mart
 from usagemart.plans.home import Home, mart_gate
-from usagemart.session import materialize
+from usagemart.session import materialize, scratch_path
+from usagemart.sources import files
 from usagemart.sources.audit import append_audit, audit_row
 
 PROCESS = "manual_report_generation"
@@ -25,29 +26,40 @@ def refresh_on_demand(home: Home, ids: Sequence[int] | DataFrame, as_of: datetim
     Given the sources, their metrics are computed again first. Only the buckets that hold the
     chosen customers are read and written.
     """
-    if not isinstance(ids, DataFrame):
-        ids = home.spark.range(0, 1, 1, numPartitions=1).select(
-            F.explode(F.lit(list(ids)).cast("array<bigint>")).alias(KEY))
     started, table = monotonic(), home.mart
-    chosen = materialize(ids.select(KEY).distinct(), "refresh-ids")
-    buckets = table.buckets_of(chosen)
     recompute = customers is not None and telemetry is not None
+    scratch = None
+    if isinstance(ids, DataFrame):
+        scratch = scratch_path(home.spark, "refresh-ids")
+        ids.select(KEY).distinct().write.parquet(scratch)
+        chosen = home.spark.read.parquet(scratch)
+        buckets = table.buckets_of(chosen)
+    else:
+        # A list stays one, so that all scans can use it as a filter.
+        chosen = [int(i) for i in ids]
+        listed = F.explode(F.lit(chosen).cast("array<bigint>")).alias(KEY)
+        buckets = table.buckets_of(home.spark.range(0, 1, 1, numPartitions=1).select(listed))
+
+    def only(rows: DataFrame) -> DataFrame:
+        if isinstance(chosen, list):
+            return rows.where(F.col(KEY).isin(chosen))
+        return rows.join(chosen, KEY, "left_semi")
 
     def transform(current: DataFrame) -> DataFrame:
         if recompute:
-            known = current.select(KEY).join(chosen, KEY, "left_semi")
-            staged = customer_mart(customers.join(known, KEY, "left_semi"),
-                                   telemetry.join(known, KEY, "left_semi"), as_of.date(), as_of)
+            known = only(current.select(KEY))
+            staged = customer_mart(only(customers).join(known, KEY, "left_semi"), only(telemetry),
+                                   as_of.date(), as_of)
             current = upsert_mart(current, table.spread(to_mart_types(staged)), as_of)
         return refresh_customers(current, chosen, as_of)[0]
 
     # A mere stamp changes no key, so there is nothing to check.
     table.change(transform, buckets, check=mart_gate if recompute else None)
-    home.refresh_segment_performance(table.read())
-
-    refreshed = table.read(buckets).join(chosen, KEY, "left_semi").select(
-        KEY, "email", "load_date", "updated_at")
+    refreshed = only(table.read(buckets)).select(KEY, "email", "load_date", "updated_at")
     end = as_of + timedelta(seconds=monotonic() - started)
+    if scratch is not None:
+        refreshed = materialize(refreshed, "refreshed")  # the result outlives the ids
+        files.remove(home.spark, scratch)
     append_audit(audit_row(home.spark, PROCESS, as_of.date(), as_of, end, refreshed.count(),
                            "success"), home.audit)
     return refreshed

@@ -1,148 +1,200 @@
 """A keyed Parquet table that can be changed while others read it.
 
 Plain Parquet has no MERGE, and a job must not overwrite the files it reads. So rows live in
-``data/version=<v>/bucket=<b>`` by a hash of the key, a change writes new versions of the buckets
-it touches, and one row appended to ``commits`` makes them visible together. Readers see the
-newest committed version of every bucket. A job that dies before its commit leaves only
-unreferenced files, and running it again is safe. There is one writer at a time, as the nightly
-schedule has one active run.
+``data/attempt=<a>/bucket=<b>`` by a hash of the key. A change writes the buckets it touches into the folder
+of its own attempt, and a commit makes them visible together: a small file, named by its number, that
+says for every bucket which attempt holds it. Numbers are consecutive and a file is never overwritten, so
+of two writers who started from the same commit the second one fails and may run again; neither can lose
+the other's rows. What an attempt that died has written is in no commit and stays unseen.
+
+Reading costs the same after any number of commits: a hint names a recent one, and from there the
+following numbers are tried.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import json
+import uuid
+from collections.abc import Callable, Iterable, Mapping
+from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-# ``touched`` is NULL when the whole table was written.
-_COMMITS = "version INT, buckets INT, touched ARRAY<INT>, tag STRING"
+from usagemart.sources import files
+
+
+class ConcurrentChange(RuntimeError):
+    """Another writer committed first. Nothing was published; the change may be made again."""
+
+
+@dataclass(frozen=True)
+class Commit:
+    """The state of a table: the attempt of every bucket, and the last number of every tag."""
+
+    number: int = 0
+    attempts: tuple[str | None, ...] = ()
+    tags: Mapping[str, int] = field(default_factory=dict)
+
+    def to_json(self) -> str:
+        known = sorted({a for a in self.attempts if a is not None})
+        at = {name: i for i, name in enumerate(known)}
+        return json.dumps({"number": self.number, "known": known, "tags": dict(self.tags),
+                           "attempts": [None if a is None else at[a] for a in self.attempts]})
+
+    @staticmethod
+    def from_json(text: str) -> Commit:
+        row = json.loads(text)
+        return Commit(row["number"], tuple(
+            None if a is None else row["known"][a] for a in row["attempts"]), row["tags"])
 
 
 class KeyedTable:
+    """``summary`` turns the rows of some buckets, which also have a column ``bucket``, into a few rows
+    for each bucket. They are written and committed with the bucket."""
+
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType, key: str,
-                 buckets: int = 64):
+                 buckets: int = 64, summary: Callable[[DataFrame], DataFrame] | None = None):
         self.spark, self.root, self.schema, self.key = spark, root.rstrip("/"), schema, key
-        recorded = self._commits().agg(F.max("buckets")).first()[0]
-        # The layout of an existing table wins over the caller's wish.
-        self.buckets = recorded or buckets
+        self.wanted, self.summarize = buckets, summary
+
+    # -- commits ---------------------------------------------------------------------------
+
+    def _commit_path(self, number: int) -> str:
+        return f"{self.root}/commits/{number:012d}.json"
+
+    def latest(self) -> Commit:
+        hint = f"{self.root}/commits/hint"
+        number = int(files.read_text(self.spark, hint)) if files.exists(self.spark, hint) else 0
+        while files.exists(self.spark, self._commit_path(number + 1)):
+            number += 1
+        if not number:
+            return Commit()
+        return Commit.from_json(files.read_text(self.spark, self._commit_path(number)))
+
+    def _publish(self, base: Commit, attempts: Iterable[str | None],
+                 tags: Mapping[str, int] | None) -> None:
+        commit = Commit(base.number + 1, tuple(attempts), {**base.tags, **(tags or {})})
+        if not files.write_text(self.spark, self._commit_path(commit.number), commit.to_json()):
+            raise ConcurrentChange(f"{self.root}: somebody else wrote commit {commit.number}")
+        files.write_text(self.spark, f"{self.root}/commits/hint", str(commit.number), replace=True)
+
+    def committed(self, tag: str, number: int) -> bool:
+        """Whether a change with this tag and number, or a later one of the tag, is published."""
+        return self.latest().tags.get(tag, -1) >= number
+
+    @property
+    def buckets(self) -> int:
+        """Buckets of the current content; of an empty table, as many as wanted."""
+        return len(self.latest().attempts) or self.wanted
 
     # -- reading ---------------------------------------------------------------------------
 
-    def _commits(self) -> DataFrame:
-        """The log: one row per change, read by one task."""
-        try:
-            return self.spark.read.schema(_COMMITS).parquet(f"{self.root}/commits").coalesce(1)
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], _COMMITS)
-
-    def _written(self) -> DataFrame:
-        every = F.sequence(F.lit(0), F.col("buckets") - 1)
-        return self._commits().select(
-            "version", F.explode(F.coalesce("touched", every)).alias("bucket"))
-
-    def _live(self) -> dict[int, int]:
-        """Newest version per bucket: at most ``buckets`` small rows."""
-        rows = self._written().groupBy("bucket").agg(F.max("version").alias("version")).collect()
-        return {row["bucket"]: row["version"] for row in rows}
-
-    def _select(self, versions: dict[int, int]) -> DataFrame:
-        by_version: dict[int, list[int]] = {}
-        for bucket, version in sorted(versions.items()):
-            by_version.setdefault(version, []).append(bucket)
-        if not by_version:
-            return self.spark.createDataFrame([], self.schema)
-        layout = T.StructType(list(self.schema.fields)).add("version", "integer").add(
-            "bucket", "integer")
+    def _select(self, chosen: Mapping[int, str | None], kind: str, schema: T.StructType) -> DataFrame:
+        by_attempt: dict[str, list[int]] = {}
+        for bucket, attempt in sorted(chosen.items()):
+            if attempt is not None:
+                by_attempt.setdefault(attempt, []).append(bucket)
+        if not by_attempt:
+            return self.spark.createDataFrame([], schema)
+        layout = T.StructType(list(schema.fields)).add("attempt", "string").add("bucket", "integer")
         # Both are partition columns: Spark opens only the chosen folders.
-        chosen = reduce(lambda a, b: a | b, [
-            (F.col("version") == version) & F.col("bucket").isin(members)
-            for version, members in by_version.items()
-        ])
-        folders = [f"{self.root}/data/version={version}" for version in by_version]
-        data = (self.spark.read.schema(layout).option("basePath", f"{self.root}/data")
+        wanted = reduce(lambda a, b: a | b, [
+            (F.col("attempt") == attempt) & F.col("bucket").isin(members)
+            for attempt, members in by_attempt.items()])
+        folders = [f"{self.root}/{kind}/attempt={attempt}" for attempt in by_attempt]
+        data = (self.spark.read.schema(layout).option("basePath", f"{self.root}/{kind}")
                 .parquet(*folders))
-        return data.where(chosen).select(*self.schema.fieldNames())
+        return data.where(wanted).select(*schema.fieldNames())
 
     def read(self, buckets: Iterable[int] | None = None) -> DataFrame:
         """The current rows, or those of some buckets."""
-        live = self._live()
+        live = dict(enumerate(self.latest().attempts))
         if buckets is not None:
-            live = {b: live[b] for b in buckets if b in live}
-        return self._select(live)
+            live = {b: live.get(b) for b in buckets}
+        return self._select(live, "data", self.schema)
+
+    def summaries(self) -> DataFrame:
+        """The summary rows of all buckets, as they were committed with the current rows."""
+        live = dict(enumerate(self.latest().attempts))
+        return self._select(live, "summary", self._summary_schema())
 
-    def committed(self, tag: str) -> bool:
-        return not self._commits().where(F.col("tag") == tag).isEmpty()
+    def _summary_schema(self) -> T.StructType:
+        layout = T.StructType(list(self.schema.fields)).add("bucket", "integer")
+        found = self.summarize(self.spark.createDataFrame([], layout)).schema
+        return T.StructType([T.StructField(f.name, f.dataType) for f in found if f.name != "bucket"])
 
     def expired(self) -> DataFrame:
-        """Folders that no reader needs any more, for the retention job of the storage."""
-        newest = F.max("version").over(Window.partitionBy("bucket"))
-        return (self._written().withColumn("newest", newest)
-                .where("version < newest").select("version", "bucket").distinct())
+        """Folders (attempt, bucket) of earlier commits that the newest one does not use, for the
+        retention job of the storage. Reads all commits, as it runs rarely."""
+        live = [(a, b) for b, a in enumerate(self.latest().attempts) if a is not None]
+        kind = "number BIGINT, known ARRAY<STRING>, attempts ARRAY<INT>"
+        seen = (self.spark.read.schema(kind).json(f"{self.root}/commits/*.json")
+                .select("known", F.posexplode("attempts").alias("bucket", "at")).where("at IS NOT NULL")
+                .select(F.expr("known[at]").alias("attempt"), "bucket").distinct())
+        return seen.join(self.spark.createDataFrame(live, "attempt STRING, bucket INT"),
+                         ["attempt", "bucket"], "left_anti")
 
     # -- writing ---------------------------------------------------------------------------
 
-    def bucket(self) -> Column:
+    def bucket(self, buckets: int | None = None) -> Column:
         """The hash that Spark's own shuffle uses, so a shuffle partition is one bucket."""
-        return F.pmod(F.hash(F.col(self.key)), F.lit(self.buckets))
+        return F.pmod(F.hash(F.col(self.key)), F.lit(buckets or self.buckets))
 
     def buckets_of(self, rows: DataFrame) -> list[int]:
         """Buckets that hold the keys of ``rows``: at most ``buckets`` numbers."""
         return [r[0] for r in rows.select(self.bucket().alias("bucket")).distinct().collect()]
 
-    def spread(self, rows: DataFrame) -> DataFrame:
+    def spread(self, rows: DataFrame, buckets: int | None = None) -> DataFrame:
         """One shuffle partition per bucket; joins and aggregates on the key reuse it."""
-        return rows.repartition(self.buckets, self.key)
+        return rows.repartition(buckets or self.buckets, self.key)
 
-    def _stage(self, rows: DataFrame, version: int) -> None:
-        """Write ``rows``, spread by key, as a version that nobody sees yet."""
-        (rows.to(self.schema)
-         .withColumn("bucket", self.bucket())
+    def _stage(self, rows: DataFrame, buckets: int) -> str:
+        """Write ``rows``, spread by key, into a new attempt's folder, which nobody sees yet."""
+        attempt = uuid.uuid4().hex
+        path = f"{self.root}/data/attempt={attempt}"
+        (rows.to(self.schema).withColumn("bucket", self.bucket(buckets))
          .sortWithinPartitions("bucket", self.key)
-         .write.mode("overwrite").partitionBy("bucket")
-         .parquet(f"{self.root}/data/version={version}"))
-
-    def _publish(self, version: int, touched: list[int] | None, tag: str | None) -> None:
-        """One file with one row, so all buckets of the version appear at once."""
-        members = "NULL" if touched is None else f"array({', '.join(map(str, touched))})"
-        entry = self.spark.range(0, 1, 1, numPartitions=1).selectExpr(
-            f"{version} AS version", f"{self.buckets} AS buckets",
-            f"CAST({members} AS array<int>) AS touched", "CAST(NULL AS string) AS tag")
-        if tag is not None:
-            entry = entry.withColumn("tag", F.lit(tag))
-        entry.write.mode("append").parquet(f"{self.root}/commits")
+         .write.partitionBy("bucket").parquet(path))
+        if self.summarize is not None:
+            layout = T.StructType(list(self.schema.fields)).add("bucket", "integer")
+            (self.summarize(self.spark.read.schema(layout).parquet(path)).coalesce(1)
+             .write.partitionBy("bucket").parquet(f"{self.root}/summary/attempt={attempt}"))
+        return attempt
 
     def ensure(self) -> None:
         """Create the table, empty, unless it is there."""
-        if self._commits().isEmpty():
+        if not self.latest().number:
             self.replace(self.spark.createDataFrame([], self.schema))
 
-    def replace(self, rows: DataFrame, tag: str | None = None) -> None:
-        """Make ``rows`` the whole content."""
-        version = max(self._live().values(), default=0) + 1
-        self._stage(self.spread(rows), version)
-        self._publish(version, None, tag)
+    def replace(self, rows: DataFrame, tags: Mapping[str, int] | None = None) -> None:
+        """Make ``rows`` the whole content, in the number of buckets that this table was opened with."""
+        base = self.latest()
+        attempt = self._stage(self.spread(rows, self.wanted), self.wanted)
+        self._publish(base, [attempt] * self.wanted, tags)
 
     def change(self, transform: Callable[[DataFrame], DataFrame],
                touched: list[int] | None = None,
                check: Callable[[DataFrame, DataFrame | None], None] | None = None,
-               tag: str | None = None) -> None:
+               tags: Mapping[str, int] | None = None) -> None:
         """Rewrite the content, or only the ``touched`` buckets, through ``transform``.
 
         ``check`` gets the whole resulting table and, if only some buckets were written, their
-        rows. It may raise, which leaves the change unpublished.
+        rows. It may raise, which leaves the change unpublished. With nothing touched, only tags are
+        published, if there are any.
         """
-        if touched is not None and not touched:
+        if touched is not None and not touched and not tags:
             return
-        live = self._live()
-        version = max(live.values(), default=0) + 1
-        fresh = dict.fromkeys(range(self.buckets) if touched is None else touched, version)
-        current = self._select({b: v for b, v in live.items() if b in fresh})
-        self._stage(transform(self.spread(current)), version)
-        if check is not None:
-            check(self._select({**live, **fresh}),
-                  None if touched is None else self._select(fresh))
-        self._publish(version, touched, tag)
+        base = self.latest()
+        live = list(base.attempts) or [None] * self.wanted
+        members = list(range(len(live))) if touched is None else touched
+        if members:
+            current = self._select({b: live[b] for b in members}, "data", self.schema)
+            attempt = self._stage(transform(self.spread(current, len(live))), len(live))
+            fresh = dict.fromkeys(members, attempt)
+            if check is not None:
+                check(self._select({**dict(enumerate(live)), **fresh}, "data", self.schema),
+                      None if touched is None else self._select(fresh, "data", self.schema))
+            for bucket in members:
+                live[bucket] = attempt
+        self._publish(base, live, tags)

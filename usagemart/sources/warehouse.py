@@ -6,7 +6,7 @@ from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from usagemart.functions.temporal import iso_date, ts_literal
+from usagemart.functions.temporal import epoch_seconds, iso_date, ts_literal
 from usagemart.operators.telemetry import daily_rollup
 
 _TABLES = {
@@ -102,8 +102,8 @@ def claims(spark: SparkSession, folder: str) -> DataFrame:
         f"""CASE WHEN event_type = 'error' AND {other} >= 50 THEN {_email('user_id')} END
             AS preferred_username""",
         "'reports' AS aud",
-        "unix_seconds(CAST(ts AS timestamp)) AS iat",
-        "unix_seconds(CAST(ts AS timestamp)) + 300 AS exp",
+        f"{epoch_seconds('ts')} AS iat",
+        f"{epoch_seconds('ts')} + 300 AS exp",
         f"CASE event_type WHEN 'click' THEN user_id WHEN 'purchase' THEN {other} END"
         " AS requested_customer_id",
     )

@@ -1,49 +1,50 @@
 """Telemetry stream -> daily sums -> mart.
 
-Each micro-batch is summed per customer and day and added to a folder of its own, then the
-customers it mentions are aggregated again from that history and upserted. Three things follow:
-telemetry that arrives late is counted whenever it comes, where a watermark would drop it; no
-state grows in the executors; and a batch that runs twice overwrites its own folder and writes
-the same mart rows, so nothing counts twice.
+Each micro-batch is summed per customer and day and added to a history table, then customers are
+aggregated again from that history and upserted: those the batch mentions, and, when the window has moved
+since the last batch, those with telemetry on a day that left or entered it. Telemetry that arrives late
+is counted whenever it comes, where a watermark would drop it, and no state grows in the executors.
+
+The history is a keyed table by customer: a batch reads and writes only the buckets of its customers, and
+nothing has to list earlier batches. Every step is committed with the number of the batch, and a batch that
+runs twice skips what it has committed, so nothing counts twice.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from usagemart.functions.temporal import date_literal
 from usagemart.operators.mart import customer_mart, to_mart_types
 from usagemart.operators.telemetry import daily_rollup, telemetry_partials
 from usagemart.operators.upsert import KEY, upsert_mart
 from usagemart.plans.home import Home, mart_gate
-from usagemart.session import materialize
+from usagemart.session import scratch_path
+from usagemart.sources import files
+from usagemart.sources.keyed_table import KeyedTable
 
-_PARTIALS = T.StructType([
+HISTORY = T.StructType([
     T.StructField("customer_id", T.LongType()),
+    T.StructField("date", T.DateType()),
     T.StructField("session_duration_minutes", T.DecimalType(28, 2)),
     T.StructField("page_views", T.LongType()),
     T.StructField("clicks", T.LongType()),
     T.StructField("conversions", T.LongType()),
-    T.StructField("batch", T.LongType()),
-    T.StructField("date", T.DateType()),
 ])
 
 
-def _write_partials(batch: DataFrame, path: str) -> None:
-    stored = T.StructType([f for f in _PARTIALS if f.name != "batch"])
-    # Rebalancing writes few files per day and still splits the busiest day.
-    (telemetry_partials(batch.where(f"{KEY} IS NOT NULL")).to(stored).hint("rebalance", "date")
-     .write.mode("overwrite").partitionBy("date").parquet(path))
-
-
-def history(spark: SparkSession, folder: str, up_to_batch: int) -> DataFrame:
-    """Daily telemetry from all batches up to one; later ones do not change a repeated run."""
-    partials = spark.read.schema(_PARTIALS).parquet(folder)
-    return partials.where(f"batch <= {up_to_batch}").drop("batch")
+def moved_days(before: date, now: date, window_days: int) -> str:
+    """Condition on ``date``: the day left or entered the window as its end went from one day to another."""
+    low, high = sorted((before, now))
+    back = timedelta(days=window_days)
+    day = date_literal
+    return (f"(date > {day(low - back)} AND date <= {day(high - back)})"
+            f" OR (date > {day(low)} AND date <= {day(high)})")
 
 
 def stream_upsert(telemetry: DataFrame, customers: DataFrame, home: Home, checkpoint: str,
@@ -55,28 +56,43 @@ def stream_upsert(telemetry: DataFrame, customers: DataFrame, home: Home, checkp
     Batch numbers belong to a checkpoint, and so does the history: a stream that starts over with
     a new checkpoint reads its input from the start and builds a history of its own.
     """
-    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
-    folder = f"{home.root}/telemetry_batches/{stream}"
+    spark = home.spark
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()
+    past = KeyedTable(spark, f"{home.root}/telemetry_days/{stream}", HISTORY, KEY, home.buckets)
+    seen_until = f"{stream}/date"
+
+    def add_to_history(batch: DataFrame, batch_id: int) -> None:
+        path = scratch_path(spark, "batch")
+        (telemetry_partials(batch.where(f"{KEY} IS NOT NULL")).select(*HISTORY.fieldNames())
+         .to(HISTORY).write.parquet(path))
+        new = spark.read.schema(HISTORY).parquet(path)
+        past.change(lambda days: past.spread(telemetry_partials(days.unionByName(new)).select(
+            *HISTORY.fieldNames()).to(HISTORY)), past.buckets_of(new), tags={stream: batch_id})
+        files.remove(spark, path)
 
     def absorb(batch: DataFrame, batch_id: int) -> None:
-        tag = f"{stream}-{batch_id}"
-        if home.segment_performance.committed(tag):
+        mart, until = home.mart, execution_date()
+        if mart.committed(stream, batch_id):
             return
-        _write_partials(batch, f"{folder}/batch={batch_id}")
-        partials = history(home.spark, folder, batch_id)
-        written = home.spark.read.schema(_PARTIALS).parquet(f"{folder}/batch={batch_id}")
-        affected = materialize(written.select(KEY).distinct(), "stream-customers")
-        table = home.mart
-        buckets = table.buckets_of(affected)
-        daily = daily_rollup(partials.join(affected, KEY, "left_semi"))
-        as_of = clock()
+        named = scratch_path(spark, "customers")
+        changed = batch.select(KEY).where(f"{KEY} IS NOT NULL").distinct()
+        if not past.committed(stream, batch_id):
+            add_to_history(batch, batch_id)
+        history = past.read()
+        last = mart.latest().tags.get(seen_until)
+        if window_days is not None and last is not None and last != until.toordinal():
+            moved = history.where(moved_days(date.fromordinal(last), until, window_days))
+            changed = changed.unionByName(moved.select(KEY)).distinct()
+        changed.write.parquet(named)
+        affected = spark.read.schema(T.StructType([HISTORY[KEY]])).parquet(named)
+        buckets, as_of = mart.buckets_of(affected), clock()
+        daily = daily_rollup(past.read(past.buckets_of(affected)).join(affected, KEY, "left_semi"))
         staged = to_mart_types(customer_mart(
-            customers.join(affected, KEY, "left_semi"), daily, execution_date(), as_of,
-            window_days))
-        batch_rows = table.spread(staged)
-        table.change(lambda current: upsert_mart(current, batch_rows, as_of), buckets,
-                     check=mart_gate, tag=tag)
-        home.refresh_segment_performance(table.read(), tag)
+            customers.join(affected, KEY, "left_semi"), daily, until, as_of, window_days))
+        rows = mart.spread(staged)
+        mart.change(lambda current: upsert_mart(current, rows, as_of), buckets, check=mart_gate,
+                    tags={stream: batch_id, seen_until: until.toordinal()})
+        files.remove(spark, named)
 
     return (telemetry.writeStream.foreachBatch(absorb)
             .option("checkpointLocation", checkpoint)
