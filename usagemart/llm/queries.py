@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from usagemart.llm import (
-    byte_pairs, language_model, licences, near_duplicates, personal_data, quality_rules, secret_scan,
-    toxicity)
+    byte_pairs, language_model, licences, near_duplicates, personal_data, quality_rules, repeats,
+    secret_scan, toxicity)
 from usagemart.llm.decontaminate import contamination
 from usagemart.llm.rows import table
 
@@ -30,6 +30,10 @@ def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.classes(table(spark, folder, "documents")).select("doc_id", "class_id", "first")
 
 
+def op4_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.digest(repeats.without_repeats(table(spark, folder, "documents")))
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     model = toxicity.learn(documents, table(spark, folder, "labels"))
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_pairs": op1_byte_pairs,
     "op2_quality_rules": op2_quality_rules,
     "op3_near_duplicates": op3_near_duplicates,
+    "op4_repeats": op4_repeats,
     "op5_toxicity": op5_toxicity,
     "op6_licences": op6_licences,
     "op7_language_model": op7_language_model,
