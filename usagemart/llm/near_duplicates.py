@@ -11,8 +11,10 @@ has a fixed size; a bin also counts the few other shingles that fall into it, wh
 as rarer shingles than one in ``RAREST`` documents all weigh the same.
 
 Exact copies are one text from the start. In a bucket, members are compared with a leader, not all
-with all: first with the one that shares most buckets with others (the middle of its group), then,
-for members that are not yet in one class, with other leaders, until a round finds no more links.
+with all: first with the one that shares most buckets with others (the middle of its group); then, in
+buckets whose members are not yet in one class, with the like of those outside the leader's class. Two
+texts meet in about ten buckets at the threshold, mostly with different leaders; a link between texts
+neither of which is near any of their leaders can be missed. README.md has the measured share.
 
 Defined cases: null text is empty; texts without words are nobody's duplicate; shorter texts than a
 shingle have one shingle of all their words; repeated rows are copies; a class is named after its
@@ -30,7 +32,11 @@ from usagemart.llm.components import components
 from usagemart.llm.rows import SPACE, stored
 
 WORDS, THRESHOLD = 5, 0.8
-BANDS, ROWS = 8, 3  # a pair at the threshold is missed by all bands in 1 of 300 cases, at 0.9 never
+# Bands are subsets of the samples, so that a few samples make many long bands: a pair at the threshold
+# is missed by all bands in 1 of 100 cases, at 0.85 in 1 of 1000.
+SAMPLES, BANDS, ROWS = 24, 30, 5
+TURNS = 3
+BROADCAST_KEYS = 500_000  # of 16 bytes; more are joined by a shuffle
 IDF_BITS, RAREST = 18, 10
 TABLE_BITS, SEED = 16, 20_240_131
 _PARTS = 32
@@ -125,38 +131,57 @@ def inverse_frequencies(documents: DataFrame) -> np.ndarray:
     return (1 + np.log10(np.minimum(docs / np.maximum(seen, 1), RAREST))).astype(np.float32)
 
 
-def _tables() -> list[tuple[np.uint64, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each sample: a multiplier that picks an entry by shingle, and tables of r, beta, ln c."""
+def _tables(top: float) -> list[tuple]:
+    """For each sample: a multiplier that picks an entry by shingle, tables of r, beta and ln c, and what
+    they give for the weight ``top``, which most shingles have."""
     dice = np.random.default_rng(SEED)
     made = []
-    for _ in range(BANDS * ROWS):
+    for _ in range(SAMPLES):
         size = 1 << TABLE_BITS
-        made.append((np.uint64(int(dice.integers(1 << 62)) * 2 + 1),
-                     dice.gamma(2.0, size=size).astype(np.float32),
-                     dice.random(size).astype(np.float32),
-                     np.log(dice.gamma(2.0, size=size)).astype(np.float32)))
+        odd = np.uint32(int(dice.integers(1 << 31)) * 2 + 1)
+        r = dice.gamma(2.0, size=size).astype(np.float32)
+        beta = dice.random(size).astype(np.float32)
+        log_c = np.log(dice.gamma(2.0, size=size)).astype(np.float32)
+        made.append((odd, r, beta, log_c, _drawn(np.float32(np.log(top)), r, beta, log_c)[1]))
     return made
 
 
-def samples(row: np.ndarray, value: np.ndarray, weight: np.ndarray, tables) -> np.ndarray:
+def _bands() -> np.ndarray:
+    dice = np.random.default_rng(SEED + 1)
+    return np.array([np.sort(dice.choice(SAMPLES, ROWS, replace=False)) for _ in range(BANDS)])
+
+
+def _drawn(log_w, r: np.ndarray, beta: np.ndarray, log_c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """t = floor(ln w / r + beta) and ln a = ln c - r (t - beta) - r."""
+    t = np.floor(log_w / r + beta)
+    return t, log_c - r * (t - beta + 1)
+
+
+def samples(row: np.ndarray, value: np.ndarray, weight: np.ndarray, tables, top: float) -> np.ndarray:
     """Consistent weighted samples: a row for each row with shingles, a hash for each table.
 
-    For a weight w: t = floor(ln w / r + beta), ln a = ln c - r (t - beta) - r; the shingle of least a
-    and its t are the sample. Equal a's go to the least shingle, being first.
+    The shingle of least a and its t are the sample. Equal a's go to the least shingle, being first.
     """
     starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else np.empty(0, np.int64)
     sizes = np.diff(np.r_[starts, len(row)])
-    log_w = np.log(weight.astype(np.float32))
+    weight = weight.astype(np.float32)
+    log_w, other = np.log(weight), np.flatnonzero(weight != np.float32(top))
+    low = value.astype(np.uint32)
     out = np.empty((len(starts), len(tables)), np.uint64)
-    for k, (odd, rs, betas, log_cs) in enumerate(tables):
-        at = (value * odd) >> np.uint64(64 - TABLE_BITS)
-        r, beta = rs[at], betas[at]
-        t = np.floor(log_w / r + beta)
-        a = log_cs[at] - r * (t - beta + 1)
-        least = np.minimum.reduceat(a, starts) if len(starts) else a
+    if not len(starts):
+        return out
+    for k, (odd, r, beta, log_c, at_top) in enumerate(tables):
+        at = (low * odd) >> np.uint32(32 - TABLE_BITS)
+        a = at_top[at]
+        if len(other):
+            entry = at[other]
+            a[other] = _drawn(log_w[other], r[entry], beta[entry], log_c[entry])[1]
+        least = np.minimum.reduceat(a, starts)
         hit = np.flatnonzero(a == np.repeat(least, sizes))
         hit = hit[np.searchsorted(hit, starts)]
-        out[:, k] = _mixed(value[hit] ^ (t[hit].astype(np.int64).view(np.uint64) * _MIX))
+        entry = at[hit]
+        t = _drawn(log_w[hit], r[entry], beta[entry], log_c[entry])[0]
+        out[:, k] = _mixed(value[hit] ^ (t.astype(np.int64).view(np.uint64) * _MIX))
     return out
 
 
@@ -166,14 +191,15 @@ def signed(documents: DataFrame, weights: np.ndarray) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(weights)  # of fixed size
 
     def task(batches):
-        tables = _tables()
+        top = float(shared.value.max())
+        tables, chosen = _tables(top), _bands()
         for batch in batches:
-            for piece in (batch.slice(at, 1000) for at in range(0, len(batch), 1000)):
+            for piece in (batch.slice(at, 500) for at in range(0, len(batch), 500)):
                 row, value, count = shingles(piece.column("words"))
-                found = samples(row, value, count * shared.value[_bin(value)], tables)
-                bands = np.zeros((len(found), BANDS), np.uint64)
+                found = samples(row, value, count * shared.value[_bin(value)], tables, top)
+                bands = np.repeat(np.arange(BANDS, dtype=np.uint64)[None, :], len(found), axis=0)
                 for i in range(ROWS):
-                    bands = _mixed(bands + _MIX + found[:, i::ROWS])
+                    bands = _mixed(bands * _MIX + _MIX + found[:, chosen[:, i]])
                 listed = [None] * len(piece)
                 for at, band in zip(np.unique(row).tolist(), bands.view(np.int64).tolist()):
                     listed[at] = band
@@ -187,34 +213,36 @@ def signed(documents: DataFrame, weights: np.ndarray) -> DataFrame:
 
 
 def _buckets(distinct: DataFrame) -> DataFrame:
-    """(band, bucket, key, shared) of texts that are not alone in a bucket, stored.
+    """(bucket, key, shared) of texts that are not alone in a bucket, stored; a bucket's hash holds its band.
 
     ``shared``: how many others a text meets over all bands; the text in the middle of a group most.
     """
-    places = distinct.where("bands IS NOT NULL").select("key", F.posexplode("bands").alias("band", "bucket"))
-    sizes = places.groupBy("band", "bucket").agg(F.count("*").alias("size")).where("size > 1")
-    met = stored(places.join(sizes, ["band", "bucket"]), "buckets")
+    places = distinct.where("bands IS NOT NULL").select("key", F.explode("bands").alias("bucket"))
+    sizes = places.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    met = stored(places.join(sizes, "bucket"), "met")
     shared = met.groupBy("key").agg(F.sum("size").alias("shared"))
     return stored(met.drop("size").join(shared, "key"), "buckets")
 
 
-def _candidates(buckets: DataFrame, roots: DataFrame | None, turn: int) -> DataFrame:
-    """(a, b): members of a bucket and its leader of this turn, unless they are in one class already."""
-    rank = (F.struct(-F.col("shared"), "key") if turn == 0
-            else F.struct(F.xxhash64("key", F.lit(turn)), "key"))
-    members = buckets.withColumn("rank", rank)
+def _candidates(buckets: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """(a, b): members of a bucket and its leader, the one that shares most.
+
+    With classes known, only buckets that hold several matter; their members are compared with the one
+    that shares most of those outside the first leader's class.
+    """
+    best = F.min(F.struct((-F.col("shared")).alias("rank"), "key", "root")).alias("l")
     if roots is None:
-        members = members.withColumn("root", F.col("key"))
+        members = buckets.withColumn("root", F.col("key"))
     else:
         named = roots.withColumnRenamed("node", "key")
-        members = members.join(named, "key", "left").withColumn("root", F.coalesce("root", "key"))
-        members = stored(members, "members")
-        mixed = (members.groupBy("band", "bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-                 .where("lo != hi").select("band", "bucket"))
-        members = members.join(mixed, ["band", "bucket"], "left_semi")
-    leaders = members.groupBy("band", "bucket").agg(F.min(F.struct("rank", "key", "root")).alias("l")).select(
-        "band", "bucket", F.col("l.key").alias("leader"), F.col("l.root").alias("leader_root"))
-    pairs = members.join(leaders, ["band", "bucket"]).where("root != leader_root")
+        named = buckets.join(named, "key", "left").withColumn("root", F.coalesce("root", "key"))
+        mixed = named.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), best).where(
+            "lo != hi").select("bucket", F.col("l.root").alias("first_root"))
+        members = stored(named.join(mixed, "bucket"), "members")
+    outside = members if roots is None else members.where("root != first_root")
+    leaders = outside.groupBy("bucket").agg(best).select(
+        "bucket", F.col("l.key").alias("leader"), F.col("l.root").alias("leader_root"))
+    pairs = members.join(leaders, "bucket").where("root != leader_root")
     return pairs.select(F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b")).distinct()
 
 
@@ -254,26 +282,24 @@ def similarities(pairs: DataFrame, texts: DataFrame, weights: np.ndarray) -> Dat
 def links(documents: DataFrame, distinct: DataFrame, weights: np.ndarray) -> DataFrame | None:
     """(node, root) of the texts that have a near duplicate; None if there are none."""
     buckets = _buckets(distinct)
-    keys = buckets.select("key").distinct()
-    texts = stored(_rows(documents).select(text_key().alias("key"), "text").join(keys, "key", "left_semi")
+    keys = stored(buckets.select("key").distinct(), "keys")
+    wanted = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+    texts = stored(_rows(documents).select(text_key().alias("key"), "text").join(wanted, "key", "left_semi")
                    .groupBy("key").agg(F.min("text").alias("text")), "candidates")
     found = tried = roots = None
-    turn = 0
-    while True:
-        pairs = _candidates(buckets, roots, turn)
+    for _ in range(TURNS):
+        pairs = _candidates(buckets, roots)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        compared = stored(similarities(pairs, texts, weights), "compared")
+        compared = stored(similarities(stored(pairs, "pairs"), texts, weights), "compared")
         linked = compared.where(F.col("similarity") >= THRESHOLD).select("a", "b")
-        n = linked.count()
-        # The second turn always runs, as the first knows nothing of what its leaders miss.
-        if not n and turn:
-            return roots
-        tried = compared.select("a", "b") if tried is None else tried.unionByName(compared.select("a", "b"))
-        if n:
-            found = linked if found is None else found.unionByName(linked)
-            roots = stored(components(found), "roots")
-        turn += 1
+        if linked.isEmpty():
+            break
+        # Classes so far stand for the links that made them.
+        found = linked if roots is None else linked.unionByName(roots.selectExpr("node AS a", "root AS b"))
+        roots = stored(components(found), "roots")
+        tried = compared.select("a", "b")
+    return roots
 
 
 def classes(documents: DataFrame) -> DataFrame:
