@@ -12,6 +12,7 @@ from usagemart.llm import (
     secret_scan, toxicity)
 from usagemart.llm.decontaminate import contamination
 from usagemart.llm.rows import table
+from usagemart.llm.sql import SQL  # noqa: F401
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -75,5 +76,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secrets": op9_secrets,
     "op10_decontaminate": op10_decontaminate,
 }
-
-SQL: dict[str, str] = {}
