@@ -68,3 +68,9 @@ def test_empty_table(spark, model):
 def test_main_path_stays_in_the_jvm(spark, model):
     plan = licences.scan(corpus(spark), model)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "Cartesian", "NestedLoop"))
+
+
+def test_a_copied_paragraph_counts_once(spark):
+    rows = documents(spark, ["the same line in every text here"] * 300 + [f"line number w{i} of its own" for i in range(300)])
+    listed = [tuple(r.words) for r in licences.training_rows(rows, 200).where("label = 13").collect()]
+    assert len(listed) == len(set(listed)) == 200

@@ -105,3 +105,9 @@ def test_empty_table_and_nothing_to_learn(spark):
     assert personal_data.learn(empty(spark)) is None
     assert personal_data.find(empty(spark), None).collect() == []
     assert personal_data.find(documents(spark), None).count() == documents(spark).count()
+
+
+def test_a_copied_window_counts_once(spark):
+    rows = documents(spark, ["mail me at a.b@c.example.com now"] * 200 + marked_texts(30, 3))
+    listed = [tuple(words) for words, _ in personal_data.sample_windows(rows, 20)]
+    assert len(listed) == len(set(listed)) == 20

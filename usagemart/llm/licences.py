@@ -112,7 +112,10 @@ def training_rows(documents: DataFrame, prose_rows: int = PROSE_ROWS) -> DataFra
     spark = documents.sparkSession
     lines = paragraphs(documents).where(~F.arrays_overlap(
         "words", F.array(*map(F.lit, ["license", "licensed", "licence", "licences", "rights", "copyright", "permission"]))))
-    prose = stored(lines.select("words").withColumn("mark", F.xxhash64("words")).orderBy("mark").limit(prose_rows), "prose")
+    # A paragraph that is copied counts once: the least distinct hashes say how far the sample goes.
+    lines = lines.select("words", F.xxhash64("words").alias("mark"))
+    last = lines.select("mark").distinct().orderBy("mark").limit(prose_rows).agg(F.max("mark")).first()[0]
+    prose = stored(lines.where(F.col("mark") <= F.lit(last)).groupBy("mark").agg(F.min("words").alias("words")), "prose")
     marked = prose.select("words", F.pmod("mark", F.lit(97)).alias("slot"))
     whole = templates(spark).withColumn("mark", F.xxhash64("words"))
     size = F.size("words")

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from usagemart.llm.rows import texts
+from usagemart.llm.rows import small, texts
 
 KINDS = ["email", "ip", "card", "phone"]
 MAX_WORDS, MARGIN = 6, 3
@@ -275,7 +275,7 @@ def _rewritten(words: list[str], gold: list[list[int]], dice: random.Random) ->
 
 def sample_windows(documents: DataFrame, rows: int = SAMPLE_WINDOWS) -> list[tuple[list[str], list]]:
     def task(batches):
-        for batch in batches:
+        for batch in small(batches):
             found, golds, order = [], [], []
             for text in batch.column("text").to_pylist():
                 if not _ANCHOR.search(text):
@@ -293,9 +293,10 @@ def sample_windows(documents: DataFrame, rows: int = SAMPLE_WINDOWS) -> list[tup
                  pa.array(golds, pa.list_(pa.list_(pa.int32())))], ["mark", "words", "gold"])
 
     picked = texts(documents).mapInArrow(task, "mark bigint, words array<string>, gold array<array<int>>")
-    # Each task keeps its least ones before the rest meet, and a window that is copied counts once.
-    least = picked.orderBy("mark", "words").limit(4 * rows).dropDuplicates(["mark"])
-    return [(row.words, row.gold) for row in least.orderBy("mark").limit(rows).collect()]
+    # A window that is copied counts once, and each task sends it once.
+    once = picked.groupBy("mark").agg(F.min(F.struct("words", "gold")).alias("window"))
+    least = once.orderBy("mark").limit(rows).select("window.*").collect()
+    return [(row.words, row.gold) for row in least]
 
 
 def learn(documents: DataFrame, rows: int = SAMPLE_WINDOWS) -> Field | None:
@@ -341,7 +342,7 @@ def find(documents: DataFrame, field: Field | None) -> DataFrame:
 
     def task(batches):
         known = None if shared.value is None else Field(shared.value)
-        for batch in batches:
+        for batch in small(batches):
             bases, alls = [], []
             for text in batch.column("text").to_pylist():
                 base = base_spans(text)

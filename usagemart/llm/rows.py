@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from usagemart.session import scratch_path
@@ -47,6 +49,13 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(batches: Iterable, rows: int = 500) -> Iterator:
+    """Slices of few rows of Arrow batches: what is made of them takes many times their own memory."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
 def learns(doc_id: str | Column, parts: int) -> Column:
     """Whether a row may be learnt from: crc32 of the id's text, modulo ``parts``, is not 2.
 
