@@ -245,3 +245,13 @@ def test_a_refresh_filters_every_scan_by_its_ids(spark, home, monkeypatch):
     unfiltered = [line for line in scans if "EqualTo(customer_id,1001)" not in line]
     # Only the rewritten bucket itself is read whole.
     assert len(unfiltered) == 1 and "bucket#" in unfiltered[0]
+
+
+def test_a_few_emails_are_looked_up_by_pushed_filters(spark, home, monkeypatch):
+    home.mart.replace(mart(spark))
+    plans = []
+    monkeypatch.setattr("usagemart.plans.home.require_unique", lambda df, *keys: plans.append(
+        (keys, df._jdf.queryExecution().executedPlan().toString())))
+    refresh_on_demand(home, [1001], AS_OF, customers(spark), telemetry(spark))
+    (_, _), (keys, text) = plans
+    assert keys == ("email",) and "EqualTo(email,ivan.ivanov@example.com)" in text and "Join" not in text

@@ -50,11 +50,14 @@ class Commit:
 
 
 class KeyedTable:
-    """``summary`` turns the rows of some buckets, which also have a column ``bucket``, into a few rows
+    """``looked_up`` names columns by which a few rows may be looked for in the whole table: their files get
+    Bloom filters, so that a reader with a short list skips almost all of them. ``summary`` turns the rows of some buckets, which also have a column ``bucket``, into a few rows
     for each bucket. They are written and committed with the bucket."""
 
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType, key: str,
-                 buckets: int = 64, summary: Callable[[DataFrame], DataFrame] | None = None):
+                 buckets: int = 64, summary: Callable[[DataFrame], DataFrame] | None = None,
+                 looked_up: Iterable[str] = ()):
+        self.looked_up = tuple(looked_up)
         self.spark, self.root, self.schema, self.key = spark, root.rstrip("/"), schema, key
         self.wanted, self.summarize = buckets, summary
 
@@ -155,7 +158,8 @@ class KeyedTable:
         path = f"{self.root}/data/attempt={attempt}"
         (rows.to(self.schema).withColumn("bucket", self.bucket(buckets))
          .sortWithinPartitions("bucket", self.key)
-         .write.partitionBy("bucket").parquet(path))
+         .write.options(**{f"parquet.bloom.filter.enabled#{c}": "true" for c in self.looked_up})
+         .partitionBy("bucket").parquet(path))
         if self.summarize is not None:
             layout = T.StructType(list(self.schema.fields)).add("bucket", "integer")
             (self.summarize(self.spark.read.schema(layout).parquet(path)).coalesce(1)
