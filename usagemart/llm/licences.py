@@ -1,8 +1,8 @@
 """Licence scan: a trained paragraph classifier, confirmed by comparison with templates.
 
 Paragraphs are lines. Sparse logistic regression over words and word pairs tells licence families, other
-licence talk (``unknown``) and other text (``none``) apart; its features are those of the templates. It learns from templates, whole, cut and inside
-prose, and from a sample of at most ``PROSE_ROWS`` paragraphs of the corpus. A temperature fitted to rows that
+licence talk (``unknown``) and other text (``none``) apart; its features are those of the templates. It
+learns from templates, whole, cut and inside prose, and from a sample of at most ``PROSE_ROWS`` paragraphs of the corpus. A temperature fitted to rows that
 were held back calibrates the probabilities. A family needs a calibrated probability of ``SURE`` and a
 template of which ``CONFIRMED`` of the word pairs stand in the paragraph; licence talk that fails either is
 unknown. DataFrame operations only; Spark ML fits the regression, and expressions apply it.
@@ -59,7 +59,8 @@ TEMPLATES = {
     "mpl": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
     "public-domain": ["This is free and unencumbered software released into the public domain.",
                       "Dedicated to the public domain under CC0 1.0 Universal."],
-    "reserved": ["All rights reserved.", "Copyright, all rights reserved. No part may be reproduced without permission."],
+    "reserved": ["All rights reserved.",
+                 "Copyright, all rights reserved. No part may be reproduced without permission."],
     "unknown": ["This software is licensed under the terms of a separate agreement.",
                 "Released under the Community Source License, version 1.1.", "Licensed under a custom licence.",
                 "See the LICENSE file for the terms of use.", "The licence of this work is given in the file COPYING.",
@@ -67,6 +68,8 @@ TEMPLATES = {
                 "Permission to copy and distribute this work is granted under the licence below."],
 }
 NONE = "none"
+# Paragraphs with one of these are not taken as examples of plain prose.
+LICENCE_TALK = ["license", "licensed", "licence", "licences", "rights", "copyright", "permission"]
 LABELS = [*TEMPLATES, NONE]
 
 
@@ -110,19 +113,19 @@ def templates(spark: SparkSession) -> DataFrame:
 def training_rows(documents: DataFrame, prose_rows: int = PROSE_ROWS) -> DataFrame:
     """(label, words, held): templates in several forms, and prose."""
     spark = documents.sparkSession
-    lines = paragraphs(documents).where(~F.arrays_overlap(
-        "words", F.array(*map(F.lit, ["license", "licensed", "licence", "licences", "rights", "copyright", "permission"]))))
+    lines = paragraphs(documents).where(~F.arrays_overlap("words", F.array(*map(F.lit, LICENCE_TALK))))
     # A paragraph that is copied counts once: the least distinct hashes say how far the sample goes.
     lines = lines.select("words", F.xxhash64("words").alias("mark"))
     last = lines.select("mark").distinct().orderBy("mark").limit(prose_rows).agg(F.max("mark")).first()[0]
-    prose = stored(lines.where(F.col("mark") <= F.lit(last)).groupBy("mark").agg(F.min("words").alias("words")), "prose")
+    once = lines.where(F.col("mark") <= F.lit(last)).groupBy("mark").agg(F.min("words").alias("words"))
+    prose = stored(once, "prose")
     marked = prose.select("words", F.pmod("mark", F.lit(97)).alias("slot"))
     whole = templates(spark).withColumn("mark", F.xxhash64("words"))
     size = F.size("words")
-    cut = whole.select("label", F.inline(F.array(
-        F.struct(F.col("words").alias("words"), F.lit(0).alias("form")),
-        F.struct(F.slice("words", F.lit(1), F.greatest(F.ceil(size * 0.8).cast("int"), F.lit(2))).alias("words"), F.lit(1).alias("form")),
-        F.struct(F.slice("words", F.greatest(F.floor(size * 0.2).cast("int"), F.lit(0)) + 1, size).alias("words"), F.lit(2).alias("form")))))
+    forms = [F.col("words"), F.slice("words", F.lit(1), F.greatest(F.ceil(size * 0.8).cast("int"), F.lit(2))),
+             F.slice("words", F.floor(size * 0.2).cast("int") + 1, size)]
+    cut = whole.select("label", F.inline(F.array(*(
+        F.struct(words.alias("words"), F.lit(i).alias("form")) for i, words in enumerate(forms)))))
     cut = cut.withColumn("slot", F.pmod(F.xxhash64("words"), F.lit(97)))
     inside = (cut.where("form = 0").withColumnRenamed("words", "notice")
               .join(marked, "slot").select("label", F.concat(F.slice("words", 1, 20), "notice").alias("words")))
@@ -155,7 +158,8 @@ def learn(documents: DataFrame, prose_rows: int = PROSE_ROWS) -> Model:
     listed = vocabulary(documents.sparkSession, rows)
     counted = CountVectorizerModel.from_vocabulary(listed, inputCol="grams", outputCol="features")
     counted.setBinary(True)
-    vectors = stored(counted.transform(rows.withColumn("grams", grams())).select("label", "features", "held"), "vectors")
+    vectors = counted.transform(rows.withColumn("grams", grams())).select("label", "features", "held")
+    vectors = stored(vectors, "vectors")
     fitted = LogisticRegression(family="multinomial", regParam=0.002, maxIter=60).fit(vectors.where("NOT held"))
     matrix = fitted.coefficientMatrix.toArray()
     known = len(fitted.interceptVector)
@@ -204,8 +208,9 @@ def scan(documents: DataFrame, model: Model) -> DataFrame:
         lambda t: F.size(F.array_intersect(t["pairs"], F.col("own"))) / F.size(t["pairs"])))
     found = found.withColumn("match", F.coalesce(match, F.lit(0.0)))
     sure = (F.col("probability") >= SURE) & (F.col("match") >= CONFIRMED)
-    return found.select("doc_id", "text_key", "at", F.when(sure, F.col("guess")).otherwise(F.lit("unknown")).alias("family"),
-                        "probability", "match", sure.alias("confirmed"))
+    family = F.when(sure, F.col("guess")).otherwise(F.lit("unknown"))
+    return found.select("doc_id", "text_key", "at", family.alias("family"), "probability", "match",
+                        sure.alias("confirmed"))
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -220,5 +225,5 @@ def by_document(documents: DataFrame, model: Model) -> DataFrame:
     """(doc_id, n_paragraphs, n_unknown, families) of every row; ``families`` confirmed, sorted, joined by commas."""
     rows = texts(documents).select("doc_id", row_key())
     joined = by_row(rows, stored(digest(scan(documents, model)), "licences"))
-    return joined.select("doc_id", *(F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in ("n_paragraphs", "n_unknown")),
-                         F.coalesce("families", F.lit("")).alias("families"))
+    counts = [F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in ("n_paragraphs", "n_unknown")]
+    return joined.select("doc_id", *counts, F.coalesce("families", F.lit("")).alias("families"))

@@ -22,6 +22,7 @@ import hashlib
 import math
 import random
 import re
+import string
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -39,7 +40,7 @@ MIN_SHARE = 0.9  # an added span must be as likely as that, given its window
 
 # The patterns of the contract.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]+\Z")
+_LOCAL = frozenset(string.ascii_letters + string.digits + "._%+-")
 _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
@@ -68,7 +69,7 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
     free, at = 0, text.find("@")
     while at >= 0:
         start = at
-        while start > free and (text[start - 1].isascii() and (text[start - 1].isalnum() or text[start - 1] in "._%+-")):
+        while start > free and text[start - 1] in _LOCAL:
             start -= 1
         domain = _DOMAIN.match(text, at + 1) if start < at else None
         if domain:
@@ -144,7 +145,8 @@ def span_features(words: list[str], i: int, j: int) -> list[str]:
     marks = "".join(sorted({c for c in span if not c.isalnum()}))[:8]
     found = ["bias", f"shape={_shape(span)}", f"digits={min(len(digits), 20)}", f"marks={marks}", f"words={j - i}",
              f"marks+digits={marks}{min(len(digits), 20)}", f"bare={re.sub('[0-9]+', 'd', _shape(span))}",
-             f"before={words[i - 1].lower()[:12] if i else '^'}", f"after={words[j].lower()[:12] if j < len(words) else '$'}"]
+             f"before={words[i - 1].lower()[:12] if i else '^'}",
+             f"after={words[j].lower()[:12] if j < len(words) else '$'}"]
     if 12 <= len(digits) <= 19:
         found.append(f"luhn={luhn(digits)}")
     if len(parts) == 4 and all(part.isascii() and part.isdigit() for part in parts):
