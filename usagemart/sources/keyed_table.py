@@ -51,8 +51,9 @@ class Commit:
 
 class KeyedTable:
     """``looked_up`` names columns by which a few rows may be looked for in the whole table: their files get
-    Bloom filters, so that a reader with a short list skips almost all of them. ``summary`` turns the rows of some buckets, which also have a column ``bucket``, into a few rows
-    for each bucket. They are written and committed with the bucket."""
+    Bloom filters, so that a reader with a short list skips almost all of them. ``summary`` turns the rows of
+    some buckets, which also have a column ``bucket``, into a few rows for each bucket. They are written and
+    committed with the bucket."""
 
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType, key: str,
                  buckets: int = 64, summary: Callable[[DataFrame], DataFrame] | None = None,
