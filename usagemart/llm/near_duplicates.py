@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from usagemart.llm.components import components
-from usagemart.llm.rows import SPACE, stored
+from usagemart.llm.rows import SPACE, small, stored
 
 WORDS, THRESHOLD = 5, 0.8
 # Bands are subsets of the samples, so that a few samples make many long bands: a pair at the threshold
@@ -96,11 +96,11 @@ def inverse_frequencies(documents: DataFrame) -> np.ndarray:
     """
     def count(batches):
         seen, docs = np.zeros(1 << IDF_BITS, np.int64), 0
-        for batch in batches:
-            row, value, _ = shingles(batch.column(0))
+        for piece in small(batches):
+            row, value, _ = shingles(piece.column(0))
             pairs = np.unique(row.astype(np.int64) << IDF_BITS | _bin(value))
             seen += np.bincount(pairs & ((1 << IDF_BITS) - 1), minlength=1 << IDF_BITS)
-            docs += len(batch)
+            docs += len(piece)
         slices = [zstandard.compress(part.tobytes(), 1) for part in np.split(seen, _PARTS)]
         yield pa.RecordBatch.from_arrays(
             [pa.array([*range(_PARTS), -1], pa.int32()),
@@ -193,19 +193,18 @@ def signed(documents: DataFrame, weights: np.ndarray) -> DataFrame:
     def task(batches):
         top = float(shared.value.max())
         tables, chosen = _tables(top), _bands()
-        for batch in batches:
-            for piece in (batch.slice(at, 500) for at in range(0, len(batch), 500)):
-                row, value, count = shingles(piece.column("words"))
-                found = samples(row, value, count * shared.value[_bin(value)], tables, top)
-                bands = np.repeat(np.arange(BANDS, dtype=np.uint64)[None, :], len(found), axis=0)
-                for i in range(ROWS):
-                    bands = _mixed(bands * _MIX + _MIX + found[:, chosen[:, i]])
-                listed = [None] * len(piece)
-                for at, band in zip(np.unique(row).tolist(), bands.view(np.int64).tolist()):
-                    listed[at] = band
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc_id"), piece.column("key"), pa.array(listed, pa.list_(pa.int64()))],
-                    ["doc_id", "key", "bands"])
+        for piece in small(batches):
+            row, value, count = shingles(piece.column("words"))
+            found = samples(row, value, count * shared.value[_bin(value)], tables, top)
+            bands = np.repeat(np.arange(BANDS, dtype=np.uint64)[None, :], len(found), axis=0)
+            for i in range(ROWS):
+                bands = _mixed(bands * _MIX + _MIX + found[:, chosen[:, i]])
+            listed = [None] * len(piece)
+            for at, band in zip(np.unique(row).tolist(), bands.view(np.int64).tolist()):
+                listed[at] = band
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("doc_id"), piece.column("key"), pa.array(listed, pa.list_(pa.int64()))],
+                ["doc_id", "key", "bands"])
 
     return rows.mapInArrow(task, T.StructType([
         rows.schema["doc_id"], T.StructField("key", T.BinaryType()),
@@ -251,9 +250,7 @@ def similarities(pairs: DataFrame, texts: DataFrame, weights: np.ndarray) -> Dat
     shared = pairs.sparkSession.sparkContext.broadcast(weights)
 
     def task(batches):
-        for batch in batches:
-            if not len(batch):
-                continue
+        for batch in small(batches):
             sides = []
             for name in ("words_a", "words_b"):
                 row, value, count = shingles(batch.column(name))

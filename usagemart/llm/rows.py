@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from usagemart.session import scratch_path
@@ -50,10 +53,25 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
 
 
 def small(batches: Iterable, rows: int = 500) -> Iterator:
-    """Slices of few rows of Arrow batches: what is made of them takes many times their own memory."""
-    for batch in batches:
-        for at in range(0, len(batch), rows):
-            yield batch.slice(at, rows)
+    """Slices of few rows of Arrow batches: what is made of them takes many times their own memory.
+
+    At the end, memory that was freed goes back to the system: Python workers are reused, and stay while
+    later stages run.
+    """
+    try:
+        for batch in batches:
+            for at in range(0, len(batch), rows):
+                yield batch.slice(at, rows)
+    finally:
+        give_back()
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim is not None:
+            trim(0)
 
 
 def learns(doc_id: str | Column, parts: int) -> Column:

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from usagemart.llm.rows import learns, stored, texts
+from usagemart.llm.rows import learns, small, stored, texts
 
 SAMPLE_ROWS = 40_000
 MAX_TERMS = 2_000  # size of the model
@@ -127,7 +127,7 @@ def _one_of_alike(rows: DataFrame, last: bool) -> DataFrame:
     extreme = max if last else min
 
     def task(batches):
-        for batch in batches:
+        for batch in small(batches):
             keys = []
             for text in batch.column(0).to_pylist():
                 words = _WORD.findall(text)
@@ -143,7 +143,7 @@ def _one_of_alike(rows: DataFrame, last: bool) -> DataFrame:
 def _counted(rows: DataFrame, terms_of) -> DataFrame:
     """(term, n): in how many of the rows' texts a term occurs; ``terms_of(words)`` names them."""
     def task(batches):
-        for batch in batches:
+        for batch in small(batches):
             found = Counter()
             for text in batch.column(0).to_pylist():
                 found.update(terms_of(folded_words(text)))
@@ -242,7 +242,7 @@ def learn(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> M
 
     def task(batches):
         automaton = model.automaton()
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             for text in batch.column(0).to_pylist():
                 words = folded_words(text)
@@ -265,7 +265,7 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
 
     def task(batches):
         automaton = model.automaton()
-        for batch in batches:
+        for batch in small(batches):
             scores, sizes, counts = [], [], []
             for text in batch.column("text").to_pylist():
                 words = folded_words(text)
