@@ -7,6 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.cases import SCHEMA, by_id, corpus, documents, empty
 from usagemart.llm import near_duplicates
@@ -112,3 +113,22 @@ def test_components(spark, links):
 def test_repeated_rows_leave_one(spark):
     rows = spark.createDataFrame([(1, "one two three four five six", None, None, None)] * 3, SCHEMA)
     assert near_duplicates.one_of_each(rows).count() == 1
+
+
+def test_a_bucket_is_searched_until_no_pair_is_left(spark):
+    """Many pairs of near copies in one bucket, and members near nobody that lead first."""
+    dice = random.Random(6)
+    pairs = []
+    for _ in range(9):
+        base = [f"p{dice.randrange(10 ** 6)}" for _ in range(200)]
+        pairs.append((" ".join(base), edited(base, dice, 1)))
+    lone = [" ".join(f"q{dice.randrange(10 ** 6)}" for _ in range(200)) for _ in range(4)]
+    rows = documents(spark, [*(text for pair in pairs for text in pair), *lone])
+    # Lone texts meet one another in more buckets than the others do, so they share most.
+    bands = F.when(F.col("text").isin(lone), F.array(*map(F.lit, (7, 8, 9)))).otherwise(F.array(F.lit(7)))
+    distinct = rows.select(near_duplicates.text_key().alias("key"), bands.cast("array<bigint>").alias("bands"))
+    found = near_duplicates.links(rows, distinct, np.ones(1 << near_duplicates.IDF_BITS, np.float32))
+    roots = {bytes(r.node): bytes(r.root) for r in found.collect()}
+    keys = {r.text: bytes(r.key) for r in rows.select("text", near_duplicates.text_key().alias("key")).collect()}
+    assert len(roots) == 18 and len({*roots.values()}) == 9
+    assert all(roots[keys[a]] == roots[keys[b]] for a, b in pairs)

@@ -10,11 +10,10 @@ Document frequencies are counted over all documents in ``2 ** IDF_BITS`` hashed
 has a fixed size; a bin also counts the few other shingles that fall into it, which matters little
 as rarer shingles than one in ``RAREST`` documents all weigh the same.
 
-Exact copies are one text from the start. In a bucket, members are compared with a leader, not all
-with all: first with the one that shares most buckets with others (the middle of its group); then, in
-buckets whose members are not yet in one class, with the like of those outside the leader's class. Two
-texts meet in about ten buckets at the threshold, mostly with different leaders; a link between texts
-neither of which is near any of their leaders can be missed. README.md has the measured share.
+Exact copies are one text from the start. In a bucket, members are compared with leaders: first with the
+one that shares most buckets with others (the middle of its group); then, in buckets whose members are not
+yet in one class, with members of all classes but the largest, turn by turn, until no two members of
+different classes are left uncompared.
 
 Defined cases: null text is empty; texts without words are nobody's duplicate; shorter texts than a
 shingle have one shingle of all their words; repeated rows are copies; a class is named after its
@@ -23,6 +22,8 @@ least ``doc_id`` (null if it has none). Only ``doc_id`` and ``text`` are read.
 
 from __future__ import annotations
 
+from itertools import count
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -35,7 +36,6 @@ WORDS, THRESHOLD = 5, 0.8
 # Bands are subsets of the samples, so that a few samples make many long bands: a pair at the threshold
 # is missed by all bands in 1 of 100 cases, at 0.85 in 1 of 1000.
 SAMPLES, BANDS, ROWS = 24, 30, 5
-TURNS = 3
 BROADCAST_KEYS = 500_000  # of 16 bytes; more are joined by a shuffle
 IDF_BITS, RAREST = 18, 10
 TABLE_BITS, SEED = 16, 20_240_131
@@ -223,24 +223,28 @@ def _buckets(distinct: DataFrame) -> DataFrame:
     return stored(met.drop("size").join(shared, "key"), "buckets")
 
 
-def _candidates(buckets: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """(a, b): members of a bucket and its leader, the one that shares most.
+def _open(members: DataFrame) -> DataFrame:
+    """``members`` of the buckets that hold several classes."""
+    mixed = members.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
+    return members.join(mixed.select("bucket"), "bucket")
 
-    With classes known, only buckets that hold several matter; their members are compared with the one
-    that shares most of those outside the first leader's class.
-    """
+
+def _leaders(members: DataFrame, turn: int) -> DataFrame:
+    """(bucket, leader, leader_root): in the first turn the member of each bucket that shares most. Later members
+    of all classes but the bucket's largest lead, four times as many in each turn, so that turns stay few."""
     best = F.min(F.struct((-F.col("shared")).alias("rank"), "key", "root")).alias("l")
-    if roots is None:
-        members = buckets.withColumn("root", F.col("key"))
+    if turn == 0:
+        found = members.groupBy("bucket").agg(best)
     else:
-        named = roots.withColumnRenamed("node", "key")
-        named = buckets.join(named, "key", "left").withColumn("root", F.coalesce("root", "key"))
-        mixed = named.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), best).where(
-            "lo != hi").select("bucket", F.col("l.root").alias("first_root"))
-        members = stored(named.join(mixed, "bucket"), "members")
-    outside = members if roots is None else members.where("root != first_root")
-    leaders = outside.groupBy("bucket").agg(best).select(
-        "bucket", F.col("l.key").alias("leader"), F.col("l.root").alias("leader_root"))
+        largest = members.groupBy("bucket", "root").count().groupBy("bucket").agg(
+            F.max(F.struct("count", "root")).alias("m")).select("bucket", F.col("m.root").alias("largest"))
+        slot = F.pmod(F.xxhash64("key", F.lit(turn)), F.lit(4 ** min(turn - 1, 30))).alias("slot")
+        found = members.join(largest, "bucket").where("root != largest").groupBy("bucket", slot).agg(best)
+    return found.select("bucket", F.col("l.key").alias("leader"), F.col("l.root").alias("leader_root"))
+
+
+def _candidates(members: DataFrame, leaders: DataFrame) -> DataFrame:
+    """(a, b): the leaders and the members of other classes in their buckets."""
     pairs = members.join(leaders, "bucket").where("root != leader_root")
     return pairs.select(F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b")).distinct()
 
@@ -283,20 +287,29 @@ def links(documents: DataFrame, distinct: DataFrame, weights: np.ndarray) -> Dat
     wanted = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
     texts = stored(_rows(documents).select(text_key().alias("key"), "text").join(wanted, "key", "left_semi")
                    .groupBy("key").agg(F.min("text").alias("text")), "candidates")
-    found = tried = roots = None
-    for _ in range(TURNS):
-        pairs = _candidates(buckets, roots)
+    members = buckets.withColumn("root", F.col("key"))
+    tried = roots = None
+    # A leader is compared with all members of other classes. So two members of different classes are untried
+    # only if neither has led, and a bucket is done when those that have not led are of one class.
+    for turn in count():
+        leaders = stored(_leaders(members, turn), "leaders")
+        pairs = _candidates(members, leaders)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         compared = stored(similarities(stored(pairs, "pairs"), texts, weights), "compared")
+        tried = compared.select("a", "b") if tried is None else tried.unionByName(compared.select("a", "b"))
         linked = compared.where(F.col("similarity") >= THRESHOLD).select("a", "b")
-        if linked.isEmpty():
-            break
-        # Classes so far stand for the links that made them.
-        found = linked if roots is None else linked.unionByName(roots.selectExpr("node AS a", "root AS b"))
-        roots = stored(components(found), "roots")
-        tried = compared.select("a", "b")
-    return roots
+        if not linked.isEmpty():
+            # Classes so far stand for the links that made them.
+            found = linked if roots is None else linked.unionByName(roots.selectExpr("node AS a", "root AS b"))
+            roots = stored(components(found), "roots")
+        members = members.join(leaders.select("bucket", F.col("leader").alias("key")), ["bucket", "key"], "left_anti")
+        if roots is not None:
+            members = members.drop("root").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn(
+                "root", F.coalesce("root", "key"))
+        members = stored(_open(members), "members")
+        if members.isEmpty():
+            return roots
 
 
 def classes(documents: DataFrame) -> DataFrame:
