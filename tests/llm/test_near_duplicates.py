@@ -132,3 +132,12 @@ def test_a_bucket_is_searched_until_no_pair_is_left(spark):
     keys = {r.text: bytes(r.key) for r in rows.select("text", near_duplicates.text_key().alias("key")).collect()}
     assert len(roots) == 18 and len({*roots.values()}) == 9
     assert all(roots[keys[a]] == roots[keys[b]] for a, b in pairs)
+
+
+def test_few_pairs_at_the_threshold_meet_in_no_bucket():
+    """With independent samples, no more than eight bands of three samples of their own would miss."""
+    agreed = np.random.default_rng(5).random((200_000, near_duplicates.SAMPLES)) < near_duplicates.THRESHOLD
+    met = np.zeros(len(agreed), bool)
+    for band in near_duplicates._bands():
+        met |= agreed[:, band].all(axis=1)
+    assert 1 - met.mean() <= (1 - 0.8 ** 3) ** 8

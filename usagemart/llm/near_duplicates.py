@@ -33,9 +33,9 @@ from usagemart.llm.components import components
 from usagemart.llm.rows import SPACE, small, stored
 
 WORDS, THRESHOLD = 5, 0.8
-# Bands are subsets of the samples, so that a few samples make many long bands: a pair at the threshold
-# is missed by all bands in 1 of 100 cases, at 0.85 in 1 of 1000.
-SAMPLES, BANDS, ROWS = 24, 30, 5
+# Bands are subsets of the samples, so that few samples make many bands. Of pairs whose samples agree
+# independently, 0.1 % meet in no bucket at the threshold and 0.01 % at 0.85.
+SAMPLES, BANDS, ROWS = 32, 24, 4
 BROADCAST_KEYS = 500_000  # of 16 bytes; more are joined by a shuffle
 IDF_BITS, RAREST = 18, 10
 TABLE_BITS, SEED = 16, 20_240_131
