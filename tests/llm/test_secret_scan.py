@@ -82,3 +82,21 @@ def test_empty_table(spark):
 def test_main_path_stays_in_the_jvm(spark):
     plan = secret_scan.secrets(corpus(spark))._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "Cartesian"))
+
+
+def test_keys_with_prefixes_and_separators_are_tested(spark):
+    dice = random.Random(12)
+    low, up = string.ascii_lowercase + string.digits, string.ascii_uppercase + string.digits
+    keys = [f"sk_live_{''.join(dice.choice(low) for _ in range(24))}" for _ in range(40)]
+    keys += ["-".join("".join(dice.choice(a) for _ in range(5)) for _ in range(6)) for a in (low, up) for _ in range(40)]
+    got = secret_scan.digest(secret_scan.secrets(documents(spark, [f"see {t} here" for t in keys]))).collect()
+    assert sum(bool(r.spans) for r in got) >= 0.95 * len(keys)
+
+
+def test_ordinary_strings_do_not_strike_out_random_ones(spark):
+    """A thousand evenly spread p-values among many that are nearly 0, and copies of one string."""
+    rows = [("base64", 5, i, i / 1000) for i in range(1, 1001)] + [("base64", 5, -i, 1e-9) for i in range(1, 20_001)]
+    kind = "encoding string, length_class bigint, mark bigint, p double"
+    assert secret_scan.strike_outs(spark.createDataFrame(rows, kind)).first().limit <= 0.01
+    copies = [("hex", 5, i, i / 1000) for i in range(1, 1001)] + [("hex", 5, -1, 1e-9)] * 20_000
+    assert secret_scan.strike_outs(spark.createDataFrame(copies, kind)).first().limit < 0.005

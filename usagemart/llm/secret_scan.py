@@ -1,11 +1,13 @@
 """Secrets: fixed patterns, and strings that pass a battery of randomness tests. DataFrame operations only.
 
 Long strings over the letters of an encoding are candidates. Their encoding is inferred (hex, base 32,
-base 36, base 64); plain words and plain numbers have none. Three tests ask whether the characters
+base 36, base 64); plain words and plain numbers have none. A candidate that fits none as a whole is split at
+``-_+/``, and its long pieces are tested, or without such pieces all of it but the separators. Three tests ask whether the characters
 may have been drawn evenly: chi-squared of their counts, runs of the alphabet's halves, and serial
 correlation; the least p-value counts three times. Within each encoding and length class the
 false discovery rate of "not random" is held at ``FALSE_SHARE`` (Benjamini-Hochberg over a histogram
-of all candidates' p-values), so that among many candidates a long true key is not struck out by chance.
+of all distinct candidates' p-values), and no p-value above ``LOST_SHARE`` is struck out, so that of truly
+random strings nominally no larger share is lost, however many ordinary ones there are.
 Candidates that are not struck out are secrets.
 
 Defined cases: null or empty text holds nothing; repeated rows each get the same result; candidates
@@ -34,7 +36,9 @@ ENCODINGS = {
     "base64": (r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/_-]+$",
                "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
 }
+PIECE, SEPARATORS = 20, "[-_+/]+"
 FALSE_SHARE = 0.2
+LOST_SHARE = 0.01
 P_BINS = 1000
 _SPANS = "array<struct<start:int,`end`:int,value:string,part:string>>"
 
@@ -88,10 +92,22 @@ def upper_tail(z: Column) -> Column:
     return 1 / (1 + F.exp(F.least(F.greatest(1.5976 * z + 0.070566 * z * z * z, F.lit(-300.0)), F.lit(300.0))))
 
 
+def encoding(bare: Column) -> Column:
+    return F.coalesce(*(F.when(bare.rlike(pattern), F.lit(name)) for name, (pattern, _) in ENCODINGS.items()))
+
+
+def forms(token: Column) -> Column:
+    """What of a candidate is tested: itself, or if it has no encoding its long pieces, or its letters and digits."""
+    bare = F.regexp_replace(token, "=+$", "")
+    pieces = F.filter(F.split(bare, SEPARATORS), lambda x: (F.length(x) >= PIECE) & encoding(x).isNotNull())
+    return (F.when(encoding(bare).isNotNull(), F.array(token)).when(F.size(pieces) > 0, pieces)
+            .otherwise(F.array(F.regexp_replace(bare, SEPARATORS, ""))))
+
+
 def with_p_values(tokens: DataFrame) -> DataFrame:
     """Adds ``encoding`` and ``p`` to rows with a ``token``; drops tokens without an encoding."""
     bare = F.regexp_replace("token", "=+$", "")
-    kind = F.coalesce(*(F.when(F.col("bare").rlike(pattern), F.lit(name)) for name, (pattern, _) in ENCODINGS.items()))
+    kind = encoding(F.col("bare"))
     letters = F.create_map(*(F.lit(x) for name, (_, alphabet) in ENCODINGS.items() for x in (name, alphabet)))
     # One alphabet serves both cases of one-case encodings, and both forms of base 64.
     cased = (F.when(F.col("encoding").isin("hex", "base36"), F.lower("bare"))
@@ -134,7 +150,8 @@ def with_p_values(tokens: DataFrame) -> DataFrame:
 def strike_outs(tested: DataFrame) -> DataFrame:
     """(encoding, length_class, limit): p-values up to ``limit`` are struck out. A few hundred rows at
     most, as there are four encodings and a class for each doubling of the length."""
-    bins = tested.groupBy("encoding", "length_class", F.ceil(F.col("p") * P_BINS).alias("bin")).agg(
+    once = tested.select("encoding", "length_class", "mark", "p").distinct()
+    bins = once.groupBy("encoding", "length_class", F.ceil(F.col("p") * P_BINS).alias("bin")).agg(
         F.count("*").alias("n"))
     of_class = bins.groupBy("encoding", "length_class").agg(
         F.sum("n").alias("all"), F.sort_array(F.collect_list(F.struct("bin", "n"))).alias("bins"))
@@ -145,7 +162,7 @@ def strike_outs(tested: DataFrame) -> DataFrame:
             F.when(x["bin"] / P_BINS * F.col("all") <= FALSE_SHARE * (a["below"] + x["n"]), x["bin"] / P_BINS)
             .otherwise(a["limit"]).alias("limit")),
         lambda a: a["limit"])
-    return of_class.select("encoding", "length_class", walked.alias("limit"))
+    return of_class.select("encoding", "length_class", F.least(walked, F.lit(LOST_SHARE)).alias("limit"))
 
 
 def random_strings(scans: DataFrame) -> DataFrame:
@@ -155,9 +172,9 @@ def random_strings(scans: DataFrame) -> DataFrame:
               .select("doc_id", "text_key", base_spans().alias("base"), F.explode("candidates").alias("c"))
               .where(~overlap)
               .select("doc_id", "text_key", F.col("c.start").alias("start"), F.col("c.end").alias("end"),
-                      F.col("c.value").alias("token")))
+                      F.explode(forms(F.col("c.value"))).alias("token")))
     tested = stored(with_p_values(tokens).withColumn("length_class", F.floor(F.log2(F.length("token"))))
-                    .drop("token"), "tested")
+                    .withColumn("mark", F.xxhash64("token")).drop("token"), "tested")
     limits = F.broadcast(strike_outs(tested))
     return (tested.join(limits, ["encoding", "length_class"]).where("p > limit")
             .groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "end")).alias("random")))
