@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from usagemart.llm import mixing
 from usagemart.llm.quality_rules import KEPT_SHARE, LINE_DOCUMENTS
 
 _ITEM_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -63,4 +64,31 @@ SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
          AND NOT word_chars - n_taken_chars < {KEPT_SHARE} * word_chars AS kept
 FROM c"""
 
-SQL: dict[str, str] = {"op2_quality_rules": QUALITY, "op10_decontaminate": DECONTAMINATE}
+MIXING = rf"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS draw
+  FROM documents),
+s AS (
+  SELECT source, sum(size)::HUGEINT AS source_size, {mixing.MAX_EPOCHS} * sum(size)::HUGEINT AS cap,
+         ({list(mixing.WEIGHTS)})[1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.WEIGHTS)}]::HUGEINT AS w
+  FROM d GROUP BY source),
+o AS (
+  SELECT *, row_number() OVER fill AS place, sum(source_size) OVER () - coalesce(sum(cap) OVER (fill ROWS BETWEEN
+           UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+         sum(w) OVER (fill ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_weight
+  FROM s WINDOW fill AS (ORDER BY cap / w::DOUBLE, source NULLS LAST)),
+level AS (SELECT place, rest, open_weight FROM o WHERE cap * open_weight >= rest * w ORDER BY place LIMIT 1),
+t AS (
+  SELECT source, source_size,
+         CASE WHEN o.place < l.place THEN cap::DOUBLE ELSE l.rest::DOUBLE * w::DOUBLE / l.open_weight::DOUBLE END AS target,
+         CASE WHEN o.place < l.place THEN cap ELSE (l.rest * w) // l.open_weight END AS goal
+  FROM o, level l)
+SELECT d.doc_id, d.size::BIGINT AS size, t.source_size::BIGINT AS source_size, t.target,
+       CASE WHEN t.source_size = 0 THEN 0 ELSE d.size * (goal // t.source_size) + greatest(0, least(d.size,
+         goal % t.source_size - coalesce(sum(d.size) OVER (PARTITION BY t.source ORDER BY d.draw, d.size
+                                                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) END::BIGINT AS taken
+FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source"""
+
+SQL: dict[str, str] = {"op2_quality_rules": QUALITY, "op10_decontaminate": DECONTAMINATE,
+                       "op11_mixing": MIXING}
