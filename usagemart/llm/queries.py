@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from usagemart.llm import (
-    byte_pairs, language_model, licences, mixing, near_duplicates, personal_data, quality_rules, repeats,
+    byte_pairs, conversations, language_model, licences, mixing, near_duplicates, personal_data, quality_rules, repeats,
     secret_scan, toxicity)
 from usagemart.llm.decontaminate import contamination
 from usagemart.llm.rows import table
@@ -68,6 +68,10 @@ def op11_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).drop("source", "draw")
 
 
+def op12_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.digest(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_pairs": op1_byte_pairs,
     "op2_quality_rules": op2_quality_rules,
@@ -80,4 +84,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secrets": op9_secrets,
     "op10_decontaminate": op10_decontaminate,
     "op11_mixing": op11_mixing,
+    "op12_conversations": op12_conversations,
 }

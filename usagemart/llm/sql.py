@@ -90,5 +90,75 @@ SELECT d.doc_id, d.size::BIGINT AS size, t.source_size::BIGINT AS source_size, t
                                                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) END::BIGINT AS taken
 FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source"""
 
+# A byte at a time: eight shifts, each with the polynomial if the bit that leaves is set.
+_CRC = """xor(4294967295, list_reduce(
+    [4294967295::BIGINT] || list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT),
+    lambda crc, byte: list_reduce([xor(crc, byte)] || [0::BIGINT for i in range(8)],
+                                  lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+# Before each row at most one message is inserted (two never lead to a cheaper repair), and up to two at the end.
+CONVERSATIONS = rf"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+picked AS (SELECT *, {_CRC.format(text="key")} % 20 AS p FROM keyed),
+copied AS (SELECT *, unnest(CASE WHEN p = 3 THEN [1, 2] ELSE [1] END) AS copy FROM picked WHERE p <> 0),
+d AS (
+  SELECT conv_id, turn, CASE WHEN p = 4 THEN 'user' ELSE role END AS role,
+         CASE p WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM copied),
+n AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+         right(regexp_replace(text, '{_SPACE}+$', ''), 1) AS last FROM d),
+m AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen, left(role, 1) AS initial,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM n),
+r AS (
+  SELECT *, last = '' AS blank, last <> '' AND seen AS duplicate,
+         last <> '' AND NOT seen AND last NOT IN ('.', '!', '?') AS truncated FROM m),
+inserts(start, ready, inserted) AS (
+  VALUES (0, 0, ''), (1, 1, ''), (2, 2, ''), (3, 3, ''), (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')),
+edits(ready, done, letter, initial) AS (
+  VALUES (0, 0, 'D', NULL), (1, 1, 'D', NULL), (2, 2, 'D', NULL), (3, 3, 'D', NULL),
+         (0, 1, 'K', 's'), (0, 2, 'K', 'u'), (1, 2, 'K', 'u'), (2, 3, 'K', 'a'), (3, 2, 'K', 'u'),
+         (0, 2, 'R', 'user'), (1, 2, 'R', 'user'), (2, 3, 'R', 'assistant'), (3, 2, 'R', 'user')),
+moves AS (
+  SELECT r.conv_id, r.i, start, done,
+         (CASE WHEN inserted <> '' THEN 3 ELSE 0 END + CASE letter WHEN 'D' THEN 4 WHEN 'R' THEN 3 ELSE 0 END
+          + CASE WHEN letter <> 'D' AND truncated THEN 3 ELSE 0 END)::BIGINT AS cost,
+         CASE WHEN inserted <> '' THEN 'I' ELSE '' END || letter AS audit,
+         CASE WHEN inserted <> '' THEN chr(10) || inserted || ':' ELSE '' END
+         || CASE letter WHEN 'K' THEN chr(10) || role || ':' || text WHEN 'R' THEN chr(10) || e.initial || ':' || text
+            ELSE '' END AS message
+  FROM r, inserts JOIN edits e USING (ready)
+  WHERE letter = 'D' OR NOT blank AND NOT duplicate AND (letter = 'R' OR e.initial = r.initial)),
+steps(conv_id, i, done, best) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, 0, {{'cost': 0::BIGINT, 'audit': '', 'message': ''}} FROM r
+  UNION ALL
+  SELECT s.conv_id, s.i + 1, v.done, min({{'cost': s.best.cost + v.cost, 'audit': s.best.audit || v.audit,
+                                         'message': s.best.message || v.message}})
+  FROM steps s JOIN moves v ON v.conv_id IS NOT DISTINCT FROM s.conv_id AND v.i = s.i + 1 AND v.start = s.done
+  GROUP BY s.conv_id, s.i, v.done),
+closings(done, cost, audit, message) AS (
+  VALUES (0, 0, '', ''), (1, 6, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'), (2, 3, 'I', chr(10) || 'assistant:'),
+         (3, 0, '', '')),
+figures AS (
+  SELECT conv_id, max(i) AS i, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+         count(*) FILTER (truncated) AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM r GROUP BY conv_id),
+ends AS (
+  SELECT f.conv_id, min({{'cost': s.best.cost + c.cost, 'audit': s.best.audit || c.audit,
+                        'message': s.best.message || c.message}}) AS best
+  FROM figures f JOIN steps s ON s.conv_id IS NOT DISTINCT FROM f.conv_id AND s.i = f.i JOIN closings c USING (done)
+  GROUP BY f.conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0)::BIGINT AS cost,
+       coalesce(best.audit, '') AS audit, sha256(substr(coalesce(best.message, ''), 2)) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN figures f ON o.conv_id IS NOT DISTINCT FROM f.conv_id
+LEFT JOIN ends e ON o.conv_id IS NOT DISTINCT FROM e.conv_id"""
+
 SQL: dict[str, str] = {"op2_quality_rules": QUALITY, "op10_decontaminate": DECONTAMINATE,
-                       "op11_mixing": MIXING}
+                       "op11_mixing": MIXING, "op12_conversations": CONVERSATIONS}
