@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from usagemart.llm import (
-    byte_pairs, conversations, language_model, licences, mixing, near_duplicates, personal_data, quality_rules, repeats,
+    byte_pairs, collocations, conversations, language_model, licences, mixing, near_duplicates, personal_data, quality_rules, repeats,
     secret_scan, toxicity)
 from usagemart.llm.decontaminate import contamination
 from usagemart.llm.rows import table
@@ -72,6 +72,10 @@ def op12_conversations(spark: SparkSession, folder: str) -> DataFrame:
     return conversations.digest(table(spark, folder, "conversations"))
 
 
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.best(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_pairs": op1_byte_pairs,
     "op2_quality_rules": op2_quality_rules,
@@ -85,4 +89,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontaminate": op10_decontaminate,
     "op11_mixing": op11_mixing,
     "op12_conversations": op12_conversations,
+    "op13_collocations": op13_collocations,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from usagemart.llm import mixing
+from usagemart.llm import collocations, mixing
 from usagemart.llm.quality_rules import KEPT_SHARE, LINE_DOCUMENTS
 
 _ITEM_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -160,5 +160,33 @@ FROM (SELECT DISTINCT conv_id FROM conversations) o
 LEFT JOIN figures f ON o.conv_id IS NOT DISTINCT FROM f.conv_id
 LEFT JOIN ends e ON o.conv_id IS NOT DISTINCT FROM e.conv_id"""
 
+COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS p, piece
+  FROM (SELECT lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+f AS (
+  SELECT lang, k, w[i:i + k - 1] AS words, count(*) AS f
+  FROM w, unnest(range(1, 6)) AS s(k), unnest(range(1, len(w) - k + 2)) AS t(i) GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE k > 1 AND f >= {collocations.SUPPORT}),
+cuts AS (
+  SELECT c.lang, c.words, c.f AS a, cut, l.f AS l, r.f AS r, n,
+         (1000::HUGEINT * c.f * n) // (l.f::HUGEINT * r.f) AS score
+  FROM c JOIN n USING (lang), unnest(range(1, c.k)) AS s(cut)
+  JOIN f l ON l.lang = c.lang AND l.words = c.words[1:cut] JOIN f r ON r.lang = c.lang AND r.words = c.words[cut + 1:]),
+least AS (SELECT *, row_number() OVER (PARTITION BY lang, words ORDER BY score, cut) AS place FROM cuts),
+within AS (
+  SELECT lang, c.words[i:i + k - 1] AS words, max(f) AS f
+  FROM (SELECT lang, words, f, len(words) AS size FROM c) c, unnest(range(2, size)) AS s(k),
+       unnest(range(1, size - k + 2)) AS t(i) GROUP BY ALL),
+kept AS (
+  SELECT l.*, array_to_string(l.words, ' ') AS phrase FROM least l LEFT JOIN within x ON x.lang = l.lang AND x.words = l.words
+  WHERE place = 1 AND NOT coalesce(100 * x.f >= 100 * a, false)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked WHERE rank <= {collocations.TOP}"""
+
 SQL: dict[str, str] = {"op2_quality_rules": QUALITY, "op10_decontaminate": DECONTAMINATE,
-                       "op11_mixing": MIXING, "op12_conversations": CONVERSATIONS}
+                       "op11_mixing": MIXING, "op12_conversations": CONVERSATIONS,
+                       "op13_collocations": COLLOCATIONS}
