@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from datetime import date, datetime
 from decimal import ROUND_HALF_UP, Decimal
 
@@ -140,6 +141,26 @@ def test_rounding_of_odd_sizes(value, x):
     assert value(numeric.round_even(f"CAST('{-x!r}' AS double)")) == round(-x, 2)
 
 
+def test_rounding_next_to_ties(spark):
+    """Doubles on, just below and just above every half, of all sizes: the multiplication alone would err."""
+    rows = []
+    for i in range(4_000):
+        half = (i * 7919 % 1_000_003 + 0.5) / 100 * 10.0 ** (i % 9 - 3)
+        for x in (half, math.nextafter(half, 0), math.nextafter(half, 1e18), i + 0.125, (2 * i + 1) / 8, i * 1.005):
+            rows += [(x,), (-x,)]
+    for r in spark.createDataFrame(rows, "x double").selectExpr(
+            "x", f"{numeric.round_even('x')} AS two", f"{numeric.round_even('x', 1)} AS one",
+            f"{numeric.fixed('x', 2)} AS text").collect():
+        assert (r.two, r.one) == (round(r.x, 2), round(r.x, 1)), r.x
+        assert Decimal(r.text) == Decimal(r.x).quantize(Decimal("0.01"), ROUND_HALF_UP), r.x
+
+
+def test_rounding_of_no_numbers(value):
+    assert math.isnan(value(numeric.round_even("CAST('NaN' AS double)")))
+    assert value(numeric.round_even("CAST('-Infinity' AS double)")) == -math.inf
+    assert value(numeric.round_even("CAST(NULL AS double)")) is None
+
+
 def test_page_time_has_no_zone(spark, value):
     """Half past two does not exist in New York on this day."""
     for zone in ("UTC", "America/New_York"):

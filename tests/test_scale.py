@@ -195,3 +195,17 @@ def test_the_dimension_is_broadcast_by_its_known_size(spark, stored):
         frame = stored.mart.read()
         text = plan(segments.customer_analytics(frame, segment_dim(spark), AS_OF))
         assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+
+
+@pytest.mark.parametrize("name", ["customer_report", "reports_ordered", "report_display", "report_json",
+                                  "customer_report_nested", "report_envelope", "customer_summary"])
+def test_reports_compile(spark, name):
+    """Code beyond the limits of the JVM would be interpreted, with no more than a line in the log."""
+    before = {key: spark.conf.get(key, None) for key in ("spark.sql.codegen.fallback", "spark.sql.codegen.factoryMode")}
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    spark.conf.set("spark.sql.codegen.factoryMode", "CODEGEN_ONLY")
+    try:
+        assert QUERIES[name](spark, FOLDER).collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

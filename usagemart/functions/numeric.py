@@ -47,28 +47,28 @@ def per(value: str, divisor: str) -> str:
 def _rounded(x: str, places: int, up: str) -> str:
     """Rounds the exact binary value of a double, as languages with such doubles do.
 
-    A positive double is ``m / t`` with a whole ``m`` and a power of two ``t``, both of which fit in 63
-    bits for numbers that do not round to zero; so ``m * 10^places`` is divided in whole numbers.
-    ``up`` decides a tie, where ``q`` is the quotient. From 2^46 on, doubles lie further apart than
-    hundredths, and the nearest one to the rounded number is ``x`` itself.
-    """
-    def positive(y: str) -> str:
-        k = f"(53 - CAST(floor(log2({y})) AS int))"
-        m = f"(CAST({y} * pow(2D, {k}) AS bigint) * {10 ** places}L)"
-        t = f"shiftleft(1L, {k})"
-        twice, q = f"(2 * ({m} % {t}))", f"({m} div {t})"
-        tie = up.format(q=q)
-        return (f"CASE WHEN {y} < 0.004D THEN 0D WHEN {k} <= 7 THEN {y} "
-                f"ELSE CAST({q} + if({twice} > {t} OR ({twice} = {t} AND {tie}), 1, 0) AS double)"
-                f" / {10 ** places}D END")
+    ``p``, the double next to ``x * 10^places``, lies on the same side of every half as that number, or on the
+    half itself. Only there does it matter what the multiplication lost: ``lost`` is that, without error,
+    from the upper 26 bits of ``x`` and the rest. If it is zero, ``up`` decides, where ``q`` is the whole
+    number below. From 2^46 on doubles lie further apart than hundredths, and ``x`` stays as it is.
 
+    The rare case is a lambda, which Spark does not compile: it would make the code of a report's columns
+    too long for the JIT.
+    """
+    scale = f"{10 ** places}D"
+    upper = "(z * 134217729D - (z * 134217729D - z))"
+    lost = f"({upper} * {scale} - z * {scale} + (z - {upper}) * {scale})"
+    q = f"floor(z * {scale})"
+    at_half = f"{q} + if({lost} > 0 OR ({lost} = 0 AND {up.format(q=q)}), 1, 0)"
     x = f"CAST({x} AS double)"
-    return f"(CASE WHEN {x} < 0 THEN -{positive(f'abs({x})')} WHEN {x} >= 0 THEN {positive(x)} END)"
+    p = f"({x} * {scale})"
+    return (f"(CASE WHEN abs({x}) < {2 ** 46}D THEN if({p} - floor({p}) = 0.5D, "
+            f"CAST(transform(array({x}), z -> {at_half})[0] AS double), rint({p})) / {scale} ELSE {x} END)")
 
 
 def round_even(x: str, places: int = 2) -> str:
     """``x``, a double, to ``places`` decimals; an exact tie goes to the even digit."""
-    return _rounded(x, places, "{q} % 2 = 1")
+    return _rounded(x, places, "{q} % 2 != 0")
 
 
 def round_even_or_zero(x: str, places: int = 2) -> str:
@@ -82,5 +82,5 @@ def to_fixed_even(x: str, places: int) -> str:
 
 def fixed(x: str, places: int) -> str:
     """Text with exactly ``places`` decimals; an exact tie goes away from zero, as on report pages."""
-    return (f"CAST(CAST({_rounded(x, places, 'true')} "
+    return (f"CAST(CAST({_rounded(x, places, 'z > 0')} "
             f"AS decimal(28,{places})) AS string)")

@@ -21,6 +21,8 @@ _TELEMETRY = ["total_hours", "avg_daily_hours", "active_days", "total_page_views
 _FINANCIAL = ["lifetime_value", "value_per_hour"]
 _METADATA = ["load_date", "updated_at", "created_at", "data_freshness"]
 
+_ROUNDED = {"total_hours", "avg_daily_hours", "conversion_rate", "engagement_score", "actions_per_hour", *_FINANCIAL}
+
 REPORT_COLUMNS = ["customer_id", *_CUSTOMER, *_TELEMETRY, *_FINANCIAL, *_METADATA]
 
 # Texts of the report envelope, the status and the summary.
@@ -36,17 +38,20 @@ def customer_report(mart: DataFrame, as_of: datetime) -> DataFrame:
     value = "coalesce(lifetime_value, 0)"
     derived = {
         "name": full_name("first_name", "last_name"),
-        "total_hours": round_even("_hours"),
-        "avg_daily_hours": round_even(per("_hours", "active_days")),
-        "actions_per_hour": round_even(per("total_clicks", "_hours")),
-        "value_per_hour": round_even(per(value, "_hours")),
-        "conversion_rate": round_even_or_zero("conversion_rate"),
-        "engagement_score": round_even_or_zero("engagement_score"),
-        "lifetime_value": round_even(value),
+        "total_hours": "_hours",
+        "avg_daily_hours": per("_hours", "active_days"),
+        "actions_per_hour": per("total_clicks", "_hours"),
+        "value_per_hour": per(value, "_hours"),
+        "conversion_rate": "coalesce(conversion_rate, 0)",
+        "engagement_score": "coalesce(engagement_score, 0)",
+        "lifetime_value": value,
         "data_freshness": report_freshness("updated_at", as_of),
     }
-    return mart.selectExpr("*", f"{hours('total_session_minutes')} AS _hours").selectExpr(
+    # Rounding names its argument many times, so it comes after, on columns.
+    exact = mart.selectExpr("*", f"{hours('total_session_minutes')} AS _hours").selectExpr(
         *aliased({name: derived.get(name, name) for name in REPORT_COLUMNS}))
+    return exact.selectExpr(*aliased({
+        name: round_even(name) if name in _ROUNDED else name for name in REPORT_COLUMNS}))
 
 
 def order_reports(report: DataFrame) -> DataFrame:
@@ -128,7 +133,7 @@ def customer_summary(mart: DataFrame, as_of: datetime) -> DataFrame:
         f"{exact_avg('engagement_score')} AS engagement",
         "sum(total_conversions) AS conversions",
         f"{exact_avg('lifetime_value')} AS value",
-        "sum(total_session_minutes) AS minutes",
+        f"{hours('sum(total_session_minutes)')} AS hours",
         "max(updated_at) AS last_update",
         "min(load_date) AS first_load",
     ]))
@@ -140,7 +145,7 @@ def customer_summary(mart: DataFrame, as_of: datetime) -> DataFrame:
         f"{round_even_or_zero('engagement')} AS avg_engagement",
         "coalesce(conversions, 0) AS total_conversions",
         f"{round_even_or_zero('value')} AS avg_lifetime_value",
-        f"{round_even(hours('minutes'), 1)} AS total_usage_hours",
+        f"{round_even('hours', 1)} AS total_usage_hours",
         "last_update",
         "first_load",
         f"coalesce({days}, 0) AS reporting_period_days",
