@@ -114,6 +114,24 @@ def test_refresh_refuses_an_email_that_another_bucket_holds(spark, home):
     assert rows(home.mart.read()) == before
 
 
+def test_a_refresh_during_the_load_and_the_load_both_count(spark, home, monkeypatch):
+    home.mart.replace(mart(spark))
+    later, stage, met = AS_OF + timedelta(minutes=5), KeyedTable._stage, []
+
+    def staged_slowly(table, *args):
+        if not met:
+            met.append(True)
+            refresh_on_demand(Home(spark, home.root, buckets=4), [1002], later)
+        return stage(table, *args)
+
+    monkeypatch.setattr(KeyedTable, "_stage", staged_slowly)
+    result = run_nightly(home, customers(spark, [c for c in CUSTOMERS if c[0] != 1002]), telemetry(spark), DAY, AS_OF)
+    found = by_id(result.mart)
+    assert met and len(found) == 5 and found[1002].updated_at == later and found[1001].updated_at == AS_OF
+    assert sum(r.customer_count for r in result.segment_performance.collect()) == 5
+    assert read_audit(spark, home.audit).where("status = 'success'").count() == 2
+
+
 def test_views(spark, home):
     run_nightly(home, customers(spark), telemetry(spark), DAY, AS_OF)
     home.create_views()

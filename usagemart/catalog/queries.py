@@ -239,30 +239,33 @@ def _report_json(spark, folder):
 
 
 def _stream(spark, folder):
-    """The mart starts without telemetry, and the stream brings the month in several batches.
+    """The mart starts without telemetry, and the stream brings the whole table in several batches.
 
-    The last two weeks come first and the first ones late; the execution date moves with the batches.
+    What lies outside the last two months comes first, then the last two weeks, and the weeks before late; the
+    execution date moves with the batches. Each arrival is a batch of as many files as tasks wrote it.
     """
     home = _new_home(spark)
     source = customers(spark, folder)
-    schema = warehouse.table(spark, folder, "events").schema
-    first = EXECUTION_DATE - (2 * MONTH_DAYS - 1) * DAY
-    weeks = (warehouse.table(spark, folder, "events")
-             .where((F.col("ts") >= F.lit(first)) & (F.col("ts") < F.lit(EXECUTION_DATE + DAY)))
-             .withColumn("week", F.floor(F.datediff(F.lit(EXECUTION_DATE), F.to_date("ts")) / 15)))
-    inbox = scratch_path(spark, "inbox")
-    for week in (0, 3, 1, 2):
-        weeks.where(F.col("week") == week).drop("week").coalesce(1).write.mode("append").parquet(inbox)
-    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+    events = warehouse.table(spark, folder, "events")
+    inbox, checkpoint = scratch_path(spark, "inbox"), scratch_path(spark, "stream")
     nothing = spark.createDataFrame([], TELEMETRY_SCHEMA)
     idle = marts.customer_mart(source, nothing, EXECUTION_DATE, AS_OF)
     home.mart.replace(marts.to_mart_types(idle))
-    days = iter([20, 12, 5])
-    query = stream_upsert(
-        warehouse.event_metrics(events), source, home, scratch_path(spark, "stream"),
-        execution_date=lambda: EXECUTION_DATE - next(days, 0) * DAY, clock=lambda: AS_OF,
-        window_days=MONTH_DAYS)
-    query.awaitTermination()
+
+    def between(first: int, last: int) -> str:
+        """Days counted back from the execution date."""
+        low, high = EXECUTION_DATE - first * DAY, EXECUTION_DATE + (1 - last) * DAY
+        return f"ts >= TIMESTAMP_NTZ '{low} 00:00:00' AND ts < TIMESTAMP_NTZ '{high} 00:00:00'"
+
+    recent = between(2 * MONTH_DAYS - 1, 0)
+    arrivals = [(25, f"NOT coalesce({recent}, false)"), (20, between(14, 0)), (12, between(59, 45)),
+                (5, between(29, 15)), (0, between(44, 30))]
+    for days_back, arrival in arrivals:
+        events.where(arrival).write.mode("append").parquet(inbox)
+        arrived = spark.readStream.schema(events.schema).parquet(inbox)
+        stream_upsert(warehouse.event_metrics(arrived), source, home, checkpoint,
+                      execution_date=lambda: EXECUTION_DATE - days_back * DAY, clock=lambda: AS_OF,
+                      window_days=MONTH_DAYS).awaitTermination()
     return home
 
 

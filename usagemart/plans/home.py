@@ -13,6 +13,9 @@ from usagemart.schemas import MART_SCHEMA
 from usagemart.sources.keyed_table import KeyedTable
 
 
+# A job that meets another writer starts its change again from what that one has committed.
+TRIES = 5
+
 # As many values of a list reach the Parquet reader by Spark's default.
 FEW = 10
 

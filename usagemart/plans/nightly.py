@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame
 
 from usagemart.operators.mart import load_metadata, stored_counts, to_mart_types, with_metrics
 from usagemart.operators.quality import dq_issues, report_lines, type_violations
-from usagemart.operators.summary import checks_from, load_stats_from
+from usagemart.operators.summary import checks_from, load_stats_from, performance_from
 from usagemart.operators.telemetry import telemetry_agg
-from usagemart.operators.upsert import upsert_mart
-from usagemart.plans.home import Home, mart_gate
+from usagemart.operators.upsert import KEY, upsert_mart
+from usagemart.plans.home import TRIES, Home, mart_gate
 from usagemart.session import materialize
 from usagemart.sources.audit import append_audit, audit_row
 from usagemart.sources.readers import Source, read_customers, read_telemetry
@@ -55,11 +55,12 @@ def run_nightly(home: Home, customers: Source, telemetry: Source, execution_date
         staged = read_staging(spark, home.staging, execution_date, staging_format)
 
         table = home.mart
-        batch = table.spread(to_mart_types(staged))
-        table.change(lambda current: upsert_mart(current, batch, as_of), check=mart_gate)
-        mart = table.read()
+        commit, _ = table.change(
+            lambda current: upsert_mart(current, table.spread(to_mart_types(staged)), as_of),
+            staged.select(KEY), check=mart_gate, tries=TRIES)
+        mart = table.read(at=commit)
         # A few rows for each bucket, committed with the mart, answer all that follows.
-        summaries = table.summaries()
+        summaries = table.summaries(commit)
         issues = dq_issues(checks_from(summaries), strict)
         total = issues.select("total_records", "is_valid").first()["total_records"]
         report = report_lines(checks_from(summaries), load_stats_from(summaries), execution_date)
@@ -72,7 +73,7 @@ def run_nightly(home: Home, customers: Source, telemetry: Source, execution_date
     log(total, "success")
     return NightlyResult(
         mart=mart,
-        segment_performance=home.segment_performance(),
+        segment_performance=performance_from(summaries),
         extracted=stored_counts(staged, metrics, as_of),
         staged=staged,
         metadata=load_metadata(staged),

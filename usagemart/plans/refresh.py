@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from usagemart.operators.mart import customer_mart, to_mart_types
 from usagemart.operators.upsert import KEY, refresh_customers, upsert_mart
-from usagemart.plans.home import Home, mart_gate
+from usagemart.plans.home import TRIES, Home, mart_gate
 from usagemart.session import materialize, scratch_path
 from usagemart.sources import files
 from usagemart.sources.audit import append_audit, audit_row
@@ -32,13 +32,12 @@ def refresh_on_demand(home: Home, ids: Sequence[int] | DataFrame, as_of: datetim
     if isinstance(ids, DataFrame):
         scratch = scratch_path(home.spark, "refresh-ids")
         ids.select(KEY).distinct().write.parquet(scratch)
-        chosen = home.spark.read.parquet(scratch)
-        buckets = table.buckets_of(chosen)
+        chosen = keys = home.spark.read.parquet(scratch)
     else:
         # A list stays one, so that all scans can use it as a filter.
         chosen = [int(i) for i in ids]
         listed = F.explode(F.lit(chosen).cast("array<bigint>")).alias(KEY)
-        buckets = table.buckets_of(home.spark.range(0, 1, 1, numPartitions=1).select(listed))
+        keys = home.spark.range(0, 1, 1, numPartitions=1).select(listed)
 
     def only(rows: DataFrame) -> DataFrame:
         if isinstance(chosen, list):
@@ -54,8 +53,8 @@ def refresh_on_demand(home: Home, ids: Sequence[int] | DataFrame, as_of: datetim
         return refresh_customers(current, chosen, as_of)[0]
 
     # A mere stamp changes no key, so there is nothing to check.
-    table.change(transform, buckets, check=mart_gate if recompute else None)
-    refreshed = only(table.read(buckets)).select(KEY, "email", "load_date", "updated_at")
+    commit, buckets = table.change(transform, keys, check=mart_gate if recompute else None, tries=TRIES)
+    refreshed = only(table.read(buckets, commit)).select(KEY, "email", "load_date", "updated_at")
     end = as_of + timedelta(seconds=monotonic() - started)
     if scratch is not None:
         refreshed = materialize(refreshed, "refreshed")  # the result outlives the ids

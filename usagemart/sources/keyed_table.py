@@ -4,8 +4,11 @@ Plain Parquet has no MERGE, and a job must not overwrite the files it reads. So
 ``data/attempt=<a>/bucket=<b>`` by a hash of the key. A change writes the buckets it touches into the folder
 of its own attempt, and a commit makes them visible together: a small file, named by its number, that
 says for every bucket which attempt holds it. Numbers are consecutive and a file is never overwritten, so
-of two writers who started from the same commit the second one fails and may run again; neither can lose
-the other's rows. What an attempt that died has written is in no commit and stays unseen.
+of two writers who started from the same commit the second one fails and may run again (``tries``); neither can
+lose the other's rows. What an attempt that died has written is in no commit and stays unseen.
+
+A change works from one commit throughout: it names the buckets of its keys, reads them, and publishes against that
+commit. Rows that it stages for other buckets than those it names fail it.
 
 Reading costs the same after any number of commits: a hint names a recent one, and from there the
 following numbers are tried.
@@ -77,11 +80,12 @@ class KeyedTable:
         return Commit.from_json(files.read_text(self.spark, self._commit_path(number)))
 
     def _publish(self, base: Commit, attempts: Iterable[str | None],
-                 tags: Mapping[str, int] | None) -> None:
+                 tags: Mapping[str, int] | None) -> Commit:
         commit = Commit(base.number + 1, tuple(attempts), {**base.tags, **(tags or {})})
         if not files.write_text(self.spark, self._commit_path(commit.number), commit.to_json()):
             raise ConcurrentChange(f"{self.root}: somebody else wrote commit {commit.number}")
         files.write_text(self.spark, f"{self.root}/commits/hint", str(commit.number), replace=True)
+        return commit
 
     def committed(self, tag: str, number: int) -> bool:
         """Whether a change with this tag and number, or a later one of the tag, is published."""
@@ -111,16 +115,16 @@ class KeyedTable:
                 .parquet(*folders))
         return data.where(wanted).select(*schema.fieldNames())
 
-    def read(self, buckets: Iterable[int] | None = None) -> DataFrame:
-        """The current rows, or those of some buckets."""
-        live = dict(enumerate(self.latest().attempts))
+    def read(self, buckets: Iterable[int] | None = None, at: Commit | None = None) -> DataFrame:
+        """The rows of a commit (by default the current one), or those of some of its buckets."""
+        live = dict(enumerate((at or self.latest()).attempts))
         if buckets is not None:
             live = {b: live.get(b) for b in buckets}
         return self._select(live, "data", self.schema)
 
-    def summaries(self) -> DataFrame:
-        """The summary rows of all buckets, as they were committed with the current rows."""
-        live = dict(enumerate(self.latest().attempts))
+    def summaries(self, at: Commit | None = None) -> DataFrame:
+        """The summary rows of all buckets, as they were committed with the rows of a commit."""
+        live = dict(enumerate((at or self.latest()).attempts))
         return self._select(live, "summary", self._summary_schema())
 
     def _summary_schema(self) -> T.StructType:
@@ -145,9 +149,10 @@ class KeyedTable:
         """The hash that Spark's own shuffle uses, so a shuffle partition is one bucket."""
         return F.pmod(F.hash(F.col(self.key)), F.lit(buckets or self.buckets))
 
-    def buckets_of(self, rows: DataFrame) -> list[int]:
-        """Buckets that hold the keys of ``rows``: at most ``buckets`` numbers."""
-        return [r[0] for r in rows.select(self.bucket().alias("bucket")).distinct().collect()]
+    def buckets_of(self, rows: DataFrame, at: Commit | None = None) -> list[int]:
+        """Buckets of a commit (by default the current one) that hold the keys of ``rows``: at most ``buckets`` numbers."""
+        count = len((at or self.latest()).attempts) or self.wanted
+        return sorted(r[0] for r in rows.select(self.bucket(count).alias("bucket")).distinct().collect())
 
     def spread(self, rows: DataFrame, buckets: int | None = None) -> DataFrame:
         """One shuffle partition per bucket; joins and aggregates on the key reuse it."""
@@ -163,7 +168,7 @@ class KeyedTable:
          .partitionBy("bucket").parquet(path))
         if self.summarize is not None:
             layout = T.StructType(list(self.schema.fields)).add("bucket", "integer")
-            (self.summarize(self.spark.read.schema(layout).parquet(path)).coalesce(1)
+            (self.summarize(self.spark.read.schema(layout).parquet(path)).repartition(1)
              .write.partitionBy("bucket").parquet(f"{self.root}/summary/attempt={attempt}"))
         return attempt
 
@@ -179,27 +184,46 @@ class KeyedTable:
         self._publish(base, [attempt] * self.wanted, tags)
 
     def change(self, transform: Callable[[DataFrame], DataFrame],
-               touched: list[int] | None = None,
+               touched: list[int] | DataFrame | None = None,
                check: Callable[[DataFrame, DataFrame | None], None] | None = None,
-               tags: Mapping[str, int] | None = None) -> None:
-        """Rewrite the content, or only the ``touched`` buckets, through ``transform``.
+               tags: Mapping[str, int] | None = None, tries: int = 1) -> tuple[Commit, list[int]]:
+        """Rewrite the content, or only the ``touched`` buckets, through ``transform``; returns the commit that holds the
+        result, and the buckets that were written.
 
+        ``touched`` may be a frame with the keys that will change: their buckets are named anew on each try.
         ``check`` gets the whole resulting table and, if only some buckets were written, their
         rows. It may raise, which leaves the change unpublished. With nothing touched, only tags are
-        published, if there are any.
+        published, if there are any. If somebody else commits in between, all is done again from their commit,
+        ``tries`` times in total.
         """
-        if touched is not None and not touched and not tags:
-            return
+        while True:
+            try:
+                return self._change(transform, touched, check, tags)
+            except ConcurrentChange:
+                tries -= 1
+                if tries < 1:
+                    raise
+
+    def _change(self, transform, touched, check, tags) -> tuple[Commit, list[int]]:
         base = self.latest()
         live = list(base.attempts) or [None] * self.wanted
+        if isinstance(touched, DataFrame):
+            touched = self.buckets_of(touched, base)
+        if touched is not None and not touched and not tags:
+            return base, []
         members = list(range(len(live))) if touched is None else touched
         if members:
-            current = self._select({b: live[b] for b in members}, "data", self.schema)
+            current = self._select({b: live[b] if b < len(live) else None for b in members}, "data", self.schema)
             attempt = self._stage(transform(self.spread(current, len(live))), len(live))
+            written = {int(name.partition("=")[2]) for name in files.names(self.spark, f"{self.root}/data/attempt={attempt}")
+                       if name.startswith("bucket=") and name[7:].isdigit()}
+            if not written <= set(members) <= set(range(len(live))):
+                raise ValueError(f"{self.root}: the change wrote buckets {sorted(written)[:5]}, but named {members[:5]} "
+                                 f"of {len(live)}")
             fresh = dict.fromkeys(members, attempt)
             if check is not None:
                 check(self._select({**dict(enumerate(live)), **fresh}, "data", self.schema),
-                      None if touched is None else self._select(fresh, "data", self.schema))
+                      None if len(members) == len(live) else self._select(fresh, "data", self.schema))
             for bucket in members:
                 live[bucket] = attempt
-        self._publish(base, live, tags)
+        return self._publish(base, live, tags), members

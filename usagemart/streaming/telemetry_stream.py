@@ -23,7 +23,7 @@ from usagemart.functions.temporal import date_literal
 from usagemart.operators.mart import customer_mart, to_mart_types
 from usagemart.operators.telemetry import daily_rollup, telemetry_partials
 from usagemart.operators.upsert import KEY, upsert_mart
-from usagemart.plans.home import Home, mart_gate
+from usagemart.plans.home import TRIES, Home, mart_gate
 from usagemart.session import scratch_path
 from usagemart.sources import files
 from usagemart.sources.keyed_table import KeyedTable
@@ -67,7 +67,7 @@ def stream_upsert(telemetry: DataFrame, customers: DataFrame, home: Home, checkp
          .to(HISTORY).write.parquet(path))
         new = spark.read.schema(HISTORY).parquet(path)
         past.change(lambda days: past.spread(telemetry_partials(days.unionByName(new)).select(
-            *HISTORY.fieldNames()).to(HISTORY)), past.buckets_of(new), tags={stream: batch_id})
+            *HISTORY.fieldNames()).to(HISTORY)), new, tags={stream: batch_id})
         files.remove(spark, path)
 
     def absorb(batch: DataFrame, batch_id: int) -> None:
@@ -78,20 +78,20 @@ def stream_upsert(telemetry: DataFrame, customers: DataFrame, home: Home, checkp
         changed = batch.select(KEY).where(f"{KEY} IS NOT NULL").distinct()
         if not past.committed(stream, batch_id):
             add_to_history(batch, batch_id)
-        history = past.read()
+        days = past.latest()
+        history = past.read(at=days)
         last = mart.latest().tags.get(seen_until)
         if window_days is not None and last is not None and last != until.toordinal():
             moved = history.where(moved_days(date.fromordinal(last), until, window_days))
             changed = changed.unionByName(moved.select(KEY)).distinct()
         changed.write.parquet(named)
         affected = spark.read.schema(T.StructType([HISTORY[KEY]])).parquet(named)
-        buckets, as_of = mart.buckets_of(affected), clock()
-        daily = daily_rollup(past.read(past.buckets_of(affected)).join(affected, KEY, "left_semi"))
+        as_of = clock()
+        daily = daily_rollup(past.read(past.buckets_of(affected, days), days).join(affected, KEY, "left_semi"))
         staged = to_mart_types(customer_mart(
             customers.join(affected, KEY, "left_semi"), daily, until, as_of, window_days))
-        rows = mart.spread(staged)
-        mart.change(lambda current: upsert_mart(current, rows, as_of), buckets, check=mart_gate,
-                    tags={stream: batch_id, seen_until: until.toordinal()})
+        mart.change(lambda current: upsert_mart(current, mart.spread(staged), as_of), affected, check=mart_gate,
+                    tags={stream: batch_id, seen_until: until.toordinal()}, tries=TRIES)
         files.remove(spark, named)
 
     return (telemetry.writeStream.foreachBatch(absorb)
