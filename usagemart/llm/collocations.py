@@ -3,13 +3,14 @@
 1. A seeded sample of the documents is counted; phrases that reach a lowered threshold there are proposed.
 2. A full pass counts the proposed phrases and their negative border: all phrases whose beginning and end, of
    one word less, are proposed, and all single words. Whatever is frequent and not counted yet lies beyond a frequent
-   phrase of the border, so if a border phrase turns out frequent, a further pass counts what it adds to the
-   border, until nothing frequent is left outside the proposal.
-3. A last pass counts the frequent phrases by their words.
+   phrase of the border. If there are any, an expansion pass counts what they add to the border, and what that
+   may add in turn, after which nothing frequent is left outside the proposal.
+3. A last pass counts the frequent phrases once more, by hashes of twice the length, and notes one place of each,
+   from where its words are read.
 
-In passes 1 and 2 phrases are 64-bit hashes, counted within tasks before they are shuffled. What tasks know of the
-proposal is a bitmap of bounded size: a phrase that it holds by chance is counted for nothing, and hashes that meet
-add up, so both can only bring in more than is wanted; the last pass decides by the words themselves.
+Words are hashed once, and phrases are hashes too, counted within tasks before they are shuffled. What tasks know of
+the proposal is a bitmap of bounded size: a phrase that it holds by chance is counted for nothing, and hashes that
+meet add up, so both can only bring in more than is wanted, and the last pass decides.
 
 Scores are whole numbers: ``1000 a n`` may pass 64 bits and is a decimal of 38 digits.
 
@@ -19,7 +20,6 @@ rows are counted each; an empty table gives no rows. Only ``doc_id``, ``text`` a
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,9 +53,19 @@ def _hashes(listed: Column) -> Column:
 
 
 def _rows(documents: DataFrame) -> DataFrame:
-    return documents.select(
+    """(row, lang, text); ``row`` names a document by all that counts of it."""
+    rows = documents.select(
         "doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"))
+    return rows.select(F.xxhash64("doc_id", "lang", "text").alias("row"), "lang", "text")
+
+
+def hashed(documents: DataFrame) -> DataFrame:
+    """(row, lang, seed, n_words, words) of every document, stored: its words as hashes, read by every pass."""
+    listed = _rows(documents).withColumn("tokens", tokens("text"))
+    return stored(listed.select("row", "lang", F.xxhash64("lang").alias("seed"),
+                                F.size(F.array_remove("tokens", _BREAK)).cast("long").alias("n_words"),
+                                _hashes(F.col("tokens")).alias("words")), "words")
 
 
 def _mixed(x: np.ndarray, odd: np.uint64) -> np.ndarray:
@@ -111,25 +121,25 @@ def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
 
 def _counted(rows: DataFrame, longest: int, held: Bitmap | None = None, before: Bitmap | None = None) -> DataFrame:
     """(key, n) of single words and of the phrases whose beginning and end ``held`` holds (all, if None). With ``before``:
-    only of those that a pass with that bitmap did not count."""
+    only of phrases that a pass with that bitmap did not count, and a beginning or end counted here will do as well."""
     context = rows.sparkSession.sparkContext
     held, before = (bitmap and context.broadcast(bitmap) for bitmap in (held, before))  # of bounded size
 
     def wanted(piece: pa.RecordBatch) -> Iterator[np.ndarray]:
-        found = phrases(piece.column("lang").to_numpy(zero_copy_only=False), piece.column("words"), longest)
+        found = phrases(piece.column("seed").to_numpy(zero_copy_only=False), piece.column("words"), longest)
+        counted = None
         for n, (keys, there) in enumerate(found, 1):
-            at = np.flatnonzero(there)
-            if n == 1:
-                if before is None:
-                    yield keys[at]
-                continue
-            shorter = found[n - 2][0]
-            if held is not None:
-                at = at[held.value.holds(shorter[at])]
-                at = at[held.value.holds(shorter[at + 1])]
+            if n > 1 and held is not None:
+                known = held.value.holds(found[n - 2][0])
+                if before is not None and counted is not None:
+                    known |= counted
+                there = there & known & np.append(known[1:], False)
             if before is not None:
-                at = at[~(before.value.holds(shorter[at]) & before.value.holds(shorter[at + 1]))]
-            yield keys[at]
+                known = before.value.holds(found[n - 2][0]) if n > 1 else there
+                counted = there = there & ~(known & np.append(known[1:], n == 1))
+                if n == 1:
+                    counted = there = np.zeros(len(keys), bool)  # all words are counted in the first pass
+            yield keys[there]
 
     def batch(keys, counts):
         return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["key", "n"])
@@ -153,82 +163,121 @@ def _counted(rows: DataFrame, longest: int, held: Bitmap | None = None, before:
         if keys:
             yield batch(*_added(keys, counts))
 
-    listed = rows.select(F.xxhash64("lang").alias("lang"), _hashes(tokens("text")).alias("words"))
-    return listed.mapInArrow(task, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    return rows.select("seed", "words").mapInArrow(task, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 # -- passes --------------------------------------------------------------------------------------
 
 def _proposed(rows: DataFrame, support: int, sample: int) -> DataFrame:
     """Keys of the phrases of fewer than ``LONGEST`` words that a sample of the documents lets expect."""
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(sample)) == 0)
+    chosen = rows.where(F.pmod("row", F.lit(sample)) == 0)
     least = max(1, int(LOWERED * support / sample))
     return stored(_counted(chosen, LONGEST - 1).where(F.col("n") >= least).select("key"), "proposed")
 
 
 def frequent_keys(rows: DataFrame, support: int = SUPPORT, sample: int = SAMPLE) -> tuple[DataFrame, int]:
-    """(key) of every frequent phrase, and the number of full passes that it took."""
+    """(key) of every frequent phrase, and the number of full passes that it took.
+
+    An expansion counts whatever can be frequent, given what is: a phrase whose beginning and end are each known to be,
+    or counted by the same pass. So one expansion closes the search.
+    """
     proposed = _proposed(rows, support, sample)
-    before, held, passes, found = None, bitmap(proposed), 0, None
-    while True:
-        counted = stored(_counted(rows, LONGEST, held, before).where(F.col("n") >= support).select("key"), "frequent")
-        found = counted if found is None else found.unionByName(counted)
-        passes += 1
-        beyond = counted.where((F.col("key").bitwiseAND(F.lit(7))) < LONGEST).join(proposed, "key", "left_anti")
-        beyond = stored(beyond, "beyond")
-        if beyond.isEmpty():
-            return found, passes
-        proposed = proposed.unionByName(beyond)
-        before, held = held, bitmap(proposed)
-
-
-def _by_words(rows: DataFrame, held: Bitmap) -> DataFrame:
-    """(lang, phrase, n) of the phrases that ``held`` holds, exactly; the empty phrase stands for all words."""
-    shared = rows.sparkSession.sparkContext.broadcast(held)  # of bounded size
+    first = bitmap(proposed)
+    found = stored(_counted(rows, LONGEST, first).where(F.col("n") >= support).select("key"), "frequent")
+    beyond = stored(found.where(F.col("key").bitwiseAND(F.lit(7)) < LONGEST).join(proposed, "key", "left_anti"), "beyond")
+    if beyond.isEmpty():
+        return found, 1
+    more = _counted(rows, LONGEST, bitmap(proposed.unionByName(beyond)), first)
+    return found.unionByName(stored(more.where(F.col("n") >= support).select("key"), "expanded")), 2
 
-    def batch(counts: Counter) -> pa.RecordBatch:
-        langs, texts = zip(*counts) if counts else ((), ())
-        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(texts, pa.string()),
-                                           pa.array(list(counts.values()), pa.int64())], ["lang", "phrase", "n"])
+
+def _placed(rows: DataFrame, held: Bitmap) -> DataFrame:
+    """(key, other, n, row, at) of the phrases that ``held`` holds: exact counts by both hashes, and one place of each."""
+    shared = rows.sparkSession.sparkContext.broadcast(held)  # of bounded size
+    names = ["key", "other", "n", "row", "at"]
 
     def task(batches):
-        counts: Counter = Counter()
-        for piece in small(batches, 200):
-            langs, seeds = piece.column("lang").to_pylist(), piece.column("seed").to_numpy(zero_copy_only=False)
-            row = np.repeat(np.arange(len(piece)), np.diff(piece.column("words").offsets.to_numpy()))
-            words = piece.column("words").flatten().to_pylist()
-            one = phrases(seeds, piece.column("hashes"), LONGEST)
-            two = phrases(seeds, piece.column("hashes"), LONGEST, _OTHER)
-            for lang, n in zip(langs, np.bincount(row[one[0][1]], minlength=len(piece)).tolist()):
-                counts[lang, ""] += n
-            for n, ((keys, there), (others, _)) in enumerate(zip(one, two), 1):
+        ready, waiting = [], 0
+        for piece in small(batches):
+            words = piece.column("words")
+            seeds, ids = (piece.column(name).to_numpy(zero_copy_only=False) for name in ("seed", "row"))
+            offsets = words.offsets.to_numpy()
+            row = np.repeat(np.arange(len(piece)), np.diff(offsets))
+            for (keys, there), (others, _) in zip(phrases(seeds, words, LONGEST), phrases(seeds, words, LONGEST, _OTHER)):
                 at = np.flatnonzero(there)
                 at = at[shared.value.holds(keys[at])]
-                # Phrases of one key with different second hashes are different phrases.
-                at = at[np.lexsort((others[at], keys[at]))]
-                new = np.ones(len(at), bool)
-                new[1:] = (keys[at][1:] != keys[at][:-1]) | (others[at][1:] != others[at][:-1])
+                order = np.argsort(keys[at], kind="stable")
+                at = at[order]
+                key, other = keys[at], others[at]
+                new = np.r_[True, (key[1:] != key[:-1]) | (other[1:] != other[:-1])][:len(at)]
                 first = np.flatnonzero(new)
-                for i, times in zip(at[first].tolist(), np.diff(np.append(first, len(at))).tolist()):
-                    counts[langs[row[i]], " ".join(words[i:i + n])] += times
-            if len(counts) > HELD // 4:
-                yield batch(counts)
-                counts = Counter()
-        yield batch(counts)
+                n = np.diff(np.append(first, len(at)))
+                at = at[first]
+                ready.append([key[first].view(np.int64), other[first].view(np.int64), n, ids[row[at]],
+                              at - (offsets[row[at]] - offsets[0])])
+                waiting += len(first)
+            if waiting > HELD:
+                yield merged(ready)
+                ready, waiting = [], 0
+        if ready:
+            yield merged(ready)
+
+    def merged(ready):
+        """Rows of one key and other hash as one, with the place of any."""
+        columns = [np.concatenate(column) for column in zip(*ready)]
+        order = np.lexsort(columns[1::-1])
+        columns = [column[order] for column in columns]
+        new = np.ones(len(order), bool)
+        new[1:] = (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])
+        first = np.flatnonzero(new)
+        n = np.add.reduceat(columns[2], first) if len(first) else columns[2]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(n if name == "n" else column[first], pa.int64()) for name, column in zip(names, columns)], names)
+
+    places = rows.select("row", "seed", "words").mapInArrow(task, ", ".join(f"{name} bigint" for name in names))
+    return places.groupBy("key", "other").agg(F.sum("n").alias("n"), F.min_by("at", "row").alias("at"),
+                                              F.min("row").alias("row"))
+
+
+def _worded(documents: DataFrame, places: DataFrame) -> DataFrame:
+    """(lang, phrase, n) of ``places``, with their words read from where they are."""
+    asked = stored(places.groupBy("row").agg(F.collect_list(F.struct(
+        F.col("at"), F.col("key").bitwiseAND(F.lit(7)).alias("size"), "n")).alias("asked")), "asked")
+    rows = _rows(documents)
+    context = rows.sparkSession.sparkContext
+    held = context.broadcast(bitmap(asked.select(F.xxhash64("row").alias("key"))))  # of bounded size
+
+    def there(batches):
+        for piece in small(batches):
+            mask = held.value.holds(piece.column("name").to_numpy(zero_copy_only=False).view(np.uint64))
+            yield piece.filter(pa.array(mask)).select(["row", "lang", "text"])
 
-    listed = rows.select("lang", F.xxhash64("lang").alias("seed"), tokens("text").alias("words")).withColumn(
-        "hashes", _hashes(F.col("words")))
-    return listed.mapInArrow(task, "lang string, phrase string, n bigint").groupBy("lang", "phrase").agg(
-        F.sum("n").alias("n"))
+    # Few documents hold the first places of all phrases; only those are shuffled.
+    named = rows.withColumn("name", F.xxhash64("row")).mapInArrow(there, "row bigint, lang string, text string")
+    found = named.dropDuplicates(["row"]).join(asked, "row").select("lang", tokens("text").alias("tokens"), "asked")
+
+    def task(batches):
+        for piece in small(batches, 100):
+            langs, texts, counts = [], [], []
+            for lang, words, asked in zip(*(piece.column(name).to_pylist() for name in ("lang", "tokens", "asked"))):
+                for place in asked:
+                    langs.append(lang)
+                    texts.append(" ".join(words[place["at"]:place["at"] + place["size"]]))
+                    counts.append(place["n"])
+            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(texts, pa.string()),
+                                              pa.array(counts, pa.int64())], ["lang", "phrase", "n"])
+
+    return found.mapInArrow(task, "lang string, phrase string, n bigint")
 
 
 def frequent(documents: DataFrame, support: int = SUPPORT, sample: int = SAMPLE) -> DataFrame:
     """(lang, phrase, n) of every phrase of up to ``LONGEST`` words found ``support`` times or more in its language, and
     of the empty phrase: all words of the language. Stored."""
-    rows = _rows(documents)
+    rows = hashed(documents)
     keys, _ = frequent_keys(rows, support, sample)
-    counts = _by_words(rows, bitmap(stored(keys, "keys")))
-    return stored(counts.where((F.col("n") >= support) | (F.col("phrase") == "")), "counts")
+    places = stored(_placed(rows, bitmap(stored(keys, "keys"))).where(F.col("n") >= support), "places")
+    totals = rows.groupBy("lang").agg(F.lit("").alias("phrase"), F.sum("n_words").alias("n"))
+    return stored(_worded(documents, places).unionByName(totals), "counts")
 
 
 # -- scores --------------------------------------------------------------------------------------
