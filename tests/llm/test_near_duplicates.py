@@ -124,16 +124,84 @@ def test_a_bucket_is_searched_until_no_pair_is_left(spark):
         pairs.append((" ".join(base), edited(base, dice, 1)))
     lone = [" ".join(f"q{dice.randrange(10 ** 6)}" for _ in range(200)) for _ in range(4)]
     rows = documents(spark, [*(text for pair in pairs for text in pair), *lone])
-    # Lone texts meet one another in more buckets than the others do, so they share most.
-    bands = F.when(F.col("text").isin(lone), F.array(*map(F.lit, (7, 8, 9)))).otherwise(F.array(F.lit(7)))
-    distinct = rows.select(near_duplicates.text_key().alias("key"), bands.cast("array<bigint>").alias("bands"))
-    found = near_duplicates.links(rows, distinct, np.ones(1 << near_duplicates.IDF_BITS, np.float32))
+    weights = np.ones(1 << near_duplicates.IDF_BITS, np.float32)
+    band = near_duplicates._bands()[0].tolist()
+    # All meet in the first band; the other samples are their own.
+    met = F.transform("samples", lambda x, i: F.when(i.isin(band), F.lit(7)).otherwise(x).cast("bigint"))
+    distinct = near_duplicates.signed(rows, weights).select("key", met.alias("samples"))
+    found = near_duplicates.links(rows, distinct, weights)
     roots = {bytes(r.node): bytes(r.root) for r in found.collect()}
     keys = {r.text: bytes(r.key) for r in rows.select("text", near_duplicates.text_key().alias("key")).collect()}
     assert len(roots) == 18 and len({*roots.values()}) == 9
     assert all(roots[keys[a]] == roots[keys[b]] for a, b in pairs)
 
 
+def test_texts_with_a_common_passage_do_not_all_meet(spark, monkeypatch):
+    """Work grows with the texts, not with their square, and what is alike among them is found."""
+    dice = random.Random(8)
+    passage = [f"c{i}" for i in range(120)]
+    alike = [passage + [f"a{i}_{j}" for j in range(80)] for i in range(10)]
+    rows = [" ".join(words) for words in alike] + [edited(words, dice, 1) for words in alike]
+    rows += [" ".join(passage + [f"u{i}_{j}" for j in range(80)]) for i in range(600)]
+    compared = []
+    compare = near_duplicates.similarities
+
+    def counted(pairs, known):
+        compared.append(pairs.count())
+        return compare(pairs, known)
+
+    monkeypatch.setattr(near_duplicates, "similarities", counted)
+    got = by_id(near_duplicates.classes(documents(spark, rows)).collect())
+    assert all(got[10_000_010 + i].class_id == 10_000_000 + i for i in range(10))
+    assert sum(r.first for r in got.values()) == 610
+    assert sum(compared) < 620 * 619 / 8
+
+
+def weighted_links(rows):
+    """Pairs of weighted Jaccard similarity of the threshold or more, without samples or buckets."""
+    sets = shingle_sets(rows)
+    counts = defaultdict(int)
+    for found in sets.values():
+        for shingle in found:
+            counts[shingle] += 1
+    times = {}
+    for row in rows:
+        words = re.findall(r"[^\x20\x09-\x0d]+", (row.text or "").lower())
+        tally = defaultdict(int)
+        for i in range(max(1, len(words) - 4) if words else 0):
+            tally[tuple(words[i:i + 5])] += 1
+        times[row.doc_id] = {s: n * (1 + np.log10(min(len(rows) / counts[s], near_duplicates.RAREST)))
+                             for s, n in tally.items()}
+    holders = defaultdict(list)
+    for doc_id, found in times.items():
+        for shingle in found:
+            holders[shingle].append(doc_id)
+    pairs = {p for ids in holders.values() for p in combinations(sorted(ids), 2)}
+    found = []
+    for a, b in pairs:
+        both = sum(min(w, times[b][s]) for s, w in times[a].items() if s in times[b])
+        if both / (sum(times[a].values()) + sum(times[b].values()) - both) >= near_duplicates.THRESHOLD + 0.005:
+            found.append((a, b))
+    return found
+
+
+def test_every_pair_of_weighted_similarity_is_in_one_class(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    classes = {r.doc_id: r.class_id for r in near_duplicates.classes(rows).collect()}
+    found = weighted_links(rows.collect())
+    assert len(found) > 80 and all(classes[a] == classes[b] for a, b in found)
+
+
+def test_splits_keep_pairs_at_the_threshold_together():
+    """Independent samples; what is stated next to the parameters."""
+    agreed = np.random.default_rng(5).random((20_000, near_duplicates.SAMPLES)) < near_duplicates.THRESHOLD
+    together = np.stack([agreed[:, band].all(axis=1) for band in near_duplicates._bands()], axis=1)
+    for split, parted in zip(near_duplicates._levels(), (0.008, 0.022, 0.048, 0.085)):
+        ways = agreed[:, split].all(axis=3)
+        together = (together[:, :, None] & ways).reshape(len(agreed), -1)
+        assert 1 - together.any(axis=1).mean() < parted
+
+
 def test_few_pairs_at_the_threshold_meet_in_no_bucket():
     """With independent samples, no more than eight bands of three samples of their own would miss."""
     agreed = np.random.default_rng(5).random((200_000, near_duplicates.SAMPLES)) < near_duplicates.THRESHOLD

@@ -11,9 +11,13 @@ has a fixed size; a bin also counts the few other shingles that fall into it, wh
 as rarer shingles than one in ``RAREST`` documents all weigh the same.
 
 Exact copies are one text from the start. In a bucket, members are compared with leaders: first with the
-one that shares most buckets with others (the middle of its group); then, in buckets whose members are not
-yet in one class, with members of all classes but the largest, turn by turn, until no two members of
-different classes are left uncompared.
+one that shares most buckets with others (the middle of its group), then, in buckets whose members are not
+yet in one class, with some members of all classes but the largest. Buckets that are still mixed, as those of
+texts that share a passage but are not alike, are split by further samples, in several ways, so that unlike
+members part, a pair at the threshold still meets somewhere, and each of the parts gets leaders of its own. Up to
+there work is linear in the members of each level. What is mixed after the last level has more and more leaders
+until no two members of different classes are left uncompared.
+Pairs whose samples agree too rarely for the threshold are not compared in full.
 
 Defined cases: null text is empty; texts without words are nobody's duplicate; shorter texts than a
 shingle have one shingle of all their words; repeated rows are copies; a class is named after its
@@ -27,7 +31,7 @@ from itertools import count
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from usagemart.llm.components import components
 from usagemart.llm.rows import SPACE, small, stored
@@ -36,6 +40,12 @@ WORDS, THRESHOLD = 5, 0.8
 # Bands are subsets of the samples, so that few samples make many bands. Of pairs whose samples agree
 # independently, 0.1 % meet in no bucket at the threshold and 0.01 % at 0.85.
 SAMPLES, BANDS, ROWS = 32, 24, 4
+# A mixed bucket is split LEVELS times, by STEP samples a time, in WAYS ways. Of pairs at the threshold that no leader
+# has compared, about 0.6, 1.8, 4.2 and 7.6 % are parted by the first to the fourth split.
+STEP, WAYS, LEVELS = 2, 2, 4
+LEADERS = 4  # of a bucket at a time
+# Of pairs at the threshold, 1 of 10,000 agrees in fewer of the 32 samples.
+LEAST_AGREED = 16
 BROADCAST_KEYS = 500_000  # of 16 bytes; more are joined by a shuffle
 IDF_BITS, RAREST = 18, 10
 TABLE_BITS, SEED = 16, 20_240_131
@@ -185,38 +195,85 @@ def samples(row: np.ndarray, value: np.ndarray, weight: np.ndarray, tables, top:
     return out
 
 
+def _levels() -> list[np.ndarray]:
+    """For each level of splits, the samples that split it: an array by path and way. A path is a band and the
+    ways taken since; no sample comes twice in it."""
+    dice, used = np.random.default_rng(SEED + 2), [set(band.tolist()) for band in _bands()]
+    levels = []
+    for _ in range(LEVELS):
+        split = np.array([dice.permutation(sorted(set(range(SAMPLES)) - taken))[:WAYS * STEP].reshape(WAYS, STEP)
+                          for taken in used])
+        used = [taken | set(split[path, way].tolist()) for path, taken in enumerate(used) for way in range(WAYS)]
+        levels.append(split)
+    return levels
+
+
+def _hashed(node: np.ndarray, picked: np.ndarray) -> np.ndarray:
+    """``node`` with the picked samples, whose last dimension is gone through, mixed in."""
+    for i in range(picked.shape[-1]):
+        node = _mixed(node * _MIX + _MIX + picked[..., i])
+    return node
+
+
+def _matrix(column: pa.ListArray) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(column), -1)
+
+
 def signed(documents: DataFrame, weights: np.ndarray) -> DataFrame:
-    """(doc_id, key, bands) of every row; ``bands`` is null for a text without words."""
+    """(doc_id, key, samples) of every row; ``samples`` is null for a text without words."""
     rows = _rows(documents).select("doc_id", text_key().alias("key"), _hashes().alias("words"))
     shared = documents.sparkSession.sparkContext.broadcast(weights)  # of fixed size
 
     def task(batches):
         top = float(shared.value.max())
-        tables, chosen = _tables(top), _bands()
+        tables = _tables(top)
         for piece in small(batches):
             row, value, count = shingles(piece.column("words"))
             found = samples(row, value, count * shared.value[_bin(value)], tables, top)
-            bands = np.repeat(np.arange(BANDS, dtype=np.uint64)[None, :], len(found), axis=0)
-            for i in range(ROWS):
-                bands = _mixed(bands * _MIX + _MIX + found[:, chosen[:, i]])
             listed = [None] * len(piece)
-            for at, band in zip(np.unique(row).tolist(), bands.view(np.int64).tolist()):
-                listed[at] = band
+            for at, one in zip(np.unique(row).tolist(), found.view(np.int64).tolist()):
+                listed[at] = one
             yield pa.RecordBatch.from_arrays(
                 [piece.column("doc_id"), piece.column("key"), pa.array(listed, pa.list_(pa.int64()))],
-                ["doc_id", "key", "bands"])
+                ["doc_id", "key", "samples"])
 
     return rows.mapInArrow(task, T.StructType([
         rows.schema["doc_id"], T.StructField("key", T.BinaryType()),
-        T.StructField("bands", T.ArrayType(T.LongType()))]))
+        T.StructField("samples", T.ArrayType(T.LongType()))]))
+
+
+def _members(rows: DataFrame, split: np.ndarray | None = None) -> DataFrame:
+    """(bucket, path, key): the bands of texts with their samples, or, of members of buckets, the parts at the next level."""
+    bands = _bands() if split is None else None
+
+    def task(batches):
+        for piece in small(batches):
+            found = _matrix(piece.column("samples"))
+            if split is None:
+                picked, path = found[:, bands], np.broadcast_to(np.arange(BANDS), (len(found), BANDS))
+                node = path.astype(np.uint64)
+            else:
+                before = piece.column("path").to_numpy(zero_copy_only=False)
+                picked = found[np.arange(len(found))[:, None, None], split[before]]
+                path = before[:, None] * split.shape[1] + np.arange(split.shape[1])
+                bucket = piece.column("bucket").to_numpy(zero_copy_only=False).view(np.uint64)
+                node = _mixed(bucket[:, None] + np.arange(split.shape[1], dtype=np.uint64))
+            node = _hashed(node, picked)
+            of = pa.array(np.repeat(np.arange(len(found)), node.shape[1]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(node.ravel().view(np.int64)), pa.array(path.ravel(), pa.int32()), piece.column("key").take(of)],
+                ["bucket", "path", "key"])
+
+    wanted = ["key", "samples"] if split is None else ["bucket", "path", "key", "samples"]
+    return rows.select(*wanted).mapInArrow(task, "bucket bigint, path int, key binary")
 
 
 def _buckets(distinct: DataFrame) -> DataFrame:
-    """(bucket, key, shared) of texts that are not alone in a bucket, stored; a bucket's hash holds its band.
+    """(bucket, path, key, shared) of texts that are not alone in a bucket, stored; a bucket's hash holds its band.
 
     ``shared``: how many others a text meets over all bands; the text in the middle of a group most.
     """
-    places = distinct.where("bands IS NOT NULL").select("key", F.explode("bands").alias("bucket"))
+    places = _members(distinct.where("samples IS NOT NULL"))
     sizes = places.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     met = stored(places.join(sizes, "bucket"), "met")
     shared = met.groupBy("key").agg(F.sum("size").alias("shared"))
@@ -230,38 +287,59 @@ def _open(members: DataFrame) -> DataFrame:
 
 
 def _leaders(members: DataFrame, turn: int) -> DataFrame:
-    """(bucket, leader, leader_root): in the first turn the member of each bucket that shares most. Later members
-    of all classes but the bucket's largest lead, four times as many in each turn, so that turns stay few."""
-    best = F.min(F.struct((-F.col("shared")).alias("rank"), "key", "root")).alias("l")
+    """(bucket, leader, leader_root): in the first turn the member of each bucket that shares most, later ``LEADERS``
+    members of all classes but the bucket's largest, and four times as many in each turn after the last split.
+    A text that leads does so in many of its buckets."""
     if turn == 0:
-        found = members.groupBy("bucket").agg(best)
-    else:
-        largest = members.groupBy("bucket", "root").count().groupBy("bucket").agg(
-            F.max(F.struct("count", "root")).alias("m")).select("bucket", F.col("m.root").alias("largest"))
-        slot = F.pmod(F.xxhash64("key", F.lit(turn)), F.lit(4 ** min(turn - 1, 30))).alias("slot")
-        found = members.join(largest, "bucket").where("root != largest").groupBy("bucket", slot).agg(best)
-    return found.select("bucket", F.col("l.key").alias("leader"), F.col("l.root").alias("leader_root"))
-
+        best = F.min(F.struct((-F.col("shared")).alias("rank"), "key", "root")).alias("l")
+        return members.groupBy("bucket").agg(best).select(
+            "bucket", F.col("l.key").alias("leader"), F.col("l.root").alias("leader_root"))
+    largest = members.groupBy("bucket", "root").count().groupBy("bucket").agg(
+        F.max(F.struct("count", "root")).alias("m")).select("bucket", F.col("m.root").alias("largest"))
+    order = Window.partitionBy("bucket").orderBy(F.xxhash64("key", F.lit(turn)), "key")
+    found = members.join(largest, "bucket").where("root != largest").withColumn("place", F.row_number().over(order))
+    most = LEADERS * 4 ** min(max(turn - LEVELS - 1, 0), 20)
+    return found.where(F.col("place") <= most).select(
+        "bucket", F.col("key").alias("leader"), F.col("root").alias("leader_root"))
+
+
+def _candidates(members: DataFrame, leaders: DataFrame, distinct: DataFrame) -> DataFrame:
+    """(a, b): the leaders and the members of other classes in their buckets whose samples agree often enough."""
+    pairs = members.join(leaders, "bucket").where("root != leader_root").select(
+        F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b")).distinct()
+    one = distinct.select(F.col("key").alias("a"), F.col("samples").alias("samples_a"))
+    two = distinct.select(F.col("key").alias("b"), F.col("samples").alias("samples_b"))
+    same = F.filter(F.zip_with("samples_a", "samples_b", lambda x, y: x == y), lambda agree: agree)
+    return pairs.join(one, "a").join(two, "b").where(F.size(same) >= LEAST_AGREED).select("a", "b")
+
+
+def weighted(texts: DataFrame, weights: np.ndarray) -> DataFrame:
+    """(key, shingles, weights) of each (key, words); the shingles in order."""
+    shared = texts.sparkSession.sparkContext.broadcast(weights)  # of fixed size
 
-def _candidates(members: DataFrame, leaders: DataFrame) -> DataFrame:
-    """(a, b): the leaders and the members of other classes in their buckets."""
-    pairs = members.join(leaders, "bucket").where("root != leader_root")
-    return pairs.select(F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b")).distinct()
+    def task(batches):
+        for piece in small(batches):
+            row, value, count = shingles(piece.column("words"))
+            bounds = pa.array(np.searchsorted(row, np.arange(len(piece) + 1)), pa.int32())
+            weight = count * shared.value[_bin(value)].astype(np.float64)
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("key"), pa.ListArray.from_arrays(bounds, pa.array(value.view(np.int64))),
+                 pa.ListArray.from_arrays(bounds, pa.array(weight))], ["key", "shingles", "weights"])
 
+    return texts.mapInArrow(task, "key binary, shingles array<bigint>, weights array<double>")
 
-def similarities(pairs: DataFrame, texts: DataFrame, weights: np.ndarray) -> DataFrame:
-    """(a, b, similarity): the weighted Jaccard similarity of the texts of each pair."""
-    shared = pairs.sparkSession.sparkContext.broadcast(weights)
 
+def similarities(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """(a, b, similarity): the weighted Jaccard similarity of each pair, from the ``weighted`` texts."""
     def task(batches):
-        for batch in small(batches):
-            sides = []
-            for name in ("words_a", "words_b"):
-                row, value, count = shingles(batch.column(name))
-                sides.append((row, value, count * shared.value[_bin(value)].astype(np.float64)))
-            row = np.concatenate([side[0] for side in sides])
-            value = np.concatenate([side[1] for side in sides])
-            weight = np.concatenate([side[2] for side in sides])
+        for batch in small(batches, 200):
+            row, value, weight = [], [], []
+            for side in "ab":
+                listed = batch.column(f"shingles_{side}")
+                row.append(np.repeat(np.arange(len(batch)), np.diff(listed.offsets.to_numpy())))
+                value.append(listed.flatten().to_numpy(zero_copy_only=False))
+                weight.append(batch.column(f"weights_{side}").flatten().to_numpy(zero_copy_only=False))
+            row, value, weight = map(np.concatenate, (row, value, weight))
             order = np.lexsort((value, row))
             row, value, weight = row[order], value[order], weight[order]
             twin = np.flatnonzero((row[1:] == row[:-1]) & (value[1:] == value[:-1]))
@@ -272,12 +350,12 @@ def similarities(pairs: DataFrame, texts: DataFrame, weights: np.ndarray) -> Dat
                  pa.array(np.divide(both, either, out=np.zeros(len(batch)), where=either > 0))],
                 ["a", "b", "similarity"])
 
-    one = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
-    two = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
-    wide = pairs.join(one, "a").join(two, "b").select(
-        "a", "b", *(F.transform(F.array_remove(F.split(F.lower(f"text_{side}"), SPACE), ""),
-                                lambda word: F.xxhash64(word)).alias(f"words_{side}") for side in "ab"))
-    return wide.mapInArrow(task, "a binary, b binary, similarity double")
+    def side(name: str) -> DataFrame:
+        return known.select(F.col("key").alias(name), F.col("shingles").alias(f"shingles_{name}"),
+                            F.col("weights").alias(f"weights_{name}"))
+
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(
+        task, "a binary, b binary, similarity double")
 
 
 def links(documents: DataFrame, distinct: DataFrame, weights: np.ndarray) -> DataFrame | None:
@@ -285,33 +363,40 @@ def links(documents: DataFrame, distinct: DataFrame, weights: np.ndarray) -> Dat
     buckets = _buckets(distinct)
     keys = stored(buckets.select("key").distinct(), "keys")
     wanted = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
-    texts = stored(_rows(documents).select(text_key().alias("key"), "text").join(wanted, "key", "left_semi")
-                   .groupBy("key").agg(F.min("text").alias("text")), "candidates")
-    members = buckets.withColumn("root", F.col("key"))
-    tried = roots = None
-    # A leader is compared with all members of other classes. So two members of different classes are untried
-    # only if neither has led, and a bucket is done when those that have not led are of one class.
+    texts = _rows(documents).select(text_key().alias("key"), "text").join(wanted, "key", "left_semi").groupBy(
+        "key").agg(F.min("text").alias("text")).select("key", _hashes().alias("words"))
+    known = stored(weighted(texts, weights), "weighted")
+    distinct = stored(distinct.join(wanted, "key", "left_semi").select("key", "samples"), "samples")
+    members, roots = buckets.withColumn("root", F.col("key")), None
+    levels = _levels()
     for turn in count():
+        if 2 <= turn < LEVELS + 2:  # two turns before anything is split
+            parts = _members(members.join(distinct, "key"), levels[turn - 2])
+            members = stored(_open(_rooted(parts, roots)), "parts")
+            if members.isEmpty():
+                return roots
         leaders = stored(_leaders(members, turn), "leaders")
-        pairs = _candidates(members, leaders)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        compared = stored(similarities(stored(pairs, "pairs"), texts, weights), "compared")
-        tried = compared.select("a", "b") if tried is None else tried.unionByName(compared.select("a", "b"))
-        linked = compared.where(F.col("similarity") >= THRESHOLD).select("a", "b")
+        pairs = stored(_candidates(members, leaders, distinct), "pairs")
+        linked = stored(similarities(pairs, known).where(F.col("similarity") >= THRESHOLD).select("a", "b"), "linked")
         if not linked.isEmpty():
             # Classes so far stand for the links that made them.
             found = linked if roots is None else linked.unionByName(roots.selectExpr("node AS a", "root AS b"))
             roots = stored(components(found), "roots")
+        # Who has led a bucket has met all of its members.
         members = members.join(leaders.select("bucket", F.col("leader").alias("key")), ["bucket", "key"], "left_anti")
-        if roots is not None:
-            members = members.drop("root").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn(
-                "root", F.coalesce("root", "key"))
-        members = stored(_open(members), "members")
+        members = stored(_open(_rooted(members.drop("root"), roots)), "members")
         if members.isEmpty():
             return roots
 
 
+def _rooted(members: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """``members`` with the ``root`` of their class, by default themselves."""
+    if roots is None:
+        return members.withColumn("root", F.col("key"))
+    return members.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn(
+        "root", F.coalesce("root", "key"))
+
+
 def classes(documents: DataFrame) -> DataFrame:
     """(doc_id, text_key, class_id, first, has_words) of every row.
 
@@ -320,9 +405,9 @@ def classes(documents: DataFrame) -> DataFrame:
     weights = inverse_frequencies(documents)
     rows = stored(signed(documents, weights), "signed")
     distinct = stored(rows.groupBy("key").agg(F.min("doc_id").alias("least_id"),
-                                              F.first("bands").alias("bands")), "distinct")
+                                              F.first("samples").alias("samples")), "distinct")
     roots = links(documents, distinct, weights)
-    named = distinct.where("bands IS NOT NULL").select("key", "least_id")
+    named = distinct.where("samples IS NOT NULL").select("key", "least_id")
     if roots is None:
         of_text = named.withColumns({"class_id": F.col("least_id"), "class_key": F.col("key")})
     else:
@@ -333,12 +418,12 @@ def classes(documents: DataFrame) -> DataFrame:
         of_text = rooted.join(least.select("root", F.col("m.least_id").alias("class_id"),
                                            F.col("m.key").alias("class_key")), "root")
     of_text = of_text.select("key", "class_id", "class_key")
-    return rows.select("doc_id", "key", "bands").join(of_text, "key", "left").select(
+    return rows.select("doc_id", "key", F.col("samples").isNull().alias("wordless")).join(of_text, "key", "left").select(
         "doc_id", F.col("key").alias("text_key"),
-        F.when(F.col("bands").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        (F.col("bands").isNull() | (F.col("doc_id").eqNullSafe(F.col("class_id"))
+        F.when(F.col("wordless"), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        (F.col("wordless") | (F.col("doc_id").eqNullSafe(F.col("class_id"))
                                     & (F.col("key") == F.col("class_key")))).alias("first"),
-        F.col("bands").isNotNull().alias("has_words"))
+        (~F.col("wordless")).alias("has_words"))
 
 
 def one_of_each(documents: DataFrame) -> DataFrame:
