@@ -33,7 +33,7 @@ SAMPLE = 8  # one document in so many
 LOWERED = 0.6  # of the support that the sample would show on average
 UNKNOWN = "und"
 LEAST_BITS, MOST_BITS = 16, 26
-HELD = 2_000_000  # distinct phrases that a task holds before it passes their counts on
+HELD = 1_000_000  # phrases whose counts a task holds before it adds them up or passes them on
 _BREAK = "\n"  # no word holds one
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _OTHER = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -216,7 +216,7 @@ def _placed(rows: DataFrame, held: Bitmap) -> DataFrame:
                 ready.append([key[first].view(np.int64), other[first].view(np.int64), n, ids[row[at]],
                               at - (offsets[row[at]] - offsets[0])])
                 waiting += len(first)
-            if waiting > HELD:
+            if waiting > HELD // 4:
                 yield merged(ready)
                 ready, waiting = [], 0
         if ready:
