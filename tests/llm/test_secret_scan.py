@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import string
+from collections import Counter
 
 from tests.llm.cases import by_id, clashing, corpus, documents, empty
 from usagemart.llm import secret_scan
@@ -100,3 +102,94 @@ def test_ordinary_strings_do_not_strike_out_random_ones(spark):
     assert secret_scan.strike_outs(spark.createDataFrame(rows, kind)).first().limit <= 0.01
     copies = [("hex", 5, i, i / 1000) for i in range(1, 1001)] + [("hex", 5, -1, 1e-9)] * 20_000
     assert secret_scan.strike_outs(spark.createDataFrame(copies, kind)).first().limit < 0.005
+
+
+def plain_p(token):
+    """Encoding and p-value by the same rules, one character at a time."""
+    bare = token.rstrip("=")
+    kind = next((k for k, (pattern, _) in secret_scan.ENCODINGS.items() if re.match(pattern, bare)), None)
+    if kind is None:
+        return None
+    alphabet = secret_scan.ENCODINGS[kind][1]
+    if kind in ("hex", "base36", "onecase"):
+        bare = bare.lower()
+    if kind == "base64":
+        bare = bare.replace("-", "+").replace("_", "/")
+    codes, k, n = [alphabet.index(c) for c in bare], len(alphabet), len(bare)
+
+    def tail(z):
+        return 1 / (1 + math.exp(max(min(1.5976 * z + 0.070566 * z ** 3, 300), -300)))
+
+    def z_of(chi, freedom):
+        ninth = 2 / (9 * freedom)
+        return ((chi / freedom) ** (1 / 3) - (1 - ninth)) / math.sqrt(ninth)
+
+    chi = max(k / n * sum(c * c for c in Counter(codes).values()) - n, 0)
+    classes = [sum(c in found for c in bare) for found in secret_scan.CLASSES[kind]]
+    shares = [len(found) / k for found in secret_scan.CLASSES[kind]]
+    coarse = sum((seen - n * share) ** 2 / (n * share) for seen, share in zip(
+        [*classes, n - sum(classes)], [*shares, 1 - sum(shares)]))
+    high = [2 * c >= k for c in codes]
+    runs = 1 + sum(a != b for a, b in zip(high, high[1:]))
+    pairs = 2 * sum(high) * (n - sum(high))
+    spread = math.sqrt(max(pairs * (pairs - n) / (n * n * (n - 1)), 1e-9))
+    middle = (k - 1) / 2
+    serial = sum((a - middle) * (b - middle) for a, b in zip(codes, codes[1:])) / ((k * k - 1) / 12) / math.sqrt(n - 1)
+    return min(4 * min(tail(z_of(chi, k - 1)), tail(z_of(coarse, len(shares))),
+                       2 * tail(abs(runs - (1 + pairs / n)) / spread), 2 * tail(abs(serial))), 1.0)
+
+
+WORDS = """customer service internal handler database version account payment gateway request response monitor cluster
+backup archive session profile document template migration schedule worker notify review invoice report summary search
+filter widget button layout header footer sidebar content article comment""".split()
+
+
+def names(dice, n):
+    kebab = ["-".join([*dice.choices(WORDS, k=5), str(dice.randrange(1000))]) for _ in range(n)]
+    camel = ["".join(w.title() for w in dice.choices(WORDS, k=4)) + str(dice.randrange(10)) for _ in range(n)]
+    return kebab, [name[0].lower() + name[1:] for name in camel], ["/".join(dice.choices(WORDS, k=5)) for _ in range(n)]
+
+
+def keys(dice, alphabet, size, n):
+    return ["".join(dice.choice(alphabet) for _ in range(size)) for _ in range(n)]
+
+
+def test_p_values_equal_a_plain_version(spark):
+    dice = random.Random(2)
+    tokens = [t for group in names(dice, 40) for t in group] + [
+        t for size in (20, 33, 64) for a in (string.ascii_letters, string.ascii_lowercase, string.hexdigits[:16],
+                                             string.ascii_uppercase + "234567", string.ascii_letters + string.digits + "+/")
+        for t in keys(dice, a, size, 20)] + ["a" * 30, "Zz" * 20 + "==", "9" * 40]
+    rows = spark.createDataFrame([(t,) for t in tokens], "token string")
+    got = {r.token: r.p for r in secret_scan.with_p_values(rows).collect()}
+    want = {t: plain_p(t) for t in tokens}
+    assert got.keys() == {t for t, p in want.items() if p is not None}
+    assert all(math.isclose(got[t], want[t], rel_tol=1e-6, abs_tol=1e-12) for t in got)
+
+
+def test_secrets_among_many_names(spark):
+    """Few ordinary names are taken for secrets, and few random keys are lost, in one corpus."""
+    dice = random.Random(7)
+    low, both = string.ascii_lowercase, string.ascii_letters
+    groups = {"kebab": (names(dice, 400)[0], 0, 0.05), "camel": (names(dice, 400)[1], 0, 0.05),
+              "path": (names(dice, 400)[2], 0, 0.05),
+              "base64 20": (keys(dice, both + string.digits + "+/", 20, 400), 0.96, 1),
+              "base62 24": (keys(dice, both + string.digits, 24, 400), 0.96, 1),
+              "base36 24": (keys(dice, low + string.digits, 24, 400), 0.97, 1),
+              "base64 40": (keys(dice, both + string.digits + "+/", 40, 400), 0.97, 1),
+              "letters 32": (keys(dice, both, 32, 400), 0.9, 1), "lower 32": (keys(dice, low, 32, 400), 0.9, 1)}
+    texts = [f"see {t} here" for found, _, _ in groups.values() for t in found]
+    got = by_id(secret_scan.digest(secret_scan.secrets(documents(spark, texts))).collect())
+    at, shares = 10_000_000, {}
+    for name, (found, low_share, high_share) in groups.items():
+        shares[name] = sum(bool(got[at + i].spans) for i in range(len(found))) / len(found)
+        at += len(found)
+    print(shares)
+    assert all(low_share <= shares[name] <= high_share for name, (_, low_share, high_share) in groups.items()), shares
+
+
+def test_limits_keep_ordinary_strings_few(spark):
+    """Even p-values and as many again between 0 and 0.008: the limit rises to where few of those are left."""
+    rows = [("base64", 5, i, i / 1000) for i in range(1, 1001)] + [("base64", 5, -i, i / 125_000) for i in range(1, 1001)]
+    row = secret_scan.strike_outs(spark.createDataFrame(rows, "encoding string, length_class bigint, mark bigint, p double")).first()
+    assert 0.006 <= row.limit <= 0.008 and row.strings == 2000 and 950 <= row.even <= 1050 and row.lost <= 0.01

@@ -1,14 +1,16 @@
 """Secrets: fixed patterns, and strings that pass a battery of randomness tests. DataFrame operations only.
 
 Long strings over the letters of an encoding are candidates. Their encoding is inferred (hex, base 32,
-base 36, base 64); plain words and plain numbers have none. A candidate that fits none as a whole is split at
-``-_+/``, and its long pieces are tested, or without such pieces all of it but the separators. Three tests ask whether the characters
-may have been drawn evenly: chi-squared of their counts, runs of the alphabet's halves, and serial
-correlation; the least p-value counts three times. Within each encoding and length class the
-false discovery rate of "not random" is held at ``FALSE_SHARE`` (Benjamini-Hochberg over a histogram
-of all distinct candidates' p-values), and no p-value above ``LOST_SHARE`` is struck out, so that of truly
-random strings nominally no larger share is lost, however many ordinary ones there are.
-Candidates that are not struck out are secrets.
+base 36, base 64, letters of one or both cases); plain numbers have none. A candidate that fits none as a whole is
+split at ``-_+/``, and its long pieces are tested, or without such pieces all of it but the separators. Four tests ask
+whether the characters may have been drawn evenly: chi-squared of their counts, chi-squared of coarse classes
+(digits, vowels and consonants, by case), which names of words fail at once, runs of the alphabet's halves, and serial
+correlation; the least p-value counts four times.
+
+Within each encoding and length class a limit on the p-value decides. Even strings have even p-values, so the distinct
+strings above one half tell how many even ones there are, and the limit is the least at which no more than
+``ORDINARY_SHARE`` of the strings kept as secrets are likely to be ordinary (false discoveries). Whatever the mixture, it is
+no higher than ``LOST_SHARE``, so that of truly random strings nominally no larger share is lost.
 
 Defined cases: null or empty text holds nothing; repeated rows each get the same result; candidates
 that overlap a pattern's span add none; an empty table gives an empty result. Only ``doc_id`` and
@@ -35,9 +37,22 @@ ENCODINGS = {
     "base36": (r"^(?=.*[0-9])(?=.*[A-Za-z])([0-9a-z]+|[0-9A-Z]+)$", "0123456789abcdefghijklmnopqrstuvwxyz"),
     "base64": (r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/_-]+$",
                "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
+    "letters": (r"^(?=.*[a-z])(?=.*[A-Z])[A-Za-z]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
+    # Of shorter ones, too many words of some languages would look even.
+    "onecase": (r"^([a-z]{32,}|[A-Z]{32,})$", "abcdefghijklmnopqrstuvwxyz"),
+}
+# Coarse classes of each encoding's letters, as they are after ``cased``; what is in none of them is one more class.
+CLASSES = {
+    "hex": ["0123456789"],
+    "base32": ["234567", "AEIOU"],
+    "base36": ["0123456789", "aeiou"],
+    "base64": ["0123456789+/", "AEIOU", "BCDFGHJKLMNPQRSTVWXYZ", "aeiou"],
+    "letters": ["AEIOU", "BCDFGHJKLMNPQRSTVWXYZ", "aeiou"],
+    "onecase": ["aeiou"],
 }
 PIECE, SEPARATORS = 20, "[-_+/]+"
-FALSE_SHARE = 0.2
+TESTS = 4
+ORDINARY_SHARE = 0.05
 LOST_SHARE = 0.01
 P_BINS = 1000
 _SPANS = "array<struct<start:int,`end`:int,value:string,part:string>>"
@@ -97,11 +112,32 @@ def encoding(bare: Column) -> Column:
 
 
 def forms(token: Column) -> Column:
-    """What of a candidate is tested: itself, or if it has no encoding its long pieces, or its letters and digits."""
+    """What of a candidate is tested: itself, or if it has no encoding its long pieces, or its letters and digits, unless they
+    are words of one case, as in paths."""
     bare = F.regexp_replace(token, "=+$", "")
     pieces = F.filter(F.split(bare, SEPARATORS), lambda x: (F.length(x) >= PIECE) & encoding(x).isNotNull())
     return (F.when(encoding(bare).isNotNull(), F.array(token)).when(F.size(pieces) > 0, pieces)
-            .otherwise(F.array(F.regexp_replace(bare, SEPARATORS, ""))))
+            .otherwise(F.filter(F.array(F.regexp_replace(bare, SEPARATORS, "")), lambda x: encoding(x) != "onecase")))
+
+
+def _z_of_chi(chi: Column, freedom: Column | int) -> Column:
+    """Wilson and Hilferty's cube root."""
+    ninth = F.lit(2 / 9) / freedom
+    return (F.pow(chi / freedom, F.lit(1 / 3)) - (1 - ninth)) / F.sqrt(ninth)
+
+
+def _z_of_classes(name: str) -> Column:
+    """Of the chi-squared statistic of an encoding's classes, for the column ``cased``."""
+    letters, listed = len(ENCODINGS[name][1]), CLASSES[name]
+    seen = [F.length("cased") - F.length(F.translate("cased", found, "")) for found in listed]
+    shares = [len(found) / letters for found in listed]
+    rest = F.col("n")
+    for one in seen:
+        rest = rest - one
+    chi = F.lit(0.0)
+    for one, share in zip([*seen, rest], [*shares, 1 - sum(shares)]):
+        chi = chi + F.pow(one - F.col("n") * share, F.lit(2.0)) / (F.col("n") * share)
+    return _z_of_chi(chi, len(listed))
 
 
 def with_p_values(tokens: DataFrame) -> DataFrame:
@@ -110,7 +146,7 @@ def with_p_values(tokens: DataFrame) -> DataFrame:
     kind = encoding(F.col("bare"))
     letters = F.create_map(*(F.lit(x) for name, (_, alphabet) in ENCODINGS.items() for x in (name, alphabet)))
     # One alphabet serves both cases of one-case encodings, and both forms of base 64.
-    cased = (F.when(F.col("encoding").isin("hex", "base36"), F.lower("bare"))
+    cased = (F.when(F.col("encoding").isin("hex", "base36", "onecase"), F.lower("bare"))
              .when(F.col("encoding") == "base64", F.translate("bare", "-_", "+/")).otherwise(F.col("bare")))
     rows = (tokens.withColumn("bare", bare).withColumn("encoding", kind).where("encoding IS NOT NULL")
             .withColumn("alphabet", letters[F.col("encoding")]).withColumn("cased", cased)
@@ -136,33 +172,36 @@ def with_p_values(tokens: DataFrame) -> DataFrame:
              .otherwise((a["last"] - (k - 1) / 2) * (x - (k - 1) / 2))).alias("serial")))
     rows = rows.withColumn("squares", squares).withColumn("walk", walk)
     chi = F.greatest(k / n * F.col("squares") - n, F.lit(0.0))
-    ninth = 2 / (9 * (k - 1))
-    z_chi = (F.pow(chi / (k - 1), F.lit(1 / 3)) - (1 - ninth)) / F.sqrt(ninth)
+    z_chi = _z_of_chi(chi, k - 1)
+    z_class = F.coalesce(*(F.when(F.col("encoding") == name, _z_of_classes(name)) for name in CLASSES))
     pairs = 2 * F.col("walk.high") * (n - F.col("walk.high"))
     spread = F.sqrt(F.greatest(pairs * (pairs - n) / (n * n * (n - 1)), F.lit(1e-9)))
     z_runs = F.abs(F.col("walk.runs") - (1 + pairs / n)) / spread
     z_serial = F.abs(F.col("walk.serial")) / ((k * k - 1) / 12) / F.sqrt(n - 1)
-    p = 3 * F.least(upper_tail(z_chi), 2 * upper_tail(z_runs), 2 * upper_tail(z_serial))
+    p = TESTS * F.least(upper_tail(z_chi), upper_tail(z_class), 2 * upper_tail(z_runs), 2 * upper_tail(z_serial))
     return rows.withColumn("p", F.least(p, F.lit(1.0))).drop(
         "bare", "alphabet", "cased", "codes", "n", "k", "squares", "walk")
 
 
 def strike_outs(tested: DataFrame) -> DataFrame:
-    """(encoding, length_class, limit): p-values up to ``limit`` are struck out. A few hundred rows at
-    most, as there are four encodings and a class for each doubling of the length."""
+    """(encoding, length_class, limit, strings, even, lost): p-values up to ``limit`` are struck out. Of the class's distinct
+    ``strings`` about ``even`` are random, of which a share ``lost`` goes with the others. A few hundred rows at
+    most, as there are six encodings and a class for each doubling of the length."""
     once = tested.select("encoding", "length_class", "mark", "p").distinct()
     bins = once.groupBy("encoding", "length_class", F.ceil(F.col("p") * P_BINS).alias("bin")).agg(
         F.count("*").alias("n"))
+    low = int(LOST_SHARE * P_BINS)
+    below = F.array(*(F.sum(F.when(F.col("bin") <= t, F.col("n")).otherwise(0)) for t in range(low + 1)))
     of_class = bins.groupBy("encoding", "length_class").agg(
-        F.sum("n").alias("all"), F.sort_array(F.collect_list(F.struct("bin", "n"))).alias("bins"))
-    walked = F.aggregate(
-        "bins", F.struct(F.lit(0).cast("long").alias("below"), F.lit(-1.0).alias("limit")),
-        lambda a, x: F.struct(
-            (a["below"] + x["n"]).alias("below"),
-            F.when(x["bin"] / P_BINS * F.col("all") <= FALSE_SHARE * (a["below"] + x["n"]), x["bin"] / P_BINS)
-            .otherwise(a["limit"]).alias("limit")),
-        lambda a: a["limit"])
-    return of_class.select("encoding", "length_class", F.least(walked, F.lit(LOST_SHARE)).alias("limit"))
+        F.sum("n").alias("strings"), below.alias("below"),
+        (2 * F.sum(F.when(F.col("bin") > P_BINS // 2, F.col("n")).otherwise(0))).alias("even"))
+    # At each limit, the strings kept beyond the even ones among them.
+    ordinary = F.transform("below", lambda n, t: F.col("strings") - n - F.col("even") * (1 - t / P_BINS))
+    few = F.transform(ordinary, lambda x, t: x <= ORDINARY_SHARE * (F.col("strings") - F.col("below")[t]))
+    first = F.array_position(few, True)
+    limit = F.when(first > 0, (first - 1) / P_BINS).otherwise(F.lit(LOST_SHARE))
+    return of_class.select("encoding", "length_class", limit.alias("limit"), "strings",
+                           F.least("even", "strings").alias("even"), limit.alias("lost"))
 
 
 def random_strings(scans: DataFrame) -> DataFrame:
@@ -175,7 +214,7 @@ def random_strings(scans: DataFrame) -> DataFrame:
                       F.explode(forms(F.col("c.value"))).alias("token")))
     tested = stored(with_p_values(tokens).withColumn("length_class", F.floor(F.log2(F.length("token"))))
                     .withColumn("mark", F.xxhash64("token")).drop("token"), "tested")
-    limits = F.broadcast(strike_outs(tested))
+    limits = F.broadcast(strike_outs(tested).select("encoding", "length_class", "limit"))
     return (tested.join(limits, ["encoding", "length_class"]).where("p > limit")
             .groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "end")).alias("random")))
 
