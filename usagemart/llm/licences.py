@@ -1,13 +1,15 @@
 """Licence scan: a trained paragraph classifier, confirmed by comparison with templates.
 
-Paragraphs are lines. Sparse logistic regression over words and word pairs tells licence families, other
+Paragraphs are single lines, and blocks of lines up to a blank one: comment marks at the lines' ends are removed and
+wrapped lines joined. A block counts where it is confirmed and its lines alone are not: lines of it that are merely
+unknown then are part of it. Of other blocks the lines count. Sparse logistic regression over words and word pairs tells licence families, other
 licence talk (``unknown``) and other text (``none``) apart; its features are those of the templates. It
 learns from templates, whole, cut and inside prose, and from a sample of at most ``PROSE_ROWS`` paragraphs of the corpus. A temperature fitted to rows that
 were held back calibrates the probabilities. A family needs a calibrated probability of ``SURE`` and a
 template of which ``CONFIRMED`` of the word pairs stand in the paragraph; licence talk that fails either is
 unknown. DataFrame operations only; Spark ML fits the regression, and expressions apply it.
 
-Defined cases: null or empty text has no paragraphs; lines without letters or digits are none; repeated
+Defined cases: very long lines and blocks are paragraphs like others; null or empty text has no paragraphs; lines without letters or digits are none; repeated
 rows each get the same result; an empty table leaves only the templates to learn from. Only ``doc_id`` and
 ``text`` are read.
 """
@@ -68,6 +70,10 @@ TEMPLATES = {
                 "Permission to copy and distribute this work is granted under the licence below."],
 }
 NONE = "none"
+# Every notice has one of these; blocks without them need no look.
+TELLING = r"(?i)licen[sc]|copyright|permission|permitted|warrant|redistribut|rights reserved|public domain"
+# Marks of comments at the beginning and the end of a line.
+MARKS = r"(?m)^[\x20\t]*(?:/\*+|\*+/|\*+|//+|#+|--+|;+|%+|<!--+|\(\*|\"{3}|'{3}|dnl |rem )?[\x20\t]*|[\x20\t\r]*(?:\*+/|--+>|\*\))?[\x20\t\r]*$"
 # Paragraphs with one of these are not taken as examples of plain prose.
 LICENCE_TALK = ["license", "licensed", "licence", "licences", "rights", "copyright", "permission"]
 LABELS = [*TEMPLATES, NONE]
@@ -103,6 +109,29 @@ def paragraphs(documents: DataFrame) -> DataFrame:
             .where(F.col("line").rlike(r"[\p{L}\p{N}]")).withColumn("words", terms("line")).drop("line"))
 
 
+def blocks(documents: DataFrame) -> DataFrame:
+    """(doc_id, text_key, at, last, words) of the blocks of two lines or more that may hold a notice; ``at`` and ``last`` are
+    their first and last lines."""
+    bare = texts(documents).where(F.col("text").rlike(TELLING)).select(
+        "doc_id", row_key(), F.split(F.regexp_replace("text", MARKS, ""), "\n").alias("lines"))
+    none = F.array().cast("array<struct<at:int,last:int>>")
+
+    def step(a: Column, x: Column) -> Column:
+        blank = ~x["line"].rlike(r"[\p{L}\p{N}]")
+        closed = F.when(a["at"] + 1 < x["i"], F.concat(a["found"], F.array(
+            F.struct(a["at"].alias("at"), (x["i"] - 1).alias("last"))))).otherwise(a["found"])
+        return F.struct(F.when(blank, x["i"] + 1).otherwise(a["at"]).alias("at"),
+                        F.when(blank, closed).otherwise(a["found"]).cast("array<struct<at:int,last:int>>").alias("found"))
+
+    # A blank line more, so that the last block ends.
+    listed = F.transform(F.concat("lines", F.array(F.lit(""))), lambda line, i: F.struct(line.alias("line"), i.alias("i")))
+    placed = F.aggregate(listed, F.struct(F.lit(0).alias("at"), none.alias("found")), step, lambda a: a["found"])
+    found = bare.withColumn("block", F.explode(placed)).select(
+        "doc_id", "text_key", F.col("block.at").alias("at"), F.col("block.last").alias("last"),
+        F.array_join(F.slice("lines", F.col("block.at") + 1, F.col("block.last") - F.col("block.at") + 1), " ").alias("text"))
+    return found.where(F.col("text").rlike(TELLING)).select("doc_id", "text_key", "at", "last", terms("text").alias("words"))
+
+
 def templates(spark: SparkSession) -> DataFrame:
     """(label, words) of every template."""
     listed = F.array(*(F.struct(F.lit(LABELS.index(family)).cast("double").alias("label"), F.lit(text).alias("text"))
@@ -174,30 +203,52 @@ def learn(documents: DataFrame, prose_rows: int = PROSE_ROWS) -> Model:
 
 
 def scan(documents: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, text_key, at, family, probability, match, confirmed) of the paragraphs that are not plain text.
+    """(doc_id, text_key, at, last, family, probability, match, confirmed) of the lines that are not plain text."""
+    lines = paragraphs(documents).withColumn("last", F.col("at"))
+    return _judged(lines, model)
+
+
+def found(documents: DataFrame, model: Model) -> DataFrame:
+    """The lines of ``scan`` and the blocks that count, once for repeated rows of an id and a text."""
+    both = scan(documents, model).unionByName(_judged(blocks(documents), model).where("confirmed"))
+    row = F.struct("at", "last", "family", "confirmed")
+    gathered = both.groupBy("doc_id", "text_key").agg(F.collect_set(row).alias("all"))
+
+    def within(x: Column, y: Column) -> Column:
+        return (y["at"] <= x["at"]) & (x["last"] <= y["last"])
+
+    lines = F.filter("all", lambda x: x["at"] == x["last"])
+    wrapped = F.filter("all", lambda b: (b["at"] < b["last"]) & ~F.exists(
+        "lines", lambda x: within(x, b) & x["confirmed"] & (x["family"] == b["family"])))
+    kept = F.filter("lines", lambda x: x["confirmed"] | ~F.exists("wrapped", lambda b: within(x, b)))
+    return (gathered.withColumn("lines", lines).withColumn("wrapped", wrapped)
+            .select("doc_id", "text_key", F.inline(F.concat(kept, "wrapped"))))
+
+
+def _judged(rows: DataFrame, model: Model) -> DataFrame:
+    """Of paragraphs (doc_id, text_key, at, last, words), those that are not plain text.
 
     The weights are a literal map of fixed size. Hits are exploded as an outer column, since Spark would
     push a filter on them below and compute them twice.
     """
-    spark = documents.sparkSession
+    spark = rows.sparkSession
     listed = F.array(*map(F.lit, model.weights))
     table = F.create_map(*(x for gram, found in model.weights.items()
                            for x in (F.lit(gram), F.array(*map(F.lit, found)))))
     hits = F.array_intersect(grams(), listed)
-    rows = (paragraphs(documents)
-            .select("doc_id", "text_key", "at", "words", F.explode_outer(
+    rows = (rows.select("doc_id", "text_key", "at", "last", "words", F.explode_outer(
                 F.array(F.when(F.arrays_overlap("words", listed), hits))).alias("hits"))
             .where("hits IS NOT NULL"))
     raw = F.aggregate("hits", F.array(*map(F.lit, model.intercepts)),
                       lambda a, gram: F.zip_with(a, table[gram], lambda x, y: x + y),
                       lambda a: F.transform(a, lambda x: x / model.temperature))
-    scored = rows.select("doc_id", "text_key", "at", "words", F.explode_outer(F.array(raw)).alias("raw"))
+    scored = rows.select("doc_id", "text_key", "at", "last", "words", F.explode_outer(F.array(raw)).alias("raw"))
     names = F.array(*map(F.lit, LABELS))
     top = F.array_max("raw")
     guess = F.element_at(names, F.array_position("raw", top).cast("int"))
     chance = 1 / F.aggregate("raw", F.lit(0.0), lambda a, x: a + F.exp(x - top))
     found = scored.where(guess != NONE).select(
-        "doc_id", "text_key", "at", guess.alias("guess"), chance.alias("probability"),
+        "doc_id", "text_key", "at", "last", guess.alias("guess"), chance.alias("probability"),
         F.array_distinct(pairs("words")).alias("own"))
     known = [(LABELS[int(row.label)], row.pairs) for row in templates(spark).select(
         "label", F.array_distinct(pairs("words")).alias("pairs")).collect()]
@@ -209,14 +260,14 @@ def scan(documents: DataFrame, model: Model) -> DataFrame:
     found = found.withColumn("match", F.coalesce(match, F.lit(0.0)))
     sure = (F.col("probability") >= SURE) & (F.col("match") >= CONFIRMED)
     family = F.when(sure, F.col("guess")).otherwise(F.lit("unknown"))
-    return found.select("doc_id", "text_key", "at", family.alias("family"), "probability", "match",
+    return found.select("doc_id", "text_key", "at", "last", family.alias("family"), "probability", "match",
                         sure.alias("confirmed"))
 
 
 def digest(found: DataFrame) -> DataFrame:
     """(doc_id, text_key, n_paragraphs, n_unknown, families) of each text with a licence paragraph."""
     return found.groupBy("doc_id", "text_key").agg(
-        F.count_distinct("at").alias("n_paragraphs"),
+        F.count_distinct("at", "last").alias("n_paragraphs"),
         F.count_distinct(F.when(F.col("family") == "unknown", F.col("at"))).alias("n_unknown"),
         F.array_join(F.sort_array(F.collect_set(F.when(F.col("confirmed"), F.col("family")))), ",").alias("families"))
 
@@ -224,6 +275,6 @@ def digest(found: DataFrame) -> DataFrame:
 def by_document(documents: DataFrame, model: Model) -> DataFrame:
     """(doc_id, n_paragraphs, n_unknown, families) of every row; ``families`` confirmed, sorted, joined by commas."""
     rows = texts(documents).select("doc_id", row_key())
-    joined = by_row(rows, stored(digest(scan(documents, model)), "licences"))
+    joined = by_row(rows, stored(digest(found(documents, model)), "licences"))
     counts = [F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in ("n_paragraphs", "n_unknown")]
     return joined.select("doc_id", *counts, F.coalesce("families", F.lit("")).alias("families"))
