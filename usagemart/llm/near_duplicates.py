@@ -19,6 +19,11 @@ there work is linear in the members of each level. What is mixed after the last
 until no two members of different classes are left uncompared.
 Pairs whose samples agree too rarely for the threshold are not compared in full.
 
+What only texts of its class have, among all that are still in buckets, is a text's own weight. It bounds its similarity
+with texts of other classes: of a pair, the rest of the lighter may be in common, and both own weights are in the union.
+Texts, members and pairs whose bound is below the threshold are left out, which loses nothing; texts around a common
+passage go this way. As classes grow and buckets empty, own weights are summed again.
+
 Defined cases: null text is empty; texts without words are nobody's duplicate; shorter texts than a
 shingle have one shingle of all their words; repeated rows are copies; a class is named after its
 least ``doc_id`` (null if it has none). Only ``doc_id`` and ``text`` are read.
@@ -41,9 +46,9 @@ WORDS, THRESHOLD = 5, 0.8
 # independently, 0.1 % meet in no bucket at the threshold and 0.01 % at 0.85.
 SAMPLES, BANDS, ROWS = 32, 24, 4
 # A mixed bucket is split LEVELS times, by STEP samples a time, in WAYS ways. Of pairs at the threshold that no leader
-# has compared, about 0.6, 1.8, 4.2 and 7.6 % are parted by the first to the fourth split.
-STEP, WAYS, LEVELS = 2, 2, 4
-LEADERS = 4  # of a bucket at a time
+# has compared, about 0.6, 1.8 and 4.2 % are parted by the first to the third split.
+STEP, WAYS, LEVELS = 2, 2, 3
+LEADERS = 8  # of a bucket at a time
 # Of pairs at the threshold, 1 of 10,000 agrees in fewer of the 32 samples.
 LEAST_AGREED = 16
 BROADCAST_KEYS = 500_000  # of 16 bytes; more are joined by a shuffle
@@ -280,32 +285,41 @@ def _buckets(distinct: DataFrame) -> DataFrame:
     return stored(met.drop("size").join(shared, "key"), "buckets")
 
 
+def _may_be_near(rest: Column, own: Column) -> Column:
+    """Whether rest / (rest + own) reaches the threshold, but for rounding."""
+    return rest * (1 - THRESHOLD) >= own * THRESHOLD - 1e-6 * rest
+
+
 def _open(members: DataFrame) -> DataFrame:
-    """``members`` of the buckets that hold several classes."""
-    mixed = members.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
-    return members.join(mixed.select("bucket"), "bucket")
+    """``members`` who may be near somebody of another class in their bucket, by the least own weight among those."""
+    of_class = members.groupBy("bucket", "root").agg(F.min("own").alias("own"))
+    first = of_class.groupBy("bucket").agg(F.min(F.struct("own", "root")).alias("first"))
+    second = of_class.join(first, "bucket").where(F.col("root") != F.col("first.root")).groupBy("bucket").agg(
+        F.min("own").alias("second"), F.first("first").alias("first"))
+    other = F.when(F.col("root") == F.col("first.root"), F.col("second")).otherwise(F.col("first.own"))
+    return members.join(second, "bucket").where(_may_be_near(F.col("rest"), F.col("own") + other)).drop("first", "second")
 
 
 def _leaders(members: DataFrame, turn: int) -> DataFrame:
     """(bucket, leader, leader_root): in the first turn the member of each bucket that shares most, later ``LEADERS``
     members of all classes but the bucket's largest, and four times as many in each turn after the last split.
-    A text that leads does so in many of its buckets."""
+    Those with the least weight of their own come first: they are near most others, and in many of their buckets."""
+    led = {"key": "leader", "root": "leader_root", "own": "leader_own", "rest": "leader_rest"}
     if turn == 0:
-        best = F.min(F.struct((-F.col("shared")).alias("rank"), "key", "root")).alias("l")
-        return members.groupBy("bucket").agg(best).select(
-            "bucket", F.col("l.key").alias("leader"), F.col("l.root").alias("leader_root"))
+        best = F.min(F.struct((-F.col("shared")).alias("rank"), *led)).alias("l")
+        return members.groupBy("bucket").agg(best).select("bucket", "l.*").drop("rank").withColumnsRenamed(led)
     largest = members.groupBy("bucket", "root").count().groupBy("bucket").agg(
         F.max(F.struct("count", "root")).alias("m")).select("bucket", F.col("m.root").alias("largest"))
-    order = Window.partitionBy("bucket").orderBy(F.xxhash64("key", F.lit(turn)), "key")
+    order = Window.partitionBy("bucket").orderBy("own", F.xxhash64("key", F.lit(turn)), "key")
     found = members.join(largest, "bucket").where("root != largest").withColumn("place", F.row_number().over(order))
     most = LEADERS * 4 ** min(max(turn - LEVELS - 1, 0), 20)
-    return found.where(F.col("place") <= most).select(
-        "bucket", F.col("key").alias("leader"), F.col("root").alias("leader_root"))
+    return found.where(F.col("place") <= most).select("bucket", *led).withColumnsRenamed(led)
 
 
 def _candidates(members: DataFrame, leaders: DataFrame, distinct: DataFrame) -> DataFrame:
     """(a, b): the leaders and the members of other classes in their buckets whose samples agree often enough."""
-    pairs = members.join(leaders, "bucket").where("root != leader_root").select(
+    possible = _may_be_near(F.least("rest", "leader_rest"), F.col("own") + F.col("leader_own"))
+    pairs = members.join(leaders, "bucket").where((F.col("root") != F.col("leader_root")) & possible).select(
         F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b")).distinct()
     one = distinct.select(F.col("key").alias("a"), F.col("samples").alias("samples_a"))
     two = distinct.select(F.col("key").alias("b"), F.col("samples").alias("samples_b"))
@@ -329,6 +343,28 @@ def weighted(texts: DataFrame, weights: np.ndarray) -> DataFrame:
     return texts.mapInArrow(task, "key binary, shingles array<bigint>, weights array<double>")
 
 
+def own_weights(known: DataFrame) -> DataFrame:
+    """(key, own, rest) of ``weighted`` texts with the ``root`` of their class: the weight of the shingles that no text
+    of another class has, and of the others. Texts that may be near none are left out."""
+    def task(batches):
+        for piece in small(batches):
+            listed = piece.column("shingles")
+            times = np.diff(listed.offsets.to_numpy())
+            text, root = (pa.array(np.repeat(piece.column(name).to_numpy(), times)) for name in ("text", "class"))
+            yield pa.RecordBatch.from_arrays([text, root, listed.flatten(), piece.column("weights").flatten()],
+                                             ["text", "class", "shingle", "weight"])
+
+    named = known.withColumns({"text": F.xxhash64("key"), "class": F.xxhash64("root")})
+    single = named.select("text", "class", "shingles", "weights").mapInArrow(
+        task, "text bigint, class bigint, shingle bigint, weight double")
+    common = single.groupBy("shingle").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi")
+    rest = single.join(common.select("shingle"), "shingle").groupBy("text").agg(F.sum("weight").alias("rest"))
+    total = F.aggregate("weights", F.lit(0.0), lambda a, x: a + x)
+    return named.select("key", "text", total.alias("total")).join(rest, "text").select(
+        "key", F.greatest(F.col("total") - F.col("rest"), F.lit(0.0)).alias("own"), "rest").where(
+        _may_be_near(F.col("rest"), F.col("own")))
+
+
 def similarities(pairs: DataFrame, known: DataFrame) -> DataFrame:
     """(a, b, similarity): the weighted Jaccard similarity of each pair, from the ``weighted`` texts."""
     def task(batches):
@@ -367,14 +403,21 @@ def links(documents: DataFrame, distinct: DataFrame, weights: np.ndarray) -> Dat
         "key").agg(F.min("text").alias("text")).select("key", _hashes().alias("words"))
     known = stored(weighted(texts, weights), "weighted")
     distinct = stored(distinct.join(wanted, "key", "left_semi").select("key", "samples"), "samples")
-    members, roots = buckets.withColumn("root", F.col("key")), None
-    levels = _levels()
+
+    def weighed(members: DataFrame, roots: DataFrame | None) -> DataFrame:
+        """``members`` (bucket, path, key, ...) with their classes and own weights, without those who can be near nobody."""
+        rooted = _rooted(known.join(members.select("key").distinct(), "key", "left_semi"), roots)
+        weight = stored(own_weights(rooted), "own")
+        return stored(_open(_rooted(members.join(weight, "key"), roots)), "members")
+
+    members, roots, levels = weighed(buckets, None), None, _levels()
     for turn in count():
+        if members.isEmpty():
+            return roots
         if 2 <= turn < LEVELS + 2:  # two turns before anything is split
             parts = _members(members.join(distinct, "key"), levels[turn - 2])
-            members = stored(_open(_rooted(parts, roots)), "parts")
-            if members.isEmpty():
-                return roots
+            weight = members.select("key", "own", "rest").distinct()
+            members = stored(_open(_rooted(parts.join(weight, "key"), roots)), "parts")
         leaders = stored(_leaders(members, turn), "leaders")
         pairs = stored(_candidates(members, leaders, distinct), "pairs")
         linked = stored(similarities(pairs, known).where(F.col("similarity") >= THRESHOLD).select("a", "b"), "linked")
@@ -383,10 +426,9 @@ def links(documents: DataFrame, distinct: DataFrame, weights: np.ndarray) -> Dat
             found = linked if roots is None else linked.unionByName(roots.selectExpr("node AS a", "root AS b"))
             roots = stored(components(found), "roots")
         # Who has led a bucket has met all of its members.
-        members = members.join(leaders.select("bucket", F.col("leader").alias("key")), ["bucket", "key"], "left_anti")
-        members = stored(_open(_rooted(members.drop("root"), roots)), "members")
-        if members.isEmpty():
-            return roots
+        left = members.drop("root", "own", "rest").join(
+            leaders.select("bucket", F.col("leader").alias("key")), ["bucket", "key"], "left_anti")
+        members = weighed(left, roots)
 
 
 def _rooted(members: DataFrame, roots: DataFrame | None) -> DataFrame:
