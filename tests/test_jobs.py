@@ -273,3 +273,26 @@ def test_a_few_emails_are_looked_up_by_pushed_filters(spark, home, monkeypatch):
     refresh_on_demand(home, [1001], AS_OF, customers(spark), telemetry(spark))
     (_, _), (keys, text) = plans
     assert keys == ("email",) and "EqualTo(email,ivan.ivanov@example.com)" in text and "Join" not in text
+
+
+def test_jobs_leave_no_scratch_but_what_they_return(spark, home, tmp_path, monkeypatch):
+    base = tmp_path / "shared"
+    monkeypatch.setattr("usagemart.session.shared_folder", lambda spark: str(base))
+    result = run_nightly(home, customers(spark), telemetry(spark), DAY, AS_OF)
+    assert len(list(base.iterdir())) == 1 and result.extracted.first().customers == 5
+    ids = spark.createDataFrame([(1001,), (1002,)], "customer_id bigint")
+    refreshed = refresh_on_demand(home, ids, AS_OF + timedelta(hours=1))
+    assert len(list(base.iterdir())) == 2 and refreshed.count() == 2
+    inbox, arrived = str(tmp_path / "inbox"), telemetry(spark)
+    arrived.write.parquet(inbox)
+    stream = spark.readStream.schema(arrived.schema).parquet(inbox)
+    stream_upsert(stream, customers(spark), home, str(tmp_path / "checkpoint"), lambda: DAY, lambda: AS_OF).awaitTermination()
+    assert len(list(base.iterdir())) == 2
+
+
+def test_a_failed_job_leaves_no_scratch(spark, home, tmp_path, monkeypatch):
+    base = tmp_path / "shared"
+    monkeypatch.setattr("usagemart.session.shared_folder", lambda spark: str(base))
+    with pytest.raises(Exception):
+        run_nightly(home, customers(spark, [*CUSTOMERS, CUSTOMERS[0]]), telemetry(spark), DAY, AS_OF)
+    assert not base.exists() or not list(base.iterdir())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 from time import monotonic
@@ -14,7 +15,7 @@ from usagemart.operators.summary import checks_from, load_stats_from, performanc
 from usagemart.operators.telemetry import telemetry_agg
 from usagemart.operators.upsert import KEY, upsert_mart
 from usagemart.plans.home import TRIES, Home, mart_gate
-from usagemart.session import materialize
+from usagemart.session import materialize, scratch_scope
 from usagemart.sources.audit import append_audit, audit_row
 from usagemart.sources.readers import Source, read_customers, read_telemetry
 from usagemart.sources.staging import read_staging, write_staging
@@ -39,6 +40,12 @@ def run_nightly(home: Home, customers: Source, telemetry: Source, execution_date
                 staging_format: str = "parquet") -> NightlyResult:
     """Load one execution date, which starts at ``as_of``. Every step reads what the step before
     wrote, so a lost executor costs its own tasks and a failed run can simply be started again."""
+    with scratch_scope(home.spark) as keep:
+        return _run(home, customers, telemetry, execution_date, as_of, days_back, strict, staging_format, keep)
+
+
+def _run(home: Home, customers: Source, telemetry: Source, execution_date: date, as_of: datetime, days_back: int,
+         strict: bool, staging_format: str, keep: Callable[[DataFrame, str], DataFrame]) -> NightlyResult:
     spark, started = home.spark, monotonic()
 
     def log(records: int, status: str, error: str | None = None) -> None:
@@ -74,7 +81,7 @@ def run_nightly(home: Home, customers: Source, telemetry: Source, execution_date
     return NightlyResult(
         mart=mart,
         segment_performance=performance_from(summaries),
-        extracted=stored_counts(staged, metrics, as_of),
+        extracted=keep(stored_counts(staged, metrics, as_of), "extracted"),
         staged=staged,
         metadata=load_metadata(staged),
         violations=type_violations(staged),

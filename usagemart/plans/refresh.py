@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from usagemart.operators.mart import customer_mart, to_mart_types
 from usagemart.operators.upsert import KEY, refresh_customers, upsert_mart
 from usagemart.plans.home import TRIES, Home, mart_gate
-from usagemart.session import materialize, scratch_path
-from usagemart.sources import files
+from usagemart.session import materialize, scratch_scope
 from usagemart.sources.audit import append_audit, audit_row
 
 PROCESS = "manual_report_generation"
@@ -26,13 +25,17 @@ def refresh_on_demand(home: Home, ids: Sequence[int] | DataFrame, as_of: datetim
     Given the sources, their metrics are computed again first. Only the buckets that hold the
     chosen customers are read and written.
     """
+    with scratch_scope(home.spark) as keep:
+        refreshed = _refreshed(home, ids, as_of, customers, telemetry)
+        return keep(refreshed, "refreshed") if isinstance(ids, DataFrame) else refreshed
+
+
+def _refreshed(home: Home, ids: Sequence[int] | DataFrame, as_of: datetime, customers: DataFrame | None,
+               telemetry: DataFrame | None) -> DataFrame:
     started, table = monotonic(), home.mart
     recompute = customers is not None and telemetry is not None
-    scratch = None
     if isinstance(ids, DataFrame):
-        scratch = scratch_path(home.spark, "refresh-ids")
-        ids.select(KEY).distinct().write.parquet(scratch)
-        chosen = keys = home.spark.read.parquet(scratch)
+        chosen = keys = materialize(ids.select(KEY).distinct(), "refresh-ids")
     else:
         # A list stays one, so that all scans can use it as a filter.
         chosen = [int(i) for i in ids]
@@ -56,9 +59,6 @@ def refresh_on_demand(home: Home, ids: Sequence[int] | DataFrame, as_of: datetim
     commit, buckets = table.change(transform, keys, check=mart_gate if recompute else None, tries=TRIES)
     refreshed = only(table.read(buckets, commit)).select(KEY, "email", "load_date", "updated_at")
     end = as_of + timedelta(seconds=monotonic() - started)
-    if scratch is not None:
-        refreshed = materialize(refreshed, "refreshed")  # the result outlives the ids
-        files.remove(home.spark, scratch)
     append_audit(audit_row(home.spark, PROCESS, as_of.date(), as_of, end, refreshed.count(),
                            "success"), home.audit)
     return refreshed

@@ -24,8 +24,7 @@ from usagemart.operators.mart import customer_mart, to_mart_types
 from usagemart.operators.telemetry import daily_rollup, telemetry_partials
 from usagemart.operators.upsert import KEY, upsert_mart
 from usagemart.plans.home import TRIES, Home, mart_gate
-from usagemart.session import scratch_path
-from usagemart.sources import files
+from usagemart.session import materialize, scratch_scope
 from usagemart.sources.keyed_table import KeyedTable
 
 HISTORY = T.StructType([
@@ -62,19 +61,19 @@ def stream_upsert(telemetry: DataFrame, customers: DataFrame, home: Home, checkp
     seen_until = f"{stream}/date"
 
     def add_to_history(batch: DataFrame, batch_id: int) -> None:
-        path = scratch_path(spark, "batch")
-        (telemetry_partials(batch.where(f"{KEY} IS NOT NULL")).select(*HISTORY.fieldNames())
-         .to(HISTORY).write.parquet(path))
-        new = spark.read.schema(HISTORY).parquet(path)
+        new = materialize(telemetry_partials(batch.where(f"{KEY} IS NOT NULL")).select(
+            *HISTORY.fieldNames()).to(HISTORY), "batch")
         past.change(lambda days: past.spread(telemetry_partials(days.unionByName(new)).select(
             *HISTORY.fieldNames()).to(HISTORY)), new, tags={stream: batch_id})
-        files.remove(spark, path)
 
     def absorb(batch: DataFrame, batch_id: int) -> None:
+        with scratch_scope(spark):
+            upsert(batch, batch_id)
+
+    def upsert(batch: DataFrame, batch_id: int) -> None:
         mart, until = home.mart, execution_date()
         if mart.committed(stream, batch_id):
             return
-        named = scratch_path(spark, "customers")
         changed = batch.select(KEY).where(f"{KEY} IS NOT NULL").distinct()
         if not past.committed(stream, batch_id):
             add_to_history(batch, batch_id)
@@ -84,15 +83,13 @@ def stream_upsert(telemetry: DataFrame, customers: DataFrame, home: Home, checkp
         if window_days is not None and last is not None and last != until.toordinal():
             moved = history.where(moved_days(date.fromordinal(last), until, window_days))
             changed = changed.unionByName(moved.select(KEY)).distinct()
-        changed.write.parquet(named)
-        affected = spark.read.schema(T.StructType([HISTORY[KEY]])).parquet(named)
+        affected = materialize(changed, "customers")
         as_of = clock()
         daily = daily_rollup(past.read(past.buckets_of(affected, days), days).join(affected, KEY, "left_semi"))
         staged = to_mart_types(customer_mart(
             customers.join(affected, KEY, "left_semi"), daily, until, as_of, window_days))
         mart.change(lambda current: upsert_mart(current, mart.spread(staged), as_of), affected, check=mart_gate,
                     tags={stream: batch_id, seen_until: until.toordinal()}, tries=TRIES)
-        files.remove(spark, named)
 
     return (telemetry.writeStream.foreachBatch(absorb)
             .option("checkpointLocation", checkpoint)
