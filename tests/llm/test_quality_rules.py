@@ -12,7 +12,7 @@ WORD, LETTERS = re.compile(r"[^\x20\x09-\x0D]+"), regex.compile(r"[^\p{L}]+")
 
 
 def normal(line):
-    return LETTERS.sub(" ", line.lower()).strip(" ")
+    return LETTERS.sub(" ", line.lower()).strip(" ") or line.strip(" \t\n\x0b\x0c\r")
 
 
 def expected(rows, limit):
@@ -55,6 +55,13 @@ def test_depleted_documents_are_rejected_and_lines_removed(spark):
     assert texts == {10_000_000 + i: text for i, text in enumerate(own)}
 
 
+def test_lines_without_letters_count(spark):
+    own = ["this document {0} has enough words of its own to stay {0}".format(c * 5) for c in "abcdefgh"]
+    rows = documents(spark, [f"{text}\n--- 12 ---" for text in own]).selectExpr("doc_id", "text", "'host' AS source")
+    assert {r.n_taken_chars for r in quality_rules.judged(rows, limit=5).collect()} == {8}
+    assert {r.text for r in quality_rules.cleaned(rows, limit=5).collect()} == {*own}
+
+
 def test_copies_count_once_towards_a_line(spark):
     rows = documents(spark, ["the very same text of ten words or more in all copies"] * 9).selectExpr(
         "doc_id", "text", "'host' AS source")

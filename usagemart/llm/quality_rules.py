@@ -70,9 +70,13 @@ def counts(documents: DataFrame) -> DataFrame:
 
 
 def line_rows(documents: DataFrame) -> DataFrame:
-    """(doc_id, text_key, host, at, line, chars): each line with a letter, ``line`` being its hash."""
-    lines = F.transform(F.split("text", "\n"), lambda line: F.struct(
-        F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}]+", " ")).alias("normal"), line.alias("line")))
+    """(doc_id, text_key, host, at, line, chars): each line with a word, ``line`` being the hash of its letters, or of
+    itself if it has none (numbers, rules of dashes)."""
+    def normal(line: Column) -> Column:
+        letters = F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}]+", " "))
+        return F.when(letters != "", letters).otherwise(F.trim(line, F.lit(SPACE_CHARS)))
+
+    lines = F.transform(F.split("text", "\n"), lambda line: F.struct(normal(line).alias("normal"), line.alias("line")))
     return (_hosted(documents).select("doc_id", "text_key", "host", F.posexplode(lines).alias("at", "l"))
             .where("l.normal != ''")
             .select("doc_id", "text_key", "host", "at", F.xxhash64("l.normal").alias("line"),

@@ -42,8 +42,11 @@ repeated AS (
   SELECT r, count(DISTINCT p) AS n
   FROM (SELECT r, i FROM runs JOIN twice USING (r, run)) x, unnest(range(i, i + 5)) AS t(p) GROUP BY r),
 lines AS (SELECT r, host, text, unnest(string_split(text, chr(10))) AS line FROM d),
+letters AS (
+  SELECT r, host, text, line, trim(regexp_replace(lower(line), '[^\p{{L}}]+', ' ', 'g')) AS letters FROM lines),
 normal AS (
-  SELECT r, host, text, line, trim(regexp_replace(lower(line), '[^\p{{L}}]+', ' ', 'g')) AS same FROM lines),
+  SELECT r, host, text, line, CASE WHEN letters <> '' THEN letters
+           ELSE regexp_replace(line, '^{_SPACE}+|{_SPACE}+$', '', 'g') END AS same FROM letters),
 above AS (
   SELECT host, same FROM normal WHERE same <> '' GROUP BY host, same
   HAVING count(DISTINCT text) > {LINE_DOCUMENTS}),
