@@ -215,7 +215,7 @@ def _excuses(rows: DataFrame, terms: dict[str, float]) -> list[str]:
     if not clean:
         return []
     toxic = dict(_counted(rows.where("toxic = 1"), lambda words: phrases(words) & clean.keys()).collect())
-    return sorted(phrase for phrase, n in clean.items() if 10 * toxic.get(phrase, 0) < n)[:MAX_TERMS]
+    return sorted(phrase for phrase, n in clean.items() if 10 * toxic.get(phrase, 0) < n)  # as many as the sample holds
 
 
 def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> list[float]:
