@@ -111,3 +111,12 @@ def test_a_copied_window_counts_once(spark):
     rows = documents(spark, ["mail me at a.b@c.example.com now"] * 200 + marked_texts(30, 3))
     listed = [tuple(words) for words, _ in personal_data.sample_windows(rows, 20)]
     assert len(listed) == len(set(listed)) == 20
+
+
+def test_long_windows_teach_in_pieces():
+    text = " ".join(f"mail{i}@example.org or +49 30 {1000000 + i}," for i in range(200))
+    base = personal_data.base_spans(text)
+    whole, = personal_data.windows(text)
+    pieces = personal_data._pieces(whole, base)
+    assert [s for piece in pieces for s in piece] == whole and max(map(len, pieces)) < 70 and len(pieces) > 5
+    assert sum(len(personal_data._sequence(text, piece, base)[1]) for piece in pieces) == len(base)

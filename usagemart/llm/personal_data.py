@@ -13,7 +13,8 @@ number is fixed by hashing.
 
 Defined cases: null text is empty; repeated rows each get the same result; a text of any length is
 segmented window by window around the words that can begin or end an entity, and windows do not
-overlap; without any match to learn from, the field adds nothing. Only ``doc_id`` and ``text`` are read.
+overlap; without any match to learn from, the field adds nothing. Features take the first 40 letters of a segment's
+shape, 8 kinds of marks and 12 letters of the words beside it. Only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ import math
 import random
 import re
 import string
+from bisect import bisect_left
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -34,7 +36,7 @@ from usagemart.llm.rows import small, texts
 
 KINDS = ["email", "ip", "card", "phone"]
 MAX_WORDS, MARGIN = 6, 3
-SAMPLE_WINDOWS = 1_500
+SAMPLE_WINDOWS, PIECE_WORDS = 1_500, 60
 WEIGHT_BITS = 16
 MIN_SHARE = 0.9  # an added span must be as likely as that, given its window
 
@@ -275,6 +277,21 @@ def _rewritten(words: list[str], gold: list[list[int]], dice: random.Random) ->
     return words
 
 
+def _pieces(spans: list, base: list) -> list[list]:
+    """A window as pieces of ``PIECE_WORDS`` words, or of more where a match of the patterns goes on."""
+    pieces, at = [], 0
+    while at < len(spans):
+        end = min(at + PIECE_WORDS, len(spans))
+        while end < len(spans):
+            before = bisect_left(base, (spans[end][0],))
+            if not any(s[2] > spans[end][0] for s in base[max(before - 8, 0):before]):
+                break
+            end += 1
+        pieces.append(spans[at:end])
+        at = end
+    return pieces
+
+
 def sample_windows(documents: DataFrame, rows: int = SAMPLE_WINDOWS) -> list[tuple[list[str], list]]:
     def task(batches):
         for batch in small(batches):
@@ -283,13 +300,13 @@ def sample_windows(documents: DataFrame, rows: int = SAMPLE_WINDOWS) -> list[tup
                 if not _ANCHOR.search(text):
                     continue
                 base = base_spans(text)
-                for spans in windows(text):
-                    if len(spans) <= 60:
-                        words, gold = _sequence(text, spans, base)
-                        found.append(words)
-                        golds.append(gold)
-                        mark = hashlib.md5(" ".join(words).encode()).digest()
-                        order.append(int.from_bytes(mark[:8], "big", signed=True))
+                for spans in (part for whole in windows(text) for part in _pieces(whole, base)):
+                    near = base[bisect_left(base, (spans[0][0],)):bisect_left(base, (spans[-1][1],))]
+                    words, gold = _sequence(text, spans, near)
+                    found.append(words)
+                    golds.append(gold)
+                    mark = hashlib.md5(" ".join(words).encode()).digest()
+                    order.append(int.from_bytes(mark[:8], "big", signed=True))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(order, pa.int64()), pa.array(found, pa.list_(pa.string())),
                  pa.array(golds, pa.list_(pa.list_(pa.int32())))], ["mark", "words", "gold"])
