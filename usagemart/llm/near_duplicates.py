@@ -40,6 +40,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from usagemart.llm.components import components
 from usagemart.llm.rows import SPACE, small, stored
+from usagemart.session import scratch_scope
 
 WORDS, THRESHOLD = 5, 0.8
 # Bands are subsets of the samples, so that few samples make many bands. Of pairs whose samples agree
@@ -440,10 +441,15 @@ def _rooted(members: DataFrame, roots: DataFrame | None) -> DataFrame:
 
 
 def classes(documents: DataFrame) -> DataFrame:
-    """(doc_id, text_key, class_id, first, has_words) of every row.
+    """(doc_id, text_key, class_id, first, has_words) of every row, stored.
 
     ``first``: the row names its class; repeated rows of that id and text all do.
     """
+    with scratch_scope(documents.sparkSession) as keep:
+        return keep(_classes(documents), "classes")
+
+
+def _classes(documents: DataFrame) -> DataFrame:
     weights = inverse_frequencies(documents)
     rows = stored(signed(documents, weights), "signed")
     distinct = stored(rows.groupBy("key").agg(F.min("doc_id").alias("least_id"),
@@ -470,7 +476,7 @@ def classes(documents: DataFrame) -> DataFrame:
 
 def one_of_each(documents: DataFrame) -> DataFrame:
     """``documents`` with all of their columns, but one row of each class; wordless rows all stay."""
-    rows = stored(classes(documents), "classes")
+    rows = classes(documents)
 
     def only(docs: DataFrame, named: DataFrame, how: str) -> DataFrame:
         named = named.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
