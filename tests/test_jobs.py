@@ -9,11 +9,12 @@ import pytest
 from tests.fixtures import (
     AS_OF, BEFORE, CUSTOMERS, DAY, TELEMETRY, by_id, customers, mart, telemetry)
 from usagemart.operators.mart import customer_mart, to_mart_types
-from usagemart.operators.segments import segment_performance
+from usagemart.operators.segments import segment_performance, top_engaged
 from usagemart.plans.home import Home, read_mart
 from usagemart.plans.nightly import run_nightly
 from usagemart.plans.refresh import refresh_on_demand
 from usagemart.schemas import MART_COLUMNS, TELEMETRY_SCHEMA
+from usagemart.sources import files
 from usagemart.sources.audit import read_audit
 from usagemart.sources.keyed_table import KeyedTable
 from usagemart.streaming.telemetry_stream import stream_upsert
@@ -296,3 +297,17 @@ def test_a_failed_job_leaves_no_scratch(spark, home, tmp_path, monkeypatch):
     with pytest.raises(Exception):
         run_nightly(home, customers(spark, [*CUSTOMERS, CUSTOMERS[0]]), telemetry(spark), DAY, AS_OF)
     assert not base.exists() or not list(base.iterdir())
+
+
+def test_the_leaderboard_reads_the_leaders_of_buckets(spark, home):
+    run_nightly(home, customers(spark), telemetry(spark), DAY, AS_OF)
+    refresh_on_demand(home, [1001], AS_OF + timedelta(hours=1))
+    board = home.top_engaged(3)
+    assert rows(board, ["customer_id", "engagement_score"]) == rows(
+        top_engaged(home.mart.read(), 3), ["customer_id", "engagement_score"]) and board.count() == 3
+    assert board.inputFiles() and all("/leaders/" in path for path in board.inputFiles())
+    # More than buckets keep, or buckets without leaders: the mart itself.
+    assert not any("/leaders/" in path for path in home.top_engaged(1_000).inputFiles())
+    for attempt in {*home.mart.latest().attempts}:
+        files.remove(spark, f"{home.mart.root}/leaders/attempt={attempt}")
+    assert home.top_engaged(3).count() == 3

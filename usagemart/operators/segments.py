@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from usagemart.functions.numeric import exact_avg
 from usagemart.functions.temporal import completed_years
 from usagemart.functions.text import full_name
 
+LEADERS_OF_BUCKET = 100  # kept with each bucket of the mart
+
 # The two verdicts of the band test.
 IN_BAND = "В рамках сегмента"
 OUT_OF_BAND = "Требует пересмотра сегмента"
@@ -95,6 +97,13 @@ def segment_map(mart: DataFrame, as_of: datetime) -> DataFrame:
         f"'{as_of.isoformat()}' AS loaded_at")
 
 
+def leaders(mart: DataFrame, k: int = LEADERS_OF_BUCKET) -> DataFrame:
+    """The ``k`` highest scores of each ``bucket``; whoever is among the first ``k`` of all is among them."""
+    order = Window.partitionBy("bucket").orderBy(F.desc("engagement_score"), "customer_id")
+    return (mart.select("bucket", "customer_id", "engagement_score").withColumn("_place", F.row_number().over(order))
+            .where(F.col("_place") <= k).drop("_place"))
+
+
 def top_engaged(mart: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` highest scores: each task keeps its own ``k`` rows, nothing is sorted whole."""
     return (mart.select("customer_id", "engagement_score")

@@ -8,11 +8,15 @@ from functools import cached_property, reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from usagemart.operators.quality import duplicate_keys
+from usagemart.operators.segments import LEADERS_OF_BUCKET, leaders, top_engaged
 from usagemart.operators.summary import performance_from, summarize
 from usagemart.schemas import MART_SCHEMA
 from usagemart.sources.keyed_table import KeyedTable
 
 
+# Names of the mart's summaries.
+SUMMARY, LEADERS = "summary", "leaders"
+
 # A job that meets another writer starts its change again from what that one has committed.
 TRIES = 5
 
@@ -59,11 +63,17 @@ class Home:
     @cached_property
     def mart(self) -> KeyedTable:
         return KeyedTable(self.spark, f"{self.root}/customer_data_mart", MART_SCHEMA,
-                          "customer_id", self.buckets, summarize, ["email"])
+                          "customer_id", self.buckets, {SUMMARY: summarize, LEADERS: leaders}, ["email"])
 
     def segment_performance(self) -> DataFrame:
         """The roll-up of the current mart, from the sums that were committed with its buckets."""
-        return performance_from(self.mart.summaries())
+        return performance_from(self.mart.summaries(SUMMARY))
+
+    def top_engaged(self, k: int = 10) -> DataFrame:
+        """The ``k`` highest scores of the current mart, from the leaders that were committed with its buckets."""
+        table, now = self.mart, self.mart.latest()
+        few = k <= LEADERS_OF_BUCKET and table.has_summary(LEADERS, now)
+        return top_engaged(table.summaries(LEADERS, now) if few else table.read(at=now), k)
 
     @property
     def staging(self) -> str:

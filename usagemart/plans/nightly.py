@@ -14,7 +14,7 @@ from usagemart.operators.quality import dq_issues, report_lines, type_violations
 from usagemart.operators.summary import checks_from, load_stats_from, performance_from
 from usagemart.operators.telemetry import telemetry_agg
 from usagemart.operators.upsert import KEY, upsert_mart
-from usagemart.plans.home import TRIES, Home, mart_gate
+from usagemart.plans.home import SUMMARY, TRIES, Home, mart_gate
 from usagemart.session import materialize, scratch_scope
 from usagemart.sources.audit import append_audit, audit_row
 from usagemart.sources.readers import Source, read_customers, read_telemetry
@@ -67,7 +67,7 @@ def _run(home: Home, customers: Source, telemetry: Source, execution_date: date,
             staged.select(KEY), check=mart_gate, tries=TRIES)
         mart = table.read(at=commit)
         # A few rows for each bucket, committed with the mart, answer all that follows.
-        summaries = table.summaries(commit)
+        summaries = table.summaries(SUMMARY, commit)
         issues = dq_issues(checks_from(summaries), strict)
         total = issues.select("total_records", "is_valid").first()["total_records"]
         report = report_lines(checks_from(summaries), load_stats_from(summaries), execution_date)

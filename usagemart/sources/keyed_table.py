@@ -54,16 +54,16 @@ class Commit:
 
 class KeyedTable:
     """``looked_up`` names columns by which a few rows may be looked for in the whole table: their files get
-    Bloom filters, so that a reader with a short list skips almost all of them. ``summary`` turns the rows of
+    Bloom filters, so that a reader with a short list skips almost all of them. A ``summary`` turns the rows of
     some buckets, which also have a column ``bucket``, into a few rows for each bucket. They are written and
-    committed with the bucket."""
+    committed with the bucket, in a folder of their own for each name."""
 
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType, key: str,
-                 buckets: int = 64, summary: Callable[[DataFrame], DataFrame] | None = None,
+                 buckets: int = 64, summary: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None,
                  looked_up: Iterable[str] = ()):
         self.looked_up = tuple(looked_up)
         self.spark, self.root, self.schema, self.key = spark, root.rstrip("/"), schema, key
-        self.wanted, self.summarize = buckets, summary
+        self.wanted, self.summarize = buckets, dict(summary or {})
 
     # -- commits ---------------------------------------------------------------------------
 
@@ -122,14 +122,19 @@ class KeyedTable:
             live = {b: live.get(b) for b in buckets}
         return self._select(live, "data", self.schema)
 
-    def summaries(self, at: Commit | None = None) -> DataFrame:
-        """The summary rows of all buckets, as they were committed with the rows of a commit."""
+    def summaries(self, name: str, at: Commit | None = None) -> DataFrame:
+        """The rows of a summary for all buckets, as they were committed with the rows of a commit."""
         live = dict(enumerate((at or self.latest()).attempts))
-        return self._select(live, "summary", self._summary_schema())
+        return self._select(live, name, self._summary_schema(name))
 
-    def _summary_schema(self) -> T.StructType:
+    def has_summary(self, name: str, at: Commit | None = None) -> bool:
+        """Whether all buckets have it: those written before a table got a summary do not."""
+        return all(files.exists(self.spark, f"{self.root}/{name}/attempt={attempt}")
+                   for attempt in {*(at or self.latest()).attempts} - {None})
+
+    def _summary_schema(self, name: str) -> T.StructType:
         layout = T.StructType(list(self.schema.fields)).add("bucket", "integer")
-        found = self.summarize(self.spark.createDataFrame([], layout)).schema
+        found = self.summarize[name](self.spark.createDataFrame([], layout)).schema
         return T.StructType([T.StructField(f.name, f.dataType) for f in found if f.name != "bucket"])
 
     def expired(self) -> DataFrame:
@@ -166,10 +171,10 @@ class KeyedTable:
          .sortWithinPartitions("bucket", self.key)
          .write.options(**{f"parquet.bloom.filter.enabled#{c}": "true" for c in self.looked_up})
          .partitionBy("bucket").parquet(path))
-        if self.summarize is not None:
-            layout = T.StructType(list(self.schema.fields)).add("bucket", "integer")
-            (self.summarize(self.spark.read.schema(layout).parquet(path)).repartition(1)
-             .write.partitionBy("bucket").parquet(f"{self.root}/summary/attempt={attempt}"))
+        layout = T.StructType(list(self.schema.fields)).add("bucket", "integer")
+        for name, summarize in self.summarize.items():
+            (summarize(self.spark.read.schema(layout).parquet(path)).repartition(1)
+             .write.partitionBy("bucket").parquet(f"{self.root}/{name}/attempt={attempt}"))
         return attempt
 
     def ensure(self) -> None:
