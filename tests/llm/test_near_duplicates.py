@@ -97,9 +97,11 @@ def test_samples_agree_as_often_as_texts_are_similar():
     assert abs(np.mean(agreed) - true) < 0.05
 
 
+@pytest.mark.parametrize("few", [0, 200_000])
 @pytest.mark.parametrize("links", [[(1, 2), (2, 3), (4, 5)], [(i, i + 1) for i in range(60)],
                                    [(0, i) for i in range(1, 50)] + [(7, 7)]])
-def test_components(spark, links):
+def test_components(spark, monkeypatch, links, few):
+    monkeypatch.setattr("usagemart.llm.components.FEW_LINKS", few)
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     roots = {}
     for a, b in links:
