@@ -138,3 +138,38 @@ def test_blocks_do_not_matter_for_counts(spark, monkeypatch, size):
     monkeypatch.setattr(language_model, "BLOCK_BYTES", size)
     got = language_model.scores(documents(spark, ["a b a", "b c", "a a a b", "d"])).collect()
     assert sorted(r.n_tokens for r in got) == [2, 3, 4, 5]
+
+
+def test_a_sweep_moves_every_customer():
+    customers = np.array([1, 2, 7, 200, 1000])
+    seats = language_model.Seats(5, np.arange(5), customers, 0.6, np.random.default_rng(5))
+    asked = np.zeros(5, int)
+
+    def opening(dish, own):
+        np.add.at(asked, dish, 1)
+        return np.full(len(dish), 0.3)
+
+    seats.move(opening)
+    assert asked.tolist() == [0, 2, 7, 200, 1000]  # one customer has one table whatever happens
+    assert (seats.customers() == customers).all() and (np.diff(seats.dish) >= 0).all()
+
+
+def test_frequent_dishes_open_as_many_tables_as_the_model_has():
+    """Customers of one by one and of moves in groups, against the numbers of tables of all seatings; a few moves for each
+    dish leave nearly all customers where they began, at one table."""
+    def expected(n, others, discount, chance):
+        tables, ways = np.arange(n + 2), np.full(n + 2, -np.inf)
+        ways[1] = 0
+        with np.errstate(divide="ignore"):
+            for m in range(1, n):
+                stay = np.log(np.maximum(m - discount * tables, 0)) + ways
+                ways = np.logaddexp(stay, np.r_[-np.inf, ways[:-1]])
+        weight = ways + np.r_[0, np.cumsum(np.log((1 + discount * (others + tables[:-1])) * chance))]
+        share = np.exp(weight - weight.max())
+        return (share * tables).sum() / share.sum()
+
+    for n, others, discount, chance, trials in ((40, 30, 0.7, 0.01, 4000), (600, 500, 0.7, 0.02, 200)):
+        seats = language_model.Seats(trials, np.arange(trials), np.full(trials, n), discount, np.random.default_rng(6))
+        for _ in range(12):
+            language_model.sweep_dishes(seats, np.arange(trials), np.full(trials, others), np.full(trials, chance))
+        assert abs(seats.tables().mean() / expected(n, others, discount, chance) - 1) < 0.05
