@@ -211,3 +211,29 @@ def test_few_pairs_at_the_threshold_meet_in_no_bucket():
     for band in near_duplicates._bands():
         met |= agreed[:, band].all(axis=1)
     assert 1 - met.mean() <= (1 - 0.8 ** 3) ** 8
+
+
+def test_sketches_rule_out_edited_copies_and_no_near_pair(spark):
+    """Copies of one text, each edited in places of its own: what sketches leave holds all pairs at the threshold, and few others."""
+    dice = np.random.default_rng(7)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for i in range(60):
+        copy = list(base)
+        for at in dice.choice(60, i % 4, replace=False):
+            copy[at] = f"e{i}x{at}"
+        texts.append(" ".join(copy))
+    rows = documents(spark, texts).selectExpr("CAST(doc_id AS string) AS k", "text").selectExpr("CAST(k AS binary) AS key", "text")
+    weights = np.ones(1 << near_duplicates.IDF_BITS, np.float32)
+    known = near_duplicates.weighted(rows.select("key", near_duplicates._hashes().alias("words")), weights).persist()
+    sketches = near_duplicates.sketched(known)
+    one, two = (known.selectExpr(f"key AS {name}") for name in "ab")
+    pairs = one.join(two, F.expr("a < b")).persist()
+    sides = pairs.join(sketches.selectExpr("key AS a", "sketch", "total AS total_a"), "a").join(
+        sketches.selectExpr("key AS b", "sketch AS leader_sketch", "total AS total_b"), "b")
+    left = {(bytes(r.a), bytes(r.b)) for r in sides.selectExpr("a", "b", "sketch", "leader_sketch", "total_a + total_b AS total")
+            .mapInArrow(near_duplicates._near_by_sketch, "a binary, b binary").collect()}
+    found = {(bytes(r.a), bytes(r.b)): r.similarity for r in near_duplicates.similarities(pairs, known).collect()}
+    near = {pair for pair, similarity in found.items() if similarity >= near_duplicates.THRESHOLD}
+    assert near and near <= left
+    assert len(left - near) < 0.25 * len(found.keys() - near)

@@ -23,6 +23,8 @@ What only texts of its class have, among all that are still in buckets, is a tex
 with texts of other classes: of a pair, the rest of the lighter may be in common, and both own weights are in the union.
 Texts, members and pairs whose bound is below the threshold are left out, which loses nothing; texts around a common
 passage go this way. As classes grow and buckets empty, own weights are summed again.
+Sketches, the weights of a text in hashed bins of shingles, bound what a pair may have in common: edited copies of one text
+that differ in too many places go this way, which loses nothing either, before the pair is made.
 
 Defined cases: null text is empty; texts without words are nobody's duplicate; shorter texts than a
 shingle have one shingle of all their words; repeated rows are copies; a class is named after its
@@ -52,6 +54,7 @@ STEP, WAYS, LEVELS = 2, 2, 3
 LEADERS = 8  # of a bucket at a time
 # Of pairs at the threshold, 1 of 10,000 agrees in fewer of the 32 samples.
 LEAST_AGREED = 16
+SKETCH_BINS = 64  # of shingles; two bytes each
 BROADCAST_KEYS = 500_000  # of 16 bytes; more are joined by a shuffle
 IDF_BITS, RAREST = 18, 10
 TABLE_BITS, SEED = 16, 20_240_131
@@ -317,17 +320,52 @@ def _leaders(members: DataFrame, turn: int) -> DataFrame:
     return found.where(F.col("place") <= most).select("bucket", *led).withColumnsRenamed(led)
 
 
-def _candidates(members: DataFrame, leaders: DataFrame, distinct: DataFrame) -> DataFrame:
-    """(a, b): the leaders and the members of other classes in their buckets whose samples agree often enough."""
+def _candidates(members: DataFrame, leaders: DataFrame, distinct: DataFrame, sketches: DataFrame) -> DataFrame:
+    """(a, b): the leaders and the members of other classes in their buckets who may be near by own weights and sketches,
+    and whose samples agree often enough."""
     possible = _may_be_near(F.least("rest", "leader_rest"), F.col("own") + F.col("leader_own"))
-    pairs = members.join(leaders, "bucket").where((F.col("root") != F.col("leader_root")) & possible).select(
-        F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b")).distinct()
+    led = sketches.withColumnsRenamed({"key": "leader", "sketch": "leader_sketch", "total": "leader_total"})
+    met = members.select("bucket", "key", "root", "own", "rest").join(sketches, "key").join(
+        leaders.join(led, "leader"), "bucket").where((F.col("root") != F.col("leader_root")) & possible)
+    pairs = met.select(
+        F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b"), "sketch", "leader_sketch",
+        (F.col("total") + F.col("leader_total")).alias("total")).mapInArrow(_near_by_sketch, "a binary, b binary").distinct()
     one = distinct.select(F.col("key").alias("a"), F.col("samples").alias("samples_a"))
     two = distinct.select(F.col("key").alias("b"), F.col("samples").alias("samples_b"))
     same = F.filter(F.zip_with("samples_a", "samples_b", lambda x, y: x == y), lambda agree: agree)
     return pairs.join(one, "a").join(two, "b").where(F.size(same) >= LEAST_AGREED).select("a", "b")
 
 
+def _near_by_sketch(batches):
+    """(a, b) of the pairs whose sketches allow a similarity at the threshold."""
+    for piece in small(batches, 10_000):
+        # Positive half floats are in the order of their bits.
+        least = np.minimum(*(np.frombuffer(b"".join(piece.column(name).to_pylist()), np.uint16).reshape(len(piece), SKETCH_BINS)
+                             for name in ("sketch", "leader_sketch"))).view(np.float16)
+        both = least.astype(np.float64).sum(axis=1)
+        far = both < (piece.column("total").to_numpy() - both) * (THRESHOLD - 1e-6)
+        yield piece.select(["a", "b"]).filter(pa.array(~far))
+
+
+def sketched(known: DataFrame) -> DataFrame:
+    """(key, sketch, total) of ``weighted`` texts: the weight of their shingles in each of ``SKETCH_BINS`` hashed bins, as
+    half floats that are never too small. The lesser weights of two texts, bin by bin, add up to what they share or more."""
+    def task(batches):
+        for piece in small(batches):
+            listed = piece.column("shingles")
+            row = np.repeat(np.arange(len(piece)), np.diff(listed.offsets.to_numpy()))
+            at = (_mixed(listed.flatten().to_numpy().view(np.uint64)) % np.uint64(SKETCH_BINS)).astype(np.int64)
+            weight = piece.column("weights").flatten().to_numpy()
+            bins = np.bincount(row * SKETCH_BINS + at, weight, len(piece) * SKETCH_BINS).reshape(len(piece), SKETCH_BINS)
+            with np.errstate(over="ignore"):  # infinity rules nothing out
+                halves = (bins * 1.001).astype(np.float16)
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("key"), pa.array([half.tobytes() for half in halves], pa.binary()),
+                 pa.array(bins.sum(axis=1))], ["key", "sketch", "total"])
+
+    return known.mapInArrow(task, "key binary, sketch binary, total double")
+
+
 def weighted(texts: DataFrame, weights: np.ndarray) -> DataFrame:
     """(key, shingles, weights) of each (key, words); the shingles in order."""
     shared = texts.sparkSession.sparkContext.broadcast(weights)  # of fixed size
@@ -357,7 +395,7 @@ def own_weights(known: DataFrame) -> DataFrame:
 
     named = known.withColumns({"text": F.xxhash64("key"), "class": F.xxhash64("root")})
     single = named.select("text", "class", "shingles", "weights").mapInArrow(
-        task, "text bigint, class bigint, shingle bigint, weight double")
+        task, "text bigint, class bigint, shingle bigint, weight double").repartition("shingle")  # once for both uses
     common = single.groupBy("shingle").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi")
     rest = single.join(common.select("shingle"), "shingle").groupBy("text").agg(F.sum("weight").alias("rest"))
     total = F.aggregate("weights", F.lit(0.0), lambda a, x: a + x)
@@ -403,6 +441,7 @@ def links(documents: DataFrame, distinct: DataFrame, weights: np.ndarray) -> Dat
     texts = _rows(documents).select(text_key().alias("key"), "text").join(wanted, "key", "left_semi").groupBy(
         "key").agg(F.min("text").alias("text")).select("key", _hashes().alias("words"))
     known = stored(weighted(texts, weights), "weighted")
+    sketches = stored(sketched(known), "sketches")
     distinct = stored(distinct.join(wanted, "key", "left_semi").select("key", "samples"), "samples")
 
     def weighed(members: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -420,7 +459,7 @@ def links(documents: DataFrame, distinct: DataFrame, weights: np.ndarray) -> Dat
             weight = members.select("key", "own", "rest").distinct()
             members = stored(_open(_rooted(parts.join(weight, "key"), roots)), "parts")
         leaders = stored(_leaders(members, turn), "leaders")
-        pairs = stored(_candidates(members, leaders, distinct), "pairs")
+        pairs = stored(_candidates(members, leaders, distinct, sketches), "pairs")
         linked = stored(similarities(pairs, known).where(F.col("similarity") >= THRESHOLD).select("a", "b"), "linked")
         if not linked.isEmpty():
             # Classes so far stand for the links that made them.
