@@ -237,3 +237,43 @@ def test_sketches_rule_out_edited_copies_and_no_near_pair(spark):
     near = {pair for pair, similarity in found.items() if similarity >= near_duplicates.THRESHOLD}
     assert near and near <= left
     assert len(left - near) < 0.25 * len(found.keys() - near)
+
+
+def test_few_pairs_of_edited_copies_are_compared(spark, monkeypatch):
+    """Copies of one text just below the threshold from each other: hardly more pairs are compared than are near."""
+    dice = random.Random(9)
+    base = [f"w{i}" for i in range(150)]
+    rows = documents(spark, [edited(base, dice, i % 5) for i in range(400)])
+    compared, near = [], []
+    compare = near_duplicates.similarities
+
+    def counted(pairs, known):
+        compared.append(pairs.count())
+        found = compare(pairs, known).persist()
+        near.append(found.where(F.col("similarity") >= near_duplicates.THRESHOLD).count())
+        return found
+
+    monkeypatch.setattr(near_duplicates, "similarities", counted)
+    near_duplicates.classes(rows).count()
+    assert sum(near) > 100 and sum(compared) < 3 * sum(near)
+
+
+@pytest.mark.parametrize("chunk, met", [(2_000, 10_000), (7, 3)])
+def test_leaders_meet_all_members_of_their_buckets(spark, monkeypatch, chunk, met):
+    """In chunks and slices of any size, and once in the rows that come out."""
+    monkeypatch.setattr(near_duplicates, "CHUNK", chunk)
+    monkeypatch.setattr(near_duplicates, "MET", met)
+    rows = [(bucket, f"k{i}".encode(), f"k{i % 20}".encode(), 0.0, 1.0) for bucket in (1, 2, 3) for i in range(0, 30, bucket)]
+    members = spark.createDataFrame(rows, "bucket bigint, key binary, root binary, own double, rest double")
+    led = [(bucket, key, root, own, rest, sum(r[0] == bucket for r in rows)) for bucket, key, root, own, rest in rows
+           if bucket < 3 and key in (b"k0", b"k4", b"k10", b"k24")]
+    leaders = spark.createDataFrame(
+        led, "bucket bigint, leader binary, leader_root binary, leader_own double, leader_rest double, size bigint")
+    full = np.ones(near_duplicates.SKETCH_BINS, np.float16).tobytes()
+    keys = {r[1] for r in rows}
+    sketches = spark.createDataFrame([(key, full, float(near_duplicates.SKETCH_BINS)) for key in keys],
+                                     "key binary, sketch binary, total double")
+    distinct = spark.createDataFrame([(key, [1] * near_duplicates.SAMPLES) for key in keys], "key binary, samples array<bigint>")
+    got = [(bytes(r.a), bytes(r.b)) for r in near_duplicates._candidates(members, leaders, distinct, sketches).collect()]
+    wanted = {(min(r[1], s[1]), max(r[1], s[1])) for r in rows for s in led if r[0] == s[0] and r[2] != s[2]}
+    assert len(got) == len(wanted) and set(got) == wanted

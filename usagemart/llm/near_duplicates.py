@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from usagemart.llm.components import components
-from usagemart.llm.rows import SPACE, small, stored
+from usagemart.llm.rows import SPACE, let_go, small, stored
 from usagemart.session import scratch_scope
 
 WORDS, THRESHOLD = 5, 0.8
@@ -51,10 +51,12 @@ SAMPLES, BANDS, ROWS = 32, 24, 4
 # A mixed bucket is split LEVELS times, by STEP samples a time, in WAYS ways. Of pairs at the threshold that no leader
 # has compared, about 0.6, 1.8 and 4.2 % are parted by the first to the third split.
 STEP, WAYS, LEVELS = 2, 2, 3
-LEADERS = 8  # of a bucket at a time
+LEADERS = 32  # of a bucket at a time
+CHUNK = 2_000  # members of a bucket who meet its leaders in one task
+MET = 10_000  # pairs of a member and a leader looked at together
 # Of pairs at the threshold, 1 of 10,000 agrees in fewer of the 32 samples.
 LEAST_AGREED = 16
-SKETCH_BINS = 64  # of shingles; two bytes each
+SKETCH_BINS = 256  # of shingles; two bytes each
 BROADCAST_KEYS = 500_000  # of 16 bytes; more are joined by a shuffle
 IDF_BITS, RAREST = 18, 10
 TABLE_BITS, SEED = 16, 20_240_131
@@ -289,7 +291,7 @@ def _buckets(distinct: DataFrame) -> DataFrame:
     return stored(met.drop("size").join(shared, "key"), "buckets")
 
 
-def _may_be_near(rest: Column, own: Column) -> Column:
+def _may_be_near(rest: Column | np.ndarray, own: Column | np.ndarray) -> Column | np.ndarray:
     """Whether rest / (rest + own) reaches the threshold, but for rounding."""
     return rest * (1 - THRESHOLD) >= own * THRESHOLD - 1e-6 * rest
 
@@ -305,40 +307,76 @@ def _open(members: DataFrame) -> DataFrame:
 
 
 def _leaders(members: DataFrame, turn: int) -> DataFrame:
-    """(bucket, leader, leader_root): in the first turn the member of each bucket that shares most, later ``LEADERS``
+    """(bucket, leader, leader_root, leader_own, leader_rest, size of the bucket): in the first turn the member of each bucket that shares most, later ``LEADERS``
     members of all classes but the bucket's largest, and four times as many in each turn after the last split.
     Those with the least weight of their own come first: they are near most others, and in many of their buckets."""
     led = {"key": "leader", "root": "leader_root", "own": "leader_own", "rest": "leader_rest"}
     if turn == 0:
         best = F.min(F.struct((-F.col("shared")).alias("rank"), *led)).alias("l")
-        return members.groupBy("bucket").agg(best).select("bucket", "l.*").drop("rank").withColumnsRenamed(led)
+        return members.groupBy("bucket").agg(best, F.count("*").alias("size")).select("bucket", "l.*", "size").drop(
+            "rank").withColumnsRenamed(led)
     largest = members.groupBy("bucket", "root").count().groupBy("bucket").agg(
-        F.max(F.struct("count", "root")).alias("m")).select("bucket", F.col("m.root").alias("largest"))
+        F.max(F.struct("count", "root")).alias("m"), F.sum("count").alias("size")).select(
+        "bucket", F.col("m.root").alias("largest"), "size")
     order = Window.partitionBy("bucket").orderBy("own", F.xxhash64("key", F.lit(turn)), "key")
     found = members.join(largest, "bucket").where("root != largest").withColumn("place", F.row_number().over(order))
     most = LEADERS * 4 ** min(max(turn - LEVELS - 1, 0), 20)
-    return found.where(F.col("place") <= most).select("bucket", *led).withColumnsRenamed(led)
+    return found.where(F.col("place") <= most).select("bucket", *led, "size").withColumnsRenamed(led)
 
 
 def _candidates(members: DataFrame, leaders: DataFrame, distinct: DataFrame, sketches: DataFrame) -> DataFrame:
     """(a, b): the leaders and the members of other classes in their buckets who may be near by own weights and sketches,
-    and whose samples agree often enough."""
-    possible = _may_be_near(F.least("rest", "leader_rest"), F.col("own") + F.col("leader_own"))
-    led = sketches.withColumnsRenamed({"key": "leader", "sketch": "leader_sketch", "total": "leader_total"})
-    met = members.select("bucket", "key", "root", "own", "rest").join(sketches, "key").join(
-        leaders.join(led, "leader"), "bucket").where((F.col("root") != F.col("leader_root")) & possible)
-    pairs = met.select(
-        F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b"), "sketch", "leader_sketch",
-        (F.col("total") + F.col("leader_total")).alias("total")).mapInArrow(_near_by_sketch, "a binary, b binary").distinct()
+    and whose samples agree often enough. Only pairs that may be near become rows."""
+    def rows(side: DataFrame, chunk: Column, leads: bool) -> DataFrame:
+        return side.join(sketches, "key").select(
+            "bucket", chunk.alias("chunk"), F.lit(leads).alias("leads"), "key",
+            F.xxhash64("root").alias("root"), "own", "rest", "sketch", "total")
+
+    # Members of a large bucket are dealt to several chunks, and its leaders go to each of them.
+    chunks = F.floor(F.col("size") / CHUNK).cast("int")
+    large = leaders.where(F.col("size") >= CHUNK).select("bucket", (chunks + 1).alias("chunks")).distinct()
+    led = leaders.withColumnsRenamed({f"leader_{name}": name for name in ("root", "own", "rest")} | {"leader": "key"})
+    dealt = rows(members.join(large, "bucket", "left"), F.coalesce(F.pmod(F.hash("key"), "chunks"), F.lit(0)), False)
+    met = rows(led, F.explode(F.sequence(F.lit(0), chunks)), True).unionByName(dealt).repartition(
+        "bucket", "chunk").sortWithinPartitions("bucket", "chunk", F.desc("leads"))
+    pairs = met.mapInArrow(lambda batches: _near_by_sketch(_led(batches)), "a binary, b binary").select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     one = distinct.select(F.col("key").alias("a"), F.col("samples").alias("samples_a"))
     two = distinct.select(F.col("key").alias("b"), F.col("samples").alias("samples_b"))
     same = F.filter(F.zip_with("samples_a", "samples_b", lambda x, y: x == y), lambda agree: agree)
     return pairs.join(one, "a").join(two, "b").where(F.size(same) >= LEAST_AGREED).select("a", "b")
 
 
+def _led(batches):
+    """(a, b, sketch, leader_sketch, total): members and leaders of chunks, of which leaders come first, who may be near."""
+    before = []  # leaders of the chunk that the last batch ended in
+    for batch in small(batches, 5_000):
+        piece = pa.Table.from_batches([*before, batch]).combine_chunks().to_batches()[0]
+        bucket, chunk, leads, root, own, rest, total = (
+            piece.column(name).to_numpy(zero_copy_only=False)
+            for name in ("bucket", "chunk", "leads", "root", "own", "rest", "total"))
+        start = np.flatnonzero(np.r_[True, (bucket[1:] != bucket[:-1]) | (chunk[1:] != chunk[:-1])])
+        n_leaders, sizes = np.add.reduceat(leads.astype(np.int64), start), np.diff(np.r_[start, len(piece)])
+        member, first = np.flatnonzero(~leads), np.repeat(start, sizes)
+        n = np.repeat(n_leaders, sizes)[member]
+        before = [piece.slice(start[-1], n_leaders[-1])]
+        ends = np.cumsum(n)
+        for at in range(0, int(n.sum()), MET):
+            # A slice of the pairs of all members and leaders.
+            pair = np.arange(at, min(at + MET, ends[-1]))
+            of = np.searchsorted(ends, pair, "right")
+            who, leader = member[of], first[member[of]] + pair - (ends - n)[of]
+            near = (root[who] != root[leader]) & _may_be_near(np.minimum(rest[who], rest[leader]), own[who] + own[leader])
+            who, leader = who[near], leader[near]
+            one, two = (piece.select(["key", "sketch"]).take(pa.array(side)) for side in (who, leader))
+            yield pa.RecordBatch.from_arrays([one.column(0), two.column(0), one.column(1), two.column(1),
+                                              pa.array(total[who] + total[leader])],
+                                             ["a", "b", "sketch", "leader_sketch", "total"])
+
+
 def _near_by_sketch(batches):
     """(a, b) of the pairs whose sketches allow a similarity at the threshold."""
-    for piece in small(batches, 10_000):
+    for piece in small(batches, 2_000):
         # Positive half floats are in the order of their bits.
         least = np.minimum(*(np.frombuffer(b"".join(piece.column(name).to_pylist()), np.uint16).reshape(len(piece), SKETCH_BINS)
                              for name in ("sketch", "leader_sketch"))).view(np.float16)
@@ -441,23 +479,24 @@ def links(documents: DataFrame, distinct: DataFrame, weights: np.ndarray) -> Dat
     texts = _rows(documents).select(text_key().alias("key"), "text").join(wanted, "key", "left_semi").groupBy(
         "key").agg(F.min("text").alias("text")).select("key", _hashes().alias("words"))
     known = stored(weighted(texts, weights), "weighted")
+    let_go(documents.sparkSession)
     sketches = stored(sketched(known), "sketches")
     distinct = stored(distinct.join(wanted, "key", "left_semi").select("key", "samples"), "samples")
 
-    def weighed(members: DataFrame, roots: DataFrame | None) -> DataFrame:
-        """``members`` (bucket, path, key, ...) with their classes and own weights, without those who can be near nobody."""
+    def weighed(members: DataFrame, roots: DataFrame | None, split: np.ndarray | None = None) -> DataFrame:
+        """``members`` (bucket, path, key, ...), or the parts they are split into, with their classes and own weights,
+        without those who can be near nobody."""
         rooted = _rooted(known.join(members.select("key").distinct(), "key", "left_semi"), roots)
         weight = stored(own_weights(rooted), "own")
+        let_go(documents.sparkSession)
+        if split is not None:
+            members = _members(members.join(weight.select("key"), "key", "left_semi").join(distinct, "key"), split)
         return stored(_open(_rooted(members.join(weight, "key"), roots)), "members")
 
     members, roots, levels = weighed(buckets, None), None, _levels()
     for turn in count():
         if members.isEmpty():
             return roots
-        if 2 <= turn < LEVELS + 2:  # two turns before anything is split
-            parts = _members(members.join(distinct, "key"), levels[turn - 2])
-            weight = members.select("key", "own", "rest").distinct()
-            members = stored(_open(_rooted(parts.join(weight, "key"), roots)), "parts")
         leaders = stored(_leaders(members, turn), "leaders")
         pairs = stored(_candidates(members, leaders, distinct, sketches), "pairs")
         linked = stored(similarities(pairs, known).where(F.col("similarity") >= THRESHOLD).select("a", "b"), "linked")
@@ -468,7 +507,8 @@ def links(documents: DataFrame, distinct: DataFrame, weights: np.ndarray) -> Dat
         # Who has led a bucket has met all of its members.
         left = members.drop("root", "own", "rest").join(
             leaders.select("bucket", F.col("leader").alias("key")), ["bucket", "key"], "left_anti")
-        members = weighed(left, roots)
+        # Two turns before anything is split.
+        members = weighed(left, roots, levels[turn - 1] if 1 <= turn <= LEVELS else None)
 
 
 def _rooted(members: DataFrame, roots: DataFrame | None) -> DataFrame:
