@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.cases import by_id, corpus, documents, empty
@@ -173,3 +174,21 @@ def test_frequent_dishes_open_as_many_tables_as_the_model_has():
         for _ in range(12):
             language_model.sweep_dishes(seats, np.arange(trials), np.full(trials, others), np.full(trials, chance))
         assert abs(seats.tables().mean() / expected(n, others, discount, chance) - 1) < 0.05
+
+
+def test_blocks_number_the_tokens_of_their_texts():
+    """Texts of a block are numbered together, each as ``tokens`` has it."""
+    listed = ["", " ", "b A", " a\n\tB ", "É é\x1cx\u2028\x85 a", "\x0ba\x00b\x0c", "b"]
+    for pieces in ([listed], [listed[:3], listed[3:]], [[""]], [["a"], []]):
+        column = pa.chunked_array([pa.array(["unread", *piece]).slice(1) for piece in pieces])
+        sizes, seen, known = language_model._numbered(column)
+        wanted = [language_model.tokens(text) for piece in pieces for text in piece]
+        assert sizes.tolist() == [*map(len, wanted)] and len(set(known)) == len(known) == len(set(seen.tolist()))
+        assert [known[i] for i in seen] == [word for found in wanted for word in found]
+
+
+@pytest.mark.parametrize("parts", [7, 1 << 40])
+def test_pairs_are_put_in_order_of_their_parts(parts):
+    dice = np.random.default_rng(8)
+    part, first, second = (dice.integers(0, n, 3_000) for n in (parts, 5_000, 5_000))
+    assert language_model._by_part(part, first, second, 5_000).tolist() == np.lexsort((second, first, part)).tolist()
