@@ -24,7 +24,8 @@ with texts of other classes: of a pair, the rest of the lighter may be in common
 Texts, members and pairs whose bound is below the threshold are left out, which loses nothing; texts around a common
 passage go this way. As classes grow and buckets empty, own weights are summed again.
 Sketches, the weights of a text in hashed bins of shingles, bound what a pair may have in common: edited copies of one text
-that differ in too many places go this way, which loses nothing either, before the pair is made.
+that differ in too many places go this way, which loses nothing either, before the pair is made: members of a bucket meet its
+leaders in a sorted stream, those of a large bucket in chunks, and only pairs that may be near become rows.
 
 Defined cases: null text is empty; texts without words are nobody's duplicate; shorter texts than a
 shingle have one shingle of all their words; repeated rows are copies; a class is named after its
